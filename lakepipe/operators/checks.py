@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.functions import as_col
 from lakepipe.functions.dialect import spark_expr, spark_text
 from lakepipe.operators.filters import present
 from lakepipe.operators.joins import _keyed, orphan_counts
@@ -63,11 +62,10 @@ def _none(observed: Column) -> Column:
 
 
 def bad_rows(table: str, name: str, condition, severity: str = "error") -> Check:
-    """No row may satisfy ``condition`` (SQL text, Column, or DataFrame -> Column)."""
+    """No row may satisfy ``condition`` (SQL text, or DataFrame -> Column)."""
 
     def measure(df: DataFrame) -> Column:
-        c = condition(df) if callable(condition) and not isinstance(condition, Column) else condition
-        return F.count_if(spark_expr(c) if isinstance(c, str) else c)
+        return F.count_if(spark_expr(condition) if isinstance(condition, str) else condition(df))
 
     return Check(table, name, severity, _none, measure)
 
@@ -103,7 +101,7 @@ def in_range(table: str, column: str, low=None, high=None, severity: str = "erro
 
 def ordered(table: str, first: str, second: str, severity: str = "error") -> Check:
     """``first`` must not exceed ``second`` where both are known."""
-    return bad_rows(table, f"ordered:{first}<={second}", F.col(first) > F.col(second), severity)
+    return bad_rows(table, f"ordered:{first}<={second}", lambda df: F.col(first) > F.col(second), severity)
 
 
 def implies(table: str, name: str, when: str, then: str, severity: str = "error") -> Check:
@@ -113,23 +111,28 @@ def implies(table: str, name: str, when: str, then: str, severity: str = "error"
 
 def not_blank(table: str, columns: Sequence[str], severity: str = "error") -> Check:
     """At least one of the columns holds text."""
-    blank = F.coalesce(F.trim(F.concat_ws("", *columns)), F.lit("")) == ""
+    blank = lambda df: F.trim(F.concat_ws("", *columns)) == ""
     return bad_rows(table, "not_blank:" + "|".join(columns), blank, severity)
 
 
 def not_future(table: str, column: str, as_of: str, severity: str = "error") -> Check:
-    return bad_rows(table, f"not_future:{column}", F.col(column) > F.lit(as_of).cast("timestamp"), severity)
+    late = lambda df: F.col(column) > F.lit(as_of).cast("timestamp")
+    return bad_rows(table, f"not_future:{column}", late, severity)
 
 
 def not_older(table: str, column: str, as_of: str, days: int, severity: str = "warning") -> Check:
-    limit = F.date_sub(F.lit(as_of).cast("date"), days)
-    return bad_rows(table, f"not_older:{column}", F.col(column) < limit, severity)
+    old = lambda df: F.col(column) < F.date_sub(F.lit(as_of).cast("date"), days)
+    return bad_rows(table, f"not_older:{column}", old, severity)
 
 
 def matches(table: str, column: str, pattern: str, severity: str = "warning", name: str | None = None) -> Check:
     """Non-empty values must match the pattern."""
-    c = as_col(column).cast("string")
-    return bad_rows(table, name or f"matches:{column}", (c != "") & ~c.rlike(pattern), severity)
+
+    def bad(df: DataFrame) -> Column:
+        c = F.col(column).cast("string")
+        return (c != "") & ~c.rlike(pattern)
+
+    return bad_rows(table, name or f"matches:{column}", bad, severity)
 
 
 def email_format(table: str, column: str, severity: str = "warning") -> Check:
@@ -137,16 +140,24 @@ def email_format(table: str, column: str, severity: str = "warning") -> Check:
 
 
 def text_length(table: str, column: str, low: int, high: int, severity: str = "warning") -> Check:
-    n = F.length(F.col(column))
-    return bad_rows(table, f"length:{column}", (n > 0) & ((n < low) | (n > high)), severity)
+
+    def bad(df: DataFrame) -> Column:
+        n = F.length(column)
+        return (n > 0) & ((n < low) | (n > high))
+
+    return bad_rows(table, f"length:{column}", bad, severity)
 
 
 def reconciles(
     table: str, name: str, left: str, right: str, absolute: float = 0.01, relative: float = 0.0, severity="warning"
 ) -> Check:
     """``left`` and ``right`` agree within max(relative * |left|, absolute)."""
-    a, b = spark_expr(left), spark_expr(right)
-    return bad_rows(table, name, F.abs(a - b) > F.greatest(relative * F.abs(a), F.lit(absolute)), severity)
+
+    def bad(df: DataFrame) -> Column:
+        a, b = spark_expr(left), spark_expr(right)
+        return F.abs(a - b) > F.greatest(relative * F.abs(a), F.lit(absolute))
+
+    return bad_rows(table, name, bad, severity)
 
 
 def complete(table: str, column: str, percent: float, severity: str = "warning") -> Check:
@@ -164,27 +175,23 @@ def complete(table: str, column: str, percent: float, severity: str = "warning")
 
 def share_at_most(table: str, name: str, condition: str, percent: float, severity: str = "error") -> Check:
     """At most ``percent`` of the rows satisfy ``condition``."""
-    hit = F.coalesce(spark_expr(condition), F.lit(False))
-    return Check(
-        table,
-        name,
-        severity,
-        lambda n: n <= percent,
-        lambda df: F.round(F.avg(F.when(hit, 100.0).otherwise(0.0)), 4),
-        label="percent",
-    )
+
+    def measure(df: DataFrame) -> Column:
+        return F.round(F.avg(F.when(spark_expr(condition), 100.0).otherwise(0.0)), 4)
+
+    return Check(table, name, severity, lambda n: n <= percent, measure, label="percent")
 
 
 def fresh(table: str, column: str, as_of: str, days: int, severity: str = "warning") -> Check:
     """The newest value is at most ``days`` old; observed is its age in days."""
-    age = F.datediff(F.lit(as_of).cast("date"), F.to_date(F.max(column)))
-    return Check(table, f"fresh:{column}", severity, lambda n: n <= days, lambda df: age, label="days")
+    age = lambda df: F.datediff(F.lit(as_of).cast("date"), F.to_date(F.max(column)))
+    return Check(table, f"fresh:{column}", severity, lambda n: n <= days, age, label="days")
 
 
 def aggregate_holds(table: str, name: str, expression: str, severity: str = "error") -> Check:
     """An aggregate boolean holds, e.g. ``min(score) >= 3 AND max(score) <= 15``."""
-    held = spark_expr(f"CASE WHEN {spark_text(expression)} THEN 1 ELSE 0 END")
-    return Check(table, name, severity, lambda n: n == 1, lambda df: held, label="holds")
+    held = f"CASE WHEN {spark_text(expression)} THEN 1 ELSE 0 END"
+    return Check(table, name, severity, lambda n: n == 1, lambda df: F.expr(held), label="holds")
 
 
 def measured(table: str, name: str, expression: str) -> Check:

@@ -75,21 +75,23 @@ def contract_checks(df: DataFrame, contract: Contract) -> list[q.Check]:
     for c in contract.columns:
         if c.name not in df.columns:
             continue
-        col, actual = F.col(c.name), df.schema[c.name].dataType
+        actual = df.schema[c.name].dataType
+        col = F.col(c.name)
         if not c.nullable or c.primary_key:
             out.append(q.not_null(t, c.name))
         typed = coerced(c.name, c.type)
         if actual != spark_type(c.type) and not isinstance(spark_type(c.type), T.StringType):
             bad = col.isNotNull() & (F.trim(col.cast("string")) != "") & typed.isNull()
-            out.append(q.bad_rows(t, f"type:{c.name}", bad))
+            out.append(q.bad_rows(t, f"type:{c.name}", lambda df, bad=bad: bad))
         if c.min_value is not None:
-            out.append(q.bad_rows(t, f"min:{c.name}", typed < F.lit(c.min_value)))
+            out.append(q.bad_rows(t, f"min:{c.name}", lambda df, x=typed, v=c.min_value: x < v))
         if c.max_value is not None:
-            out.append(q.bad_rows(t, f"max:{c.name}", typed > F.lit(c.max_value)))
+            out.append(q.bad_rows(t, f"max:{c.name}", lambda df, x=typed, v=c.max_value: x > v))
         if c.pattern is not None:
-            out.append(q.bad_rows(t, f"pattern:{c.name}", ~col.cast("string").rlike(c.pattern)))
+            out.append(q.bad_rows(t, f"pattern:{c.name}", lambda df, x=col, p=c.pattern: ~x.cast("string").rlike(p)))
         if c.max_length is not None:
-            out.append(q.bad_rows(t, f"max_length:{c.name}", F.length(col.cast("string")) > c.max_length))
+            too_long = lambda df, x=col, n=c.max_length: F.length(x.cast("string")) > n
+            out.append(q.bad_rows(t, f"max_length:{c.name}", too_long))
     keys = [c.name for c in contract.columns if c.primary_key and c.name in df.columns]
     if keys:
         out.append(q.unique(t, keys, ignore_null=True))

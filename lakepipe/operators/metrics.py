@@ -272,7 +272,7 @@ def revenue_metrics(df: DataFrame, ds: str | None = None) -> DataFrame:
         F.col("glynac_organization_id").alias("organization_id"), F.col("processing_date").alias("metric_date")
     ).agg(
         money.cast("double").alias("total_revenue"),
-        F.avg("revenue").alias("avg_revenue"),
+        (money / F.count("revenue")).cast("double").alias("avg_revenue"),
         F.stddev_samp("revenue").alias("std_revenue"),
         F.count("revenue").alias("transaction_count"),
         F.count_distinct("customer_id").alias("unique_customers"),

@@ -213,7 +213,7 @@ def timeline_checks(name: str, entries: Sequence[SourceEntry] = (), as_of: str |
     suite = [q.row_count(name, 1, "warning")]
     suite += [q.not_null(name, c) for c in REQUIRED]
     for e in entries:
-        hits = F.count_if(F.col("source_table") == e.spec.source)
+        hits = lambda df, source=e.spec.source: F.count_if(F.col("source_table") == source)
         low = e.expected_min_events
         suite.append(
             q.Check(
@@ -221,7 +221,7 @@ def timeline_checks(name: str, entries: Sequence[SourceEntry] = (), as_of: str |
                 f"min_events:{e.spec.source}",
                 "warning",
                 lambda n, low=low: n >= low,
-                lambda df, hits=hits: hits,
+                hits,
                 label="events",
             )
         )
