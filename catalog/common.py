@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,11 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def settled(c, digits: int) -> Column:
+    """Half-up rounding with exact ties lifted, see ``rounded``."""
+    return F.round(F.col(c) * (1 + 1e-12), digits)
+
+
 # SQL text helpers
 
 
@@ -64,8 +69,8 @@ def day(x: str) -> str:
 
 
 def rounded(x: str, digits: int) -> str:
-    """Half-up rounding on decimals, which is what Spark does for doubles."""
-    return f"CAST(round(CAST({x} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
+    """Half-up rounding; the tiny factor lifts exact ties that binary doubles store just below."""
+    return f"round(({x}) * (1 + 1e-12), {digits})"
 
 
 def money(x: str) -> str:

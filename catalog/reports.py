@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.common import day, load, money, query, rounded, ts
+from catalog.common import day, load, money, query, rounded, settled, ts
 from lakepipe.operators import metrics, quantiles, states
 from lakepipe.operators.dedupe import keep_latest
 from lakepipe.plans.metric import Metric
@@ -72,7 +72,7 @@ def attribution_one_day(spark, sf):
 )
 def page_hits_daily(spark, sf):
     out = metrics.page_hits_daily(page_hits(spark, sf))
-    return out.withColumn("avg_time_on_page_seconds", F.round("avg_time_on_page_seconds", 4))
+    return out.withColumn("avg_time_on_page_seconds", settled("avg_time_on_page_seconds", 4))
 
 
 @query(
@@ -96,7 +96,7 @@ def lead_daily_stats(spark, sf):
         F.when(k % 4 >= 2, "Acme").alias("company"),
         F.lit("1").alias("phone"),
     )
-    return metrics.lead_daily_stats(leads).withColumn("avg_points", F.round("avg_points", 4))
+    return metrics.lead_daily_stats(leads).withColumn("avg_points", settled("avg_points", 4))
 
 
 def users(spark, sf):
@@ -147,7 +147,7 @@ _USERS = """u AS (SELECT c_custkey AS user_id, c_mktsegment AS org, d AS md, cre
 )
 def user_daily_metrics(spark, sf):
     out = metrics.user_daily(users(spark, sf))
-    return out.withColumn("avg_user_age_days", F.round("avg_user_age_days", 4))
+    return out.withColumn("avg_user_age_days", settled("avg_user_age_days", 4))
 
 
 @query(
@@ -161,7 +161,7 @@ def user_daily_metrics(spark, sf):
 )
 def user_daily_counts(spark, sf):
     out = metrics.user_daily_counts(users(spark, sf), "1996-12-31")
-    return out.withColumns({c: F.round(c, 4) for c in ("avg_user_age_days", "p95_user_age_days")})
+    return out.withColumns({c: settled(c, 4) for c in ("avg_user_age_days", "p95_user_age_days")})
 
 
 def _value_states():
@@ -190,7 +190,7 @@ def weekly_states_merge(spark, sf):
     exact = events.groupBy(week).agg(F.count_distinct("user_id").alias("exact"))
     close = F.abs(F.col("users") - F.col("exact")) <= F.greatest(F.lit(2), F.col("exact") * 0.08)
     out = final.join(exact, "week_start").withColumn("users_close", close).drop("users", "exact")
-    return out.withColumns({"avg_value": F.round("avg_value", 4), "total_value": F.round("total_value", 2)})
+    return out.withColumns({"avg_value": settled("avg_value", 4), "total_value": settled("total_value", 2)})
 
 
 @query(
@@ -204,7 +204,7 @@ def weekly_engagement(spark, sf):
         F.col("event_id").alias("id"), F.col("user_id").alias("points"), F.col("ts").alias("date_added")
     )
     out = states.finalize_states(states.weekly_engagement(leads), states.ENGAGEMENT)
-    return out.drop("total_leads").withColumn("avg_points", F.round("avg_points", 4))
+    return out.drop("total_leads").withColumn("avg_points", settled("avg_points", 4))
 
 
 @query(
@@ -249,7 +249,7 @@ _SUMMARY = """s AS (SELECT o_custkey AS customer_id, CAST(min(o_orderdate) AS DA
 )
 def customer_summary(spark, sf):
     out = metrics.customer_summary(purchases(spark, sf), "2001-01-01", 2)
-    return out.withColumn("avg_order_value", F.round("avg_order_value", 2))
+    return out.withColumn("avg_order_value", settled("avg_order_value", 2))
 
 
 @query(
@@ -264,7 +264,7 @@ def customer_summary(spark, sf):
       CASE WHEN rs + fs + ms >= 13 THEN 'Champions' WHEN rs + fs + ms >= 10 THEN 'Loyal Customers'
            WHEN rs + fs + ms >= 7 THEN 'Potential Loyalists' WHEN rs + fs + ms >= 5 THEN 'At Risk' ELSE 'Lost' END AS customer_segment,
       CASE WHEN life = 0 THEN 1 ELSE life END AS customer_lifespan_days,
-      {rounded('rev / n * (n / (CASE WHEN life = 0 THEN 1 ELSE life END / 365.0)) * 3 * 0.2', 2)} AS predicted_clv
+      CAST(floor({rounded('rev / n * (n / (CASE WHEN life = 0 THEN 1 ELSE life END / 365.0)) * 3 * 0.2', 2)}) AS BIGINT) AS predicted_clv
     FROM q""",
 )
 def rfm_segments(spark, sf):
@@ -278,7 +278,7 @@ def rfm_segments(spark, sf):
         "rfm_score",
         "customer_segment",
         "customer_lifespan_days",
-        "predicted_clv",
+        F.floor("predicted_clv").alias("predicted_clv"),
     )
 
 
@@ -329,8 +329,8 @@ def revenue_growth(spark, sf):
     out = metrics.revenue_metrics(o.join(c, "customer_id"))
     return out.withColumns(
         {
-            "avg_revenue": F.round("avg_revenue", 2),
-            "std_revenue": F.round("std_revenue", 2),
+            "avg_revenue": settled("avg_revenue", 2),
+            "std_revenue": settled("std_revenue", 2),
         }
     )
 
@@ -354,7 +354,7 @@ def top_values(spark, sf):
 )
 def group_summary(spark, sf):
     out = metrics.group_summary(load(spark, sf, "lineitem"), ["l_returnflag"], "l_orderkey", "l_extendedprice")
-    return out.withColumn("average", F.round("average", 2))
+    return out.withColumn("average", settled("average", 2))
 
 
 @query(

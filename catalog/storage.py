@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.common import day, load, money, query, rounded, ts
+from catalog.common import day, load, money, query, rounded, settled, ts
 from catalog.timelines import AS_OF, ORDERS, _EVENTS, order_rows
 from lakepipe.operators import states
 from lakepipe.plans.backfill import backfill
@@ -221,7 +221,7 @@ def stream_metric(spark, sf):
         inc.maintain_metric(_stream_of(spark, sf, "events"), *args).awaitTermination()
     inc.compact_metric(spark, f"{base}/partials", f"{base}/compact", ["event_type", "day"])
     out = inc.read_metric(spark, f"{base}/compact", ["event_type", "day"], _STREAM_STATES)
-    return out.withColumn("avg_value", F.round("avg_value", 4))
+    return out.withColumn("avg_value", settled("avg_value", 4))
 
 
 @query(

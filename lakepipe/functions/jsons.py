@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakepipe.functions import as_col, as_text
+from lakepipe.functions.numeric import int_or_zero
 
 
 def _path(keys) -> str:
@@ -21,7 +22,7 @@ def json_string(c, *keys: str) -> Column:
 
 
 def json_int(c, *keys: str) -> Column:
-    return F.coalesce(F.get_json_object(as_text(c), _path(keys)).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return int_or_zero(F.get_json_object(as_text(c), _path(keys)))
 
 
 def is_valid_json(c) -> Column:

@@ -127,4 +127,4 @@ def na_to_null(c, tokens: Sequence[str]) -> Column:
 def blank_to_null(c) -> Column:
     """NULL for blank text and the words null / none in any case."""
     c = as_text(c)
-    return F.when(~c.rlike(r"^\s*$") & ~F.lower(c).isin("null", "none"), c)
+    return F.when(~c.rlike(r"(?i)^(\s*|null|none)$"), c)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from lakepipe.functions import as_col, as_text
+from lakepipe.functions.numeric import int_or_zero
 
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}"
 _SLASHED = r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}"
@@ -58,12 +59,12 @@ def timestamp_date(c) -> Column:
 
 def from_epoch_ms(c) -> Column:
     """Epoch milliseconds to a timestamp in whole seconds; junk is the epoch."""
-    millis = F.coalesce(as_text(c).try_cast("bigint"), F.lit(0))
+    millis = int_or_zero(c)
     return F.timestamp_seconds(F.floor(millis / 1000))
 
 
 def from_epoch_s(c) -> Column:
-    return F.timestamp_seconds(F.coalesce(as_text(c).try_cast("bigint"), F.lit(0)))
+    return F.timestamp_seconds(int_or_zero(c))
 
 
 def day_diff(start, end) -> Column:

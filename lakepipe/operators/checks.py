@@ -318,7 +318,8 @@ def custom_sql(
             for c, value in expect.items():
                 wrong = wrong + F.when(F.col(c).eqNullSafe(F.lit(value)), 0).otherwise(1)
             return result.agg(F.coalesce(F.sum(wrong), F.lit(len(expect))).alias("observed"))
-        first = F.col(result.columns[0])
+        result = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
+        first = F.col("c0")
         if isinstance(result.schema[0].dataType, T.BooleanType):
             wanted = True if expected is None else expected
             held = F.coalesce(first == F.lit(wanted), F.lit(False))

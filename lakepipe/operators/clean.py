@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from lakepipe.functions import registry
 from lakepipe.functions.dialect import spark_expr
-from lakepipe.functions.numeric import parse_bool
+from lakepipe.functions.numeric import parse_bool, to_number
+from lakepipe.functions.jsons import parse_list
 from lakepipe.functions.times import as_of as run_time
 from lakepipe.functions.times import parse_date, parse_timestamp
 from lakepipe.operators.dedupe import keep_latest
@@ -152,7 +153,7 @@ def trim_strings(df: DataFrame, blank_as_null: bool = True, drop_empty_rows: boo
     """Trim every text column; blanks become NULL and all-NULL rows go."""
     cols = {c: F.trim(F.col(c)) for c in string_columns(df)}
     if blank_as_null:
-        cols = {c: F.when(e != "", e) for c, e in cols.items()}
+        cols = {c: F.nullif(e, F.lit("")) for c, e in cols.items()}
     df = df.withColumns(cols) if cols else df
     return df.na.drop("all") if drop_empty_rows else df
 
@@ -183,15 +184,16 @@ def coerced(c: str, kind: str) -> Column:
         return F.col(c).cast("string")
     if isinstance(target, T.BooleanType):
         return parse_bool(c)
+    if isinstance(target, T.ArrayType):
+        return parse_list(c)
     if isinstance(target, T.TimestampType):
         return parse_timestamp(c)
     if isinstance(target, T.DateType):
         return F.coalesce(parse_date(c), F.to_date(parse_timestamp(c)))
     if isinstance(target, T.IntegralType):
-        number = text.try_cast("double")
-        whole = F.when(number == F.floor(number), number.try_cast(target))
-        return F.coalesce(text.try_cast(target), whole)
-    return text.try_cast(target)
+        # "23.0" is a whole number too
+        return F.when(text.rlike(r"^[+-]?\d+(\.0*)?$"), F.substring_index(text, ".", 1).try_cast(target))
+    return to_number(text, target)
 
 
 def flag_columns(df: DataFrame) -> list[str]:

@@ -1,10 +1,9 @@
 """Lookups, orphans and foreign keys.
 
 The many side of these joins is a fact table whose keys can be very uneven (a
-third of all rows may carry one key), so nothing here shuffles it by the bare
-key.  Counts aggregate per key first.  Row-returning joins let Spark broadcast
-a lookup that its size statistics prove small; beyond that, hot keys are
-salted.
+third of all rows may carry one key).  Counts therefore aggregate per key
+before any join.  Row-returning joins let Spark broadcast a lookup that its
+size statistics prove small; beyond that, hot keys of a large table are salted.
 """
 
 from __future__ import annotations
@@ -18,6 +17,9 @@ from lakepipe.operators.dedupe import row_hash
 
 HOT_ROWS = 1_000_000  # a key with more rows than this is salted
 SALTS = 64
+# below this size one task can hold and spill any single key's rows, and the
+# runtime skew-join splitting suffices; above it the hot-key pass pays off
+LARGE_BYTES = 8 * 2**30
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -45,19 +47,21 @@ def skew_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    large_bytes: int = LARGE_BYTES,
 ) -> DataFrame:
     """Equi-join of an uneven ``left`` with ``right`` (inner, left, left_semi, left_anti).
 
-    A ``right`` small enough for Spark's own broadcast is joined plainly.
-    Otherwise rows of hot left keys are spread over ``salts`` shuffle keys and
+    A ``right`` small enough for Spark's own broadcast, or a ``left`` below
+    ``large_bytes``, is joined plainly.  Otherwise rows of hot left keys are spread over ``salts`` shuffle keys and
     the matching right rows are repeated that many times; every other row keeps
     salt 0.  The hot-key list is bounded by rows / ``hot_rows``, which is what
-    makes broadcasting it safe.
+    makes broadcasting it safe.  Finding hot keys reads the left keys once more:
+    pass a stored table, not a long derivation.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if plan_bytes(right) <= _broadcast_limit(left):
+    if plan_bytes(right) <= _broadcast_limit(left) or plan_bytes(left) <= large_bytes:
         return left.join(right, keys, how)
     hot = hot_keys(left, keys, hot_rows).withColumn("_hot", F.lit(True))
     spread = F.when(F.col("_hot"), F.pmod(row_hash(left), F.lit(salts))).otherwise(0).cast("int")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakepipe.functions import as_col
 from lakepipe.functions.text import if_null
 from lakepipe.functions.times import day_diff, second_diff
-from lakepipe.operators.joins import HOT_ROWS
+from lakepipe.operators.joins import HOT_ROWS, LARGE_BYTES, plan_bytes
 from lakepipe.operators.quantiles import exact_quantiles, score
 
 MONEY = "decimal(18,2)"
@@ -267,30 +267,35 @@ def revenue_metrics(df: DataFrame, ds: str | None = None) -> DataFrame:
     The previous day comes from the full history (one row per tenant and day by
     then), and only afterwards the result is narrowed to ``ds``.
     """
-    money = exact_sum("revenue")
     daily = df.groupBy(
         F.col("glynac_organization_id").alias("organization_id"), F.col("processing_date").alias("metric_date")
     ).agg(
-        money.cast("double").alias("total_revenue"),
-        (money / F.count("revenue")).cast("double").alias("avg_revenue"),
+        exact_sum("revenue").alias("_sum"),
         F.stddev_samp("revenue").alias("std_revenue"),
         F.count("revenue").alias("transaction_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
-    total, before = F.col("total_revenue"), F.col("prev_day_revenue")
     w = Window.partitionBy("organization_id").orderBy("metric_date")
-    out = daily.withColumns(
-        {
-            "revenue_per_customer": F.round(total / F.nullif(F.col("unique_customers"), F.lit(0)), 2),
-            "revenue_coefficient_of_variation": F.round(
-                F.col("std_revenue") / F.nullif(F.col("avg_revenue"), F.lit(0.0)), 4
-            ),
-            "prev_day_revenue": F.lag("total_revenue").over(w),
-        }
-    ).withColumn("revenue_growth_rate", F.round((total - before) / F.nullif(before, F.lit(0.0)) * 100, 2))
+    daily = daily.withColumn("_before", F.lag("_sum").over(w))
     if ds is not None:
-        out = out.filter(F.col("metric_date") == F.lit(ds).cast("date"))
-    return out.na.fill(0.0)
+        daily = daily.filter(F.col("metric_date") == F.lit(ds).cast("date"))
+    total, before = F.col("_sum"), F.col("_before")
+    per = lambda n: total / F.nullif(F.col(n), F.lit(0))
+    spread = F.col("std_revenue") / F.nullif(per("transaction_count").cast("double"), F.lit(0.0))
+    growth = (total - before) / F.nullif(before, F.lit(0).cast(MONEY)) * 100
+    return daily.select(
+        "organization_id",
+        "metric_date",
+        total.cast("double").alias("total_revenue"),
+        per("transaction_count").cast("double").alias("avg_revenue"),
+        "std_revenue",
+        "transaction_count",
+        "unique_customers",
+        F.round(per("unique_customers"), 2).cast("double").alias("revenue_per_customer"),
+        F.round(spread, 4).alias("revenue_coefficient_of_variation"),
+        before.cast("double").alias("prev_day_revenue"),
+        F.round(growth, 2).cast("double").alias("revenue_growth_rate"),
+    ).na.fill(0.0)
 
 
 def events_by_type(timeline: DataFrame) -> DataFrame:
@@ -310,21 +315,27 @@ def events_by_source(timeline: DataFrame) -> DataFrame:
     )
 
 
-def entity_lifecycle(timeline: DataFrame, period: str = "month", max_events: int = HOT_ROWS) -> DataFrame:
+def entity_lifecycle(
+    timeline: DataFrame, period: str = "month", max_events: int = HOT_ROWS, large_bytes: int = LARGE_BYTES
+) -> DataFrame:
     """Types, times and timestamp sources of each entity's events in time order.
 
     One row per entity and period.  An entity with more than ``max_events``
     events in a period is spread over several rows (``piece`` 0, 1, ...), each
     sorted by time, so no array and no task grows with a hot entity and every
     event is kept.  At most rows / ``max_events`` groups are that large, which
-    bounds the broadcast list of them.
+    bounds the broadcast list of them.  Timelines below ``large_bytes`` skip
+    the counting pass.
     """
     keys = ["entity_type", "entity_id", "period_start"]
     rows = timeline.withColumn("period_start", F.to_date(F.date_trunc(period, "timestamp")))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.filter(F.col("_n") > max_events).select(*keys, F.ceil(F.col("_n") / max_events).alias("_pieces"))
-    piece = F.coalesce(F.pmod(F.xxhash64("event_id"), F.col("_pieces")), F.lit(0)).cast("int")
-    rows = rows.join(F.broadcast(large), keys, "left").withColumn("piece", piece)
+    if plan_bytes(timeline) > large_bytes:
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        large = counts.filter(F.col("_n") > max_events).select(*keys, F.ceil(F.col("_n") / max_events).alias("_pieces"))
+        piece = F.coalesce(F.pmod(F.xxhash64("event_id"), F.col("_pieces")), F.lit(0)).cast("int")
+        rows = rows.join(F.broadcast(large), keys, "left").withColumn("piece", piece)
+    else:
+        rows = rows.withColumn("piece", F.lit(0))
     item = F.struct("timestamp", "event_type", "event_timestamp_source")
     return (
         rows.groupBy(*keys, "piece")

@@ -68,7 +68,7 @@ def finalize_states(merged: DataFrame, states: Sequence[State]) -> DataFrame:
     for s in states:
         c = lambda suffix: F.col(f"{s.name}__{suffix}")  # noqa: E731, B023
         if s.fn == "avg":
-            value = c("sum") / F.nullif(c("count"), F.lit(0))
+            value = c("sum").cast("double") / F.nullif(c("count"), F.lit(0))
         elif s.fn == "uniq":
             value = F.hll_sketch_estimate(c("uniq"))
         else:

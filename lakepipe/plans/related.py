@@ -6,7 +6,7 @@ key and moved to UTC; then foreign keys are repaired in dependency order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -18,6 +18,7 @@ from lakepipe.operators.clean import coerced, fill_nulls, trim_strings
 from lakepipe.operators.dedupe import distinct_rows, keep_latest
 from lakepipe.operators.filters import apply_rules, drop_missing
 from lakepipe.operators.joins import keep_children, null_bad_fk, remap_key
+from lakepipe.session import materialize
 
 
 @dataclass(frozen=True)
@@ -77,18 +78,27 @@ def clean_related(
     rules: dict[str, RelatedTable],
     foreign_keys: Sequence[ForeignKey] = (),
     remaps: Sequence[Remap] = (),
+    stage: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> dict[str, DataFrame]:
-    """Clean every table, then repair keys in the given order (parents before children)."""
-    out = {name: clean_one(raw[name], rule) for name, rule in rules.items()}
+    """Clean every table, then repair keys in the given order (parents before children).
+
+    Each cleaned table is staged once: the key repairs and any checks read it
+    several times, and its stored size lets Spark choose the join.
+    """
+    out = {name: stage(clean_one(raw[name], rule), name) for name, rule in rules.items()}
     for m in remaps:
         lookup = raw[m.lookup]
         if m.old in lookup.columns and m.new in lookup.columns:
             out[m.child] = remap_key(out[m.child], m.column, lookup, m.old, m.new)
-    for k in foreign_keys:
+    for i, k in enumerate(foreign_keys):
         if k.on_missing == "null":
             out[k.child] = null_bad_fk(out[k.child], k.column, out[k.parent], k.parent_key)
         elif k.on_missing == "drop":
             out[k.child] = keep_children(out[k.child], out[k.parent], [(k.column, k.parent_key)])
+        else:
+            continue
+        if not any(later.child == k.child for later in foreign_keys[i + 1 :]):
+            out[k.child] = stage(out[k.child], k.child)
     return out
 
 
