@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog.common import day, load, query, ts
 from lakepipe.functions import jsons, numeric, registry, text, times
 from lakepipe.operators import clean, filters
+from lakepipe.operators.dedupe import keep_latest
 
 # text of each customer's state, cycling through the awkward cases
 _STATES = ["Active", "Inactive", "CLOSED account", " waiting ", "Removed", "", "Unqualified", None]
@@ -315,15 +316,14 @@ def explode_json_array(spark, sf):
         F.to_date("ts").alias("processing_date"),
         F.when(F.col("event_id") % 10 == 0, "[]").otherwise(attendees).alias("attendees_json"),
     )
-    has_address = lambda x: F.get_json_object(x, "$.emailAddress.address") != ""
-    rows = jsons.explode_json(df, "attendees_json", "raw", has_address).select(
+    shape = "emailAddress struct<address: string>, status struct<response: string>"
+    has_address = lambda x: x["emailAddress"]["address"] != ""
+    rows = jsons.explode_json(df, "attendees_json", "a", has_address, shape).select(
         "meeting_id",
-        F.lower(F.trim(jsons.json_string("raw", "emailAddress", "address"))).alias("email"),
-        F.lower(jsons.json_string("raw", "status", "response")).alias("response"),
+        text.clean_email("a.emailAddress.address").alias("email"),
+        text.clean_email("a.status.response").alias("response"),
         "processing_date",
     )
-    from lakepipe.operators.dedupe import keep_latest
-
     kept = keep_latest(rows, ["meeting_id", "email"], ["processing_date DESC"])
     return kept.withColumn("domain", text.email_last_part("email"))
 

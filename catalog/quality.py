@@ -348,6 +348,20 @@ def catalog_drift(spark, sf):
     return ct.catalog_drift(pf.profile(orders, "orders"), pf.profile(live, "Orders")).fillna(0)
 
 
+@query(
+    "pre_run_gate",
+    """SELECT 'table_exists' AS "check", 'error' AS severity, true AS ok, 1.0::DOUBLE AS observed
+    UNION ALL SELECT 'has_data', 'error', count(*) > 0, least(count(*), 1) FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'
+    UNION ALL SELECT 'freshness', 'warning', h <= 2, h FROM (SELECT date_diff('hour', CAST(max(ts) AS DATE), TIMESTAMP '2024-01-31') AS h FROM events)
+    UNION ALL SELECT 'table_exists', 'error', false, 0.0""",
+)
+def pre_run_gate(spark, sf):
+    load(spark, sf, "events").withColumn("processing_date", F.to_date("ts")).createOrReplaceTempView("gate_events")
+    there = q.gate(spark, "gate_events", "processing_date", "2024-01-05", "2024-01-31")
+    absent = q.gate(spark, "gate_nowhere", "processing_date", "2024-01-01", "2024-01-31")
+    return there.unionByName(absent).select("check", "severity", "ok", "observed")
+
+
 # three of the tables as they would arrive in text files
 RELATED = {
     "customers": rl.RelatedTable(

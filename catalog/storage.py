@@ -99,6 +99,22 @@ def extract_by_date(spark, sf):
     return raw.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("low"))
 
 
+@query(
+    "publish_table",
+    """SELECT year(o_orderdate) AS year, CAST(count(*) * 2 AS BIGINT) AS n, CAST(sum(o_custkey) * 2 AS BIGINT) AS customers
+    FROM orders GROUP BY 1""",
+)
+def publish_table(spark, sf):
+    path = shared_dir(spark, "catalog")
+    name = "published_" + path.rsplit("-", 1)[-1]
+    df = writers.add_date_parts(load(spark, sf, "orders").select("o_orderdate", "o_custkey"), "o_orderdate", ("year",))
+    for mode in ("overwrite", "overwrite", "append"):
+        writers.publish(df, name, ["year"], mode, path)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    totals = (F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("customers"))
+    return spark.read.parquet(path).groupBy("year").agg(*totals)
+
+
 @query("capped_extract", "SELECT least(count(*), 5000) AS n FROM lineitem")
 def capped_extract(spark, sf):
     capped = readers.capped(load(spark, sf, "lineitem"), 5000)
@@ -165,9 +181,9 @@ def retention(spark, sf):
 
 
 def _stream_of(spark, sf, table):
-    """The table's file as a stream."""
+    """The table as a stream; the pattern matches a single file as well as a folder of files."""
     schema = load(spark, sf, table).schema
-    return inc.stream_folder(spark, sf, schema, pattern=f"{table}.parquet")
+    return inc.stream_folder(spark, f"{sf}/{table}.parque[t]", schema)
 
 
 @query(
@@ -177,7 +193,7 @@ def _stream_of(spark, sf, table):
 )
 def stream_timeline(spark, sf):
     base = shared_dir(spark, "stream")
-    rows = _order_stream(spark, sf)
+    rows = order_rows(_stream_of(spark, sf, "orders"))
     for _ in range(2):  # the second run finds nothing new
         inc.append_timeline(rows, ORDERS, f"{base}/timeline", f"{base}/progress", as_of=AS_OF).awaitTermination()
     back = spark.read.option("basePath", f"{base}/timeline").parquet(f"{base}/timeline")
@@ -186,21 +202,6 @@ def stream_timeline(spark, sf):
     )
 
 
-def _order_stream(spark, sf):
-    shape = order_rows(spark, sf)
-    at, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey")
-    plus = lambda days: at + F.make_dt_interval(days=days.cast("int"))
-    stream = _stream_of(spark, sf, "orders").select(
-        "*",
-        F.concat(F.lit("t"), F.col("o_custkey") % 3).alias("org"),
-        at.alias("rec_add"),
-        F.when(k % 4 != 0, plus(k % 5)).alias("shipped"),
-        F.when(k % 2 == 0, plus(k % 8)).alias("rec_edit"),
-        F.to_date(at).alias("processing_date"),
-    )
-    return stream.select(*shape.columns)
-
-
 _STREAM_STATES = [
     states.State("hits", "count"),
     states.State("avg_value", "avg", "value"),

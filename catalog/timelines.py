@@ -52,10 +52,11 @@ POSITIONS = tl.TimelineSpec(
 )
 
 
-def order_rows(spark, sf):
+def order_rows(orders):
+    """Orders as a clean table with created, shipped and edited times."""
     at, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey")
     plus = lambda days: at + F.make_dt_interval(days=days.cast("int"))
-    return load(spark, sf, "orders").select(
+    return orders.select(
         "*",
         F.concat(F.lit("t"), F.col("o_custkey") % 3).alias("org"),
         at.alias("rec_add"),
@@ -80,7 +81,7 @@ _EVENTS = f"""{_ROWS}, e AS (
 
 
 def order_timeline(spark, sf):
-    return tl.build_timeline(order_rows(spark, sf), ORDERS, as_of=AS_OF)
+    return tl.build_timeline(order_rows(load(spark, sf, "orders")), ORDERS, as_of=AS_OF)
 
 
 @query(
@@ -99,7 +100,7 @@ def timeline_orders(spark, sf):
 
 @query("timeline_one_tenant", f"WITH {_EVENTS} SELECT event_type, count(*) AS cnt FROM timeline WHERE org = 't1' GROUP BY 1")
 def timeline_one_tenant(spark, sf):
-    out = tl.build_timeline(order_rows(spark, sf), ORDERS, tenant="t1", as_of=AS_OF)
+    out = tl.build_timeline(order_rows(load(spark, sf, "orders")), ORDERS, tenant="t1", as_of=AS_OF)
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -146,7 +147,7 @@ ENTRIES = [
 
 
 def assembled(spark, sf):
-    tables = {ORDERS.source: order_rows(spark, sf), POSITIONS.source: position_rows(spark, sf)}
+    tables = {ORDERS.source: order_rows(load(spark, sf, "orders")), POSITIONS.source: position_rows(spark, sf)}
     return tl.assemble(tables, ENTRIES, as_of=AS_OF)
 
 

@@ -47,9 +47,19 @@ def json_array_count(c, keep: Callable[[Column], Column]) -> Column:
     return F.size(F.filter(json_array(c), keep))
 
 
-def explode_json(df: DataFrame, c: str, out: str = "element", keep: Callable[[Column], Column] | None = None) -> DataFrame:
-    """One row per element of a JSON array column; rows without elements drop out."""
-    items = json_array(c)
+def explode_json(
+    df: DataFrame,
+    c: str,
+    out: str = "element",
+    keep: Callable[[Column], Column] | None = None,
+    schema: str | None = None,
+) -> DataFrame:
+    """One row per element of a JSON array column; rows without elements drop out.
+
+    Elements are raw JSON text, or structs of ``schema`` (DDL of one element),
+    which parses each array once instead of once per extracted field.
+    """
+    items = json_array(c) if schema is None else F.from_json(as_text(c), f"array<struct<{schema}>>")
     if keep is not None:
         items = F.filter(items, keep)
     # the pattern test skips JSON parsing for empty arrays

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # recording the Python line of every column expression makes plans slow to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

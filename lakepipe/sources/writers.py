@@ -61,19 +61,21 @@ def extract_table(source: DataFrame, out: str, partition_col: str | None = None,
     write_partitions(dated, out, ["partition"], fmt, "overwrite")
 
 
-def publish(df: DataFrame, name: str, partitions: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Load a catalog table, creating it when missing."""
+def publish(
+    df: DataFrame, name: str, partitions: Sequence[str] = (), mode: str = "overwrite", path: str | None = None
+) -> None:
+    """Load a catalog table, creating it (at ``path``, if given) when missing."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown publish mode {mode!r}")
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        writer = df.write.format("parquet")
+        writer = _laid_out(df, partitions).write.format("parquet")
+        writer = writer.option("path", path) if path else writer
         (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
         return
     # insertInto goes by position
-    columns = spark.table(name).columns
-    writer = df.select(*columns).write.option("partitionOverwriteMode", "static")
-    writer.insertInto(name, overwrite=mode == "overwrite")
+    rows = _laid_out(df, partitions).select(*spark.table(name).columns)
+    rows.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=mode == "overwrite")
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence = ()) -> DataFrame:
