@@ -80,17 +80,18 @@ def _from_cases(mappings: list[dict], default: str, number: bool) -> Transform:
     return build
 
 
-def load_transforms(declared: dict) -> list[str]:
+def load_transforms(declared: dict, replace: bool = False) -> list[str]:
     """Register transforms from a declaration file's mapping; returns their names.
 
     Each entry is ``{sql: "...{col}..."}`` or ``{type: multiIf, mappings, default}``.
+    Names known already keep their built-in form unless ``replace`` is set.
     """
     names = []
     for section in declared.values():
         if not isinstance(section, dict):
             continue
         for name, entry in section.items():
-            if not isinstance(entry, dict):
+            if not isinstance(entry, dict) or (name in TRANSFORMS and not replace):
                 continue
             if "sql" in entry:
                 register(name, _from_sql(entry["sql"]))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.functions.dialect import spark_expr, spark_text
+from lakepipe.functions.dialect import add_functions, spark_expr, spark_text
 from lakepipe.operators.filters import present
 from lakepipe.operators.joins import _keyed, orphan_counts
 from lakepipe.types import spark_type
@@ -271,6 +271,15 @@ def fill_sql(sql: str, values: dict[str, str]) -> str:
     return spark_text(_SLOT.sub(lambda m: str(values[m.group(1)]), sql))
 
 
+_COMPARE = {
+    "<=": lambda c, v: c <= v,
+    ">=": lambda c, v: c >= v,
+    "<": lambda c, v: c < v,
+    ">": lambda c, v: c > v,
+    "==": lambda c, v: c == v,
+}
+
+
 def custom_sql(
     table: str,
     name: str,
@@ -280,8 +289,8 @@ def custom_sql(
     ds: str | None = None,
     expect: dict | None = None,
     expect_empty: bool = False,
-    at_least: float | None = None,
-    more_than: float | None = None,
+    at_least: dict | None = None,
+    more_than: dict | None = None,
     threshold: float | None = None,
     comparison: str = "<=",
     expected: bool | None = None,
@@ -289,58 +298,58 @@ def custom_sql(
 ) -> Check:
     """A SQL check over the suite's tables (named as in the suite).
 
-    Passes when the query is empty (``expect_empty``), when its single row holds
-    the ``expect``ed values, when its single value compares with ``threshold``
-    / ``at_least`` / ``more_than``, or equals ``expected``.  Without any of
-    these the first value must be 0 (or true).
+    Passes when the query is empty (``expect_empty``), when every row holds the
+    wanted values (``expect``, ``at_least``, ``more_than``: column -> number;
+    observed counts the misses), when its single value compares with
+    ``threshold``, or equals ``expected``.  Without any of these the first
+    value must be 0 (or true).
     """
-    ops = {
-        "<=": lambda n: n <= threshold,
-        ">=": lambda n: n >= threshold,
-        "<": lambda n: n < threshold,
-        ">": lambda n: n > threshold,
-        "==": lambda n: n == threshold,
-    }
+    wanted = [(c, v, lambda c, v: c == v) for c, v in (expect or {}).items()]
+    wanted += [(c, v, _COMPARE[">="]) for c, v in (at_least or {}).items()]
+    wanted += [(c, v, _COMPARE[">"]) for c, v in (more_than or {}).items()]
 
     def branch(tables: dict, df: DataFrame) -> DataFrame:
         spark = df.sparkSession
         text = fill_sql(sql, {"ds": ds or "", "target_table": table, "source_table": source or ""})
         for known, frame in tables.items():
-            view = re.sub(r"\W", "_", known) + "_check"
-            if re.search(rf"(?<![\w.]){re.escape(known)}(?!\w)", text):
+            name_of = re.compile(rf"(?<![\w.]){re.escape(known)}(?!\w)")
+            if name_of.search(text):
+                view = re.sub(r"\W", "_", known) + "_check"
                 frame.createOrReplaceTempView(view)
-                text = re.sub(rf"(?<![\w.]){re.escape(known)}(?!\w)", view, text)
+                text = name_of.sub(view, text)
+        add_functions(spark, text)
         result = spark.sql(text)
         if expect_empty:
             return result.agg(F.count(F.lit(1)).alias("observed"))
-        if expect:
-            wrong = F.lit(0)
-            for c, value in expect.items():
-                wrong = wrong + F.when(F.col(c).eqNullSafe(F.lit(value)), 0).otherwise(1)
-            return result.agg(F.coalesce(F.sum(wrong), F.lit(len(expect))).alias("observed"))
+        if wanted:
+            misses = F.lit(0)
+            for c, value, compare in wanted:
+                held = F.coalesce(compare(F.col(c), F.lit(value)), F.lit(False))
+                misses = misses + F.when(held, 0).otherwise(1)
+            return result.agg(F.coalesce(F.sum(misses), F.lit(len(wanted))).alias("observed"))
         result = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
         first = F.col("c0")
         if isinstance(result.schema[0].dataType, T.BooleanType):
-            wanted = True if expected is None else expected
-            held = F.coalesce(first == F.lit(wanted), F.lit(False))
+            held = F.coalesce(first == F.lit(expected is not False), F.lit(False))
             return result.agg(F.count_if(~held).alias("observed"))
         return result.agg(F.max(first.cast("double")).alias("observed"))
 
     passes = _none
-    if not expect_empty and not expect and expected is None:
-        if at_least is not None:
-            passes = lambda n: n >= at_least
-        elif more_than is not None:
-            passes = lambda n: n > more_than
-        elif threshold is not None:
-            passes = ops[comparison]
+    if threshold is not None:
+        passes = lambda n: _COMPARE[comparison](n, threshold)
     return Check(table, name, severity, passes, branch=branch, needs=tuple(needs), label="observed")
 
 
+def unreadable(table: str, name: str, severity: str = "error") -> Check:
+    """Stands for a declaration that states no rule; always fails, so it shows up in the report."""
+    nothing = lambda tables, df: df.sparkSession.range(1).select(F.lit(None).alias("observed"))
+    return Check(table, name, severity, _none, branch=nothing, label="no rule declared")
+
+
 def suite_from_dict(declared: dict, table: str, source: str | None = None, ds: str | None = None) -> list[Check]:
     """Checks from the ``tests`` list of a declaration file."""
     out: list[Check] = []
-    for i, t in enumerate(declared.get("tests", [])):
+    for i, t in enumerate((declared or {}).get("tests") or []):
         kind, severity = t.get("type", "custom"), t.get("severity", "error")
         name = t.get("name", f"{kind}_{i}")
         columns = t.get("columns") or ([t["column"]] if "column" in t else [])
@@ -376,7 +385,7 @@ def suite_from_dict(declared: dict, table: str, source: str | None = None, ds: s
                 )
             )
         else:
-            raise ValueError(f"check {name!r} of {table} has no rule")
+            out.append(unreadable(table, name, severity))
     return out
 
 

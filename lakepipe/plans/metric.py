@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakepipe.functions.dialect import add_functions
 from lakepipe.operators import checks as q
 from lakepipe.operators.checks import fill_sql
 from lakepipe.operators.contract import validate_frame
@@ -37,7 +38,9 @@ class Metric:
         if self.sql is not None:
             for name, df in tables.items():
                 df.createOrReplaceTempView(name)
-            out = spark.sql(fill_sql(self.sql, {"ds": ds, **context}))
+            text = fill_sql(self.sql, {"ds": ds, **context})
+            add_functions(spark, text)
+            out = spark.sql(text)
         if self.fn is not None:
             out = self.fn(out, ds, **context)
         absent = [c for c in self.required if c not in out.columns]

@@ -20,7 +20,7 @@ SETTINGS = {
 }
 
 
-def local_session(cpus: int = 8, app: str = "lakepipe") -> SparkSession:
+def local_session(cpus: int = 8, app: str = "lakepipe", **settings: str) -> SparkSession:
     """A local session for tests and benchmarks (no web page)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -29,7 +29,7 @@ def local_session(cpus: int = 8, app: str = "lakepipe") -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

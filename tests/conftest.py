@@ -10,13 +10,8 @@ from lakepipe.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    base = tmp_path_factory.mktemp("spark")
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(base / "warehouse")).config(
-        "spark.checkpoint.dir", str(base / "shared")
-    )
-    session = local_session(8, "tests")
+    warehouse = str(tmp_path_factory.mktemp("spark") / "warehouse")
+    session = local_session(8, "tests", **{"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -162,3 +162,20 @@ def test_types():
     assert spark_type("Map(String, Int64)").simpleString() == "map<string,bigint>"
     with pytest.raises(ValueError):
         spark_type("Blob")
+
+
+def test_session_folder(spark):
+    from lakepipe.session import materialize, shared_dir
+
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    assert base is None or shared_dir(spark, "x").startswith(base)
+    assert shared_dir(spark, "x") != shared_dir(spark, "x")
+    stored = materialize(spark.range(3))
+    assert stored.count() == 3 and (base is None or base in stored.inputFiles()[0])
+
+
+def test_loaded_transforms_do_not_replace_builtin_ones(spark):
+    names = registry.load_transforms({"string": {"clean_string": {"sql": "'lost'"}, "plus_one": {"sql": "toInt64({col}) + 1"}}})
+    assert names == ["plus_one"]
+    assert apply(spark, ["1"], lambda c: registry.transform("plus_one", c)) == [2]
+    assert apply(spark, [" a "], lambda c: registry.transform("clean_string", c)) == ["a"]

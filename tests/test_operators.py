@@ -249,16 +249,21 @@ def test_declared_checks(spark):
             {"name": "nulls", "type": "schema", "query": "SELECT countIf(id IS NULL) AS a, countIf(id = 0) AS b FROM {database}.{table}",
              "expect": {"a": 0, "b": 1}},
             {"name": "share", "type": "assertion", "query": "SELECT countIf(id > 1) * 100.0 / count() > 80 FROM {database}.{table}", "expected": False},
-            {"name": "at_least", "query": "SELECT count() FROM {{ target_table }}", "expect_greater_than": 5, "severity": "warning"},
-            {"name": "broken", "type": "mystery"},
+            {"name": "at_least", "query": "SELECT count() FROM {{ target_table }}", "threshold": 5, "comparison": ">", "severity": "warning"},
+            {"name": "more", "query": "SELECT count() AS n, max(id) AS m FROM {{ target_table }}", "expect_greater_than": {"n": 2, "m": 2}},
+            {"name": "least", "query": "SELECT count() AS n FROM {{ target_table }}", "expect_greater_than_or_equal": {"n": 3}},
+            {"name": "days", "query": "SELECT countIf(dateDiff('day', toDateTime64('2024-01-01 23:59:59', 3), toDateTime('2024-01-02')) != 1) FROM {database}.{table}"},
+            {"name": "text", "query": "SELECT countIf(NOT match(string(id), '^[0-9]$')) FROM {database}.{table}", "threshold": 0},
+            {"name": "monday", "query": "SELECT max(toMonday(toDate('2024-01-03'))) = toDate('2024-01-01') FROM {database}.{table}"},
+            {"name": "broken", "type": "mystery", "severity": "info"},
         ]
     }
-    with pytest.raises(ValueError, match="broken"):
-        q.suite_from_dict(declared, "shop.t")
-    declared["tests"].pop()
     df = spark.createDataFrame([(0,), (1,), (2,)], "id int")
     got = {r.check: r.ok for r in q.run_checks({"shop.t": df}, q.suite_from_dict(declared, "shop.t")).collect()}
-    assert got == {"nulls": True, "share": True, "at_least": False}
+    assert got == {
+        "nulls": True, "share": True, "at_least": False, "more": False, "least": True, "days": True, "text": True,
+        "monday": True, "broken": False,
+    }
 
 
 def test_gate(spark):
