@@ -477,6 +477,62 @@ def build_clean_table(spark, sf):
     return clean.build_clean(raw, spec, ds="1998-07-02", as_of="2024-01-01")
 
 
+def _calendar_spec():
+    """A hand-written kind of table: JSON fields, defaults, counts and a duration next to plain columns."""
+    at = lambda c: times.parse_timestamp(jsons.json_string(c, "dateTime"))
+    counted = lambda kind: jsons.json_array_count(
+        "attendees_json", lambda x: F.lower(F.get_json_object(x, "$.type")) == kind
+    )
+    return clean.TableSpec(
+        source="office.event_raw",
+        target="office_clean.event",
+        keys=["event_id", "processing_date"],
+        order=["start_datetime DESC", "version DESC"],
+        filters=["event_id IS NOT NULL", "event_id != ''"],
+        rules={c: clean.ColumnRule() for c in ("start_json", "end_json", "attendees_json")},
+        derived={
+            "start_datetime": lambda: at("start_json"),
+            "duration_minutes": lambda: times.minute_diff(at("start_json"), at("end_json")),
+            "organizer_email": lambda: text.clean_email(jsons.json_string("organizer_json", "emailAddress", "address")),
+            "is_online": lambda: numeric.default_null("online", False),
+            "required_count": lambda: counted("required"),
+            "attendee_count": lambda: jsons.json_array_size("attendees_json"),
+            "subject_length": "length(subject)",
+        },
+        exclude=["start_json", "end_json", "attendees_json", "organizer_json", "online", "version"],
+    )
+
+
+@query(
+    "build_calendar_table",
+    f"""SELECT 'e' || event_id AS event_id, {day('ts')} AS processing_date, event_type AS subject,
+      {ts("ts + INTERVAL '1 day'")} AS start_datetime, event_id % 90 AS duration_minutes, 'u' || user_id || '@a.org' AS organizer_email,
+      event_id % 4 = 1 AS is_online, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS required_count,
+      CASE WHEN event_id % 3 = 0 THEN 0 ELSE 2 END AS attendee_count, length(event_type) AS subject_length,
+      'office.event_raw' AS _source_table, {ts('CAST(ts AS DATE)')} AS _source_timestamp, '2024-06-01 00:00:00' AS _loaded_at
+    FROM events""",
+)
+def build_calendar_table(spark, sf):
+    # two versions of each event, the second a day later
+    e = load(spark, sf, "events").withColumn("version", F.explode(F.array(F.lit(0), F.lit(1))))
+    at, k = F.col("ts").cast("timestamp") + F.make_dt_interval(days=F.col("version")), F.col("event_id")
+    clock = lambda t: F.concat(
+        F.lit('{"dateTime":"'), F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('","timeZone":"UTC"}')
+    )
+    raw = e.select(
+        F.concat(F.lit(" e"), k).alias("event_id"),
+        F.to_date("ts").alias("processing_date"),
+        F.concat("event_type", F.lit(" ")).alias("subject"),
+        clock(at).alias("start_json"),
+        clock(at + F.make_dt_interval(mins=(k % 90).cast("int"))).alias("end_json"),
+        F.concat(F.lit('{"emailAddress":{"address":" U'), "user_id", F.lit('@A.org"}}')).alias("organizer_json"),
+        F.when(k % 3 != 0, '[{"type":"Required"},{"type":"optional"}]').alias("attendees_json"),
+        F.when(k % 4 == 1, True).when(k % 4 == 2, False).alias("online"),
+        "version",
+    )
+    return clean.build_clean(raw, _calendar_spec(), as_of="2024-06-01")
+
+
 @query("required_keys", "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey != 0 AND c_custkey != 0 AND c_custkey % 13 NOT IN (0, 1)")
 def required_keys(spark, sf):
     key = F.col("c_custkey")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog.common import day, load, query, ts
 from lakepipe.operators import checks, metrics
 from lakepipe.plans import timeline as tl
+from lakepipe.session import shared_dir
 
 AS_OF = "2024-06-01"
 
@@ -237,3 +238,17 @@ def merged_timeline(spark, sf):
     old = order_timeline(spark, sf)
     new = old.filter(F.col("source_id").cast("bigint") % 3 == 0).withColumn("_version", F.lit(2))
     return tl.merge_timeline(old, new).groupBy("event_type", "_version").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query(
+    "stored_timeline",
+    f"""WITH {_EVENTS} SELECT org AS org_id, event_type, CAST(CASE WHEN rec_add >= TIMESTAMP '1998-01-01' AND rec_add < TIMESTAMP '1998-04-01'
+        THEN 2 ELSE 1 END AS BIGINT) AS _version, count(*) AS cnt FROM timeline GROUP BY ALL""",
+)
+def stored_timeline(spark, sf):
+    path = shared_dir(spark, "timeline")
+    tl.store_timeline(order_timeline(spark, sf), path)
+    quarter = "processing_date >= date'1998-01-01' AND processing_date < date'1998-04-01'"
+    corrected = order_timeline(spark, sf).filter(quarter).withColumn("_version", F.lit(2))
+    tl.store_timeline(corrected, path, merge=True)
+    return spark.read.parquet(path).groupBy("org_id", "event_type", "_version").agg(F.count(F.lit(1)).alias("cnt"))

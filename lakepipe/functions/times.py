@@ -12,7 +12,9 @@ from lakepipe.functions import as_col, as_text
 from lakepipe.functions.numeric import int_or_zero
 
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}"
-_SLASHED = r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}"
+_SLASHED = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
+_MONTH_FIRST = r"^\d{1,2}[/.-](1[3-9]|[23]\d)[/.-]\d{4}"  # the second number can only be a day
+_DAY_FIRST = r"^(1[3-9]|[23]\d)[/.-]\d{1,2}[/.-]\d{4}"
 _ZONED = r"\d{1,2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
 
 
@@ -25,23 +27,18 @@ def parse_timestamp(c, day_first: bool = True) -> Column:
     ambiguous slashed dates as month first; unambiguous ones are read either way.
     """
     text = F.trim(as_text(c))
-    parts = F.split(F.split_part(text, F.lit(" "), F.lit(1)), "[/.-]")
-    one, two, year = (F.get(parts, F.lit(i)) for i in range(3))
-    swap = (two.try_cast("int") > 12) if day_first else (one.try_cast("int") <= 12)
-    day, month = F.when(swap, two).otherwise(one), F.when(swap, one).otherwise(two)
-    clock = F.substring_index(text, " ", -1)
-    slashed = F.concat_ws(
-        " ",
-        F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")),
-        F.when(text.contains(" "), clock),
-    )
+    as_day_first = F.regexp_replace(text, _SLASHED, "$3-$2-$1").try_cast("timestamp")
+    as_month_first = F.regexp_replace(text, _SLASHED, "$3-$1-$2").try_cast("timestamp")
+    usual, other = (as_day_first, as_month_first) if day_first else (as_month_first, as_day_first)
+    certain = _MONTH_FIRST if day_first else _DAY_FIRST
     return (
         F.when(text.rlike(_ISO), text.try_cast("timestamp"))
         .when(text.rlike(r"^\d{14}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")))
         .when(text.rlike(r"^\d{13}$"), F.timestamp_millis(text.try_cast("bigint")))
         .when(text.rlike(r"^\d{9,10}$"), F.timestamp_seconds(text.try_cast("bigint")))
         .when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-        .when(text.rlike(_SLASHED), slashed.try_cast("timestamp"))
+        .when(text.rlike(certain), other)
+        .when(text.rlike(_SLASHED), usual)
     )
 
 
@@ -107,9 +104,8 @@ def to_utc(c, zone) -> Column:
     unknown or missing zone is read as UTC, since the built-in would raise.
     """
     text, zone = F.trim(as_text(c)), F.trim(as_text(zone))
-    known = F.when(zone.isin(list(_zones())), zone).otherwise("UTC")
-    local = parse_timestamp(text)
-    return F.when(text.rlike(_ZONED), local).otherwise(F.to_utc_timestamp(local, known))
+    from_zone = ~text.rlike(_ZONED) & zone.isin(list(_zones()))
+    return F.to_utc_timestamp(parse_timestamp(text), F.when(from_zone, zone).otherwise("UTC"))
 
 
 def as_of(value=None) -> Column:

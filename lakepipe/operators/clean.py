@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -38,10 +38,12 @@ class ColumnRule:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A clean table: filters, dedupe, column rules, exclusions.
+    """A clean table: filters, dedupe, column rules, derived columns, exclusions.
 
-    ``keys`` and ``order`` may be SQL expressions.  With ``partition`` set and
-    a run date given, only that date (or ``lookback_days`` up to it) is read.
+    ``keys`` and ``order`` may be SQL expressions.  ``derived`` adds columns
+    computed from the cleaned ones: SQL text, or a function returning a Column.
+    With ``partition`` set and a run date given, only that date (or
+    ``lookback_days`` up to it) is read.
     """
 
     source: str
@@ -49,6 +51,7 @@ class TableSpec:
     keys: Sequence[str]
     order: Sequence[str]
     rules: dict[str, ColumnRule] = field(default_factory=dict)
+    derived: dict[str, str | Callable[[], Column]] = field(default_factory=dict)
     exclude: Sequence[str] = ()
     filters: Sequence[str] = ()
     partition: str | None = "processing_date"
@@ -75,6 +78,7 @@ class TableSpec:
                 c: ColumnRule(r.get("transform", "pass"), r.get("target"), dict(r.get("params", {})))
                 for c, r in d.get("transforms", {}).items()
             },
+            derived=dict(d.get("derived", {})),
             exclude=list(d.get("exclude", [])),
             filters=list(d.get("filters", [])),
             partition=inc.get("partition_column", "processing_date"),
@@ -97,20 +101,24 @@ def build_clean(raw: DataFrame, spec: TableSpec, ds: str | None = None, as_of=No
             df = on_date(df, spec.partition, ds)
         else:
             df = lookback(df, spec.partition, ds, spec.lookback_days)
-    df = add_missing(df, [k for k in spec.keys if k.isidentifier()], spec.missing)
+    made = {r.target for r in spec.rules.values()} | set(spec.derived)
+    df = add_missing(df, [k for k in spec.keys if k.isidentifier() and k not in made], spec.missing)
     cleaned = {f.name: _clean_column(f, spec) for f in df.schema.fields}
     named = set(_WORD.findall(" ".join([*spec.filters, *spec.keys, *spec.order])))
-    early = {target: c for target, c in cleaned.values() if target in named}
-    df = df.withColumns(early) if early else df
+    derive_early = bool(named & set(spec.derived))
+    early = {target: c for target, c in cleaned.values() if derive_early or target in named}
+    late = {target: c for target, c in cleaned.values() if target not in early}
+    df = _with(df, early)
+    if derive_early:
+        df = _with(df, _derived(spec))
     for rule in spec.filters:
         df = df.filter(spark_expr(rule))
-    df = keep_latest(df, spec.keys, spec.order)
+    df = _with(keep_latest(df, spec.keys, spec.order), late)
+    if not derive_early:
+        df = _with(df, _derived(spec))
     dropped = set(spec.exclude) | set(GLOBAL_EXCLUDE)
-    out = [
-        F.col(target) if target in early else c.alias(target)
-        for name, (target, c) in cleaned.items()
-        if name not in dropped
-    ]
+    out = [target for name, (target, _) in cleaned.items() if name not in dropped]
+    out += [name for name in spec.derived if name not in out]
     stamp = F.lit(None).cast("timestamp")
     if spec.source_timestamp:
         stamp = parse_timestamp(spec.source_timestamp)
@@ -126,6 +134,14 @@ def build_clean(raw: DataFrame, spec: TableSpec, ds: str | None = None, as_of=No
     )
 
 
+def _with(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    return df.withColumns(cols) if cols else df
+
+
+def _derived(spec: TableSpec) -> dict[str, Column]:
+    return {name: spark_expr(e) if isinstance(e, str) else e() for name, e in spec.derived.items()}
+
+
 def _clean_column(f: T.StructField, spec: TableSpec) -> tuple[str, Column]:
     """(target name, expression) of one raw column."""
     rule = spec.rules.get(f.name)
@@ -154,7 +170,7 @@ def trim_strings(df: DataFrame, blank_as_null: bool = True, drop_empty_rows: boo
     cols = {c: F.trim(F.col(c)) for c in string_columns(df)}
     if blank_as_null:
         cols = {c: F.nullif(e, F.lit("")) for c, e in cols.items()}
-    df = df.withColumns(cols) if cols else df
+    df = _with(df, cols)
     return df.na.drop("all") if drop_empty_rows else df
 
 
@@ -203,5 +219,4 @@ def flag_columns(df: DataFrame) -> list[str]:
 
 def booleanize(df: DataFrame) -> DataFrame:
     """Flag-named columns to booleans; unknown words become NULL."""
-    cols = {c: parse_bool(c) for c in flag_columns(df)}
-    return df.withColumns(cols) if cols else df
+    return _with(df, {c: parse_bool(c) for c in flag_columns(df)})

@@ -23,6 +23,7 @@ from lakepipe.functions.times import as_of as run_time
 from lakepipe.operators import checks as q
 from lakepipe.operators.dedupe import replacing_merge
 from lakepipe.operators.filters import for_tenant
+from lakepipe.sources.writers import merge_partitions, write_partitions
 
 SCHEMA = T.StructType(
     [
@@ -216,6 +217,19 @@ def merge_timeline(old: DataFrame, new: DataFrame) -> DataFrame:
     return replacing_merge(old, new, KEYS, "_version")
 
 
+def store_timeline(events: DataFrame, path: str, merge: bool = False) -> None:
+    """Write events in folders by tenant and month, or merge them into the stored ones.
+
+    Rows are sorted by entity inside files, so readers skip most of them.
+    """
+    month = F.coalesce(F.date_format("processing_date", "yyyyMM"), F.lit("none"))
+    events, by = events.withColumn("month", month), ["org_id", "month"]
+    if merge:
+        merge_partitions(events, path, [*KEYS, "month"], "_version", by, KEYS[1:3])
+    else:
+        write_partitions(events, path, by, mode="overwrite", sort=KEYS[1:3])
+
+
 def timeline_checks(name: str, entries: Sequence[SourceEntry] = (), as_of: str | None = None, max_lag_days: int = 1):
     """Rows present, required fields set, enough events per source, newest event recent."""
     suite = [q.row_count(name, 1, "warning")]

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakepipe.operators.dedupe import keep_latest
+from lakepipe.operators.dedupe import keep_latest, replacing_merge
 from lakepipe.operators.profile import observed
 
 
@@ -52,6 +52,21 @@ def write_partitions(
     (writer.partitionBy(*by) if by else writer).save(path)
 
 
+def merge_partitions(
+    new: DataFrame, path: str, keys: Sequence[str], version: str, by: Sequence[str], sort: Sequence[str] = ()
+) -> None:
+    """Merge ``new`` into stored partitions: the highest version per key wins.
+
+    Only partitions that receive rows are read and rewritten.  A key must not
+    move between partitions.
+    """
+    stored = new.sparkSession.read.parquet(path)
+    touched = new.select(*by).distinct()
+    # joining on the partition columns lets Spark skip all other folders at run time
+    old = stored.join(touched, list(by), "left_semi").select(*stored.columns)
+    write_partitions(replacing_merge(old, new, keys, version), path, by, sort=sort)
+
+
 def extract_table(source: DataFrame, out: str, partition_col: str | None = None, fmt: str = "orc") -> None:
     """Full copy of a source table, in folders by the date of a column when given."""
     if partition_col is None:

@@ -230,3 +230,16 @@ def test_short_cleaning(spark):
     df = spark.createDataFrame([("1", "2024-01-01T00:00:00+01:00"), ("1", "2024-01-01T00:00:00+01:00"), (None, "x")], "id string, at string")
     got = related.drop_duplicates_to_utc(df, ["id"], ["at"])
     assert rows(got.withColumn("at", F.col("at").cast("string")), "*") == [("1", "2023-12-31 23:00:00")]
+
+
+def test_merge_partitions_rewrites_only_touched_ones(spark):
+    path = shared_dir(spark, "merge")
+    old = spark.createDataFrame([(1, "a", 1, "p1"), (2, "b", 1, "p1"), (3, "c", 1, "p2")], "k int, v string, ver int, p string")
+    writers.write_partitions(old, path, ["p"], mode="overwrite")
+    kept = [f for f in spark.read.parquet(path).inputFiles() if "p=p2" in f]
+    new = spark.createDataFrame([(1, "A", 2, "p1"), (2, "B", 0, "p1"), (4, "D", 1, "p1")], "k int, v string, ver int, p string")
+    for _ in range(2):
+        writers.merge_partitions(new, path, ["k", "p"], "ver", ["p"])
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
+    assert [f for f in spark.read.parquet(path).inputFiles() if "p=p2" in f] == kept

@@ -297,3 +297,14 @@ def test_profile(spark):
     assert got == [("i", 1, 0, 2), ("s", 2, 1, 1)]
     counts = profile.row_counts({"big": spark.range(100000).toDF("id")}, exact_below_bytes=0, fraction=0.1).first()
     assert counts.row_count_method == "approx" and abs(counts.row_count - 100000) < 5000
+
+
+def test_derived_columns_see_cleaned_values(spark):
+    raw = spark.createDataFrame([("1", " Ann ", None), ("2", None, " Lee"), ("3", "", "")], "id string, first string, last string")
+    s = spec(
+        dedupe={"partition_by": ["id"], "order_by": ["id"]}, transforms={},
+        derived={"full": "CASE WHEN first != '' AND last != '' THEN concat(first, ' ', last) WHEN first != '' THEN first WHEN last != '' THEN last ELSE 'Unknown' END"},
+    )
+    assert rows(clean.build_clean(raw, s), "id", "full") == [("1", "Ann"), ("2", "Lee"), ("3", "Unknown")]
+    by_derived = spec(dedupe={"partition_by": ["n"], "order_by": ["id DESC"]}, transforms={}, derived={"n": "length(first)"})
+    assert rows(clean.build_clean(raw, by_derived), "id") == [("1",), ("3",)]
