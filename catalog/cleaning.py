@@ -118,6 +118,7 @@ _FLAGS = ["true", "Yes", "1", "no", "False", "maybe", None]
       CASE WHEN c_nationkey % 3 = 1 THEN 'active' WHEN c_nationkey % 3 = 0 THEN 'inactive' ELSE 'unknown' END AS label,
       CASE WHEN lower(f) IN ('true','yes','1') THEN true ELSE false END AS filled
     FROM w""",
+    integers=("as_flag", "as_bit"),
 )
 def normalize_flags(spark, sf):
     df = load(spark, sf, "customer").withColumn("is_member", _words("c_custkey", _FLAGS))
@@ -268,6 +269,7 @@ def utc_normalize(spark, sf):
       CASE WHEN event_id % 10 = 0 THEN 0 ELSE 2 END AS elements,
       CASE WHEN event_id % 10 = 0 THEN 0 WHEN event_type = 'click' THEN 2 ELSE 1 END AS required
     FROM events""",
+    integers=("valid", "elements", "required"),
 )
 def json_extract(spark, sf):
     bad = F.col("event_id") % 10 == 0
@@ -511,6 +513,7 @@ def _calendar_spec():
       CASE WHEN event_id % 3 = 0 THEN 0 ELSE 2 END AS attendee_count, length(event_type) AS subject_length,
       'office.event_raw' AS _source_table, {ts('CAST(ts AS DATE)')} AS _source_timestamp, '2024-06-01 00:00:00' AS _loaded_at
     FROM events""",
+    integers=("required_count", "attendee_count"),
 )
 def build_calendar_table(spark, sf):
     # two versions of each event, the second a day later
@@ -533,7 +536,7 @@ def build_calendar_table(spark, sf):
     return clean.build_clean(raw, _calendar_spec(), as_of="2024-06-01")
 
 
-@query("required_keys", "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey != 0 AND c_custkey != 0 AND c_custkey % 13 NOT IN (0, 1)")
+@query("required_keys", "SELECT c_custkey, c_nationkey FROM customer WHERE c_nationkey != 0 AND c_custkey != 0 AND c_custkey % 13 NOT IN (0, 1)", integers=("c_nationkey",))
 def required_keys(spark, sf):
     key = F.col("c_custkey")
     df = load(spark, sf, "customer").withColumn(

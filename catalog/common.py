@@ -13,8 +13,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query; its columns are converted by ``portable``."""
+def query(name: str, sql: str | None = None, integers: tuple[str, ...] = ()):
+    """Register a query; its columns are converted by ``portable``.
+
+    ``integers`` names SQL result columns that come out narrower than bigint.
+    """
+    if integers:
+        wide = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in integers)
+        sql = f"SELECT * REPLACE ({wide}) FROM ({sql})"
 
     def wrap(fn):
         @functools.wraps(fn)

@@ -50,6 +50,7 @@ def keep_latest_cross_partition(spark, sf):
 @query(
     "distinct_rows",
     """SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem""",
+    integers=("l_linenumber",),
 )
 def distinct_rows(spark, sf):
     return dedupe.distinct_rows(load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
@@ -64,6 +65,7 @@ def distinct_rows(spark, sf):
       UNION ALL SELECT o_orderkey + 1000000000, 'N', o_totalprice, 1, 1 FROM orders WHERE o_orderkey % 100 = 0)
     SELECT o_orderkey, o_orderstatus, o_totalprice, version FROM u
     QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC, newer DESC) = 1""",
+    integers=("version",),
 )
 def replacing_merge(spark, sf):
     old = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(1).alias("version"))
@@ -157,6 +159,7 @@ def key_coverage(spark, sf):
     "keep_children",
     """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
     WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+    integers=("l_linenumber",),
 )
 def keep_children(spark, sf):
     final = load(spark, sf, "orders").filter("o_orderstatus = 'F'")
@@ -168,6 +171,7 @@ def keep_children(spark, sf):
     "fk_null",
     """SELECT l_orderkey, l_linenumber, coalesce(CAST(p_partkey AS VARCHAR), 'none') AS l_partkey
     FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) p ON l_partkey = p_partkey""",
+    integers=("l_linenumber",),
 )
 def fk_null(spark, sf):
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")

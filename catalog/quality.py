@@ -302,6 +302,7 @@ def _profile(spark, sf):
         for t, cols in _COLUMNS.items()
         for i, (c, kind) in enumerate(cols)
     ),
+    integers=("ordinal",),
 )
 def profile_tables(spark, sf):
     return _profile(spark, sf).drop("nullable")
@@ -310,6 +311,7 @@ def profile_tables(spark, sf):
 @query(
     "widest_tables",
     """SELECT * FROM (VALUES ('orders', 6), ('part', 6), ('customer', 5)) t(table_name, col_count)""",
+    integers=("col_count",),
 )
 def widest_tables(spark, sf):
     return pf.widest(_profile(spark, sf), 3, exclude=["^region$"])
@@ -328,6 +330,7 @@ def row_counts(spark, sf):
     "SELECT '2024-06-01' AS date, 6 AS tables, 26 AS columns, "
     + " + ".join(f"(SELECT count(*) FROM {t})" for t in _TABLES)
     + " AS rows",
+    integers=("tables", "columns"),
 )
 def inventory_summary(spark, sf):
     tables = {t: load(spark, sf, t) for t in _TABLES}
@@ -339,6 +342,7 @@ def inventory_summary(spark, sf):
     """SELECT * FROM (VALUES ('orders', 'o_custkey', 2, 0, 'removed'), ('orders', 'o_buyer', 0, 2, 'added'),
       ('orders', 'o_orderstatus', 3, 4, 'moved'), ('orders', 'o_totalprice', 4, 3, 'moved'))
       t(table_name, column_name, recorded_at, live_at, change)""",
+    integers=("recorded_at", "live_at"),
 )
 def catalog_drift(spark, sf):
     orders = load(spark, sf, "orders")
@@ -471,6 +475,7 @@ def related_validation(spark, sf):
     "load_summary",
     """SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) FILTER (o_orderstatus = 'F') AS final_rows,
       count(*) FILTER (o_orderstatus != 'F') AS dropped_rows, 0 AS failed_checks, count(*) FILTER (o_orderstatus = 'F') AS audited_rows FROM orders""",
+    integers=("failed_checks",),
 )
 def load_summary(spark, sf):
     source, before = pf.observed(load(spark, sf, "orders"), "source")

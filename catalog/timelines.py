@@ -93,6 +93,7 @@ def order_timeline(spark, sf):
       'shop_silver.orders' AS source_table, CAST(o_orderkey AS VARCHAR) AS source_id, {ts('rec_add')} AS rec_add,
       coalesce(metadata, '') AS metadata, {day('rec_add')} AS processing_date, '2024-06-01 00:00:00' AS _loaded_at, 1 AS _version
     FROM timeline""",
+    integers=("_version",),
 )
 def timeline_orders(spark, sf):
     out = order_timeline(spark, sf).drop("minio_path", "rec_edit")
@@ -214,6 +215,7 @@ def timeline_by_source(spark, sf):
       CAST(to_json(list(event_type ORDER BY t, event_type)) AS VARCHAR) AS events,
       CAST(to_json(list(src ORDER BY t, event_type)) AS VARCHAR) AS sources, {ts('min(t)')} AS first_at
     FROM timeline GROUP BY 1, 2""",
+    integers=("piece",),
 )
 def entity_lifecycle(spark, sf):
     out = metrics.entity_lifecycle(order_timeline(spark, sf), "year")

@@ -23,7 +23,12 @@ LARGE_BYTES = 8 * 2**30
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, which is also what its broadcast choice uses."""
+    """The optimizer's size estimate, which is also what its broadcast choice uses.
+
+    0 where it cannot be asked (remote sessions): joins are then left to Spark.
+    """
+    if not hasattr(df, "_jdf"):
+        return 0
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
@@ -35,7 +40,11 @@ def _broadcast_limit(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows: at most rows / hot_rows of them."""
+    """Keys with at least ``hot_rows`` rows: at most rows / hot_rows of them.
+
+    Counted exactly, since both sides of a salted join must agree on the keys
+    even when a task is run again.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter(F.col("_n") >= hot_rows).select(*keys)
 
