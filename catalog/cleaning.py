@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.common import day, load, query, ts
-from lakepipe.functions import jsons, numeric, registry, text, times
+from lakepipe.functions import case, jsons, numeric, registry, text, times
 from lakepipe.operators import clean, filters
 from lakepipe.operators.dedupe import keep_latest
 
@@ -12,10 +12,7 @@ _STATES = ["Active", "Inactive", "CLOSED account", " waiting ", "Removed", "", "
 
 
 def _words(key: str, words):
-    out = F
-    for i, w in enumerate(words[:-1]):
-        out = out.when(F.col(key) % len(words) == i, F.lit(w))
-    return out.otherwise(F.lit(words[-1])).cast("string")
+    return case([(F.col(key) % len(words) == i, F.lit(w)) for i, w in enumerate(words)], None).cast("string")
 
 
 def _words_sql(key: str, words) -> str:

@@ -110,7 +110,7 @@ def users(spark, sf):
     active = F.when(F.col("c_custkey") % 10 < 7, 1).when(F.col("c_custkey") % 10 < 9, 0)
     return df.select(
         F.col("c_custkey").alias("user_id"),
-        F.col("c_mktsegment").alias("glynac_organization_id"),
+        F.col("c_mktsegment").alias("organization_id"),
         "processing_date",
         "created_date",
         active.alias("is_active"),
@@ -224,7 +224,7 @@ def summing_merge(spark, sf):
 def purchases(spark, sf):
     return load(spark, sf, "orders").select(
         F.col("o_custkey").alias("customer_id"),
-        F.lit("main").alias("glynac_organization_id"),
+        F.lit("main").alias("organization_id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_totalprice").alias("order_value"),
         F.to_date("o_orderdate").alias("first_purchase_date"),
@@ -319,7 +319,7 @@ def table_quantiles(spark, sf):
 )
 def revenue_growth(spark, sf):
     c = load(spark, sf, "customer").select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("glynac_organization_id")
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("organization_id")
     )
     o = load(spark, sf, "orders").select(
         F.col("o_custkey").alias("customer_id"),

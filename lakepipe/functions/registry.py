@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakepipe.functions import as_col, jsons, numeric, text, times
+from lakepipe.functions import as_col, case, jsons, numeric, text, times
 from lakepipe.functions.dialect import spark_expr
 
 Transform = Callable[..., Column]
@@ -69,12 +69,11 @@ def _from_sql(sql: str) -> Transform:
 
 def _from_cases(mappings: list[dict], default: str, number: bool) -> Transform:
     def build(c, **params):
-        out = F
+        arms = []
         for m in mappings:
-            sql = m["match"].format(col=c, **params)
             value = spark_expr(m["value"].format(col=c)) if m.get("is_expression") else F.lit(m["value"])
-            out = out.when(spark_expr(sql), value)
-        out = out.otherwise(F.lit(default))
+            arms.append((spark_expr(m["match"].format(col=c, **params)), value))
+        out = case(arms, F.lit(default))
         return out.cast("int") if number else out
 
     return build

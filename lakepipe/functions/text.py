@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakepipe.functions import as_col, as_text
+from lakepipe.functions import as_col, as_text, case
 
 # The general status words, in matching order.
 STATUS_RULES = [
@@ -69,20 +71,17 @@ def normalize(
     ``keep_other=False``); NULL and '' become ``default``.
     """
     c = as_text(c)
-    out = None
+    arms = []
     for words, value in rules:
         words = [words] if isinstance(words, str) else list(words)
         if whole_word:
-            cond = c.rlike(r"(?i)\b(" + "|".join(re.escape(w) for w in words) + r")\b")
+            found = c.rlike(r"(?i)\b(" + "|".join(re.escape(w) for w in words) + r")\b")
         else:
-            cond = c.ilike(f"%{words[0]}%")
-            for word in words[1:]:
-                cond = cond | c.ilike(f"%{word}%")
-        out = F.when(cond, F.lit(value)) if out is None else out.when(cond, F.lit(value))
+            found = functools.reduce(operator.or_, [c.ilike(f"%{w}%") for w in words])
+        arms.append((found, F.lit(value)))
     if keep_other:
-        other = F.lower(F.trim(c))
-        out = F.when(c != "", other) if out is None else out.when(c != "", other)
-    return F.lit(default) if out is None else out.otherwise(F.lit(default))
+        arms.append((c != "", F.lower(F.trim(c))))
+    return case(arms, F.lit(default))
 
 
 def normalize_status(c) -> Column:
@@ -92,10 +91,7 @@ def normalize_status(c) -> Column:
 def flag_label(c, labels: dict, default: str = "unknown") -> Column:
     """Map flag values to labels, e.g. ``{1: "active", 0: "inactive"}``."""
     c = as_col(c)
-    out = None
-    for value, label in labels.items():
-        out = F.when(c == F.lit(value), label) if out is None else out.when(c == F.lit(value), label)
-    return out.otherwise(F.lit(default))
+    return case([(c == F.lit(value), F.lit(label)) for value, label in labels.items()], F.lit(default))
 
 
 def full_name(first, last, default: str = "Unknown") -> Column:

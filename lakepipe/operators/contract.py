@@ -31,12 +31,13 @@ class Contract:
     """Expected columns of a table.
 
     ``columns_rule``: "set" (no missing, no extra), "order" (also in order) or
-    "subset" (extra columns only warn).
+    "subset" (extra columns only warn).  ``severity`` is that of the data rules.
     """
 
     table: str
     columns: Sequence[ColumnContract]
     columns_rule: str = "set"
+    severity: str = "error"
     ignore_case: bool = False
 
     @staticmethod
@@ -71,30 +72,30 @@ def column_problems(df: DataFrame, contract: Contract) -> list[tuple[str, str, s
 
 def contract_checks(df: DataFrame, contract: Contract) -> list[q.Check]:
     """The contract's data rules as row-local checks (one pass) plus a key check."""
-    t, out = contract.table, []
+    t, level, out = contract.table, contract.severity, []
     for c in contract.columns:
         if c.name not in df.columns:
             continue
         actual = df.schema[c.name].dataType
         col = F.col(c.name)
         if not c.nullable or c.primary_key:
-            out.append(q.not_null(t, c.name))
+            out.append(q.not_null(t, c.name, level))
         typed = coerced(c.name, c.type)
         if actual != spark_type(c.type) and not isinstance(spark_type(c.type), T.StringType):
             bad = col.isNotNull() & (F.trim(col.cast("string")) != "") & typed.isNull()
-            out.append(q.bad_rows(t, f"type:{c.name}", lambda df, bad=bad: bad))
+            out.append(q.bad_rows(t, f"type:{c.name}", lambda df, bad=bad: bad, level))
         if c.min_value is not None:
-            out.append(q.bad_rows(t, f"min:{c.name}", lambda df, x=typed, v=c.min_value: x < v))
+            out.append(q.bad_rows(t, f"min:{c.name}", lambda df, x=typed, v=c.min_value: x < v, level))
         if c.max_value is not None:
-            out.append(q.bad_rows(t, f"max:{c.name}", lambda df, x=typed, v=c.max_value: x > v))
+            out.append(q.bad_rows(t, f"max:{c.name}", lambda df, x=typed, v=c.max_value: x > v, level))
         if c.pattern is not None:
-            out.append(q.bad_rows(t, f"pattern:{c.name}", lambda df, x=col, p=c.pattern: ~x.cast("string").rlike(p)))
+            out.append(q.bad_rows(t, f"pattern:{c.name}", lambda df, x=col, p=c.pattern: ~x.cast("string").rlike(p), level))
         if c.max_length is not None:
             too_long = lambda df, x=col, n=c.max_length: F.length(x.cast("string")) > n
-            out.append(q.bad_rows(t, f"max_length:{c.name}", too_long))
+            out.append(q.bad_rows(t, f"max_length:{c.name}", too_long, level))
     keys = [c.name for c in contract.columns if c.primary_key and c.name in df.columns]
     if keys:
-        out.append(q.unique(t, keys, ignore_null=True))
+        out.append(q.unique(t, keys, level, ignore_null=True))
     return out
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakepipe.functions import as_col
+from lakepipe.functions import as_col, case
 from lakepipe.functions.text import if_null
 from lakepipe.functions.times import day_diff, second_diff
 from lakepipe.operators.joins import HOT_ROWS, LARGE_BYTES, plan_bytes
@@ -70,14 +70,14 @@ def _age_stats(df: DataFrame, keys: Sequence[str], age: str, probs: dict[str, fl
 _USER_KEYS = ("metric_date", "organization_id")
 
 
-def _user_rows(df: DataFrame, ds: str | None) -> DataFrame:
-    df = df.withColumnsRenamed({"processing_date": "metric_date", "glynac_organization_id": "organization_id"})
+def _user_rows(df: DataFrame, ds: str | None, tenant: str) -> DataFrame:
+    df = df.withColumnsRenamed({"processing_date": "metric_date", tenant: "organization_id"})
     return df if ds is None else df.filter(F.col("metric_date") == F.lit(ds).cast("date"))
 
 
-def user_daily(df: DataFrame, ds: str | None = None) -> DataFrame:
+def user_daily(df: DataFrame, ds: str | None = None, tenant: str = "organization_id") -> DataFrame:
     """Distinct users per day and tenant: totals, states, age statistics, cohorts, top domains."""
-    rows, age = _user_rows(df, ds), F.col("user_age_days")
+    rows, age = _user_rows(df, ds, tenant), F.col("user_age_days")
     flags = {
         "active_users": F.col("is_active") == 1,
         "inactive_users": F.col("is_active") == 0,
@@ -99,9 +99,9 @@ def user_daily(df: DataFrame, ds: str | None = None) -> DataFrame:
     return counts.join(ages, list(_USER_KEYS), "left").join(domains, list(_USER_KEYS), "left")
 
 
-def user_daily_counts(df: DataFrame, ds: str | None = None) -> DataFrame:
+def user_daily_counts(df: DataFrame, ds: str | None = None, tenant: str = "organization_id") -> DataFrame:
     """Users per day and tenant with row counts for active / inactive, median and p95 age, newest first."""
-    rows = _user_rows(df, ds).filter(F.col("user_id").isNotNull())
+    rows = _user_rows(df, ds, tenant).filter(F.col("user_id").isNotNull())
     counts = rows.groupBy(*_USER_KEYS).agg(
         F.count_distinct("user_id").alias("total_users"),
         F.count_if(F.col("is_active") == 1).alias("active_users"),
@@ -183,14 +183,16 @@ def attribution_by_source(df: DataFrame, start: str, end: str | None = None) ->
     )
 
 
-def customer_summary(df: DataFrame, ds: str, min_orders: int = 1) -> DataFrame:
+def customer_summary(
+    df: DataFrame, ds: str, min_orders: int = 1, tenant: str = "organization_id"
+) -> DataFrame:
     """First and last purchase, orders, revenue, recency and lifespan per customer up to ``ds``."""
     last, first = F.max("last_purchase_date"), F.min("first_purchase_date")
     orders, revenue = F.count_distinct("order_id"), exact_sum("order_value")
     day = F.lit(ds).cast("date")
     return (
         df.filter(F.col("processing_date") <= day)
-        .groupBy("customer_id", F.col("glynac_organization_id").alias("organization_id"))
+        .groupBy("customer_id", F.col(tenant).alias("organization_id"))
         .agg(
             first.alias("first_purchase_date"),
             last.alias("last_purchase_date"),
@@ -255,20 +257,18 @@ def rfm(summary: DataFrame, margin: float = 0.2, years: int = 3) -> DataFrame:
         }
     )
     out = out.withColumn("rfm_score", F.expr("recency_score + frequency_score + monetary_score"))
-    label = F
-    for low, name in SEGMENTS:
-        label = label.when(F.col("rfm_score") >= low, name)
-    return out.withColumn("customer_segment", label.otherwise(LAST_SEGMENT))
+    label = case([(F.col("rfm_score") >= low, F.lit(name)) for low, name in SEGMENTS], F.lit(LAST_SEGMENT))
+    return out.withColumn("customer_segment", label)
 
 
-def revenue_metrics(df: DataFrame, ds: str | None = None) -> DataFrame:
+def revenue_metrics(df: DataFrame, ds: str | None = None, tenant: str = "organization_id") -> DataFrame:
     """Revenue per tenant and day with spread, customers and growth over the previous day present.
 
     The previous day comes from the full history (one row per tenant and day by
     then), and only afterwards the result is narrowed to ``ds``.
     """
     daily = df.groupBy(
-        F.col("glynac_organization_id").alias("organization_id"), F.col("processing_date").alias("metric_date")
+        F.col(tenant).alias("organization_id"), F.col("processing_date").alias("metric_date")
     ).agg(
         exact_sum("revenue").alias("_sum"),
         F.stddev_samp("revenue").alias("std_revenue"),

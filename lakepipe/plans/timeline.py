@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakepipe.functions import case
 from lakepipe.functions.dialect import spark_expr
 from lakepipe.functions.jsons import map_json
 from lakepipe.functions.templates import render, stable_id
@@ -72,7 +73,7 @@ class TimelineSpec:
     key: str
     events: Sequence[EventSpec]
     system: str = ""
-    tenant: str = "glynac_organization_id"
+    tenant: str = "organization_id"
     processing_date: str = "processing_date"
 
     @staticmethod
@@ -87,7 +88,7 @@ class TimelineSpec:
             key=src["primary_key"],
             events=[EventSpec(**{k: v for k, v in e.items() if k in fields}) for e in line["events"]],
             system=system or database.removesuffix("_silver"),
-            tenant=src.get("org_filter_column", "glynac_organization_id"),
+            tenant=src.get("org_filter_column", "organization_id"),
         )
 
 
@@ -139,10 +140,7 @@ def build_timeline(df: DataFrame, spec: TimelineSpec, tenant: str | Sequence[str
 
     def of_event(value) -> Column:
         """The field of the row's event, by its number in the declaration."""
-        out = F
-        for i, e in enumerate(spec.events):
-            out = out.when(F.col("_event") == i, value(e))
-        return out.otherwise(None)
+        return case([(F.col("_event") == i, value(e)) for i, e in enumerate(spec.events)], None)
 
     def metadata(e: EventSpec) -> Column:
         meta = {k: spark_expr(v) for k, v in e.metadata.items()}

@@ -129,7 +129,7 @@ def test_first_touch_counts_ties_per_source(spark):
 def test_revenue_growth_uses_history(spark):
     df = spark.sql(
         """SELECT * FROM VALUES ('t', date'2024-01-01', 100.0D, 1), ('t', date'2024-01-02', 50.0D, 1), ('t', date'2024-01-02', 100.0D, 2)
-        AS v(glynac_organization_id, processing_date, revenue, customer_id)"""
+        AS v(organization_id, processing_date, revenue, customer_id)"""
     )
     r = metrics.revenue_metrics(df, "2024-01-02").first()
     assert (r.total_revenue, r.prev_day_revenue, r.revenue_growth_rate, r.revenue_per_customer) == (150.0, 100.0, 50.0, 75.0)
