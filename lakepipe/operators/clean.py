@@ -23,6 +23,7 @@ from lakepipe.types import spark_type
 # Columns no clean table keeps.
 GLOBAL_EXCLUDE = ("_raw_json", "_temp_data", "_internal_id")
 
+# Name parts that mark a flag column.
 _FLAG_NAME = re.compile(r"(?:^|_)(is|has|flag|active|enabled|deleted)(?:_|$)", re.I)
 _WORD = re.compile(r"[A-Za-z_]\w*")
 

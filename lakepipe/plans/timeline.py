@@ -26,6 +26,7 @@ from lakepipe.operators.dedupe import replacing_merge
 from lakepipe.operators.filters import for_tenant
 from lakepipe.sources.writers import merge_partitions, write_partitions
 
+# Columns of the timeline.
 SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -49,6 +50,17 @@ SCHEMA = T.StructType(
     ]
 )
 
+# Event type, timestamp source (None: the time column's name) and
+# description of the events inferred from positions.
+POSITION_EVENTS = [
+    ("holding_established", "derived_from_transactions", "Position established in account"),
+    ("transaction_buy", "derived", "Purchase units in account"),
+    ("transaction_sell", "derived", "Sold units from account"),
+    ("transaction_deposit", None, "Cash deposit - ${{{value}}}"),
+    ("transaction_withdrawal", None, "Cash withdrawal - ${{abs({value})}}"),
+    ("holding_closed", None, "Position closed in account"),
+]
+
 # sort key of the table; the highest version per key wins
 KEYS = ("org_id", "entity_type", "entity_id", "timestamp", "event_type")
 REQUIRED = ("event_id", "org_id", "event_type", "timestamp")
@@ -111,21 +123,18 @@ def position_events(
 ) -> list[EventSpec]:
     """Events inferred from position snapshots by the sign of units, value and the cash flag."""
     held, known = f"{units} IS NOT NULL", f"{value} IS NOT NULL"
-    meta = dict(metadata or {})
-    rules = [
-        ("holding_established", "derived_from_transactions", f"{held} AND {units} != 0", "Position established in account"),
-        ("transaction_buy", "derived", f"{held} AND {units} > 0 AND {cash} != true", "Purchase units in account"),
-        ("transaction_sell", "derived", f"{held} AND {units} < 0", "Sold units from account"),
-        ("transaction_deposit", ts, f"{cash} = true AND {known} AND {value} > 0", "Cash deposit - ${" + value + "}"),
-        (
-            "transaction_withdrawal",
-            ts,
-            f"{cash} = true AND {known} AND {value} < 0",
-            "Cash withdrawal - ${abs(" + value + ")}",
-        ),
-        ("holding_closed", ts, f"{held} AND {units} = 0", "Position closed in account"),
+    conditions = {
+        "holding_established": f"{held} AND {units} != 0",
+        "transaction_buy": f"{held} AND {units} > 0 AND {cash} != true",
+        "transaction_sell": f"{held} AND {units} < 0",
+        "transaction_deposit": f"{cash} = true AND {known} AND {value} > 0",
+        "transaction_withdrawal": f"{cash} = true AND {known} AND {value} < 0",
+        "holding_closed": f"{held} AND {units} = 0",
+    }
+    return [
+        EventSpec(kind, ts, conditions[kind], text.format(value=value), source or ts, dict(metadata or {}))
+        for kind, source, text in POSITION_EVENTS
     ]
-    return [EventSpec(t, ts, cond, text, source, meta) for t, source, cond, text in rules]
 
 
 def build_timeline(df: DataFrame, spec: TimelineSpec, tenant: str | Sequence[str] | None = None, as_of=None) -> DataFrame:
