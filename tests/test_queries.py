@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.common import QUERIES
 from lakepipe.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     df = entry.queries()[name](spark, SF)
     got = [tuple(r[c] for c in sorted(df.columns)) for r in df.collect()]
@@ -46,7 +47,7 @@ def plan(df) -> str:
 
 def test_no_python_in_any_plan(spark):
     skip = ("stream", "load_summary")  # these run jobs when built
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if not name.startswith(skip):
             text = plan(fn(spark, SF))
             assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
