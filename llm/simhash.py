@@ -15,40 +15,36 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.frames import fresh, map_texts, saved
 from llm.graph import components
-from llm.words import lower_white_table, raw
+from llm.words import joined, lower_white_table, split, xxh64
 
 SEGMENTS, WIDTH = 4, 16
+PART = 1 << 16  # shingles hashed at once, whatever the text's length
 
 
 def _fingerprints(texts: pa.Array, size: int) -> np.ndarray:
-    data, offsets = raw(texts)
-    mapped = lower_white_table()[data]
+    piece = split(texts, lower_white_table())
+    body, start, end = joined(piece)
+    counts = np.diff(piece.first)
+    shingles = np.where(counts > 0, np.maximum(counts - size + 1, 1), 0)
+    bounds = np.concatenate([[0], np.cumsum(shingles)])
+    nth = np.arange(bounds[-1]) - np.repeat(bounds[:-1], shingles)
+    head = np.repeat(piece.first[:-1], shingles) + nth
+    tail = np.minimum(head + size, np.repeat(piece.first[1:], shingles)) - 1
     out = np.zeros(len(texts), dtype=np.uint64)
-    digest = xxhash.xxh64_intdigest
-    for i in range(len(texts)):
-        words = mapped[offsets[i] : offsets[i + 1]].tobytes().split()
-        if not words:
-            continue
-        body = b" ".join(words)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        starts = ends - lengths
-        k = min(size, len(words))
-        spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
+    h = np.concatenate([xxh64(body, start[head[a : a + PART]], end[tail[a : a + PART]]) for a in range(0, len(head), PART)] or [out[:0]])
+    for i in np.flatnonzero(counts):
+        own = h[bounds[i] : bounds[i + 1]]
         votes = np.zeros(64, dtype=np.int64)
-        n = len(words) - k + 1
-        h = np.fromiter((digest(body[a:b], 42) for a, b in spans), np.uint64, n)
-        for at in range(0, n, 1 << 16):  # bounded, whatever the text's length
-            bits = np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        for a in range(0, len(own), PART):
+            bits = np.unpackbits(own[a : a + PART].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             votes += bits.sum(0, dtype=np.int64)
-        out[i] = np.packbits(votes * 2 > n, bitorder="little").view(np.uint64)[0]
+        out[i] = np.packbits(votes * 2 > len(own), bitorder="little").view(np.uint64)[0]
     return out
 
 

@@ -140,3 +140,73 @@ def gram_hashes(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, n
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(x)
+    for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+)  # fixed values of the public XXH64 function
+
+
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def xxh64(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 42) -> np.ndarray:
+    """XXH64 of each byte range of data, all ranges at once."""
+    with np.errstate(over="ignore"):
+        eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+
+        def lane(at: np.ndarray) -> np.ndarray:
+            return eights[at].view(np.uint64).ravel()
+
+        def step(acc: np.ndarray, value: np.ndarray) -> np.ndarray:
+            return _turn(acc + value * _P2, 31) * _P1
+
+        n = end - start
+        at = start.copy()
+        seed64 = np.uint64(seed)
+        h = np.full(len(n), seed64 + _P5, dtype=np.uint64)
+        long = np.flatnonzero(n >= 32)
+        if len(long):
+            acc = [np.full(len(long), v, np.uint64) for v in (seed64 + _P1 + _P2, seed64 + _P2, seed64, seed64 - _P1)]
+            todo = np.arange(len(long))
+            while len(todo):
+                place = at[long[todo]]
+                for j in range(4):
+                    acc[j][todo] = step(acc[j][todo], lane(place + 8 * j))
+                at[long[todo]] = place + 32
+                todo = todo[end[long[todo]] - place - 32 >= 32]
+            total = _turn(acc[0], 1) + _turn(acc[1], 7) + _turn(acc[2], 12) + _turn(acc[3], 18)
+            for v in acc:
+                total = (total ^ step(np.zeros_like(v), v)) * _P1 + _P4
+            h[long] = total
+        h += n.astype(np.uint64)
+        todo = np.flatnonzero(end - at >= 8)
+        while len(todo):
+            h[todo] = _turn(h[todo] ^ step(np.zeros(len(todo), np.uint64), lane(at[todo])), 27) * _P1 + _P4
+            at[todo] += 8
+            todo = todo[end[todo] - at[todo] >= 8]
+        todo = np.flatnonzero(end - at >= 4)
+        h[todo] = _turn(h[todo] ^ ((lane(at[todo]) & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+        at[todo] += 4
+        todo = np.flatnonzero(end > at)
+        while len(todo):
+            h[todo] = _turn(h[todo] ^ (data[at[todo]].astype(np.uint64) * _P5), 11) * _P1
+            at[todo] += 1
+            todo = todo[end[todo] > at[todo]]
+        h ^= h >> np.uint64(33)
+        h *= _P2
+        h ^= h >> np.uint64(29)
+        h *= _P3
+        return h ^ (h >> np.uint64(32))
+
+
+def joined(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes in which consecutive words of a text stand with one space between them, and each word's start and end there."""
+    kept = piece.data != 0x20
+    kept[1:] |= kept[:-1].copy()  # the first space after a word
+    place = np.cumsum(kept) - 1
+    start = place[piece.start] if len(piece.start) else piece.start
+    body = piece.data[kept]
+    return body, start, start + (piece.end - piece.start)
