@@ -30,19 +30,31 @@ def _shapes(piece: Piece) -> np.ndarray:
     return ((((a * 131 + b) * 131 + c) * 131 + d) * 131 + size) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
 
 
+REPEATS = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.4, 0.6])  # edges of the classes of repeated words
+REPEAT_WEIGHT = 0.7
+
+
+def width(words: int, shapes: int) -> int:
+    return words + shapes + len(REPEATS) + 1
+
+
 def counts(texts: pa.Array, words: int, shapes: int) -> np.ndarray:
-    """One row per text (null: empty): log of 1 + counts of hashed words (lower case), of hashed shapes, then of words
-    equal to the one before, divided by the row's length. Width: words + shapes + 1."""
+    """One row per text (null: empty): log of 1 + counts of hashed words (lower case) and of hashed shapes, divided by
+    the row's length; then one mark for the share of words that equal the one before."""
     plain = split(texts, lower_white_table())
     shaped = split(texts, _shape_table())
-    width = words + shapes + 1
+    wide = words + shapes
     h = word_hashes(plain)
     with np.errstate(over="ignore"):
         code = _shapes(shaped)
-    out = np.bincount(plain.owner * width + (h % np.uint64(words)).astype(np.int64), minlength=width * plain.texts)
-    out += np.bincount(shaped.owner * width + words + (code % np.uint64(shapes)).astype(np.int64), minlength=len(out))
-    again = np.flatnonzero((h[1:] == h[:-1]) & (plain.owner[1:] == plain.owner[:-1])) + 1
-    out += np.bincount(plain.owner[again] * width + width - 1, minlength=len(out))
-    out = np.log1p(out.reshape(plain.texts, width), dtype=np.float32)
+    out = np.bincount(plain.owner * wide + (h % np.uint64(words)).astype(np.int64), minlength=wide * plain.texts)
+    out += np.bincount(shaped.owner * wide + words + (code % np.uint64(shapes)).astype(np.int64), minlength=len(out))
+    out = np.log1p(out.reshape(plain.texts, wide), dtype=np.float32)
     norm = np.sqrt((out * out).sum(1, keepdims=True))
-    return out / np.where(norm > 0, norm, 1)
+    again = plain.owner[1:][(h[1:] == h[:-1]) & (plain.owner[1:] == plain.owner[:-1])]
+    n = np.diff(plain.first)
+    share = np.bincount(again, minlength=plain.texts) / np.maximum(n - 1, 1)
+    marks = np.zeros((plain.texts, len(REPEATS) + 1), np.float32)
+    marks[np.arange(plain.texts), np.searchsorted(REPEATS, share, side="right")] = REPEAT_WEIGHT
+    marks[n == 0] = 0
+    return np.hstack([out / np.where(norm > 0, norm, 1), marks])

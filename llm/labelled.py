@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.features import counts
+from llm.features import counts, width
 from llm.frames import map_texts
 
 
@@ -39,7 +39,7 @@ def sample(
         part = known.where(F.col("y") == y).orderBy(*order).limit(rows)
         taken = part if taken is None else taken.unionByName(part)
     if taken is None:
-        return np.zeros((0, words + shapes + 1), np.float32), np.zeros(0, np.int64)
+        return np.zeros((0, width(words, shapes)), np.float32), np.zeros(0, np.int64)
     # at most 64 x rows ids, so the broadcast is bounded
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(taken), "doc_id")
 
@@ -48,5 +48,5 @@ def sample(
 
     out = map_texts(found, fn, [T.StructField("f", T.BinaryType())], ["doc_id", "y"])
     got = sorted({(r["doc_id"], r["y"], bytes(r["f"])) for r in out.collect()})
-    x = np.array([np.frombuffer(f, np.float16) for _, _, f in got], dtype=np.float32).reshape(len(got), words + shapes + 1)
+    x = np.array([np.frombuffer(f, np.float16) for _, _, f in got], dtype=np.float32).reshape(len(got), width(words, shapes))
     return x, np.array([y for _, y, _ in got], dtype=np.int64)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.features import counts
+from llm.features import counts, width
 from llm.frames import fresh, map_texts
 from llm.labelled import held_out, sample
 
@@ -68,8 +68,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: Neighbours = Neighbours()) -> Mod
     quality = F.when(F.col("quality").isin(0, 1), F.col("quality"))
     x, y = sample(docs, labels, quality, p.rows, p.words, p.shapes, ~held_out(F.col("doc_id")))
     if not len(y):
-        width = p.words + p.shapes + 1
-        return Model(np.ones(width, np.float32), np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), y)
+        wide = width(p.words, p.shapes)
+        return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), y)
     idf = np.log((1 + len(y)) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.1
     weighted = x * idf
     value, vector = np.linalg.eigh(weighted.T.astype(np.float64) @ weighted)
