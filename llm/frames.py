@@ -25,9 +25,15 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def map_texts(
-    df: DataFrame, fn: Callable, fields: list[T.StructField], keep: list[str], text: str = "text", limit: int = 1 << 20
+    df: DataFrame,
+    fn: Callable,
+    fields: list[T.StructField],
+    keep: list[str],
+    also: tuple[str, ...] = (),
+    text: str = "text",
+    limit: int = 1 << 20,
 ) -> DataFrame:
-    """Columns `keep` and those that fn makes, row by row in place.
+    """Columns `keep` and those that fn makes, row by row in place; fn sees the columns `also` too.
 
     fn(rows, texts) gets a record batch and its texts (large_string) for a piece of at most `limit` bytes of text or one
     row, and returns one Arrow array or list per field.
@@ -45,7 +51,7 @@ def map_texts(
                 kept = [rows.column(rows.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
 
-    need = list(dict.fromkeys([*keep, text]))
+    need = list(dict.fromkeys([*keep, text, *also]))
     return df.select(*[f"`{c}`" for c in need]).mapInArrow(run, schema)
 
 
@@ -58,15 +64,19 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     }[type(kind)]
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the folder that spark.checkpoint.dir names; its lineage ends there.
-
-    Where the setting is missing (tests on a local master) a folder is made; on a cluster that is an error.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Where it is unset a local master (tests) makes one; a cluster raises."""
     context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
         if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        named = tempfile.mkdtemp(prefix="run-")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder; its lineage ends there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, quality, simhash, sqltext
+from llm import decontaminate, quality, simhash, sqltext, substrings
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(load(spark, sf_dir, "documents"))
 
 
+@query("op7_substring_dedup", sqltext.SUBSTRINGS)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(load(spark, sf_dir, "documents"))
+
+
 @query("op8_benchmark_decontamination", sqltext.DECONTAMINATE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))

@@ -24,3 +24,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
+
+SUBSTRINGS = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{WHITE}') AS w FROM documents),
+win AS (
+  SELECT rid, doc_id, i, hash(array_to_string(w[i : i + 12], ' ')) AS h, md5(array_to_string(w[i : i + 12], ' ')) AS m
+  FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+least_id AS (SELECT h, m, min(doc_id) AS least FROM win GROUP BY h, m),
+bad AS (SELECT DISTINCT rid, p FROM win JOIN least_id USING (h, m), unnest(range(i, i + 13)) AS t(p) WHERE least < doc_id),
+words AS (SELECT rid, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS body, count(*) AS n
+  FROM words ANTI JOIN bad ON words.rid = bad.rid AND words.i = bad.p GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
