@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, quality, simhash, sqltext, substrings
+from llm import decontaminate, lines, quality, simhash, sqltext, substrings
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op3_line_dedup", sqltext.LINES)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(load(spark, sf_dir, "documents"))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(load(spark, sf_dir, "documents"))

@@ -40,3 +40,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
   sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+LINES = rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, i, lines[i] AS line, regexp_extract_all({LOWER.replace("text", "lines[i]")}, '{WHITE}') AS w
+  FROM t, unnest(range(1, len(lines) + 1)) AS u(i)),
+judged AS (SELECT rid, doc_id, i, w, array_to_string(w, ' ') AS whole FROM l WHERE len(w) >= 8),
+distinct_lines AS (SELECT whole, any_value(w) AS w, min((doc_id, i)) AS rank FROM judged GROUP BY whole),
+v AS (
+  SELECT whole, rank, 0 AS p, md5(whole) AS k FROM distinct_lines
+  UNION ALL
+  SELECT whole, rank, p, md5(array_to_string(w[1 : p - 1] || w[p + 1 : len(w)], ' '))
+  FROM distinct_lines, unnest(range(1, len(w) + 1)) AS u(p)),
+places AS (SELECT k, p, min(rank) AS least FROM v GROUP BY k, p),
+keys AS (SELECT k, min(least) AS least, min(least) FILTER (p = 0) AS itself FROM places GROUP BY k),
+near AS (
+  SELECT whole, min(CASE WHEN p = 0 THEN keys.least ELSE least(places.least, coalesce(itself, places.least)) END) AS first
+  FROM v JOIN places USING (k, p) JOIN keys USING (k) GROUP BY whole),
+gone AS (SELECT rid, i FROM judged JOIN near USING (whole) WHERE first < (doc_id, i)),
+kept AS (
+  SELECT l.rid, count(*) AS n, string_agg(line, chr(10) ORDER BY l.i) AS body
+  FROM l ANTI JOIN gone ON l.rid = gone.rid AND l.i = gone.i GROUP BY l.rid)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(body, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (rid)
+"""

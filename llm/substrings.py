@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.frames import map_texts
+from llm.packed import column, known, member, packed
 from llm.words import gram_hashes, joined, mix, pieces, split, white_table, word_hashes
 
 SIZE, SEED, NEAR = 13, 5, 9
@@ -61,12 +62,7 @@ def _settle(keys: list, checks: list, docs: list):
     many = np.zeros(len(k), bool)
     many[:-1] = same_run[1:]
     lone = ~same_run
-    rest_k, rest_d = k[same_run], d[same_run]
-    order = np.argsort(rest_d, kind="stable")
-    rest_k, rest_d = rest_k[order], rest_d[order]
-    cut = np.flatnonzero(np.r_[True, rest_d[1:] != rest_d[:-1]]) if len(rest_d) else np.zeros(0, int)
-    packs = [x.tobytes() for x in np.split(rest_k, cut[1:])] if len(cut) else []
-    own = rest_d[cut]
+    own, packs = packed(d[same_run], k[same_run])
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate([k[lone], mix(own.view(np.uint64))]).view(np.int64)),
@@ -83,8 +79,7 @@ def _gather(batches, emit):
     """Hashes of all pieces, settled whenever BATCH of them are held."""
     keys, checks, docs, held = [], [], [], 0
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index("text"))
-        for at, texts in pieces(column):
+        for at, texts in pieces(column(batch, "text")):
             k, c, d = emit(batch.slice(at, len(texts)), texts)
             keys.append(k), checks.append(c), docs.append(d)
             held += len(k)
@@ -96,7 +91,7 @@ def _gather(batches, emit):
 
 
 def _ids(rows) -> np.ndarray:
-    return rows.column(rows.schema.get_field_index("doc")).to_numpy()
+    return column(rows, "doc").to_numpy()
 
 
 def _seeds(batches):
@@ -112,22 +107,6 @@ def _seeds(batches):
     return _gather(batches, emit)
 
 
-def _lists(rows, name_keys: str, name_packs: str):
-    """Per row the sorted hashes of its key list and its packs."""
-    keys = rows.column(rows.schema.get_field_index(name_keys))
-    packs = rows.column(rows.schema.get_field_index(name_packs))
-    for k, p in zip(keys, packs):
-        own = k.values.to_numpy().view(np.uint64) if k.is_valid and len(k.values) else np.zeros(0, np.uint64)
-        more = [np.frombuffer(x, np.uint64) for x in (p.as_py() or [])] if p.is_valid else []
-        yield np.sort(np.concatenate([own, *more])) if more else np.sort(own)
-
-
-def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
-
-
 def _runs(batches):
     """The runs of 13 words around shared anchors."""
 
@@ -140,9 +119,9 @@ def _runs(batches):
         starts = np.flatnonzero(whole)
         bounds = np.searchsorted(starts, piece.first)
         hit = np.zeros(len(starts), bool)
-        for i, known in enumerate(_lists(rows, "keys", "packs")):
+        for i, own in enumerate(known(rows, "keys", "packs")):
             a, b = bounds[i], bounds[i + 1]
-            hit[a:b] = _member(best[a:b], known)
+            hit[a:b] = member(best[a:b], own)
         chosen = starts[hit]
         return run[chosen], other[chosen].astype(np.uint32).view(np.int32), _ids(rows)[piece.owner[chosen]]
 
@@ -178,10 +157,10 @@ def dedup(docs: DataFrame) -> DataFrame:
         body, start, end = joined(piece)
         run, whole = gram_hashes(word_hashes(piece), piece.first, SIZE)
         edge = np.zeros(len(run) + SIZE + 1, np.int32)
-        for i, known in enumerate(_lists(rows, "keys", "packs")):
-            if len(known):
+        for i, own in enumerate(known(rows, "keys", "packs")):
+            if len(own):
                 a, b = piece.first[i], piece.first[i + 1]
-                at = a + np.flatnonzero(_member(run[a:b], known) & whole[a:b])
+                at = a + np.flatnonzero(member(run[a:b], own) & whole[a:b])
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + SIZE, -1)
         gone = np.cumsum(edge)[: len(run)] > 0
