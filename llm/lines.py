@@ -266,11 +266,13 @@ def _first_pass(texts: DataFrame, min_words: int) -> DataFrame:
 
 
 def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
-    """Per document: identities of lines one edit from an earlier line."""
+    """Per document: identities of lines one edit from an earlier line.
+
+    The join takes all of texts' columns, so that its exchange is the later join's too."""
     rank, key = F.struct("doc", "line"), Window.partitionBy("key", "chk")
     whole = F.col("part") < 0
     meets = first.where("size(near) > 0 or size(near_packs) > 0")
-    rows = texts.select("doc", "text").join(meets, "doc").mapInArrow(_variants(min_words), VARIANTS)
+    rows = texts.join(meets, "doc").mapInArrow(_variants(min_words), VARIANTS)
     judged = (
         rows.withColumn("any", F.min(F.when(F.col("gone").isNull(), rank)).over(key))
         .withColumn("itself", F.min(F.when(F.col("gone").isNull() & whole, rank)).over(key))

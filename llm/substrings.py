@@ -61,7 +61,8 @@ def _settle(keys: list, checks: list, docs: list):
     k, c, d, same_run = k[fresh], c[fresh], d[fresh], same_run[fresh]
     many = np.zeros(len(k), bool)
     many[:-1] = same_run[1:]
-    lone = ~same_run
+    lone = np.flatnonzero(~same_run)
+    lone = lone[np.argsort(d[lone], kind="stable")]  # neighbours of one document compress well
     own, packs = packed(d[same_run], k[same_run])
     return pa.RecordBatch.from_arrays(
         [
@@ -69,7 +70,7 @@ def _settle(keys: list, checks: list, docs: list):
             pa.array(np.concatenate([c[lone], np.zeros(len(own), np.int32)])),
             pa.array(np.concatenate([d[lone], own])),
             pa.array(np.concatenate([many[lone], np.ones(len(own), bool)])),
-            pa.array([None] * int(lone.sum()) + packs, pa.binary()),
+            pa.array([None] * len(lone) + packs, pa.binary()),
         ],
         names=["key", "chk", "doc", "many", "pack"],
     )
@@ -142,7 +143,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     seeds = texts.select("doc", "text").mapInArrow(_seeds, ROWS)
     shared = seeds.withColumn("least", F.min("doc").over(same)).withColumn("most", F.max("doc").over(same))
     shared = shared.where("many or least < most").select("key", "doc", "pack")
-    near = texts.join(_by_document(shared), "doc").select("doc", "text", "keys", "packs")
+    near = texts.join(_by_document(shared), "doc")  # all of texts' columns, so that its exchange is the later join's too
     runs = near.mapInArrow(_runs, ROWS).withColumn("least", F.min("doc").over(Window.partitionBy("key", "chk")))
     return texts, _by_document(runs.where("pack is not null or least < doc").select("key", "doc", "pack"))
 
