@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, quality, simhash
+from llm import decontaminate, lines, mixing, quality, simhash
 from llm.frames import load, shared_folder
 
 
@@ -18,6 +18,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, load(spark, sf_dir, "labels"))
 
 
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat, but for one word at most, an earlier line; emptied ones go."""
+    return lines.clean(docs)
+
+
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates: the one with the smallest id."""
     return simhash.keep_one(docs)
@@ -28,10 +33,17 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.clean(docs, load(spark, sf_dir, "benchmark"))
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their rate and copies; those that are read no time go."""
+    return mixing.mix(docs, load(spark, sf_dir, "labels"))
+
+
 STAGES = [
     ("quality classifier", good_quality),
+    ("line dedup", without_repeated_lines),
     ("SimHash near-dedup", one_per_group),
     ("benchmark decontamination", without_benchmark),
+    ("mixing sources to target weights", mixed),
 ]
 
 #: The first stage learns from labels, which SQL cannot express; tests/llm holds the stages against brute force.

@@ -1,13 +1,13 @@
-"""A bounded sample of labelled texts, as hashed counts."""
+"""A bounded sample of labelled texts."""
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.features import counts, width
 from llm.frames import map_texts
 
 
@@ -16,14 +16,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def sample(
-    docs: DataFrame, labels: DataFrame, label: Column, rows: int, words: int, shapes: int, learn: Column
-) -> tuple[np.ndarray, np.ndarray]:
-    """Counts and labels of at most `rows` labelled documents per label value.
+def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, encode: Callable, learn: Column) -> list[tuple[bytes, int]]:
+    """What encode makes of at most `rows` labelled documents per label value, and the values.
 
     label: the class, a small integer expression over the columns of labels (null: the row is left out); an id that is
-    labelled more than once takes the smallest. learn: which ids may be learnt from. The rows taken are those whose ids
-    have the smallest hashes, the same on each run. Empty input gives empty arrays.
+    labelled more than once takes the smallest. encode: texts to one bytes value each, run on the executors. learn: which
+    ids may be learnt from. The rows taken are those whose ids have the smallest hashes, the same on each run.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.cast("int").alias("y"))
@@ -39,14 +37,9 @@ def sample(
         part = known.where(F.col("y") == y).orderBy(*order).limit(rows)
         taken = part if taken is None else taken.unionByName(part)
     if taken is None:
-        return np.zeros((0, width(words, shapes)), np.float32), np.zeros(0, np.int64)
+        return []
     # at most 64 x rows ids, so the broadcast is bounded
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(taken), "doc_id")
-
-    def fn(batch, texts):
-        return [[x.tobytes() for x in counts(texts, words, shapes).astype(np.float16)]]
-
-    out = map_texts(found, fn, [T.StructField("f", T.BinaryType())], ["doc_id", "y"])
+    out = map_texts(found, lambda batch, texts: [encode(texts)], [T.StructField("f", T.BinaryType())], ["doc_id", "y"])
     got = sorted({(r["doc_id"], r["y"], bytes(r["f"])) for r in out.collect()})
-    x = np.array([np.frombuffer(f, np.float16) for _, _, f in got], dtype=np.float32).reshape(len(got), width(words, shapes))
-    return x, np.array([y for _, y, _ in got], dtype=np.int64)
+    return [(f, y) for _, y, f in got]

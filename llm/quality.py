@@ -66,9 +66,15 @@ def _unit(v: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, p: Neighbours = Neighbours()) -> Model:
     """Learn from labelled documents that are not held out."""
     quality = F.when(F.col("quality").isin(0, 1), F.col("quality"))
-    x, y = sample(docs, labels, quality, p.rows, p.words, p.shapes, ~held_out(F.col("doc_id")))
+    wide = width(p.words, p.shapes)
+
+    def encode(texts):
+        return [row.tobytes() for row in counts(texts, p.words, p.shapes).astype(np.float16)]
+
+    got = sample(docs, labels, quality, p.rows, encode, ~held_out(F.col("doc_id")))
+    x = np.array([np.frombuffer(f, np.float16) for f, _ in got], np.float32).reshape(len(got), wide)
+    y = np.array([y for _, y in got], np.int64)
     if not len(y):
-        wide = width(p.words, p.shapes)
         return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), y)
     idf = np.log((1 + len(y)) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.1
     weighted = x * idf

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, lines, quality, simhash, sqltext, substrings
+from llm import decontaminate, lines, mixing, quality, simhash, sqltext, substrings
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_classifier")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op10_mixing_weights")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
