@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, licenses, lines, mixing, quality, simhash, sqltext, substrings
+from llm import decontaminate, licenses, lines, mixing, quality, secrets, simhash, sqltext, substrings
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_secret_scan", sqltext.secrets())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(load(spark, sf_dir, "documents"))
+
+
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(load(spark, sf_dir, "documents"))

@@ -65,3 +65,38 @@ SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce
   sha256(coalesce(body, '')) AS kept_sha256
 FROM t LEFT JOIN kept USING (rid)
 """
+
+
+def secrets() -> str:
+    """The secret scan; its patterns are the operator's, all else is said anew."""
+    from llm.secrets import KINDS, ORDER, SCOPE
+
+    def one(i: int, k) -> str:
+        p = k.pattern.replace("'", "''")
+        cut = f"string_split_regex(t, '{p}')"
+        strong = f"length(c[j]) >= {k.least}" if k.strong else "false"
+        return f"""
+SELECT rid, '{k.role}' AS role, '{k.name}' AS weak, '{k.strong or ""}' AS base, {strong} AS strong, length(m[j]) AS size,
+  CAST(list_sum([length(x) FOR x IN g[1 : j]]) + list_sum([length(x) FOR x IN m[1 : j]]) AS BIGINT) AS stop
+FROM (SELECT rid, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {k.group}) AS c, {cut} AS g FROM d) AS x,
+  unnest(range(1, len(m) + 1)) AS u(j) WHERE {strong} OR length(c[j]) >= {k.weak}"""
+
+    union = " UNION ALL ".join(one(i, k) for i, k in enumerate(KINDS))
+    order = "[" + ", ".join(f"'{x}'" for x in ORDER) + "]"
+    base = "name IN ('assign', 'access', 'hex')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (SELECT *, stop - size AS start FROM ({union}) AS all_kinds),
+named AS (
+  SELECT rid, start, stop, CASE WHEN strong THEN base WHEN EXISTS (
+    SELECT 1 FROM parts AS b WHERE b.rid = a.rid AND (a.role = 'secret') <> (b.role = 'secret')
+      AND b.start <= a.stop + {SCOPE} AND b.stop >= a.start - {SCOPE}) THEN weak END AS name
+  FROM parts AS a),
+spans AS (SELECT *, name || ':' || start || ':' || stop AS span, list_position({order}, name) AS p FROM named WHERE name IS NOT NULL),
+sums AS (
+  SELECT rid, count(*) FILTER (name = 'assign') AS n_assign, count(*) FILTER (name = 'access') AS n_access,
+    count(*) FILTER (name = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, p) FILTER ({base}) AS base,
+    string_agg(span, ',' ORDER BY start, p, span) AS spans FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN sums USING (rid)
+"""
