@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, licenses, lines, mixing, quality, secrets, simhash, sqltext, substrings
+from llm import decontaminate, licenses, lines, mixing, quality, secrets, simhash, sketches, sqltext, substrings
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(load(spark, sf_dir, "documents"))
 
 
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.report(load(spark, sf_dir, "documents"))
+
+
 @query("op7_substring_dedup", sqltext.SUBSTRINGS)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(load(spark, sf_dir, "documents"))
