@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, licenses, lines, mixing, quality, secrets, simhash, sketches, sqltext, substrings
+from llm import decontaminate, licenses, lines, mixing, personal, quality, secrets, simhash, sketches, sqltext, substrings
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(load(spark, sf_dir, "documents"))
 
 
+@query("op4_personal_data")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(load(spark, sf_dir, "documents"))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(load(spark, sf_dir, "documents"))
