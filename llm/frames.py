@@ -24,6 +24,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with all columns but doc_id and text renamed so that none clashes with a working column, and their new names."""
+    names = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def map_texts(
     df: DataFrame,
     fn: Callable,

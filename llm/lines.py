@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.frames import map_texts, saved
+from llm.frames import apart, map_texts, saved
 from llm.packed import column, known, member, packed
 from llm.words import Piece, lower_white_table, mix, pieces, raw, split, word_hashes
 
@@ -331,10 +331,7 @@ def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A row that loses lines and has no words left is dropped; other rows stay.
     """
-    inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    inner = inner.withColumnsRenamed({names["doc_id"]: "doc_id", names["text"]: "text"})
-    names |= {"doc_id": "doc_id", "text": "text"}
+    inner, names = apart(docs)
     out = _cut(inner, inner.columns, min_words).where("n_removed = 0 or words_left > 0")
     new = {"text": F.coalesce("kept", "text")}
     if "n_chars" in names:

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.frames import fresh, map_texts, saved
+from llm.frames import apart, fresh, map_texts, saved
 from llm.graph import components
 from llm.words import joined, lower_white_table, split, xxh64
 
@@ -89,16 +89,16 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
 
 
 def classes(docs: DataFrame, keep: list[str], size: int = 3, distance: int = 3) -> DataFrame:
-    """Columns `keep` (doc_id among them), fp and component_id, one row per row of docs."""
+    """Columns `keep` (doc_id among them), fp, root (a fingerprint of the component) and component_id, one row per row of docs."""
     fp = fresh(docs, "fp")
     marked = saved(fingerprints(docs, keep, size, fp))
     nodes = marked.groupBy(F.col(fp).alias("fp")).agg(F.min("doc_id").alias("least"))
     linked = components(links(nodes.select("fp"), distance))
     rooted = nodes.join(linked, nodes.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select(F.col("fp").alias("fp__"), "component_id")
+    named = rooted.join(smallest, "root").select(F.col("fp").alias("fp__"), "root", "component_id")
     out = marked.join(named, marked[fp] == F.col("fp__"))
-    return out.select(*[f"`{c}`" for c in keep], F.col(fp).alias("fp"), "component_id")
+    return out.select(*[f"`{c}`" for c in keep], F.col(fp).alias("fp"), "root", "component_id")
 
 
 def report(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
@@ -110,15 +110,16 @@ def report(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = 3, distance: int = 3) -> DataFrame:
     """One row of docs per component: the one with the smallest id, columns unchanged.
 
-    Of several rows with that id, the one with the smallest hash of its columns stays, equal rows counting as one.
-    Only ids and fingerprints are grouped; texts are shuffled once, to meet the ids that stay.
+    Of several rows with that id the one with the smallest hash of its columns stays, equal rows counting as one. Ids,
+    fingerprints and hashes are grouped; texts are shuffled once, to meet the hashes that stay.
     """
-    ids = classes(docs.select("doc_id", "text"), ["doc_id"], size, distance)
-    stay = ids.groupBy("component_id").agg(F.min("doc_id").alias("stay")).select("stay")
-    kept = docs.join(stay, docs.doc_id.eqNullSafe(F.col("stay")), "left_semi")
-    cells = [F.col(f"`{c}`") for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)]
-    order, least = fresh(docs, "order_"), fresh(docs, "least_")
-    ranked = kept.withColumn(order, F.xxhash64(*cells))
-    first = ranked.groupBy("doc_id").agg(F.min(order).alias(least)).withColumnRenamed("doc_id", least + "id")
-    again = ranked.join(first, ranked.doc_id.eqNullSafe(F.col(least + "id")) & (F.col(order) == F.col(least)), "left_semi")
-    return again.select(*[f"`{c}`" for c in docs.columns]).dropDuplicates(["doc_id"])
+    inner, names = apart(docs)
+    cells = [F.col(c) for c in inner.columns if not isinstance(inner.schema[c].dataType, T.MapType)]
+    keyed = inner.withColumns({"k1": F.xxhash64(*cells), "k2": F.xxhash64(F.lit("second"), *cells)})
+    ids = classes(keyed.select("doc_id", "text", "k1", "k2"), ["doc_id", "k1", "k2"], size, distance)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2"))
+    stay = ids.groupBy("root").agg(first.alias("s")).select("s.k1", "s.k2")
+    kept = keyed.join(stay, ["k1", "k2"], "left_semi")
+    again = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
+    once = kept.withColumn("again", again).where("again = 1")
+    return once.select(*[F.col(names[c]).alias(c) for c in docs.columns])
