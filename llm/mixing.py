@@ -7,7 +7,7 @@ domain (rate x words x membership, summed over all documents) come to the target
 The rates solve a nonnegative least squares problem by projected gradient descent, from rates of 1. Its state per document
 is the document's words and memberships, its gradient per step one vector with a number per domain: a step is one
 aggregation over all documents, and only that vector reaches the driver. Scaled by the inverse of the domains' second
-moments (a symmetric K x K matrix, one aggregation), the step size is 1 and a few steps suffice.
+moments (a symmetric K x K matrix, one aggregation), the step size is 1 and, with momentum, some twenty steps suffice.
 
 Domains are the classes of the labelled table: "clean" (quality 1, not toxic), "toxic" (toxic), "low" (quality 0, not
 toxic). Null or empty texts have no words, and the classifier's membership for an empty text; their rate follows the same
@@ -42,7 +42,7 @@ class Mixing:
     rows: int = 1500
     terms: int = 2000
     epochs: int = 300
-    steps: int = 40
+    steps: int = 60
     tolerance: float = 1e-6
 
 
@@ -84,6 +84,8 @@ class Classifier:
         at = np.minimum(np.searchsorted(self.terms, term), max(len(self.terms) - 1, 0))
         known = self.terms[at] == term if len(self.terms) else np.zeros(len(term), bool)
         owner, at = owner[known], at[known]
+        if not self.domains:
+            return np.zeros((len(texts), 0))
         z = np.stack([np.bincount(owner, self.weight[at, j], len(texts)) for j in range(len(self.domains))], axis=1) + self.bias
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
@@ -152,21 +154,28 @@ def memberships(docs: DataFrame, model: Classifier, p: Mixing, keep: list[str],
 
 
 def _rate(member: Column, steps: list[np.ndarray]) -> Column:
-    """A document's rate after the given steps: max(0, rate - membership . step), one after the other, from 1."""
-    flat = F.lit([[float(v) for v in s] for s in steps]) if steps else F.array().cast("array<array<double>>")
-    k = len(steps[0]) if steps else 0
-
-    def move(rate: Column, step: Column) -> Column:
+    """(rate, ahead) of a document after the given steps, from 1: rate = max(0, ahead - membership . step), and ahead runs
+    on from there by the step's momentum, its last number."""
+    kind = "struct<rate:double,ahead:double>"
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")).cast(kind)
+    if not steps:
+        return start
+    k = len(steps[0]) - 1
+
+    def move(state: Column, step: Column) -> Column:
         pull = F.lit(0.0)
         for j in range(k):
             pull = pull + F.get(member, F.lit(j)) * F.get(step, F.lit(j))
-        return F.greatest(F.lit(0.0), rate - pull)
+        rate = F.greatest(F.lit(0.0), state["ahead"] - pull)
+        return F.struct(rate.alias("rate"), (rate + F.get(step, F.lit(k)) * (rate - state["rate"])).alias("ahead")).cast(kind)
 
-    return F.aggregate(flat, F.lit(1.0), move)
+    return F.aggregate(F.lit([[float(v) for v in s] for s in steps]), start, move)
 
 
 def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "") -> list[np.ndarray]:
-    """The steps that lead from rates of 1 to the solution. state: tokens and membership of every document."""
+    """The steps that lead from rates of 1 to the solution: accelerated projected gradient, restarted when it overshoots.
+
+    state: tokens and membership of every document."""
     k = len(domains)
     n, member = F.col(f"{prefix}tokens").cast("double"), F.col(f"{prefix}membership")
     part = [F.get(member, F.lit(j)) for j in range(k)]
@@ -180,15 +189,21 @@ def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "
     moment = np.array(first[1:], float).reshape(k, k) / total
     scale = np.linalg.pinv(moment, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
-    last = np.full(k, np.inf)
+    last, speed, before = np.inf, 1.0, np.full(k, np.inf)
     for _ in range(p.steps):
-        rate = _rate(member, steps)
-        sums = state.agg(*[F.sum(n * rate * c) for c in part]).first()
-        miss = np.array(sums, float) / total - target
-        if np.abs(miss - last).max() <= p.tolerance or np.abs(miss).max() <= p.tolerance:
+        held = _rate(member, steps)
+        sums = state.select(n.alias("n"), member.alias("m"), held.alias("s")).agg(
+            *[F.sum(F.col("n") * F.col(f"s.{x}") * F.get(F.col("m"), F.lit(j))) for x in ("rate", "ahead") for j in range(k)]
+        )
+        both = np.array(sums.first(), float).reshape(2, k) / total - target
+        miss, ahead = both
+        error = float(miss @ scale @ miss)
+        if np.abs(miss).max() <= p.tolerance or np.abs(miss - before).max() <= p.tolerance / 10:
             break  # met, or as near as rates >= 0 come
-        last = miss
-        steps.append(scale @ miss)
+        speed = 1.0 if error > last else speed
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        steps.append(np.append(scale @ ahead, (speed - 1) / faster))
+        last, speed, before = error, faster, miss
     return steps
 
 
@@ -197,7 +212,7 @@ def rates(docs: DataFrame, labels: DataFrame, keep: list[str], p: Mixing = Mixin
     model = fit(docs, labels, p)
     state = saved(memberships(docs, model, p, [*keep], prefix))
     steps = solve(state, model.domains, p, prefix)
-    return state.withColumn(f"{prefix}rate", _rate(F.col(f"{prefix}membership"), steps)), model.domains
+    return state.withColumn(f"{prefix}rate", _rate(F.col(f"{prefix}membership"), steps)["rate"]), model.domains
 
 
 def copies(rate: Column, key: Column) -> Column:

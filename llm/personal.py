@@ -48,7 +48,7 @@ class Training:
     docs: int = 20000
     windows: int = 1500
     hidden: int = 16
-    steps: int = 150
+    steps: int = 300
     batch: int = 96
 
 
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, p: Training = Training()) -> Tagger | None:
     if not y.any():
         return None
     model = Tagger.new(2 * len(KINDS) + 1, p.hidden)
-    model.train(both[:, :WINDOW].astype(np.int64), y, p.steps, p.batch)
+    model.train(both[:, :WINDOW].astype(np.int64), y, p.steps, p.batch, 0.03)
     return model
 
 
