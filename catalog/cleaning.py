@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.common import day, load, query, ts
 from lakepipe.functions import case, jsons, numeric, registry, text, times
+from lakepipe.functions.dialect import spark_expr
 from lakepipe.operators import clean, filters
 from lakepipe.operators.dedupe import keep_latest
 
@@ -110,7 +111,7 @@ _FLAGS = ["true", "Yes", "1", "no", "False", "maybe", None]
     f"""WITH w AS (SELECT c_custkey, c_nationkey, {_words_sql('c_custkey', _FLAGS)} AS f FROM customer)
     SELECT c_custkey, CASE WHEN f IN ('true','Yes','1') THEN 1 ELSE 0 END AS as_flag,
       CASE WHEN lower(f) IN ('true','yes','1') THEN 'true' WHEN lower(f) IN ('no','false') THEN 'false'
-           ELSE 'null' END AS as_boolean,
+           ELSE coalesce(f, 'null') END AS as_boolean,
       CASE WHEN lower(f) IN ('true','yes','1') THEN 1 ELSE 0 END AS as_bit,
       CASE WHEN c_nationkey % 3 = 1 THEN 'active' WHEN c_nationkey % 3 = 0 THEN 'inactive' ELSE 'unknown' END AS label,
       CASE WHEN lower(f) IN ('true','yes','1') THEN true ELSE false END AS filled
@@ -124,10 +125,10 @@ def normalize_flags(spark, sf):
     return both.select(
         "c_custkey",
         numeric.normalize_boolean("is_member").alias("as_flag"),
-        F.coalesce(F.col("b").cast("string"), F.lit("null")).alias("as_boolean"),
-        numeric.flag_to_int("b").alias("as_bit"),
+        F.coalesce("b", F.lit("null")).alias("as_boolean"),
+        numeric.flag_to_int(numeric.parse_bool("b")).alias("as_bit"),
         text.flag_label(F.col("c_nationkey") % 3, {1: "active", 0: "inactive"}).alias("label"),
-        numeric.default_null("b", False).alias("filled"),
+        numeric.default_null(numeric.parse_bool("b"), False).alias("filled"),
     )
 
 
@@ -172,13 +173,14 @@ def clean_numbers(spark, sf):
 
 @query(
     "parse_times",
-    f"""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 THEN 'none' ELSE {ts('o_orderdate')} END AS parsed,
-      CASE WHEN o_orderkey % 7 = 6 THEN 'none' ELSE {day('o_orderdate')} END AS parsed_day,
+    f"""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 6 THEN 'none' ELSE {ts('o_orderdate')} END AS parsed,
+      CASE WHEN o_orderkey % 11 = 6 THEN 'none' ELSE {ts('o_orderdate')} END AS declared,
+      CASE WHEN o_orderkey % 11 = 6 THEN 'none' ELSE {day('o_orderdate')} END AS parsed_day,
       {day('o_orderdate')} AS integer_date, {day("date_trunc('week', o_orderdate)")} AS week_start
     FROM orders""",
 )
 def parse_times(spark, sf):
-    d, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 7
+    d, k = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 11
     shape = (
         F.when(k == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
         .when(k == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
@@ -186,6 +188,10 @@ def parse_times(spark, sf):
         .when(k == 3, F.date_format(d, "dd/MM/yyyy HH:mm:ss"))
         .when(k == 4, F.unix_seconds(d).cast("string"))
         .when(k == 5, F.date_format(d, "yyyyMMddHHmmss"))
+        .when(k == 7, F.date_format(d, "yyyy/MM/dd HH:mm:ss"))
+        .when(k == 8, F.date_format(d, "dd MMM yyyy HH:mm:ss"))
+        .when(k == 9, F.date_format(d, "MMM d yyyy"))
+        .when(k == 10, F.date_format(d, "yyyy-MM-dd hh:mm:ss a"))
         .otherwise("2024-13-45")
     )
     df = load(spark, sf, "orders").withColumn("t", F.concat(shape, F.lit(" ")))
@@ -193,6 +199,7 @@ def parse_times(spark, sf):
     return df.select(
         "o_orderkey",
         none(F.date_format(times.parse_timestamp("t"), "yyyy-MM-dd HH:mm:ss")).alias("parsed"),
+        none(F.date_format(spark_expr("parseDateTime64BestEffortOrNull(t)"), "yyyy-MM-dd HH:mm:ss")).alias("declared"),
         none(times.timestamp_date("t").cast("string")).alias("parsed_day"),
         times.parse_date(F.date_format(d, "yyyyMMdd").cast("int")).alias("integer_date"),
         times.monday("o_orderdate").alias("week_start"),
@@ -329,13 +336,16 @@ def explode_json_array(spark, sf):
 
 @query(
     "list_columns",
-    """SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN '[]' ELSE '["' || lang || '","' || source || '"]' END AS tags
+    """SELECT doc_id, CASE WHEN doc_id % 4 = 2 THEN '[]' WHEN doc_id % 4 = 3 THEN '["it''s","' || lang || '"]'
+      ELSE '["' || lang || '","' || source || '"]' END AS tags
     FROM documents""",
 )
 def list_columns(spark, sf):
-    k = F.col("doc_id") % 3
-    raw = F.when(k == 0, F.concat(F.lit("['"), "lang", F.lit("', '"), "source", F.lit("']"))).when(
-        k == 1, F.concat(F.lit(" "), "lang", F.lit(" , "), "source")
+    k = F.col("doc_id") % 4
+    raw = (
+        F.when(k == 0, F.concat(F.lit("['"), "lang", F.lit("', '"), "source", F.lit("']")))
+        .when(k == 1, F.concat(F.lit(" "), "lang", F.lit(" , "), "source"))
+        .when(k == 3, F.concat(F.lit("[\"it's\", \""), "lang", F.lit('"]')))
     )
     df = load(spark, sf, "documents").withColumn("raw", raw)
     return df.select("doc_id", jsons.parse_list("raw").alias("tags"))
@@ -381,19 +391,20 @@ def trim_text_columns(spark, sf):
 
 @query(
     "interchange_values",
-    f"""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.') || printf('%06d', CAST(epoch_us(ts) % 1000000 AS INTEGER)) AS ts,
+    f"""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN ''
+        ELSE '.' || printf('%06d', CAST(epoch_us(ts) % 1000000 AS INTEGER)) END AS ts,
       printf('%.2f', value) AS value, base64(encode(event_type)) AS kind, '["' || event_type || '"]' AS tags
-    FROM events WHERE epoch_us(ts) % 1000000 != 0""",
+    FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) ELSE ts END AS ts) FROM events) AS e""",
 )
 def interchange_values(spark, sf):
     df = load(spark, sf, "events").select(
         "event_id",
-        "ts",
+        F.when(F.col("event_id") % 3 == 0, F.date_trunc("second", "ts")).otherwise(F.col("ts")).alias("ts"),
         F.col("value").cast("decimal(12,2)").alias("value"),
         F.encode("event_type", "UTF-8").alias("kind"),
         F.array("event_type").alias("tags"),
     )
-    return jsons.interchange(df.filter(~F.date_format("ts", "SSSSSS").eqNullSafe("000000")))
+    return jsons.interchange(df)
 
 
 @query(

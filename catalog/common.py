@@ -80,4 +80,5 @@ def rounded(x: str, digits: int) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    """Sum of the values as they are, rounded once."""
+    return f"round(fsum({x}), 6)"

@@ -7,6 +7,7 @@ from lakepipe.operators import checks as q
 from lakepipe.operators import contract as ct
 from lakepipe.operators import profile as pf
 from lakepipe.plans import related as rl
+from lakepipe.sources import readers, writers
 from lakepipe.sources.writers import land_with_audit
 from lakepipe.session import shared_dir
 
@@ -26,6 +27,18 @@ def _count(table: str, where: str) -> str:
     return f"SELECT count(*) AS n FROM {table} WHERE {where}"
 
 
+def _nulls(table: str, c: str, where: str = "true") -> str:
+    return _count(table, f"{c} IS NULL AND {where}")
+
+
+def _repeats(table: str, c: str) -> str:
+    return f"SELECT count(*) AS n FROM (SELECT {c} FROM {table} GROUP BY {c} HAVING count(*) > 1)"
+
+
+def _has(table: str, c: str, kind: str = "%") -> str:
+    return f"SELECT count(*) AS n FROM (DESCRIBE {table}) WHERE column_name = '{c}' AND column_type LIKE '{kind}'"
+
+
 ORDER_SUITE = [
     q.row_count("orders", 1000),
     q.not_null("orders", "o_orderkey", strict=True),
@@ -68,7 +81,7 @@ ORDER_SUITE = [
             ("orders", "not_older:o_orderdate", "warning", "n = 0", _count("orders", "o_orderdate < DATE '2001-01-01' - 2000")),
             ("orders", "matches:o_orderpriority", "warning", "n = 0", _count("orders", "NOT regexp_matches(o_orderpriority, '^[1-3]-[A-Z]+$')")),
             ("orders", "length:o_orderpriority", "warning", "n = 0", _count("orders", "length(o_orderpriority) NOT BETWEEN 5 AND 10")),
-            ("orders", "complete:o_orderpriority", "warning", "n >= 99", "SELECT 100.0 AS n"),
+            ("orders", "complete:o_orderpriority", "warning", "n >= 99", "SELECT round(count(o_orderpriority) * 100.0 / count(*), 4) AS n FROM orders"),
             ("orders", "urgent_share", "error", "n <= 10", f"SELECT {rounded('avg(CASE WHEN o_orderpriority = $$1-URGENT$$ THEN 100.0 ELSE 0 END)', 4)} AS n FROM orders"),
             ("orders", "fresh:o_orderdate", "warning", "n <= 90", "SELECT date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '2001-09-01') AS n FROM orders"),
             ("orders", "unique:o_orderkey", "error", "n = 0", "SELECT count(*) AS n FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)"),
@@ -76,8 +89,8 @@ ORDER_SUITE = [
             ("orders", "customer_total", "warning", "n = 0", "SELECT count(*) AS n FROM (SELECT sum(o_totalprice) AS t FROM orders GROUP BY o_custkey) WHERE abs(t - 1500000) > 1000000"),
             ("orders", "references:o_custkey->customer", "error", "n = 0", _count("orders", "o_custkey NOT IN (SELECT c_custkey FROM customer)")),
             ("customer", "covered:c_custkey->order_customers", "warning", "n >= 95", f"SELECT {rounded('count(DISTINCT o_custkey) * 100.0 / count(DISTINCT c_custkey)', 4)} AS n FROM customer LEFT JOIN (SELECT * FROM orders WHERE {_DATES}) o ON c_custkey = o_custkey"),
-            ("orders", "column:o_totalprice", "error", "n = 1", "SELECT 1 AS n"),
-            ("orders", "column:o_comment", "error", "n = 1", "SELECT 0 AS n"),
+            ("orders", "column:o_totalprice", "error", "n = 1", _has("orders", "o_totalprice", "DOUBLE")),
+            ("orders", "column:o_comment", "error", "n = 1", _has("orders", "o_comment")),
             ("orders", "average_price", "info", "true", "SELECT round(avg(o_totalprice), 0) AS n FROM orders"),
         ]
     ),
@@ -101,7 +114,7 @@ def dq_suite(spark, sf):
             ("lineitem", "references:l_partkey->part", "error", "n = 0", _count("lineitem", "l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)")),
             ("lineitem", "unique:l_orderkey+l_linenumber", "warning", "n = 0", "SELECT count(*) AS n FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"),
             ("lineitem", "quantity_bounds", "critical", "n = 1", "SELECT (min(l_quantity) >= 1 AND max(l_quantity) <= 50)::INT AS n FROM lineitem"),
-            ("lineitem", "flags_add_up", "error", "n = 1", "SELECT 1 AS n"),
+            ("lineitem", "flags_add_up", "error", "n = 1", "SELECT (count(*) FILTER (l_returnflag = 'A') + count(*) FILTER (l_returnflag <> 'A') = count(*))::INT AS n FROM lineitem"),
         ]
     ),
 )
@@ -149,6 +162,7 @@ CHECK_DECLARATION = {
         },
         {"name": "enough", "type": "assertion", "query": "SELECT count() FROM {database}.{table}", "threshold": 1, "comparison": ">="},
         {"name": "positive", "query": "SELECT min(o_totalprice) >= 0 FROM {database}.{table}", "expected": True, "severity": "critical"},
+        {"name": "small_keys", "query": "SELECT count(o_custkey) FROM o_custkey WHERE o_custkey <= 5", "threshold": 0, "severity": "warning"},
         {"name": "elsewhere", "query": "SELECT count(*) FROM nowhere.table", "threshold": 0, "skip_if_missing_table": "nowhere.table"},
     ]
 }
@@ -159,21 +173,23 @@ CHECK_DECLARATION = {
     _checks_sql(
         [
             ("shop.orders", "row_count", "error", "n >= 1", "SELECT count(*) AS n FROM orders"),
-            ("shop.orders", "not_null:o_orderkey", "error", "true", "SELECT 0 AS n"),
-            ("shop.orders", "not_null:o_custkey", "error", "true", "SELECT 0 AS n"),
-            ("shop.orders", "unique:o_orderkey", "error", "true", "SELECT 0 AS n"),
+            ("shop.orders", "not_null:o_orderkey", "error", "n = 0", _nulls("orders", "o_orderkey")),
+            ("shop.orders", "not_null:o_custkey", "error", "n = 0", _nulls("orders", "o_custkey")),
+            ("shop.orders", "unique:o_orderkey", "error", "n = 0", _repeats("orders", "o_orderkey")),
             ("shop.orders", "accepted_values:o_orderstatus", "warning", "n = 0", _count("orders", "o_orderstatus NOT IN ('F','O','P')")),
             ("shop.orders", "cheap_orders", "warning", "n = 0", _count("orders", "o_orderdate >= DATE '1998-01-01' AND o_totalprice < 2000")),
-            ("shop.orders", "all_customers_known", "error", "true", "SELECT 0 AS n"),
+            ("shop.orders", "all_customers_known", "error", "n = 0", _count("orders", "o_custkey NOT IN (SELECT c_custkey FROM customer)")),
             ("shop.orders", "busy_customers", "warning", "n = 0", "SELECT count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 12)"),
             ("shop.orders", "enough", "error", "n >= 1", "SELECT count(*) AS n FROM orders"),
-            ("shop.orders", "positive", "critical", "true", "SELECT 0 AS n"),
+            ("shop.orders", "positive", "critical", "n = 0", "SELECT (NOT min(o_totalprice) >= 0)::INT AS n FROM orders"),
+            ("shop.orders", "small_keys", "warning", "n = 0", _count("orders", "o_custkey <= 5")),
         ]
     ),
 )
 def dq_declared(spark, sf):
     suite = q.suite_from_dict(CHECK_DECLARATION, "shop.orders", "shop.customer_raw", ds="1998-01-01")
-    tables = {"shop.orders": load(spark, sf, "orders"), "shop.customer_raw": load(spark, sf, "customer")}
+    orders = load(spark, sf, "orders")
+    tables = {"shop.orders": orders, "shop.customer_raw": load(spark, sf, "customer"), "o_custkey": orders.select("o_custkey")}
     return q.run_checks(tables, suite).drop("details")
 
 
@@ -181,10 +197,10 @@ def dq_declared(spark, sf):
     "dq_gold",
     _checks_sql(
         [
-            ("segments", "not_empty", "critical", "n = 1", "SELECT 1 AS n"),
-            ("segments", "value_positive", "critical", "n = 1", "SELECT 1 AS n"),
+            ("segments", "not_empty", "critical", "n = 1", "SELECT (count(*) > 0)::INT AS n FROM customer"),
+            ("segments", "value_positive", "critical", "n = 1", "SELECT (min(abs(c_acctbal)) >= 0)::INT AS n FROM customer"),
             ("segments", "accepted_values:segment", "critical", "n = 0", _count("customer", "c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")),
-            ("segments", "parts_equal_total", "error", "n = 0", "SELECT 0 AS n"),
+            ("segments", "parts_equal_total", "error", "n = 0", _count("customer", "(c_acctbal > 0)::INT + (c_acctbal <= 0)::INT <> 1")),
         ]
     ),
 )
@@ -222,18 +238,18 @@ CUSTOMER_CONTRACT = ct.Contract(
     "contract_report",
     _checks_sql(
         [
-            ("customer", "missing_columns", "error", "false", "SELECT -1 AS n"),
-            ("customer", "extra_columns", "warning", "false", "SELECT -1 AS n"),
-            ("customer", "not_null:c_custkey", "error", "n = 0", "SELECT 0 AS n"),
-            ("customer", "type:c_custkey", "error", "n = 0", "SELECT 0 AS n"),
+            ("customer", "missing_columns", "error", "n IS NULL", f"SELECT CASE WHEN n = 0 THEN -1 END AS n FROM ({_has('customer', 'c_phone')})"),
+            ("customer", "extra_columns", "warning", "n IS NULL", f"SELECT CASE WHEN n = 0 THEN -1 END AS n FROM ({_has('customer', 'spare')})"),
+            ("customer", "not_null:c_custkey", "error", "n = 0", _nulls("customer", "c_custkey")),
+            ("customer", "type:c_custkey", "error", "n = 0", _count("customer", "TRY_CAST(CAST(c_custkey AS VARCHAR) AS BIGINT) IS NULL")),
             ("customer", "not_null:c_name", "error", "n = 0", _count("customer", "c_custkey % 50 = 1")),
-            ("customer", "pattern:c_name", "error", "n = 0", "SELECT 0 AS n"),
+            ("customer", "pattern:c_name", "error", "n = 0", _count("customer", "NOT regexp_matches(c_name, '^Customer#[0-9]+$') AND c_custkey % 50 <> 1")),
             ("customer", "max_length:c_name", "error", "n = 0", _count("customer", "length(c_name) > 17 AND c_custkey % 50 != 1")),
             ("customer", "type:c_nationkey", "error", "n = 0", _count("customer", "c_custkey % 40 = 0")),
             ("customer", "min:c_nationkey", "error", "n = 0", _count("customer", "c_custkey % 40 != 0 AND c_nationkey < 2")),
             ("customer", "max:c_nationkey", "error", "n = 0", _count("customer", "c_custkey % 40 != 0 AND c_nationkey > 20")),
             ("customer", "min:balance", "error", "n = 0", _count("customer", "c_acctbal < 0")),
-            ("customer", "unique:c_custkey", "error", "n = 0", "SELECT 0 AS n"),
+            ("customer", "unique:c_custkey", "error", "n = 0", _repeats("customer", "c_custkey")),
         ]
     ),
 )
@@ -271,27 +287,28 @@ def business_rules(spark, sf):
     return q.run_checks({"mail": mail}, suite).drop("details")
 
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders")
-
 _COLUMNS = {
-    "region": [("r_regionkey", "int"), ("r_name", "string")],
-    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
-    "customer": [
-        ("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"), ("c_mktsegment", "string"),
-    ],
-    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
-    "part": [
-        ("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double"),
-    ],
-    "orders": [
-        ("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
-        ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"),
-    ],
-}
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+_FIELDS = {t: [c.split(" ", 1) for c in cols.split(", ")] for t, cols in _COLUMNS.items()}
+_LISTED = " UNION ALL ".join(f"SELECT table_name, column_name FROM (DESCRIBE {t}), (SELECT '{t}' AS table_name)" for t in _COLUMNS)
 
 
-def _profile(spark, sf):
-    return pf.profile_tables({t: load(spark, sf, t) for t in _TABLES}, exact=True)
+def _tables(spark, sf):
+    return {t: load(spark, sf, t) for t in _COLUMNS}
 
 
 @query(
@@ -299,42 +316,44 @@ def _profile(spark, sf):
     " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name, '{c}' AS column_name, {i + 1} AS ordinal, '{kind}' AS data_type,
         count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values FROM {t}"""
-        for t, cols in _COLUMNS.items()
+        for t, cols in _FIELDS.items()
         for i, (c, kind) in enumerate(cols)
     ),
     integers=("ordinal",),
 )
 def profile_tables(spark, sf):
-    return _profile(spark, sf).drop("nullable")
+    return pf.profile_tables(_tables(spark, sf), exact=True).drop("nullable")
 
 
 @query(
     "widest_tables",
-    """SELECT * FROM (VALUES ('orders', 6), ('part', 6), ('customer', 5)) t(table_name, col_count)""",
-    integers=("col_count",),
+    f"""SELECT table_name, count(*) AS col_count FROM ({_LISTED}) AS l WHERE table_name <> 'region'
+    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""",
 )
 def widest_tables(spark, sf):
-    return pf.widest(_profile(spark, sf), 3, exclude=["^region$"])
+    return pf.widest(pf.listed(_tables(spark, sf)), 3, exclude=["^region$"])
 
 
 @query(
     "row_counts",
-    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, 'exact' AS row_count_method FROM {t}" for t in _TABLES),
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, 'exact' AS row_count_method FROM {t}" for t in _COLUMNS),
 )
 def row_counts(spark, sf):
-    return pf.row_counts({t: load(spark, sf, t) for t in _TABLES}, exact_below_bytes=2**60)
+    return pf.row_counts(_tables(spark, sf))
 
 
 @query(
     "inventory_summary",
-    "SELECT '2024-06-01' AS date, 6 AS tables, 26 AS columns, "
-    + " + ".join(f"(SELECT count(*) FROM {t})" for t in _TABLES)
+    f"""SELECT '2024-06-01' AS date, (SELECT count(DISTINCT table_name) FROM ({_LISTED}) AS l) AS tables,
+      (SELECT count(*) FROM ({_LISTED}) AS l) AS columns, """
+    + " + ".join(f"(SELECT count(*) FROM {t})" for t in _COLUMNS)
     + " AS rows",
-    integers=("tables", "columns"),
 )
 def inventory_summary(spark, sf):
-    tables = {t: load(spark, sf, t) for t in _TABLES}
-    return pf.inventory_summary(_profile(spark, sf), pf.row_counts(tables, 2**60), "2024-06-01")
+    tables, path = _tables(spark, sf), shared_dir(spark, "inventory")
+    summary = pf.inventory_summary(pf.listed(tables), pf.row_counts(tables), "2024-06-01")
+    writers.write_partitions(summary, path, ["date"])
+    return readers.read_raw(spark, path, partitions={"date": "Date"})
 
 
 @query(
@@ -423,7 +442,7 @@ def related(spark, sf):
     return rl.clean_related(related_raw(spark, sf), RELATED, RELATED_KEYS, RELATED_REMAP)
 
 
-_RELATED_SQL = """c AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 10 != 0 AND c_custkey % 9 != 0),
+_RELATED_SQL = """c AS (SELECT c_custkey AS id, c_acctbal AS balance FROM customer WHERE c_custkey % 10 != 0 AND c_custkey % 9 != 0),
   o AS (SELECT o_orderkey, 'O' || o_orderkey AS order_id, o_custkey,
     CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate - INTERVAL '7 hours' ELSE o_orderdate END AS paid_at FROM orders WHERE o_orderkey % 25 != 0),
   l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
@@ -451,18 +470,18 @@ def related_lines(spark, sf):
     + _checks_sql(
         [
             ("customers", "row_count", "error", "n >= 1", "SELECT count(*) AS n FROM c"),
-            ("customers", "not_null:id", "error", "true", "SELECT 0 AS n"),
-            ("customers", "not_null:balance", "error", "true", "SELECT 0 AS n"),
-            ("customers", "unique:id", "error", "true", "SELECT 0 AS n"),
+            ("customers", "not_null:id", "error", "n = 0", _nulls("c", "id")),
+            ("customers", "not_null:balance", "error", "n = 0", _nulls("c", "balance")),
+            ("customers", "unique:id", "error", "n = 0", _repeats("c", "id")),
             ("purchases", "row_count", "error", "n >= 1", "SELECT count(*) AS n FROM o"),
-            ("purchases", "not_null:order_id", "error", "true", "SELECT 0 AS n"),
-            ("purchases", "unique:order_id", "error", "true", "SELECT 0 AS n"),
+            ("purchases", "not_null:order_id", "error", "n = 0", _nulls("o", "order_id")),
+            ("purchases", "unique:order_id", "error", "n = 0", _repeats("o", "order_id")),
             ("lines", "row_count", "error", "n >= 1", "SELECT count(*) AS n FROM l"),
-            ("lines", "not_null:id", "error", "true", "SELECT 0 AS n"),
-            ("lines", "not_null:order_ref", "error", "true", "SELECT 0 AS n"),
-            ("lines", "unique:id", "error", "true", "SELECT 0 AS n"),
-            ("purchases", "references:customer_id->customers", "error", "true", "SELECT 0 AS n"),
-            ("lines", "references:order_ref->purchases", "error", "true", "SELECT 0 AS n"),
+            ("lines", "not_null:id", "error", "n = 0", _nulls("l", "(l_orderkey, l_linenumber)")),
+            ("lines", "not_null:order_ref", "error", "n = 0", _nulls("l", "l_orderkey")),
+            ("lines", "unique:id", "error", "n = 0", _repeats("l", "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice")),
+            ("purchases", "references:customer_id->customers", "error", "n = 0", _count("(SELECT c.id AS known, p.id AS wanted FROM (SELECT * FROM o JOIN c ON o.o_custkey = c.id) AS p LEFT JOIN c ON p.id = c.id)", "known IS NULL")),
+            ("lines", "references:order_ref->purchases", "error", "n = 0", _count("l", "l_orderkey NOT IN (SELECT o_orderkey FROM o)")),
         ]
     ),
 )

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.common import day, load, money, query, rounded, settled, ts
 from catalog.timelines import AS_OF, ORDERS, _EVENTS, order_rows
-from lakepipe.operators import states
+from lakepipe.operators import metrics, states
 from lakepipe.plans.backfill import backfill
 from lakepipe.session import shared_dir
 from lakepipe.sources import readers, writers
@@ -84,7 +84,7 @@ def csv_typed_publish(spark, sf):
     df = writers.add_date_parts(readers.read_csv_typed(spark, path), "o_orderdate", ("year", "month"))
     writers.write_partitions(df, out, ["year", "month"], mode="overwrite", sort=["o_custkey"])
     back = spark.read.parquet(out)
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")
+    total = F.round(metrics.exact_sum("o_totalprice").cast("double"), 6).alias("total")
     return back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), total)
 
 
@@ -115,10 +115,17 @@ def publish_table(spark, sf):
     return spark.read.parquet(path).groupBy("year").agg(*totals)
 
 
-@query("capped_extract", "SELECT least(count(*), 5000) AS n FROM lineitem")
-def capped_extract(spark, sf):
-    capped = readers.capped(load(spark, sf, "lineitem"), 5000)
-    return capped.agg(F.count(F.lit(1)).alias("n"))
+@query("chunked_extract", "SELECT l_returnflag, count(*) AS n, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files_needed FROM lineitem GROUP BY 1")
+def chunked_extract(spark, sf):
+    path = shared_dir(spark, "chunks")
+    lines = load(spark, sf, "lineitem").repartition(3, "l_returnflag").sortWithinPartitions("l_returnflag")
+    writers.extract_table(lines, path, chunk_rows=5000)
+    per_file = spark.read.orc(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    small = F.assert_true(F.col("n") <= 5000, "a file holds more rows than its chunk")
+    held = per_file.select(F.coalesce(small, F.lit(0)).alias("over")).agg(F.sum("over").alias("over"))
+    rows = spark.read.orc(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    needed = F.ceil(F.col("n") / 5000.0) + held.select("over").scalar()
+    return rows.withColumn("files_needed", needed.cast("bigint"))
 
 
 @query(
@@ -136,6 +143,22 @@ def partition_overwrite(spark, sf):
     return back.groupBy("processing_date").agg(F.count(F.lit(1)).alias("n"), F.sum("replaced").alias("replaced"))
 
 
+@query(
+    "merge_null_partitions",
+    """SELECT coalesce(p, 'none') AS p, CAST(CASE WHEN event_id % 8 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version, count(*) AS n
+    FROM (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN event_type END AS p FROM events) AS e GROUP BY ALL""",
+)
+def merge_null_partitions(spark, sf):
+    path = shared_dir(spark, "merged")
+    part = F.when(F.col("event_id") % 4 != 0, F.col("event_type")).alias("p")
+    old = load(spark, sf, "events").select("event_id", part, F.lit(1).alias("version"))
+    writers.write_partitions(old, path, ["p"], mode="overwrite")
+    new = old.filter("event_id % 8 = 0").withColumn("version", F.lit(2))
+    writers.merge_partitions(new, path, ["event_id"], "version", ["p"])
+    back = spark.read.parquet(path)
+    return back.groupBy(F.coalesce("p", F.lit("none")).alias("p"), "version").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "insert_new_rows",
     """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE 'old' END AS origin FROM customer""",

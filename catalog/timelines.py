@@ -184,7 +184,9 @@ def timeline_assembled(spark, sf):
       UNION ALL SELECT 'min_events:shop_silver.orders', 'warning', true, orders FROM n
       UNION ALL SELECT 'min_events:book_silver.holdings', 'warning', true, positions FROM n
       UNION ALL SELECT 'fresh:timestamp', 'warning', false, date_diff('day', CAST((SELECT greatest(max(l_shipdate),
-        (SELECT max(t) FROM timeline)) FROM lineitem) AS DATE), DATE '2024-06-01'))""",
+        (SELECT max(t) FROM timeline)) FROM lineitem) AS DATE), DATE '2024-06-01')
+      UNION ALL SELECT 'lag:timestamp', 'warning', lag <= 300, lag FROM (SELECT date_diff('second', greatest(max(l_shipdate),
+        (SELECT max(t) FROM timeline)), TIMESTAMP '2024-06-01') AS lag FROM lineitem) AS g)""",
 )
 def timeline_validation(spark, sf):
     suite = tl.timeline_checks("timeline", [e for e in ENTRIES if e.enabled], AS_OF, 1)

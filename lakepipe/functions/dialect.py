@@ -11,6 +11,8 @@ import re
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from lakepipe.functions.times import best_effort_sql
+
 # Fixed values.
 RENAMED = {
     "toString": "string",
@@ -50,7 +52,7 @@ FUNCTIONS = {
     "best_effort_time": (
         "t STRING",
         "TIMESTAMP",
-        "coalesce(try_cast(t AS TIMESTAMP), try_to_timestamp(t, 'yyyyMMdd'))",
+        best_effort_sql("t"),
     ),
 }
 

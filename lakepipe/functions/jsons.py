@@ -74,9 +74,9 @@ def map_json(items: dict[str, Column]) -> Column:
 
 
 def parse_list(c) -> Column:
-    """List literal or comma-separated text to an array; empty or NULL gives []."""
+    """List literal (items in double or single quotes) or comma-separated text to an array; empty or NULL gives []."""
     text = F.trim(as_text(c))
-    literal = F.when(text.startswith("["), F.from_json(F.translate(text, "'", '"'), T.ArrayType(T.StringType())))
+    literal = F.when(text.startswith("["), F.from_json(text, T.ArrayType(T.StringType()), {"allowSingleQuotes": "true"}))
     parts = F.transform(F.split(text, ","), lambda x: F.trim(x))
     empty = F.array().cast("array<string>")
     return F.when(text.isNull() | (text == ""), empty).otherwise(F.coalesce(literal, parts))

@@ -11,35 +11,59 @@ from pyspark.sql import functions as F
 from lakepipe.functions import as_col, as_text
 from lakepipe.functions.numeric import int_or_zero
 
-_ISO = r"^\d{4}-\d{1,2}-\d{1,2}"
-_SLASHED = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
-_MONTH_FIRST = r"^\d{1,2}[/.-](1[3-9]|[23]\d)[/.-]\d{4}"  # the second number can only be a day
-_DAY_FIRST = r"^(1[3-9]|[23]\d)[/.-]\d{1,2}[/.-]\d{4}"
 _ZONED = r"\d{1,2}:\d{2}.*(Z|[+-]\d{2}:?\d{2})$"
 
 
-def parse_timestamp(c, day_first: bool = True) -> Column:
-    """Best-effort timestamp; NULL when nothing fits.
+def best_effort_sql(t: str, day_first: bool = True) -> str:
+    """SQL for the best-effort timestamp of a text: the one definition behind ``parse_timestamp`` and declared SQL.
 
-    The shape of the text picks one format, so each row is parsed once:
-    ISO (with or without zone), yyyyMMddHHmmss, yyyyMMdd, epoch seconds or
-    milliseconds, and dd/MM/yyyy with optional time.  ``day_first=False`` reads
-    ambiguous slashed dates as month first; unambiguous ones are read either way.
+    The shape of the text picks one format: ISO with -, / or . (with or without zone), yyyyMMddHHmmss, yyyyMMdd, epoch
+    seconds or milliseconds, day.month.year, and day and month name in either order, each with an optional time and
+    AM / PM.  Ambiguous numbers are day first or month first; unambiguous ones are read either way.
     """
-    text = F.trim(as_text(c))
-    as_day_first = F.regexp_replace(text, _SLASHED, "$3-$2-$1").try_cast("timestamp")
-    as_month_first = F.regexp_replace(text, _SLASHED, "$3-$1-$2").try_cast("timestamp")
-    usual, other = (as_day_first, as_month_first) if day_first else (as_month_first, as_day_first)
-    certain = _MONTH_FIRST if day_first else _DAY_FIRST
-    return (
-        F.when(text.rlike(_ISO), text.try_cast("timestamp"))
-        .when(text.rlike(r"^\d{14}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")))
-        .when(text.rlike(r"^\d{13}$"), F.timestamp_millis(text.try_cast("bigint")))
-        .when(text.rlike(r"^\d{9,10}$"), F.timestamp_seconds(text.try_cast("bigint")))
-        .when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-        .when(text.rlike(certain), other)
-        .when(text.rlike(_SLASHED), usual)
-    )
+    text = rf"regexp_replace(trim({t}), r'(?i)(\d)\s*[ap]m$', '$1')"
+    slashed = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
+    orders = ("$3-$2-$1", "$3-$1-$2") if day_first else ("$3-$1-$2", "$3-$2-$1")
+    usual, other = (f"try_cast(regexp_replace({text}, r'{slashed}', '{o}') AS TIMESTAMP)" for o in orders)
+    big = r"(1[3-9]|[23]\d)"  # can only be a day
+    certain = rf"^\d{{1,2}}[/.-]{big}[/.-]\d{{4}}" if day_first else rf"^{big}[/.-]\d{{1,2}}[/.-]\d{{4}}"
+    iso = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
+
+    def named(shape: str, day: int, month: int) -> str:
+        part = lambda i: f"regexp_extract({text}, r'{shape}', {i})"
+        at = f"instr('janfebmaraprmayjunjulaugsepoctnovdec', lower(left({part(month)}, 3)))"
+        number = f"CASE WHEN {at} % 3 = 1 THEN CAST(({at} + 2) DIV 3 AS STRING) END"
+        return f"WHEN {text} RLIKE r'{shape}' THEN try_cast(concat({part(3)}, '-', {number}, '-', {part(day)}, {part(4)}) AS TIMESTAMP)"
+
+    day_month = r"^(?:[A-Za-z]{3,9},? )?(\d{1,2})[ -]([A-Za-z]{3,9})[ ,-]+(\d{4})(.*)$"
+    month_day = r"^([A-Za-z]{3,9}) +(\d{1,2}),? +(\d{4})(.*)$"
+    found = rf"""CASE
+      WHEN {text} RLIKE r'{iso}' THEN try_cast(regexp_replace({text}, r'{iso}', '$1-$2-$3') AS TIMESTAMP)
+      WHEN {text} RLIKE r'^\d{{14}}$' THEN try_to_timestamp({text}, 'yyyyMMddHHmmss')
+      WHEN {text} RLIKE r'^\d{{13}}$' THEN timestamp_millis(try_cast({text} AS BIGINT))
+      WHEN {text} RLIKE r'^\d{{9,10}}$' THEN timestamp_seconds(try_cast({text} AS BIGINT))
+      WHEN {text} RLIKE r'^\d{{8}}$' THEN try_to_timestamp({text}, 'yyyyMMdd')
+      WHEN {text} RLIKE r'{certain}' THEN {other}
+      WHEN {text} RLIKE r'{slashed}' THEN {usual}
+      {named(day_month, 1, 2)}
+      {named(month_day, 2, 1)} END"""
+    return rf"""CASE
+      WHEN trim({t}) RLIKE r'(?i)\d\s*pm$' AND hour({found}) < 12 THEN {found} + INTERVAL 12 HOURS
+      WHEN trim({t}) RLIKE r'(?i)\d\s*am$' AND hour({found}) = 12 THEN {found} - INTERVAL 12 HOURS
+      ELSE {found} END"""
+
+
+@functools.lru_cache(maxsize=64)
+def _defined(spark: SparkSession, name: str, day_first: bool) -> str:
+    body = best_effort_sql("t", day_first)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS TIMESTAMP RETURN {body}")
+    return name
+
+
+def parse_timestamp(c, day_first: bool = True) -> Column:
+    """Best-effort timestamp; NULL when nothing fits, see ``best_effort_sql``."""
+    name = "best_effort_time" if day_first else "best_effort_time_month_first"
+    return F.call_function(_defined(SparkSession.active(), name, day_first), as_text(c))
 
 
 def parse_date(c) -> Column:

@@ -188,6 +188,12 @@ def fresh(table: str, column: str, as_of: str, days: int, severity: str = "warni
     return Check(table, f"fresh:{column}", severity, lambda n: n <= days, age, label="days")
 
 
+def lag_at_most(table: str, column: str, as_of: str, seconds: int, severity: str = "warning") -> Check:
+    """The newest time lies at most ``seconds`` before ``as_of``; observed is the lag in seconds."""
+    lag = lambda df: F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(F.max(column))
+    return Check(table, f"lag:{column}", severity, lambda n: n <= seconds, lag, label="seconds")
+
+
 def aggregate_holds(table: str, name: str, expression: str, severity: str = "error") -> Check:
     """An aggregate boolean holds, e.g. ``min(score) >= 3 AND max(score) <= 15``."""
     held = f"CASE WHEN {spark_text(expression)} THEN 1 ELSE 0 END"
@@ -280,6 +286,19 @@ _COMPARE = {
 }
 
 
+_AFTER_TABLE = frozenset(
+    "where group order having limit join left right inner outer full cross natural semi anti on using union except "
+    "intersect minus window lateral qualify tablesample pivot unpivot sort cluster distribute".split()
+)
+
+
+def _named(found: re.Match, view: str, name: str) -> str:
+    """The view in a table's place, under the table's own name unless the text gives another."""
+    word = (found[3] or "").split()
+    own = bool(word) and word[-1].lower() not in _AFTER_TABLE
+    return f"{found[1]}{found[2]}{view}" + ("" if own else f" AS {name}")
+
+
 def custom_sql(
     table: str,
     name: str,
@@ -312,11 +331,12 @@ def custom_sql(
         spark = df.sparkSession
         text = fill_sql(sql, {"ds": ds or "", "target_table": table, "source_table": source or ""})
         for known, frame in tables.items():
-            name_of = re.compile(rf"(?<![\w.]){re.escape(known)}(?!\w)")
-            if name_of.search(text):
+            # only where a table can stand, so that a column may share its name
+            place = re.compile(rf"\b(FROM|JOIN)(\s+){re.escape(known)}(?![\w.])(?=(\s+(?:AS\s+)?\w+)?)", re.I)
+            if place.search(text):
                 view = re.sub(r"\W", "_", known) + "_check"
                 frame.createOrReplaceTempView(view)
-                text = name_of.sub(view, text)
+                text = place.sub(lambda m: _named(m, view, known.rsplit(".", 1)[-1]), text)
         add_functions(spark, text)
         result = spark.sql(text)
         if expect_empty:

@@ -219,5 +219,5 @@ def flag_columns(df: DataFrame) -> list[str]:
 
 
 def booleanize(df: DataFrame) -> DataFrame:
-    """Flag-named columns to booleans; unknown words become NULL."""
-    return _with(df, {c: parse_bool(c) for c in flag_columns(df)})
+    """Flag-named columns as text: 'true', 'false', or the word itself where it is neither."""
+    return _with(df, {c: F.coalesce(parse_bool(c).cast("string"), F.col(f"`{c}`").cast("string")) for c in flag_columns(df)})

@@ -3,11 +3,12 @@
 The many side of these joins is a fact table whose keys can be very uneven (a
 third of all rows may carry one key).  Counts therefore aggregate per key
 before any join.  Row-returning joins let Spark broadcast a lookup that its
-size statistics prove small; beyond that, hot keys of a large table are salted.
+size statistics prove small; hot keys are salted by their counts.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,38 +16,17 @@ from pyspark.sql import functions as F
 
 from lakepipe.operators.dedupe import row_hash
 
-HOT_ROWS = 1_000_000  # a key with more rows than this is salted
-SALTS = 64
-# below this size one task can hold and spill any single key's rows, and the
-# runtime skew-join splitting suffices; above it the hot-key pass pays off
-LARGE_BYTES = 8 * 2**30
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, which is also what its broadcast choice uses.
-
-    0 where it cannot be asked (remote sessions): joins are then left to Spark.
-    """
-    if not hasattr(df, "_jdf"):
-        return 0
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30}
-    digits = text.lower().rstrip("b")
-    return int(digits[:-1]) * units[digits[-1]] if digits[-1:] in units else int(digits)
+HOT_ROWS = 1_000_000  # a key with more rows than this is dealt over several tasks
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows: at most rows / hot_rows of them.
+    """Keys with more than ``hot_rows`` rows, and in how many parts of that size each is dealt.
 
     Counted exactly, since both sides of a salted join must agree on the keys
-    even when a task is run again.
+    even when a task is run again.  Keys with a NULL match nothing and are left out.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") >= hot_rows).select(*keys)
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > hot_rows).select(*keys, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
 
 
 def skew_join(
@@ -55,28 +35,26 @@ def skew_join(
     keys: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-    large_bytes: int = LARGE_BYTES,
 ) -> DataFrame:
     """Equi-join of an uneven ``left`` with ``right`` (inner, left, left_semi, left_anti).
 
-    A ``right`` small enough for Spark's own broadcast, or a ``left`` below
-    ``large_bytes``, is joined plainly.  Otherwise rows of hot left keys are spread over ``salts`` shuffle keys and
-    the matching right rows are repeated that many times; every other row keeps
-    salt 0.  The hot-key list is bounded by rows / ``hot_rows``, which is what
-    makes broadcasting it safe.  Finding hot keys reads the left keys once more:
-    pass a stored table, not a long derivation.
+    Rows of a left key with more than ``hot_rows`` rows are dealt over as many shuffle keys as that many rows fit in,
+    and the matching right rows are repeated for each; rows with a NULL key, which match nothing, are dealt by their
+    hash; every other row keeps salt 0.  Nothing depends on size estimates, and no side is forced into a broadcast:
+    Spark broadcasts what turns out small.  Finding hot keys reads the left keys once more: pass a stored table, not a
+    long derivation.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if plan_bytes(right) <= _broadcast_limit(left) or plan_bytes(left) <= large_bytes:
-        return left.join(right, keys, how)
-    hot = hot_keys(left, keys, hot_rows).withColumn("_hot", F.lit(True))
-    spread = F.when(F.col("_hot"), F.pmod(row_hash(left), F.lit(salts))).otherwise(0).cast("int")
-    salted_left = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", spread).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    hot = hot_keys(left, keys, hot_rows)
+    unmatched = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    deal = F.when(unmatched, F.pmod(row_hash(left), F.lit(1 << 30))).when(
+        F.col("_parts").isNotNull(), F.pmod(row_hash(left), F.col("_parts"))
+    )
+    salted_left = left.join(hot, keys, "left").withColumn("_salt", F.coalesce(deal, F.lit(0)).cast("long")).drop("_parts")
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1)).cast("long") - 1)
+    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_parts")
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 from lakepipe.functions import as_col, case
 from lakepipe.functions.text import if_null
 from lakepipe.functions.times import day_diff, second_diff
-from lakepipe.operators.joins import HOT_ROWS, LARGE_BYTES, plan_bytes
+from lakepipe.operators.joins import HOT_ROWS
 from lakepipe.operators.quantiles import exact_quantiles, score
 
-MONEY = "decimal(18,2)"
+EXACT = "decimal(38,10)"  # holds ten decimals of totals up to 10^28
 
 
 def exact_sum(c) -> Column:
-    return F.sum(as_col(c).cast(MONEY))
+    """Sum that does not depend on the order of the rows; a value that is no number raises."""
+    c = as_col(c)
+    bad = F.raise_error(F.lit("a value to be summed is not a number")).cast(EXACT)
+    return F.sum(F.when(F.isnan(c), bad).otherwise(c.cast(EXACT)))
 
 
 def rate_pct(hits: Column, total: Column, digits: int = 2) -> Column:
@@ -282,7 +285,7 @@ def revenue_metrics(df: DataFrame, ds: str | None = None, tenant: str = "organiz
     total, before = F.col("_sum"), F.col("_before")
     per = lambda n: total / F.nullif(F.col(n), F.lit(0))
     spread = F.col("std_revenue") / F.nullif(per("transaction_count").cast("double"), F.lit(0.0))
-    growth = (total - before) / F.nullif(before, F.lit(0).cast(MONEY)) * 100
+    growth = (total - before).cast("double") / F.nullif(before.cast("double"), F.lit(0.0)) * 100
     return daily.select(
         "organization_id",
         "metric_date",
@@ -315,27 +318,20 @@ def events_by_source(timeline: DataFrame) -> DataFrame:
     )
 
 
-def entity_lifecycle(
-    timeline: DataFrame, period: str = "month", max_events: int = HOT_ROWS, large_bytes: int = LARGE_BYTES
-) -> DataFrame:
+def entity_lifecycle(timeline: DataFrame, period: str = "month", max_events: int = HOT_ROWS) -> DataFrame:
     """Types, times and timestamp sources of each entity's events in time order.
 
     One row per entity and period.  An entity with more than ``max_events``
     events in a period is spread over several rows (``piece`` 0, 1, ...), each
     sorted by time, so no array and no task grows with a hot entity and every
-    event is kept.  At most rows / ``max_events`` groups are that large, which
-    bounds the broadcast list of them.  Timelines below ``large_bytes`` skip
-    the counting pass.
+    event is kept.
     """
     keys = ["entity_type", "entity_id", "period_start"]
     rows = timeline.withColumn("period_start", F.to_date(F.date_trunc(period, "timestamp")))
-    if plan_bytes(timeline) > large_bytes:
-        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        large = counts.filter(F.col("_n") > max_events).select(*keys, F.ceil(F.col("_n") / max_events).alias("_pieces"))
-        piece = F.coalesce(F.pmod(F.xxhash64("event_id"), F.col("_pieces")), F.lit(0)).cast("int")
-        rows = rows.join(F.broadcast(large), keys, "left").withColumn("piece", piece)
-    else:
-        rows = rows.withColumn("piece", F.lit(0))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.filter(F.col("_n") > max_events).select(*keys, F.ceil(F.col("_n") / max_events).alias("_pieces"))
+    piece = F.coalesce(F.pmod(F.xxhash64("event_id"), F.col("_pieces")), F.lit(0)).cast("int")
+    rows = rows.join(large, keys, "left").withColumn("piece", piece)
     item = F.struct("timestamp", "event_type", "event_timestamp_source")
     return (
         rows.groupBy(*keys, "piece")

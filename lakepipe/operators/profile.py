@@ -4,25 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakepipe.operators.filters import exclude_names
-from lakepipe.operators.joins import plan_bytes
 
 
-def profile(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
-    """One row per column: position, type, nullability, NULLs and distinct values, from one aggregation.
-
-    Distinct counts are sketches; ``exact=True`` counts exactly, which
-    shuffles every column's values and is meant for narrow tables.
-    """
-    count = F.count_distinct if exact else F.approx_count_distinct
-    aggs = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        aggs += [F.count_if(c.isNull()).alias(f"n{i}"), count(c).alias(f"d{i}")]
-    rows = F.array(
+def _described(df: DataFrame, table: str, nulls, distinct) -> Column:
+    """One struct per column: position, type, nullability and what the two functions say of column i."""
+    return F.array(
         *[
             F.struct(
                 F.lit(table).alias("table_name"),
@@ -30,13 +20,41 @@ def profile(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
                 F.lit(i + 1).alias("ordinal"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
                 F.lit(f.nullable).alias("nullable"),
-                F.col(f"n{i}").alias("nulls"),
-                F.col(f"d{i}").alias("distinct_values"),
+                nulls(i).alias("nulls"),
+                distinct(i).alias("distinct_values"),
             )
             for i, f in enumerate(df.schema.fields)
         ]
     )
-    return df.agg(*aggs).select(F.inline(rows))
+
+
+def profile(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
+    """One row per column: position, type, nullability, NULLs and distinct values.
+
+    Distinct counts are sketches from one aggregation.  ``exact=True`` counts them: each value's hashes (96 bits) are
+    counted per column, repeats within a task before anything is shuffled.
+    """
+    columns = [F.col(f"`{f.name}`") for f in df.schema.fields]
+    if not exact:
+        aggs = []
+        for i, c in enumerate(columns):
+            aggs += [F.count_if(c.isNull()).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
+        return df.agg(*aggs).select(F.inline(_described(df, table, lambda i: F.col(f"n{i}"), lambda i: F.col(f"d{i}"))))
+    marks = [F.struct(F.lit(i).alias("i"), c.isNull().alias("n"), F.xxhash64(c).alias("h"), F.hash(c).alias("g")) for i, c in enumerate(columns)]
+    values = df.select(F.inline(F.array(*marks))).groupBy("i", "n", "h", "g").agg(F.count(F.lit(1)).alias("rows"))
+    per = values.groupBy("i").agg(
+        F.coalesce(F.sum(F.when(F.col("n"), F.col("rows"))), F.lit(0)).alias("nulls"), F.count_if(~F.col("n")).alias("distinct_values")
+    )
+    one = per.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("nulls", "distinct_values")))).alias("m"))
+    said = lambda name: lambda i: F.coalesce(F.try_element_at("m", F.lit(i))[name], F.lit(0))
+    return one.select(F.inline(_described(df, table, said("nulls"), said("distinct_values"))))
+
+
+def listed(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, ordinal) of all columns, from the schemas; no data is read."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(t, f.name, i + 1) for t, df in tables.items() for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, ordinal int")
 
 
 def profile_tables(tables: dict[str, DataFrame], exact: bool = False) -> DataFrame:
@@ -54,17 +72,14 @@ def widest(columns: DataFrame, n: int = 3, exclude: Sequence[str] = ()) -> DataF
     return counts.orderBy(F.desc("col_count"), F.asc("table_name")).limit(n)
 
 
-def row_counts(tables: dict[str, DataFrame], exact_below_bytes: int = 50 * 2**20, fraction: float = 0.01) -> DataFrame:
-    """Rows per table: exact for small tables, scaled from a sample above the size limit."""
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows per table, always counted: columnar files answer from their footers."""
     out = None
     for name, df in tables.items():
-        exact = plan_bytes(df) <= exact_below_bytes
-        rows = F.count(F.lit(1)) if exact else F.round(F.count(F.lit(1)) / fraction)
-        source = df if exact else df.sample(fraction, seed=1)
-        part = source.agg(
+        part = df.agg(
             F.lit(name).alias("table_name"),
-            rows.cast("bigint").alias("row_count"),
-            F.lit("exact" if exact else "approx").alias("row_count_method"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.lit("exact").alias("row_count_method"),
         )
         out = part if out is None else out.unionByName(part)
     return out

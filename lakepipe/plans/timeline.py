@@ -237,8 +237,10 @@ def store_timeline(events: DataFrame, path: str, merge: bool = False) -> None:
         write_partitions(events, path, by, mode="overwrite", sort=KEYS[1:3])
 
 
-def timeline_checks(name: str, entries: Sequence[SourceEntry] = (), as_of: str | None = None, max_lag_days: int = 1):
-    """Rows present, required fields set, enough events per source, newest event recent."""
+def timeline_checks(
+    name: str, entries: Sequence[SourceEntry] = (), as_of: str | None = None, max_lag_days: int = 1, max_lag_seconds: int = 300
+):
+    """Rows present, required fields set, enough events per source, newest event recent, in days and in seconds."""
     suite = [q.row_count(name, 1, "warning")]
     suite += [q.not_null(name, c) for c in REQUIRED]
     for e in entries:
@@ -256,4 +258,5 @@ def timeline_checks(name: str, entries: Sequence[SourceEntry] = (), as_of: str |
         )
     if as_of:
         suite.append(q.fresh(name, "timestamp", as_of, max_lag_days))
+        suite.append(q.lag_at_most(name, "timestamp", as_of, max_lag_seconds))
     return suite

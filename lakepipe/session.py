@@ -21,7 +21,7 @@ SETTINGS = {
 
 
 def local_session(cpus: int = 8, app: str = "lakepipe", **settings: str) -> SparkSession:
-    """A local session for tests and benchmarks (no web page)."""
+    """A local session for tests and benchmarks (no web page); its checkpoint folder is a new one unless given."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -29,7 +29,8 @@ def local_session(cpus: int = 8, app: str = "lakepipe", **settings: str) -> Spar
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
-    for key, value in {**SETTINGS, **settings}.items():
+    scratch = {} if "spark.checkpoint.dir" in settings else {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-")}
+    for key, value in {**SETTINGS, **scratch, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -37,14 +38,11 @@ def local_session(cpus: int = 8, app: str = "lakepipe", **settings: str) -> Spar
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the folder the cluster names in spark.checkpoint.dir.
 
-    A machine-local folder is made up only on a local master; on a cluster a
-    missing setting is an error, because executors could not see such a folder.
+    A missing setting is an error, because executors could not see a folder made up here.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -47,11 +47,11 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str, na: Sequence[str] = NA_TOKENS, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, na: Sequence[str] = NA_TOKENS, multiline: bool = False) -> DataFrame:
     """CSV as text: trimmed lower-case headers, listed tokens as NULL.
 
-    ``multiline`` allows line breaks inside quoted fields; turn it off for large
-    files without them, which then split over many tasks.
+    ``multiline`` allows line breaks inside quoted fields; a file is one task then,
+    while files without them split over many tasks.
     """
     df = (
         spark.read.option("header", True)
@@ -76,12 +76,17 @@ def read_table(
     bounds: tuple[int, int] | None = None,
     parts: int = 64,
     fetch_rows: int = 50_000,
-    limit: int | None = None,
     **properties,
 ) -> DataFrame:
-    """A relational table, read in parallel ranges of ``split_on`` when given."""
+    """A relational table, read in parallel ranges of ``split_on`` when given.
+
+    Without ``bounds`` the smallest and largest value are asked for first, in the database.
+    """
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_rows), **properties}
-    if split_on:
+    if split_on and bounds is None:
+        ends = f"(SELECT min({split_on}) AS low, max({split_on}) AS high FROM {table}) ends"
+        bounds = tuple(spark.read.format("jdbc").options(**{**options, "dbtable": ends}).load().first())
+    if split_on and None not in bounds:  # an empty table has no bounds
         low, high = bounds
         options |= {
             "partitionColumn": split_on,
@@ -89,10 +94,4 @@ def read_table(
             "upperBound": str(high),
             "numPartitions": str(parts),
         }
-    df = spark.read.format("jdbc").options(**options).load()
-    return capped(df, limit)
-
-
-def capped(df: DataFrame, limit: int | None) -> DataFrame:
-    """The sampling cap of an extract; no cap by default."""
-    return df if limit is None else df.limit(limit)
+    return spark.read.format("jdbc").options(**options).load()

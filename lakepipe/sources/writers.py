@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,23 +59,30 @@ def merge_partitions(
 ) -> None:
     """Merge ``new`` into stored partitions: the highest version per key wins.
 
-    Only partitions that receive rows are read and rewritten.  A key must not
-    move between partitions.
+    Only partitions that receive rows are read and rewritten; NULL is a partition
+    like any other.  A key must not move between partitions.
     """
     stored = new.sparkSession.read.parquet(path)
-    touched = new.select(*by).distinct()
-    # joining on the partition columns lets Spark skip all other folders at run time
-    old = stored.join(touched, list(by), "left_semi").select(*stored.columns)
+    touched = new.select(*[F.col(c).alias(f"_in_{c}") for c in by]).distinct()
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in by])
+    old = stored.join(touched, same, "left_semi")
     write_partitions(replacing_merge(old, new, keys, version), path, by, sort=sort)
 
 
-def extract_table(source: DataFrame, out: str, partition_col: str | None = None, fmt: str = "orc") -> None:
-    """Full copy of a source table, in folders by the date of a column when given."""
+def extract_table(
+    source: DataFrame, out: str, partition_col: str | None = None, fmt: str = "orc", chunk_rows: int | None = None
+) -> None:
+    """Full copy of a source table, in folders by the date of a column when given.
+
+    ``chunk_rows`` bounds the rows of a file; every row is written.
+    """
     if partition_col is None:
-        write_partitions(source, out, [], fmt, "overwrite")
+        writer = source.write.format(fmt).mode("overwrite")
+        (writer.option("maxRecordsPerFile", chunk_rows) if chunk_rows else writer).save(out)
         return
-    dated = source.withColumn("partition", F.to_date(partition_col))
-    write_partitions(dated, out, ["partition"], fmt, "overwrite")
+    dated = _laid_out(source.withColumn("partition", F.to_date(partition_col)), ["partition"])
+    writer = dated.write.format(fmt).option("compression", "snappy").mode("overwrite").partitionBy("partition")
+    (writer.option("maxRecordsPerFile", chunk_rows) if chunk_rows else writer).save(out)
 
 
 def publish(
@@ -121,13 +130,13 @@ def retained(df: DataFrame, date_col: str, days: int, as_of: str) -> DataFrame:
 def drop_expired(spark: SparkSession, table: str, date_col: str, days: int, as_of: str) -> int:
     """Drop whole partitions older than ``days`` without reading any rows; returns how many."""
     limit = dt.date.fromisoformat(as_of) - dt.timedelta(days)
-    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    value = F.regexp_extract("partition", rf"(?:^|/){re.escape(date_col)}=([^/]*)", 1)
+    expired = value.try_cast("date") < F.lit(limit)  # the default partition has no date
+    names = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").where(expired).collect()]
     old = []
     for name in names:
         parts = dict(p.split("=", 1) for p in name.split("/"))
-        value = parts[date_col]
-        if value != "__HIVE_DEFAULT_PARTITION__" and dt.date.fromisoformat(value) < limit:
-            old.append("PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in parts.items()) + ")")
+        old.append("PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in parts.items()) + ")")
     if old:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(old)}")
     return len(old)

@@ -80,6 +80,14 @@ def test_parse_timestamp(spark):
         "1704164645000": dt.datetime(2024, 1, 2, 3, 4, 5),
         "01/02/2024": dt.datetime(2024, 2, 1),
         "01/25/2024 10:30": dt.datetime(2024, 1, 25, 10, 30),
+        "2024/01/02 03:04:05": dt.datetime(2024, 1, 2, 3, 4, 5),
+        "05 Jan 2024 10:00:00": dt.datetime(2024, 1, 5, 10),
+        "Fri, 05 January 2024 10:00:00": dt.datetime(2024, 1, 5, 10),
+        "Jan 5 2024": dt.datetime(2024, 1, 5),
+        "Dec 31, 2024 23:59": dt.datetime(2024, 12, 31, 23, 59),
+        "2024-01-02 03:04:05 PM": dt.datetime(2024, 1, 2, 15, 4, 5),
+        "02/01/2024 12:30 am": dt.datetime(2024, 1, 2, 0, 30),
+        "05 Foo 2024": None,
         "2024-13-01": None,
         "junk": None,
         "": None,
@@ -87,6 +95,9 @@ def test_parse_timestamp(spark):
     out = lambda c: F.date_format(times.parse_timestamp(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     want = [v and v.strftime("%Y-%m-%d %H:%M:%S.%f") for v in cases.values()]
     assert apply(spark, list(cases), out) == want
+    declared = lambda c: F.date_format(dialect.spark_expr("parseDateTime64BestEffortOrNull(v)"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    texts = spark.createDataFrame([(v,) for v in cases], "v string")
+    assert [r[0] for r in texts.select(declared("v")).collect()] == want
     month_first = lambda c: F.to_date(times.parse_timestamp(c, day_first=False)).cast("string")
     assert apply(spark, ["01/02/2024", "25/01/2024"], month_first) == ["2024-01-02", "2024-01-25"]
     assert apply(spark, [20240102, 20241301], lambda c: times.parse_date(c).cast("string"), "int") == ["2024-01-02", None]

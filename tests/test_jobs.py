@@ -122,10 +122,18 @@ def test_read_raw(spark):
 def test_read_csv(spark, tmp_path):
     f = tmp_path / "x.csv"
     f.write_text(' ID ,Name\n1," two\nlines "\nNULL,NA\n')
-    df = readers.read_csv(spark, str(f))
+    df = readers.read_csv(spark, str(f), multiline=True)
     assert df.columns == ["id", "name"] and [tuple(r) for r in df.collect()] == [("1", "two\nlines"), (None, None)]
     assert readers.read_csv_typed(spark, str(f)).columns == [" ID ", "Name"]
-    assert readers.capped(df, 1).count() == 1 and readers.capped(df, None).count() == 2
+
+
+def test_merge_keeps_rows_without_a_partition(spark):
+    path = shared_dir(spark, "merge")
+    old = spark.createDataFrame([(1, "a", 1), (2, None, 1), (3, None, 1)], "k int, p string, v int")
+    writers.write_partitions(old, path, ["p"], mode="overwrite")
+    new = spark.createDataFrame([(3, None, 2), (4, None, 1)], "k int, p string, v int")
+    writers.merge_partitions(new, path, ["k"], "v", ["p"])
+    assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [(1, 1), (2, 1), (3, 2), (4, 1)]
 
 
 def test_partition_overwrite_leaves_the_rest(spark):

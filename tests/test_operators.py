@@ -79,7 +79,7 @@ def test_skew_join_equals_plain_join(spark, how):
     plain = rows(left.join(right, ["k"], how), "*")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
-        salted = joins.skew_join(left, right, ["k"], how, hot_rows=100, salts=4, large_bytes=0)
+        salted = joins.skew_join(left, right, ["k"], how, hot_rows=100)
         assert "_salt" in salted._jdf.queryExecution().toString()
         assert rows(salted, "*") == plain
     finally:
@@ -144,7 +144,7 @@ def test_lifecycle_splits_hot_entities(spark):
         F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("timestamp"),
         F.lit("x").alias("event_type"), F.lit("rec_add").alias("event_timestamp_source"),
     )
-    out = metrics.entity_lifecycle(tl, "month", max_events=40, large_bytes=0).collect()
+    out = metrics.entity_lifecycle(tl, "month", max_events=40).collect()
     hot = [r for r in out if r.entity_id == "hot"]
     assert len(hot) == 9 and sum(len(r.events) for r in hot) == 334
     assert sum(len(r.events) for r in out) == 1000
@@ -210,7 +210,9 @@ def test_frame_cleaning(spark):
     assert got == [(1, None, True, "2024-01-05"), (None, 3.5, None, None)]
     flags = spark.createDataFrame([("t", "x")], "is_on string, island string")
     assert clean.flag_columns(flags) == ["is_on"]
-    assert clean.booleanize(flags).first()[0] is True
+    assert clean.booleanize(flags).first()[0] == "true"
+    odd = spark.createDataFrame([("maybe",), (None,), ("no",)], "is_on string")
+    assert [r[0] for r in clean.booleanize(odd).collect()] == ["maybe", None, "false"]
 
 
 def test_checks(spark):
@@ -295,9 +297,51 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "i int, s string")
     got = rows(profile.profile(df, "t", exact=True), "column_name", "ordinal", "nulls", "distinct_values")
     assert got == [("i", 1, 0, 2), ("s", 2, 1, 1)]
-    counts = profile.row_counts({"big": spark.range(100000).toDF("id")}, exact_below_bytes=0, fraction=0.1).first()
-    assert counts.row_count_method == "approx" and abs(counts.row_count - 100000) < 5000
-
+    counts = profile.row_counts({"big": spark.range(100000).toDF("id")}).first()
+    assert counts.row_count_method == "exact" and counts.row_count == 100000
+    assert rows(profile.profile(df, "t"), "column_name", "nulls", "distinct_values") == [("i", 0, 2), ("s", 1, 1)]
+    assert rows(profile.profile(df.limit(0), "t", exact=True), "nulls", "distinct_values") == [(0, 0), (0, 0)]
+    assert "Expand" not in profile.profile(df, "t", exact=True)._jdf.queryExecution().toString()
+
+
+def test_lifecycle_is_the_same_from_any_source(spark, tmp_path):
+    cols = "entity_type string, entity_id string, timestamp timestamp, event_type string, event_timestamp_source string, event_id string"
+    days = [("order", "a", f"2024-01-0{i + 1} 00:00:00", f"t{i}", "s", f"e{i}") for i in range(6)]
+    df = spark.createDataFrame(days, cols.replace("timestamp timestamp", "timestamp string")).withColumn("timestamp", F.to_timestamp("timestamp"))
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    both = [sorted(map(str, metrics.entity_lifecycle(x, max_events=2).collect())) for x in (df, stored)]
+    assert both[0] == both[1] and len(both[0]) > 1
+
+
+def test_sums_keep_their_decimals(spark):
+    df = spark.createDataFrame([(1, 0.004)] * 1000, "g int, v double")
+    got = metrics.group_summary(df, ["g"], "g", "v").first()
+    assert got.total == 4.0 and got.average == pytest.approx(0.004)
+    nan = spark.createDataFrame([(1, float("nan"))], "g int, v double")
+    with pytest.raises(Exception, match="not a number"):
+        metrics.group_summary(nan, ["g"], "g", "v").collect()
+
+
+def test_skewed_and_null_keys_are_dealt(spark):
+    left = spark.range(2000).select(F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id") % 3).alias("k"), "id")
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "k long, w string")
+    for how in ("left", "inner", "left_anti", "left_semi"):
+        assert rows(joins.skew_join(left, right, ["k"], how, hot_rows=50), "id") == rows(left.join(right, ["k"], how), "id")
+    hot = {r.k: r._parts for r in joins.hot_keys(left, ["k"], 50).collect()}
+    assert set(hot) == {0, 1, 2} and all(5 <= n <= 8 for n in hot.values())
+    text = joins.skew_join(left, right, ["k"], "left", hot_rows=50)._jdf.queryExecution().toString()
+    assert "_salt" in text and "HINT" not in text.upper().split("PHYSICAL")[0]
+
+
+def test_a_table_may_share_its_name_with_a_column(spark):
+    df = spark.createDataFrame([(7,), (3,)], "user int")
+    suite = [
+        q.custom_sql("user", "big", "SELECT count(user) FROM user WHERE user > 5", threshold=1),
+        q.custom_sql("user", "own", "SELECT count(u.user) FROM user AS u JOIN user v ON u.user = v.user", threshold=2),
+        q.custom_sql("user", "said", "SELECT count(user.user) FROM user", threshold=2),
+    ]
+    assert [r.ok for r in q.run_checks({"user": df}, suite).collect()] == [True] * 3
 
 def test_derived_columns_see_cleaned_values(spark):
     raw = spark.createDataFrame([("1", " Ann ", None), ("2", None, " Lee"), ("3", "", "")], "id string, first string, last string")
