@@ -6,6 +6,8 @@ from catalog.common import load, query, rounded, ts
 from lakepipe.operators import checks as q
 from lakepipe.operators import contract as ct
 from lakepipe.operators import profile as pf
+from lakepipe.operators.dedupe import distinct_rows
+from lakepipe.operators.filters import drop_missing
 from lakepipe.plans import related as rl
 from lakepipe.sources import readers, writers
 from lakepipe.sources.writers import land_with_audit
@@ -492,15 +494,24 @@ def related_validation(spark, sf):
 
 @query(
     "load_summary",
-    """SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) FILTER (o_orderstatus = 'F') AS final_rows,
-      count(*) FILTER (o_orderstatus != 'F') AS dropped_rows, 0 AS failed_checks, count(*) FILTER (o_orderstatus = 'F') AS audited_rows FROM orders""",
+    """WITH d AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 10 = 0)
+    SELECT 'orders' AS table_name, count(*) AS source_rows, count(DISTINCT o_orderkey) FILTER (o_orderkey % 7 <> 0) AS final_rows,
+      count(*) - count(DISTINCT o_orderkey) FILTER (o_orderkey % 7 <> 0) AS dropped_rows, count(*) FILTER (o_orderkey % 7 = 0) AS dropped_missing,
+      count(*) FILTER (o_orderkey % 7 <> 0) - count(DISTINCT o_orderkey) FILTER (o_orderkey % 7 <> 0) AS dropped_repeats, 0 AS failed_checks,
+      count(DISTINCT o_orderkey) FILTER (o_orderkey % 7 <> 0) AS audited_rows FROM d""",
     integers=("failed_checks",),
 )
 def load_summary(spark, sf):
-    source, before = pf.observed(load(spark, sf, "orders"), "source")
-    final, after = pf.observed(source.filter("o_orderstatus = 'F'"), "final")
+    orders = load(spark, sf, "orders")
+    blank = F.when(F.col("o_orderkey") % 7 == 0, " ").otherwise(F.col("o_orderpriority"))
+    rows = orders.unionByName(orders.filter("o_orderkey % 10 = 0")).withColumn("o_orderpriority", blank)
+    source, before = pf.observed(rows, "source")
+    there, missing = pf.dropping(source, lambda df: drop_missing(df, ["o_orderpriority"]), "missing")
+    once, repeats = pf.dropping(there, distinct_rows, "repeats")
+    final, after = pf.observed(once, "final")
     path = shared_dir(spark, "landed")
     audit = land_with_audit(final, path, "shop.orders", "shop", "run-1", "2024-06-01", ["o_orderstatus"])
     results = q.run_checks({"orders": spark.read.parquet(path)}, [q.row_count("orders"), q.not_null("orders", "__run_id")])
-    row = pf.load_summary(spark, "orders", before, after, path, results).drop("location")
+    dropped = {"missing": missing, "repeats": repeats}
+    row = pf.load_summary(spark, "orders", before, after, path, results, dropped).drop("location")
     return row.join(audit.select(F.lit("orders").alias("table_name"), F.col("rows_written").alias("audited_rows")), "table_name")

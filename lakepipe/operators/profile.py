@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -103,10 +103,23 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
 
 
+def dropping(df: DataFrame, step: Callable[[DataFrame], DataFrame], name: str) -> tuple[DataFrame, Callable[[], int]]:
+    """A step that drops rows, and how many it dropped, known once an action has run; nothing is read twice."""
+    counted, before = observed(df, f"{name}_in")
+    out, after = observed(step(counted), f"{name}_out")
+    return out, lambda: before.get["rows"] - after.get["rows"]
+
+
 def load_summary(
-    spark, table: str, source: Observation, final: Observation, location: str, results: DataFrame | None = None
+    spark,
+    table: str,
+    source: Observation,
+    final: Observation,
+    location: str,
+    results: DataFrame | None = None,
+    dropped: dict[str, Callable[[], int]] | None = None,
 ) -> DataFrame:
-    """One-row report of a finished load: rows read, kept and dropped, failed checks, location."""
+    """One-row report of a finished load: rows read, kept and dropped (also per step), failed checks, location."""
     before, after = source.get["rows"], final.get["rows"]
     row = spark.range(1).select(
         F.lit(table).alias("table_name"),
@@ -114,6 +127,7 @@ def load_summary(
         F.lit(after).alias("final_rows"),
         F.lit(before - after).alias("dropped_rows"),
         F.lit(location).alias("location"),
+        *[F.lit(count()).alias(f"dropped_{name}") for name, count in (dropped or {}).items()],
     )
     if results is None:
         return row.withColumn("failed_checks", F.lit(0).cast("bigint"))

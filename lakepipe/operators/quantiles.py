@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICES = 4096  # parts of a bracket that are counted before any value is ranked
+
 
 def exact_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 4_000
 ) -> DataFrame:
     """Linear-interpolated quantiles per group: ``by`` columns + ``quantiles`` array.
 
-    A sketch brackets each wanted rank within a few parts in ``accuracy``; only
-    the distinct values inside a bracket are ranked, everything below it is
-    just counted.  Equal values are counted together before any shuffle.  A
+    A sketch brackets each wanted rank within a few parts in ``accuracy``, and a
+    bracket is cut into ``SLICES`` slices; only the distinct values of the one or
+    two slices that hold the rank are ranked, everything else is just counted.  Equal values are counted together before any shuffle.  A
     bracket that misses its rank raises (raise ``accuracy`` then), so a result
     is always exact.
     """
@@ -33,35 +35,38 @@ def exact_quantiles(
     else:
         one = sketch.select(F.struct("_b", "_total")).scalar()
         counted = counted.withColumn("_s", one).select("_v", "_n", "_s._b", "_s._total")
-    # value at or below the bracket's top: ranked when inside it, else only counted (as NULL)
-    hits = F.filter(
-        F.array(
-            *[
-                F.when(
-                    F.col("_v") <= F.col("_b")[k + i],
-                    F.struct(F.lit(i).alias("i"), F.when(F.col("_v") >= F.col("_b")[i], F.col("_v")).alias("v")),
-                )
-                for i in range(k)
-            ]
-        ),
-        lambda x: x.isNotNull(),
-    )
+    # value at or below the bracket's top: in one of its slices when inside it, else only counted (slice -1)
+    def placed(i: int) -> Column:
+        low, high, v = F.col("_b")[i], F.col("_b")[k + i], F.col("_v")
+        share = (v - low) / F.nullif(high - low, F.lit(0.0))
+        inside = F.when(F.isnan(share) | share.isNull(), 0).otherwise(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)))
+        piece = F.when(v >= low, inside).otherwise(-1).cast("int")
+        value = F.when(v >= low, v)
+        return F.when(v <= high, F.struct(F.lit(i).alias("i"), piece.alias("s"), value.alias("v")))
+
+    hits = F.filter(F.array(*[placed(i) for i in range(k)]), lambda x: x.isNotNull())
     cand = (
         counted.select(*by, "_n", "_total", F.explode(hits).alias("_h"))
-        .select(*by, F.col("_h.i").alias("_i"), F.col("_h.v").alias("_v"), "_n", "_total")
-        .groupBy(*by, "_i", "_v", "_total")
+        .select(*by, F.col("_h.i").alias("_i"), F.col("_h.s").alias("_s"), F.col("_h.v").alias("_v"), "_n", "_total")
+        .groupBy(*by, "_i", "_s", "_v", "_total")
         .agg(F.sum("_n").alias("_n"))
     )
-    w = Window.partitionBy(*by, "_i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = cand.withColumn("_cum", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     p = F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.col("_i") + 1)
     pos = p * (F.col("_total") - 1)
-    below = F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_cum"))), F.lit(0))
+    # which slices hold the two ranks: at most SLICES + 1 rows per group and bracket are put in order
+    slices = cand.groupBy(*by, "_i", "_s", "_total").agg(F.sum("_n").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by, "_i").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0))
+    slices = slices.withColumn("_cum", upto).withColumn("_before", F.col("_cum") - F.col("_n"))
+    holds = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_cum"))
+    wanted = slices.where(holds(F.floor(pos)) | holds(F.ceil(pos))).select(*by, "_i", "_s", "_before")
+    # only the values of those slices are ranked
+    within = Window.partitionBy(*by, "_i", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cand.join(wanted, [*by, "_i", "_s"]).withColumn("_cum", F.col("_before") + F.sum("_n").over(within))
     picked = (
         ranked.groupBy(*by, "_i")
         .agg(
             F.max(pos).alias("_pos"),
-            below.alias("_below"),
+            F.coalesce(F.max(F.when(F.col("_s") < 0, F.col("_cum"))), F.lit(0)).alias("_below"),
             F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_v"))).alias("_lo"),
             F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias("_hi"),
         )

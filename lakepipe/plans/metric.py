@@ -28,6 +28,7 @@ class Metric:
     required: Sequence[str] = ()
     numeric: Sequence[str] = ()
     suite: Sequence[q.Check] = ()
+    ranged: bool = False  # sql and fn take a whole range, as ``start`` and ``end``
 
     def __post_init__(self):
         if self.sql is None and self.fn is None:
@@ -57,5 +58,7 @@ class Metric:
         return parts
 
     def backfill(self, spark, tables, start: str, end: str, **context) -> DataFrame:
-        """The metric for each day of a range."""
+        """The metric for each day of a range: one plan if it takes ranges, else one per day."""
+        if self.ranged:
+            return self.run(spark, tables, end, start=start, end=end, **context)
         return backfill.each_day(lambda ds: self.run(spark, tables, ds, **context), start, end)

@@ -19,10 +19,21 @@ from lakepipe.plans.timeline import TimelineSpec, build_timeline
 
 
 def stream_folder(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", pattern: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    pattern: str | None = None,
+    max_files: int = 1000,
+    max_bytes: str | None = None,
 ) -> DataFrame:
-    """Files of a folder as they arrive."""
+    """Files of a folder as they arrive.
+
+    A batch takes at most ``max_files`` files, or ``max_bytes`` (such as "500g") when given, so the first run over a
+    long history is many bounded batches; all of them run before the query ends.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
+    reader = reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader.option("maxFilesPerTrigger", max_files)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(path)
@@ -55,10 +66,10 @@ def append_stream(
 def append_timeline(
     source: DataFrame, spec: TimelineSpec, path: str, checkpoint: str, tenant=None, as_of=None
 ) -> StreamingQuery:
-    """Events of newly arrived rows, in folders by month."""
+    """Events of newly arrived rows, in the folders of the stored timeline: by tenant and month."""
     events = build_timeline(source, spec, tenant, as_of)
-    month = F.date_format("processing_date", "yyyyMM")
-    return append_stream(events.withColumn("month", month), path, checkpoint, ["month"])
+    month = F.coalesce(F.date_format("processing_date", "yyyyMM"), F.lit("none"))
+    return append_stream(events.withColumn("month", month), path, checkpoint, ["org_id", "month"])
 
 
 def maintain_metric(
@@ -92,5 +103,9 @@ def read_metric(spark: SparkSession, path: str, keys: Sequence[str], states: Seq
 
 
 def compact_metric(spark: SparkSession, path: str, out: str, keys: Sequence[str]) -> None:
-    """Merge all partials into one folder, as the partials of a new path."""
+    """Merge all partials into one folder, as the partials of a new path.
+
+    To go on from there, start the stream on the old progress folder and the new path: its next batch has a higher
+    number than the compacted one, so it adds a folder beside it, and ``read_metric`` of the new path merges both.
+    """
     merge_states(spark.read.parquet(path).drop("batch"), keys).write.mode("overwrite").parquet(f"{out}/batch=0")
