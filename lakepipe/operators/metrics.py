@@ -137,21 +137,31 @@ def lead_daily_stats(df: DataFrame, start: str | None = None, end: str | None =
 
 
 def page_hits_daily(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Page hits per day and country."""
+    """Page hits per day and country.
+
+    Hits collapse to one row per (day, country, lead, url) first, so the two distinct counts copy collapsed rows only.
+    """
     seconds = F.when(F.col("date_left").isNotNull(), second_diff("date_hit", "date_left"))
-    referred, rows = F.count_if(filled("referer")), F.count(F.lit(1))
-    return (
+    keys = [F.to_date("date_hit").alias("metric_date"), if_null("country", "Unknown", True).alias("country")]
+    visits = (
         _days(df, "date_hit", start, end or start)
-        .groupBy(F.to_date("date_hit").alias("metric_date"), if_null("country", "Unknown", True).alias("country"))
+        .groupBy(*keys, "lead_id", "url")
         .agg(
-            rows.alias("total_hits"),
-            F.count_distinct("lead_id").alias("unique_leads"),
-            F.count_distinct("url").alias("unique_urls"),
-            F.avg(seconds).alias("avg_time_on_page_seconds"),
-            referred.alias("hits_with_referer"),
-            rate_pct(referred, rows).alias("referer_rate"),
+            F.count(F.lit(1)).alias("_hits"),
+            F.sum(seconds).alias("_seconds"),
+            F.count(seconds).alias("_timed"),
+            F.count_if(filled("referer")).alias("_referred"),
         )
     )
+    rows, referred = F.sum("_hits"), F.sum("_referred")
+    return visits.groupBy("metric_date", "country").agg(
+        rows.alias("total_hits"),
+        F.count_distinct("lead_id").alias("unique_leads"),
+        F.count_distinct("url").alias("unique_urls"),
+        (F.sum("_seconds") / F.nullif(F.sum("_timed"), F.lit(0))).alias("avg_time_on_page_seconds"),
+        referred.alias("hits_with_referer"),
+        rate_pct(referred, rows).alias("referer_rate"),
+    )
 
 
 def attribution_by_source(df: DataFrame, start: str, end: str | None = None) -> DataFrame:
