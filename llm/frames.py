@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -24,6 +26,27 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they find it wherever they run."""
+    context = spark.sparkContext
+    folder = os.path.dirname(os.path.abspath(__file__))
+    if getattr(context, "_llm_shipped", False) or not os.path.isdir(folder):
+        return
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="run-")), "llm_package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for name in sorted(os.listdir(folder)):
+            if name.endswith(".py"):
+                out.write(os.path.join(folder, name), f"llm/{name}")
+    context.addPyFile(path)
+    context._llm_shipped = True
+
+
+def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """df.mapInArrow with this package at hand on the workers."""
+    shipped(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """docs with all columns but doc_id and text renamed so that none clashes with a working column, and their new names."""
     names = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
@@ -58,7 +81,7 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
 
     need = list(dict.fromkeys([*keep, text, *also]))
-    return df.select(*[f"`{c}`" for c in need]).mapInArrow(run, schema)
+    return map_batches(df.select(*[f"`{c}`" for c in need]), run, schema)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.frames import map_texts
+from llm.frames import map_batches, map_texts
 from llm.packed import column, known, member, packed
 from llm.words import gram_hashes, joined, mix, pieces, split, white_table, word_hashes
 
@@ -140,11 +140,11 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The texts as (doc, doc_id, text), and per doc the hashes of its runs that also start in a smaller document."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "doc_id", "text")
     same = Window.partitionBy("key")
-    seeds = texts.select("doc", "text").mapInArrow(_seeds, ROWS)
+    seeds = map_batches(texts.select("doc", "text"), _seeds, ROWS)
     shared = seeds.withColumn("least", F.min("doc").over(same)).withColumn("most", F.max("doc").over(same))
     shared = shared.where("many or least < most").select("key", "doc", "pack")
     near = texts.join(_by_document(shared), "doc")  # all of texts' columns, so that its exchange is the later join's too
-    runs = near.mapInArrow(_runs, ROWS).withColumn("least", F.min("doc").over(Window.partitionBy("key", "chk")))
+    runs = map_batches(near, _runs, ROWS).withColumn("least", F.min("doc").over(Window.partitionBy("key", "chk")))
     return texts, _by_document(runs.where("pack is not null or least < doc").select("key", "doc", "pack"))
 
 
