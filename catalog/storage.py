@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.common import day, load, money, query, rounded, settled, ts
+from catalog.common import day, load, money, query, rounded, settled
 from catalog.timelines import AS_OF, ORDERS, _EVENTS, order_rows
 from lakepipe.operators import metrics, states
 from lakepipe.plans.backfill import backfill
