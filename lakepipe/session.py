@@ -38,11 +38,15 @@ def local_session(cpus: int = 8, app: str = "lakepipe", **settings: str) -> Spar
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the folder the cluster names in spark.checkpoint.dir.
 
-    A missing setting is an error, because executors could not see a folder made up here.
+    Where the setting is missing a folder is made up on a local master, whose executor is this very process; on a cluster
+    that is an error, because executors could not see such a folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
