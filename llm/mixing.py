@@ -39,7 +39,7 @@ class Mixing:
     a domain's tokens, as a share of all tokens, at which they end."""
 
     targets: dict[str, float] = field(default_factory=lambda: dict(TARGETS))
-    rows: int = 1500
+    rows: int = 1000
     terms: int = 2000
     epochs: int = 300
     steps: int = 60
@@ -112,8 +112,11 @@ def fit(docs: DataFrame, labels: DataFrame, p: Mixing = Mixing()) -> Classifier:
         return Classifier(names, np.zeros(0, np.uint64), np.zeros((0, len(names))), np.zeros(len(names)))
     y = np.searchsorted(known, [y for _, y in got])
     sets = [np.frombuffer(f, np.uint64) for f, _ in got]
-    terms, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
+    terms, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = column.astype(np.int32)
+    often = seen[column] > 1  # a word of one document tells nothing
+    row, column = row[often], column[often]
     size = np.bincount(y, minlength=len(known)).astype(float)
     share = np.stack([np.bincount(column, (y == c)[row], len(terms)) for c in range(len(known))], axis=1) / size
     mean = share.mean(1, keepdims=True)

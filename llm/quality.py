@@ -72,16 +72,26 @@ def fit(docs: DataFrame, labels: DataFrame, p: Neighbours = Neighbours()) -> Mod
         return [row.tobytes() for row in counts(texts, p.words, p.shapes).astype(np.float16)]
 
     got = sample(docs, labels, quality, p.rows, encode, ~held_out(F.col("doc_id")))
-    x = np.array([np.frombuffer(f, np.float16) for f, _ in got], np.float32).reshape(len(got), wide)
+    x = np.empty((len(got), wide), np.float32)
+    for i, (f, _) in enumerate(got):
+        x[i] = np.frombuffer(f, np.float16)
     y = np.array([y for _, y in got], np.int64)
     if not len(y):
         return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), y)
     idf = np.log((1 + len(y)) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.1
-    weighted = x * idf
-    value, vector = np.linalg.eigh(weighted.T.astype(np.float64) @ weighted)
-    keep = np.argsort(value)[::-1][: min(p.dims, len(y))]
-    basis = np.ascontiguousarray(vector[:, keep], dtype=np.float32)
-    return Model(idf, basis, _unit(weighted @ basis), y.astype(np.float64))
+    x *= idf
+    basis = _leading(x, min(p.dims, len(y)))
+    return Model(idf, basis, _unit(x @ basis), y.astype(np.float64))
+
+
+def _leading(x: np.ndarray, dims: int, more: int = 16, rounds: int = 8) -> np.ndarray:
+    """The leading right singular vectors of x by subspace iteration, in little memory beside x."""
+    basis = np.random.default_rng(1).normal(size=(x.shape[1], min(dims + more, *x.shape))).astype(np.float32)
+    for _ in range(rounds):
+        basis = np.linalg.qr(x.T @ (x @ basis))[0]
+    small = x @ basis
+    turn = np.linalg.svd(small.T @ small)[0]
+    return np.ascontiguousarray((basis @ turn)[:, :dims], dtype=np.float32)
 
 
 def score(docs: DataFrame, model: Model, p: Neighbours, keep: list[str], name: str = "score") -> DataFrame:
