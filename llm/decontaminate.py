@@ -10,7 +10,6 @@ as strings; a null item id is left out of the list of items, but its words count
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -47,7 +46,7 @@ def _windows(items: list[tuple[str | None, str]], size: int) -> dict[int, dict[i
     return {k: dict(v) for k, v in out.items()}
 
 
-def _scan(texts: pa.Array, lookup: list) -> tuple[np.ndarray, list[np.ndarray], list[set], object]:
+def _scan(texts: pa.Array, lookup: list) -> tuple[np.ndarray, list[np.ndarray], list[set]]:
     """Words per text, hit word positions per text, items per text."""
     piece = split(texts, lower_word_table())
     h = word_hashes(piece)
@@ -65,7 +64,7 @@ def _scan(texts: pa.Array, lookup: list) -> tuple[np.ndarray, list[np.ndarray],
                     items[piece.owner[i]] |= ids
     inside = np.cumsum(hit)[:-1] > 0
     places = [np.flatnonzero(inside[a:b]).astype(np.int32) for a, b in zip(piece.first[:-1], piece.first[1:])]
-    return np.diff(piece.first), places, items, piece
+    return np.diff(piece.first), places, items
 
 
 def mark(
@@ -96,7 +95,7 @@ def mark(
         def fn(batch, texts, sent=sent, held=held, more=b > 0):
             if not held:
                 held.append([(k, np.sort(np.array(list(v), np.uint64)), v) for k, v in sent.value.items()])
-            words, place, item, _ = _scan(texts, held[0])
+            words, place, item = _scan(texts, held[0])
             if more:
                 old_p = batch.column(batch.schema.get_field_index(places)).to_pylist()
                 old_i = batch.column(batch.schema.get_field_index(items)).to_pylist()
@@ -164,7 +163,3 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10, mode: str = "do
         new["n_chars"] = F.when(hit, F.length(cut)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
-
-def digest(items: list[str]) -> str:
-    """The digest that report gives for these items, for tests."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

@@ -33,7 +33,7 @@ def sha(x):
 
 
 def test_every_operator_is_registered():
-    numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in entry.queries() if k.startswith("op"))
+    numbers = sorted(int(m[1]) for k in entry.queries() if (m := re.match(r"op(\d+)_", k)))
     assert numbers == list(range(1, 11)) and entry.queries()["pipeline"] is corpus_pipeline.run
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
