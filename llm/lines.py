@@ -6,14 +6,13 @@ is left. One edit is one word put in, taken out or replaced.
 
 A line's variants are itself and itself without one word, as hashes. Two lines are at most one edit apart exactly if they
 share a variant that is (a) both lines themselves, (b) one line itself and the other without a word, or (c) both without
-the word at the same place. So the earliest line per variant and place answers for all the others, and no pairs are made;
-that the reduced lines agree in two independent hashes (96 bits), their length and the place of the edit is what verifies
-the distance.
+the word at the same place. So the earliest line per variant and place answers for all the others: no pairs are made but
+those of a line with the earliest one it meets; the edit distance is then verified on the words of both.
 
 Variants are made only where they can meet: a line and its partner share their first or their last half, so a first pass
 joins whole-line and half-line hashes, drops exact repeats, and passes on lines whose half another line holds. Each task
 settles what its batch can settle and sends the earliest line per hash, so a line that a third of all documents hold
-sends one row per batch. Texts are shuffled once, by document, and that exchange serves both later joins.
+sends one row per batch. Texts are shuffled once, by document, and that exchange serves all later joins.
 
 A null or empty text is one empty line. A null id is larger than any other. Rows with one id rank as one document; lines
 that tie in id and line number do not remove each other, so repeated rows fare alike. Extra columns pass through; an empty
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.frames import apart, map_texts, saved
+from llm.frames import apart, map_batches, map_texts, saved
 from llm.packed import column, known, member, packed
 from llm.words import Piece, lower_white_table, mix, pieces, raw, split, word_hashes
 
@@ -40,7 +39,7 @@ LAST = (1 << 63) - 1
 _POWER = 0xD6E8FEB86659FD93
 
 HALVES = "key long, whole boolean, h long, doc long, line int, many boolean, gone binary, near binary"
-VARIANTS = "key long, chk int, part int, doc long, line int, id long, gone binary"
+VARIANTS = "key long, chk int, part int, doc long, line int, id long, pdoc long, pid long"
 
 
 @dataclass
@@ -191,7 +190,9 @@ def _halves(min_words: int):
 
 
 def _variants(min_words: int):
-    """The deletion neighbourhoods of lines that met another line's half and are not exact repeats."""
+    """The deletion neighbourhoods of lines that met another line's half and are not exact repeats.
+
+    A row that meets an earlier one in its batch already names it as its partner."""
 
     def emit(rows, texts):
         x = lines_of(texts)
@@ -223,21 +224,20 @@ def _variants(min_words: int):
         more = np.zeros(len(key), bool)
         more[1:] = (key[1:] == key[:-1]) & (check[1:] == check[:-1]) & (part[1:] == part[:-1])
         lead = np.maximum.accumulate(np.where(~more, np.arange(len(key)), 0))
-        later = more & ((doc != doc[lead]) | (line != line[lead]))
-        gone_doc, gone = packed(doc[later], own[later])
-        keep = ~later  # ties stay, so that each is judged
-        n = len(gone_doc)
+        later = more & ((doc != doc[lead]) | (line != line[lead]))  # ties stay, so that each is judged
+        own = own.view(np.int64)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([key[keep], mix(gone_doc.view(np.uint64))]).view(np.int64)),
-                pa.array(np.concatenate([check[keep], np.zeros(n, np.int32)])),
-                pa.array(np.concatenate([part[keep], np.zeros(n, np.int32)])),
-                pa.array(np.concatenate([doc[keep], gone_doc])),
-                pa.array(np.concatenate([line[keep], np.zeros(n, np.int32)])),
-                pa.array(np.concatenate([own[keep], np.zeros(n, np.uint64)]).view(np.int64)),
-                pa.concat_arrays([pa.nulls(int(keep.sum()), pa.binary()), pa.array(gone, pa.binary())]),
+                pa.array(np.where(later, mix(key ^ mix(doc.view(np.uint64))), key).view(np.int64)),  # dealt by document
+                pa.array(check),
+                pa.array(part),
+                pa.array(doc),
+                pa.array(line),
+                pa.array(own),
+                pa.array(doc[lead], mask=~later),
+                pa.array(own[lead], mask=~later),
             ],
-            names=["key", "chk", "part", "doc", "line", "id", "gone"],
+            names=["key", "chk", "part", "doc", "line", "id", "pdoc", "pid"],
         )
 
     return lambda batches: _gather(batches, emit, settle)
@@ -249,8 +249,7 @@ def _first_pass(texts: DataFrame, min_words: int) -> DataFrame:
     plain = F.col("gone").isNull() & F.col("near").isNull()
     line = F.col("h").bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 40))
     rows = (
-        texts.select("doc", "text")
-        .mapInArrow(_halves(min_words), HALVES)
+        map_batches(texts.select("doc", "text"), _halves(min_words), HALVES)
         .withColumn("least", F.min(rank).over(key))
         .withColumn("meets", F.max("many").over(key) | (F.min("h").over(key) != F.max("h").over(key)))
         .withColumn("later", plain & F.col("whole") & (rank > F.col("least")))
@@ -265,24 +264,86 @@ def _first_pass(texts: DataFrame, min_words: int) -> DataFrame:
     )
 
 
-def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
-    """Per document: identities of lines one edit from an earlier line.
+def _pairs(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
+    """Lines (doc, id) and the earlier lines (pdoc, pid) that share a variant with them, one or a few per line.
 
-    The join takes all of texts' columns, so that its exchange is the later join's too."""
-    rank, key = F.struct("doc", "line"), Window.partitionBy("key", "chk")
-    whole = F.col("part") < 0
+    The join takes all of texts' columns, so that its exchange is the later joins' too."""
+    key, place = Window.partitionBy("key", "chk"), Window.partitionBy("key", "chk", "part")
+    whole, open_ = F.col("part") < 0, F.col("pid").isNull()
+    rank = F.struct("doc", "line", "id")
+    earlier = lambda c: F.struct(F.col(f"{c}.doc"), F.col(f"{c}.line")) < F.struct("doc", "line")
     meets = first.where("size(near) > 0 or size(near_packs) > 0")
-    rows = texts.join(meets, "doc").mapInArrow(_variants(min_words), VARIANTS)
-    judged = (
-        rows.withColumn("any", F.min(F.when(F.col("gone").isNull(), rank)).over(key))
-        .withColumn("itself", F.min(F.when(F.col("gone").isNull() & whole, rank)).over(key))
-        .withColumn("place", F.min(F.when(F.col("gone").isNull(), rank)).over(Window.partitionBy("key", "chk", "part")))
-        .withColumn("later", F.when(whole, F.col("any") < rank).otherwise((F.col("place") < rank) | F.coalesce(F.col("itself") < rank, F.lit(False))))
-        .where("later or gone is not null")
+    rows = map_batches(texts.join(meets, "doc"), _variants(min_words), VARIANTS)
+    rows = (
+        rows.withColumn("any", F.min(F.when(open_, rank)).over(key))
+        .withColumn("itself", F.min(F.when(open_ & whole, rank)).over(key))
+        .withColumn("same", F.min(F.when(open_, rank)).over(place))
     )
-    return judged.groupBy("doc").agg(
-        F.collect_set(F.when(F.col("gone").isNull(), F.col("id"))).alias("more"), F.collect_list("gone").alias("more_packs")
+    partner = (
+        F.when(~open_, F.struct(F.col("pdoc").alias("doc"), F.col("pid").alias("id")))
+        .when(whole & earlier("any"), F.struct("any.doc", "any.id"))
+        .when(~whole & earlier("same"), F.struct("same.doc", "same.id"))
+        .when(~whole & earlier("itself"), F.struct("itself.doc", "itself.id"))
     )
+    named = rows.withColumn("p", partner).where("p is not null")
+    return named.select("doc", "id", F.col("p.doc").alias("pdoc"), F.col("p.id").alias("pid"))
+
+
+def one_edit(a: list[str], b: list[str]) -> bool:
+    """At most one word put in, taken out or replaced."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
+
+
+def _wanted_lines(min_words: int):
+    """(doc, id, words) of the lines that a document is asked for."""
+
+    def run(batches):
+        for batch in batches:
+            for at, texts in pieces(column(batch, "text")):
+                rows = batch.slice(at, len(texts))
+                x = lines_of(texts)
+                pick, a, b = _judged(x, min_words)
+                own = _identity(_tag(_Sums(word_hashes(x.piece)).run(a, b), b - a, 0), x.number[pick])
+                bounds = np.searchsorted(x.owner[pick], np.arange(len(texts) + 1))
+                hit = np.zeros(len(pick), bool)
+                for i, asked in enumerate(column(rows, "asked")):
+                    part = slice(bounds[i], bounds[i + 1])
+                    hit[part] = member(own[part], np.sort(asked.values.to_numpy().view(np.uint64)))
+                words = [x.piece.span(i, j).decode() for i, j in zip(a[hit], b[hit])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_ids(rows)[x.owner[pick[hit]]]), pa.array(own[hit].view(np.int64)), pa.array(words, pa.string())],
+                    names=["wdoc", "wid", "words"],
+                )
+
+    return run
+
+
+def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
+    """Per document: identities of lines one edit from an earlier line, each verified on the words of both."""
+    pairs = _pairs(texts, first, min_words)
+    pair = F.struct("doc", "id", "pdoc", "pid").alias("pair")
+    side = lambda n, doc, id_: F.struct(F.lit(n).alias("side"), F.col(doc).alias("wdoc"), F.col(id_).alias("wid"))
+    sides = pairs.select(pair, F.explode(F.array(side(0, "doc", "id"), side(1, "pdoc", "pid"))).alias("s")).select("pair", "s.*")
+    # a line that many others meet is asked for once; the list is bounded by the document's own lines
+    asked = sides.groupBy(F.col("wdoc").alias("doc")).agg(F.collect_set("wid").alias("asked"))
+    words = map_batches(texts.join(asked, "doc"), _wanted_lines(min_words), "wdoc long, wid long, words string")
+    words = words.groupBy("wdoc", "wid").agg(F.min("words").alias("words"))  # rows that share an id
+    both = sides.join(words, ["wdoc", "wid"]).groupBy("pair").agg(
+        F.min(F.when(F.col("side") == 0, F.col("words"))).alias("a"), F.min(F.when(F.col("side") == 1, F.col("words"))).alias("b")
+    )
+
+    def verify(batches):
+        for batch in batches:
+            ok = [one_edit(x.split(" "), y.split(" ")) for x, y in zip(column(batch, "a").to_pylist(), column(batch, "b").to_pylist())]
+            yield batch.select(["doc", "id"]).filter(pa.array(ok, pa.bool_()))
+
+    near = both.select("pair.doc", "pair.id", "a", "b").where("a is not null and b is not null")
+    return map_batches(near, verify, "doc long, id long").groupBy("doc").agg(F.collect_set("id").alias("more"))
 
 
 def _cut(docs: DataFrame, keep: list[str], min_words: int) -> DataFrame:
@@ -301,7 +362,7 @@ def _cut(docs: DataFrame, keep: list[str], min_words: int) -> DataFrame:
         own = _identity(_tag(_Sums(word_hashes(x.piece)).run(a, b), b - a, 0), x.number[pick])
         bounds = np.searchsorted(x.owner[pick], np.arange(len(part) + 1))
         gone = np.zeros(len(x.owner), bool)
-        for i, (old, new) in enumerate(zip(known(rows, "gone", "gone_packs"), known(rows, "more", "more_packs"))):
+        for i, (old, new) in enumerate(zip(known(rows, "gone", "gone_packs"), known(rows, "more", None))):
             mine = own[bounds[i] : bounds[i + 1]]
             gone[pick[bounds[i] : bounds[i + 1]]] = member(mine, old) | member(mine, new)
         base = np.searchsorted(x.owner, np.arange(len(part) + 1))
@@ -316,7 +377,7 @@ def _cut(docs: DataFrame, keep: list[str], min_words: int) -> DataFrame:
 
     fields = [T.StructField(c, T.LongType()) for c in ("n_lines", "n_removed", "words_left")]
     fields.append(T.StructField("kept", T.StringType()))
-    return map_texts(marked, fn, fields, keep, ("gone", "gone_packs", "more", "more_packs"))
+    return map_texts(marked, fn, fields, keep, ("gone", "gone_packs", "more"))
 
 
 def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -21,11 +21,11 @@ def column(rows, name: str):
     return rows.column(rows.schema.get_field_index(name))
 
 
-def known(rows, keys: str, packs: str) -> Iterator[np.ndarray]:
+def known(rows, keys: str, packs: str | None) -> Iterator[np.ndarray]:
     """Per row the sorted hashes of its list and its packs; null lists are empty."""
-    for k, p in zip(column(rows, keys), column(rows, packs)):
+    for k, p in zip(column(rows, keys), column(rows, packs) if packs else [None] * len(rows)):
         own = k.values.to_numpy().view(np.uint64) if k.is_valid and len(k.values) else np.zeros(0, np.uint64)
-        more = [np.frombuffer(x, np.uint64) for x in (p.as_py() or [])] if p.is_valid else []
+        more = [np.frombuffer(x, np.uint64) for x in (p.as_py() or [])] if p is not None and p.is_valid else []
         yield np.sort(np.concatenate([own, *more])) if more else np.sort(own)
 
 
