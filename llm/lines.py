@@ -34,7 +34,7 @@ from llm.packed import column, known, member, packed
 from llm.words import Piece, lower_white_table, mix, pieces, raw, split, word_hashes
 
 MIN_WORDS = 8
-BATCH = 1 << 21
+BATCH = 1 << 19  # rows that a task holds before it settles them and sends them on
 LAST = (1 << 63) - 1
 _POWER = 0xD6E8FEB86659FD93
 
