@@ -81,7 +81,7 @@ def _matches(text: Column, kind: Kind) -> Column:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """row, doc_id, name, start, end: one line per span reported, and one without name for each row of docs."""
+    """row, doc_id, name, start, end: one line per span reported; lines without a name keep the rows of docs without spans."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
     any_trigger = F.col("text").rlike("|".join(k.trigger for k in KINDS))
@@ -93,11 +93,15 @@ def spans(docs: DataFrame) -> DataFrame:
     parts = parts.withColumn("start", F.col("end") - F.col("size"))
 
     def by_kind(value) -> Column:
-        return F.element_at(F.array(*[F.lit(value(k)) for k in KINDS]), F.col("kind") + 1)
+        at = F.element_at(F.array(*[F.lit(value(k)) for k in KINDS]), F.col("kind") + 1)
+        return F.when(F.col("kind").isNotNull(), at)  # element_at may give the last value for a null place
 
     strong = F.col("counts") >= by_kind(lambda k: k.least if k.strong else 1 << 30)
     parts = parts.withColumn("strong", F.coalesce(strong, F.lit(False))).withColumn("role", by_kind(lambda k: k.role))
-    parts = parts.where(F.col("kind").isNull() | F.col("strong") | (F.col("counts") >= by_kind(lambda k: k.weak)))
+    # a match that is too short has its place in the sums above, is no part, and still keeps its row
+    part = F.col("strong") | (F.col("counts") >= by_kind(lambda k: k.weak))
+    parts = parts.withColumn("part", F.coalesce(part, F.lit(False)))
+    parts = parts.withColumns({c: F.when(F.col("part"), F.col(c)) for c in ("kind", "role")})
     before = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy("row").orderBy("start").rangeBetween(0, Window.unboundedFollowing)
 

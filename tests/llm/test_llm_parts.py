@@ -252,6 +252,14 @@ def test_weak_parts_need_a_partner(spark):
     assert got == {1: "", 2: "weak_user:0:8,weak_pass:9:22", 3: "", 4: "weak_assign:0:9,weak_endpoint:10:33"}
 
 
+def test_short_matches_keep_their_documents(spark):
+    texts = ["Password: no", "login: ab", "pwd=abc", "ftp://a", "AKIAX", "token=a then token=abcdef1", "token=a user=bob secret=abc login=x", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.report(docs).collect()}
+    assert got == {**dict.fromkeys(range(9), ""), 5: "assign:13:26", 6: "weak_user:8:16,weak_assign:17:27"}
+    assert {r.base_sha256 for r in secrets.report(docs).where("doc_id <> 5").collect()} == {substrings.digest([""])}
+
+
 def test_license_automata():
     a = licenses.compile_template("t", "use [[and copy]] this {{1-2}} under {{mit|apache 2}} terms [[now [[please]]]]")
     words = licenses.words_of
