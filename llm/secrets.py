@@ -7,7 +7,7 @@ sweep in order of the starts: the largest end so far and the smallest start to c
 that role reaches into the scope, so no pairs are made.
 
 A pattern's matches and the gaps between them (the text split by the pattern) give the positions, in code points. Texts
-that hold no trigger are not searched further. Only small rows (lengths, not texts) are shuffled, by row.
+that hold no trigger are not searched further; a trigger matches wherever its pattern does. Only small rows (lengths, not texts) are shuffled, by row.
 
 A null or empty text has no spans. Repeated rows are judged alike, each on its own; a null id is kept. Extra columns are
 ignored; an empty table gives an empty result.
@@ -54,7 +54,7 @@ KINDS = (
     Kind("weak_access", "identifier", "AKIA[A-Z0-9]+", "AKIA", 0, 12, "access", 20),
     Kind("weak_hex", "secret", "[0-9a-f]{16,}", "[0-9a-f]{16}", 0, 16, "hex", 24),
     Kind("weak_key_id", "identifier", "A(SIA|IDA|ROA|GPA)[A-Z0-9]+", "A(SIA|IDA|ROA|GPA)[A-Z0-9]", 0, 16),
-    Kind("weak_user", "identifier", any_case("(username|user|login|client_?id|key_?id)") + _GLUE + _PLAIN, any_case("(user|login|_?id)") + ".{0,9}[:=]", 2, 3),
+    Kind("weak_user", "identifier", any_case("(username|user|login|client_?id|key_?id)") + _GLUE + _PLAIN, any_case("(username|user|login|client_?id|key_?id)") + r"""["']?\x20*[:=]""", 2, 3),
     Kind("weak_pass", "secret", any_case("(pwd|passphrase|credentials?|private_?key)") + _GLUE + _PLAIN, any_case("(pwd|passphrase|credential|private_?key)"), 2, 6),
     Kind("weak_endpoint", "endpoint", r"[a-z][a-z0-9+]{1,9}://[^\x00-\x20\x22\x27<>]+", "://", 0, 8),
     Kind("weak_host", "endpoint", any_case("(host|hostname|endpoint|server)") + _GLUE + r"([A-Za-z0-9-]+[.][A-Za-z0-9.-]+)", any_case("(host|hostname|endpoint|server)"), 2, 4),

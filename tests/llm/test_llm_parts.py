@@ -260,6 +260,15 @@ def test_short_matches_keep_their_documents(spark):
     assert {r.base_sha256 for r in secrets.report(docs).where("doc_id <> 5").collect()} == {substrings.digest([""])}
 
 
+def test_triggers_match_wherever_their_patterns_do(spark):
+    aligned = [f"{word}{q}{' ' * n}{sep}{' ' * n}alice\npassword{' ' * n}= hunter2xyz" for word in ("username", "user", "LOGIN", "client_id", "keyid") for q in ("", '"') for sep in ":=" for n in (0, 1, 6, 12, 40)]
+    docs = spark.createDataFrame(list(enumerate(aligned)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.report(docs).collect()}
+    for i, text in enumerate(aligned):
+        end = text.index("\n")
+        assert got[i] == f"weak_user:0:{end},assign:{end + 1}:{len(text)}", text
+
+
 def test_license_automata():
     a = licenses.compile_template("t", "use [[and copy]] this {{1-2}} under {{mit|apache 2}} terms [[now [[please]]]]")
     words = licenses.words_of
