@@ -1,8 +1,12 @@
 """Line dedup by a deletion-neighbourhood join: a line goes if an earlier line is at most one word edit away.
 
-Words are [^\\x20\\x09-\\x0D]+ with A-Z lowered; lines are what stands between line feeds, and lines with fewer than
-`min_words` words are left alone. Earlier means smaller (doc_id, line number); lines are judged on the input, not on what
-is left. One edit is one word put in, taken out or replaced.
+Words are [^\\x20\\x09-\\x0D]+ with A-Z lowered; lines are what stands between line feeds. Lines with fewer than `exact`
+words are left alone, lines with fewer than `min_words` words go only if an earlier line has the same words. Earlier means
+smaller (doc_id, line number); lines are judged on the input, not on what is left. One edit is one word put in, taken out
+or replaced, between two lines of `min_words` words or more.
+
+clean() judges every line with a word for exact repeats, and for edits from NEAR_WORDS words on: one word of a shorter
+line is half of it or more. report() gives what the SQL of op3 says: MIN_WORDS words for both.
 
 A line's variants are itself and itself without one word, as hashes. Two lines are at most one edit apart exactly if they
 share a variant that is (a) both lines themselves, (b) one line itself and the other without a word, or (c) both without
@@ -34,6 +38,7 @@ from llm.packed import column, known, member, packed
 from llm.words import Piece, lower_white_table, mix, pieces, raw, split, word_hashes
 
 MIN_WORDS = 8
+NEAR_WORDS = 3
 BATCH = 1 << 19  # rows that a task holds before it settles them and sends them on
 LAST = (1 << 63) - 1
 _POWER = 0xD6E8FEB86659FD93
@@ -119,47 +124,63 @@ def _ids(rows) -> np.ndarray:
 
 
 def _gather(batches, emit, settle):
+    """What settle makes of the rows emitted, a batch at a time; a batch is let go before the next one is read."""
     held: list = []
     size = 0
+
+    def settled():
+        columns = [list(x) for x in zip(*held)]
+        held.clear()
+        for i, parts in enumerate(columns):
+            columns[i] = np.concatenate(parts)
+            parts.clear()
+        return settle(columns)
+
     for batch in batches:
         for at, texts in pieces(column(batch, "text")):
             made = emit(batch.slice(at, len(texts)), texts)
             held.append(made)
             size += len(made[0])
+            del made
             if size >= BATCH:
-                yield settle([np.concatenate(x) for x in zip(*held)])
-                held, size = [], 0
+                size = 0
+                yield settled()
     if held:
-        yield settle([np.concatenate(x) for x in zip(*held)])
+        yield settled()
+
 
+def _halves(min_words: int, exact: int):
+    """Whole-line and half-line hashes; a batch settles exact repeats and lines that meet within it.
 
-def _halves(min_words: int):
-    """Whole-line and half-line hashes; a batch settles exact repeats and lines that meet within it."""
+    Lines with fewer than min_words words have no halves."""
 
     def emit(rows, texts):
         x = lines_of(texts)
-        pick, a, b = _judged(x, min_words)
+        pick, a, b = _judged(x, exact)
         n = b - a
         s = _Sums(word_hashes(x.piece))
         h = _tag(s.run(a, b), n, 0)
         low, high = n // 2, (n - 1) // 2
         keys = [_tag(s.run(a, a + k), k, 1) for k in (low, high)] + [_tag(s.run(b - k, b), k, 2) for k in (n - low, n - 1 - high)]
-        return [h, _ids(rows)[x.owner[pick]], x.number[pick].astype(np.int32), *keys]
+        return [h, _ids(rows)[x.owner[pick]], x.number[pick].astype(np.int32), n >= min_words, *keys]
 
     def settle(columns):
-        h, doc, line, *keys = columns
+        h, doc, line, halved, *keys = columns
+        columns.clear()
         order = np.lexsort((line, doc, h))
-        h, doc, line, keys = h[order], doc[order], line[order], [k[order] for k in keys]
+        h, doc, line, halved, keys = h[order], doc[order], line[order], halved[order], [k[order] for k in keys]
         again = np.zeros(len(h), bool)  # an earlier line of this batch is the same
         again[1:] = h[1:] == h[:-1]
         lead = np.maximum.accumulate(np.where(~again, np.arange(len(h)), 0))
         tied = again & (doc == doc[lead]) & (line == line[lead])
         gone_doc, gone = packed(doc[again & ~tied], _identity(h, line)[again & ~tied])
-        h, doc, line, keys = h[~again], doc[~again], line[~again], [k[~again] for k in keys]
-        k = np.concatenate(keys)
-        at = np.tile(np.arange(len(h)), len(keys))
+        h, doc, line, halved, keys = h[~again], doc[~again], line[~again], halved[~again], [k[~again] for k in keys]
+        k = np.concatenate([k[halved] for k in keys])
+        at = np.tile(np.flatnonzero(halved), len(keys))
+        del keys
         order = np.lexsort((at, k))
         k, at = k[order], at[order]
+        del order
         twice = np.zeros(len(k), bool)
         twice[1:] = (k[1:] == k[:-1]) & (at[1:] == at[:-1])
         k, at = k[~twice], at[~twice]
@@ -219,8 +240,11 @@ def _variants(min_words: int):
 
     def settle(columns):
         key, check, part, doc, line, own = columns
+        columns.clear()
         order = np.lexsort((line, doc, part, check, key))
-        key, check, part, doc, line, own = (c[order] for c in (key, check, part, doc, line, own))
+        key, check, part = key[order], check[order], part[order]
+        doc, line, own = doc[order], line[order], own[order]
+        del order
         more = np.zeros(len(key), bool)
         more[1:] = (key[1:] == key[:-1]) & (check[1:] == check[:-1]) & (part[1:] == part[:-1])
         lead = np.maximum.accumulate(np.where(~more, np.arange(len(key)), 0))
@@ -243,13 +267,13 @@ def _variants(min_words: int):
     return lambda batches: _gather(batches, emit, settle)
 
 
-def _first_pass(texts: DataFrame, min_words: int) -> DataFrame:
+def _first_pass(texts: DataFrame, min_words: int, exact: int) -> DataFrame:
     """Per document: identities of exact repeats (gone) and of lines that met another line's half (near)."""
     rank, key = F.struct("doc", "line"), Window.partitionBy("key")
     plain = F.col("gone").isNull() & F.col("near").isNull()
     line = F.col("h").bitwiseXOR(F.shiftleft(F.col("line").cast("long"), 40))
     rows = (
-        map_batches(texts.select("doc", "text"), _halves(min_words), HALVES)
+        map_batches(texts.select("doc", "text"), _halves(min_words, exact), HALVES)
         .withColumn("least", F.min(rank).over(key))
         .withColumn("meets", F.max("many").over(key) | (F.min("h").over(key) != F.max("h").over(key)))
         .withColumn("later", plain & F.col("whole") & (rank > F.col("least")))
@@ -346,10 +370,11 @@ def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFram
     return map_batches(near, verify, "doc long, id long").groupBy("doc").agg(F.collect_set("id").alias("more"))
 
 
-def _cut(docs: DataFrame, keep: list[str], min_words: int) -> DataFrame:
+def _cut(docs: DataFrame, keep: list[str], min_words: int, exact: int | None) -> DataFrame:
     """Columns `keep` of docs, then doc, n_lines, n_removed, words_left and kept (null if nothing goes)."""
     texts = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    first = saved(_first_pass(texts, min_words))
+    exact = min_words if exact is None else min(exact, min_words)
+    first = saved(_first_pass(texts, min_words, exact))
     marked = (
         texts.join(first.select("doc", "gone", "gone_packs"), "doc", "left")
         .join(_second_pass(texts, first, min_words), "doc", "left")
@@ -358,7 +383,7 @@ def _cut(docs: DataFrame, keep: list[str], min_words: int) -> DataFrame:
     def fn(rows, part):
         x = lines_of(part)
         data, offsets = raw(part)
-        pick, a, b = _judged(x, min_words)
+        pick, a, b = _judged(x, exact)
         own = _identity(_tag(_Sums(word_hashes(x.piece)).run(a, b), b - a, 0), x.number[pick])
         bounds = np.searchsorted(x.owner[pick], np.arange(len(part) + 1))
         gone = np.zeros(len(x.owner), bool)
@@ -380,20 +405,22 @@ def _cut(docs: DataFrame, keep: list[str], min_words: int) -> DataFrame:
     return map_texts(marked, fn, fields, keep, ("gone", "gone_packs", "more"))
 
 
-def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_sha256 (of the lines left, joined by line feeds) for each row of docs."""
-    out = _cut(docs.select("doc_id", "text"), ["doc_id", "text"], min_words)
+def report(docs: DataFrame, min_words: int = MIN_WORDS, exact: int | None = None) -> DataFrame:
+    """doc_id, n_lines, n_removed, kept_sha256 (of the lines left, joined by line feeds) for each row of docs.
+
+    exact: words from which on exact repeats go; as many as min_words unless given."""
+    out = _cut(docs.select("doc_id", "text"), ["doc_id", "text"], min_words, exact)
     left = F.coalesce("kept", "text", F.lit("")).cast("binary")
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(left, 256).alias("kept_sha256"))
 
 
-def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def clean(docs: DataFrame, min_words: int = NEAR_WORDS, exact: int | None = 1) -> DataFrame:
     """docs without repeated lines, columns unchanged; n_chars follows the text where that column exists.
 
     A row that loses lines and has no words left is dropped; other rows stay.
     """
     inner, names = apart(docs)
-    out = _cut(inner, inner.columns, min_words).where("n_removed = 0 or words_left > 0")
+    out = _cut(inner, inner.columns, min_words, exact).where("n_removed = 0 or words_left > 0")
     new = {"text": F.coalesce("kept", "text")}
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType

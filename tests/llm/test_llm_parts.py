@@ -184,6 +184,29 @@ def test_lines_against_all_pairs(spark, monkeypatch, batch):
         assert (got[d].n_removed, got[d].kept_sha256) == (len(gone), substrings.digest([kept])), text
 
 
+@pytest.mark.parametrize("batch", [1 << 21, 7])
+def test_short_lines_go_if_they_repeat(spark, monkeypatch, batch):
+    monkeypatch.setattr(lines, "BATCH", batch)
+    rng = random.Random(7)
+    docs = [(d, "\n".join(" ".join(rng.choice("abcAB") for _ in range(rng.randint(0, 6))) for _ in range(rng.randint(1, 5)))) for d in range(80)]
+    docs += [(d, f"Home\nread more\n\n{d} is the number of this page\nALL  rights reserved\t.") for d in range(80, 90)]
+    judged = [(d, i, line.lower().split()) for d, text in docs for i, line in enumerate(text.split("\n")) if line.split()]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.text for r in lines.clean(df).collect()}
+    sums = {r.doc_id: (r.n_removed, r.kept_sha256) for r in lines.report(df, 3, 1).collect()}
+    for d, text in docs:
+        gone = {
+            i
+            for x, i, w in judged
+            if x == d and any((y, j) < (d, i) and (w == v or min(len(w), len(v)) >= 3 and _edits(w, v)) for y, j, v in judged)
+        }
+        left = [line for i, line in enumerate(text.split("\n")) if i not in gone]
+        kept = "\n".join(left)
+        assert got.get(d) == (kept if not gone or kept.split() else None), text
+        assert sums[d] == (len(gone), substrings.digest([kept]))
+    assert got[80] == docs[80][1] and 85 not in got
+
+
 @pytest.mark.parametrize("batch", [1 << 21, 50])
 def test_substrings_against_all_windows(spark, monkeypatch, batch):
     monkeypatch.setattr(substrings, "BATCH", batch)
