@@ -16,6 +16,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def within(labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of labels whose id is one of docs'; a null id is none."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    return labels.withColumn("doc_id", F.col("doc_id").cast("long")).join(ids, "doc_id", "left_semi")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, encode: Callable, learn: Column) -> list[tuple[bytes, int]]:
     """What encode makes of at most `rows` labelled documents per label value, and the values.
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.frames import fresh, map_texts, saved
-from llm.labelled import sample
+from llm.labelled import sample, within
 from llm.words import lower_word_table, split, white_table, word_hashes
 
 DOMAINS = ("clean", "toxic", "low")
@@ -99,13 +99,14 @@ def domain() -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, p: Mixing = Mixing()) -> Classifier:
     """Softmax regression on the terms whose share of documents differs most between the classes (chi-square); each class
-    weighs alike while learning, then the priors of the labelled table are put in."""
+    weighs alike while learning, then the priors of the labelled rows are put in. Only labels of ids in docs count."""
+    labels = saved(within(labels.select("doc_id", domain().alias("d")).where("d is not null"), docs))
 
     def encode(texts):
         owner, term = _terms(texts)
         return [x.tobytes() for x in np.split(term, np.searchsorted(owner, np.arange(1, len(texts))))]
 
-    got = sample(docs, labels, domain(), p.rows, encode, F.lit(True))
+    got = sample(docs, labels, F.col("d"), p.rows, encode, F.lit(True))
     known = sorted({y for _, y in got})
     names = tuple(DOMAINS[k] for k in known)
     if len(known) < 2:
@@ -138,8 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Mixing = Mixing()) -> Classifier:
         vw = keep * vw - rate * (x.T @ miss + 1e-4 * w)
         vb = keep * vb - rate * miss.sum(0)
         w, b = w + vw, b + vb
-    rows = labels.select("doc_id", domain().alias("d")).where("doc_id is not null and d is not null").groupBy("d").count()
-    prior = dict(rows.collect())
+    prior = dict(labels.groupBy("d").count().collect())
     bias = b + np.log(np.array([prior[k] for k in known], np.float64) / sum(prior.values()))
     return Classifier(names, terms[chosen], w.astype(np.float64), bias)
 

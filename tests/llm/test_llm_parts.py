@@ -357,6 +357,17 @@ def test_mixing_solution_is_the_constrained_least_squares_one(spark):
     assert np.allclose((tokens * rate) @ member / tokens.sum(), [0.7, 0.05, 0.25], atol=1e-5)
 
 
+def test_mixing_learns_from_the_labels_of_its_documents(spark):
+    docs = spark.createDataFrame([(i, f"{'junk spam' if i % 2 else 'good prose'} w{i}") for i in range(40)], "doc_id long, text string")
+    own = [(i, 1 - i % 2, 0) for i in range(40)]
+    others = [(i, 0, 0) for i in range(1000, 3000)]  # labelled, and dropped by an earlier stage
+    labels = spark.createDataFrame(own + others, "doc_id long, quality int, toxic int")
+    model = mixing.fit(docs, labels, mixing.Mixing(rows=10))
+    want = mixing.fit(docs, labels.where("doc_id < 1000"), mixing.Mixing(rows=10))
+    assert model.domains == want.domains == ("clean", "low")
+    assert np.array_equal(model.terms, want.terms) and np.allclose(model.weight, want.weight) and np.allclose(model.bias, want.bias)
+
+
 def test_features_of_empty_texts_are_zero():
     x = counts(pa.array(["", None, "a a a b"], pa.large_string()), 16, 16)
     assert not x[:2].any() and x[2].any()
