@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, licenses, lines, mixing, personal, quality, secrets, simhash, sketches, sqltext, substrings
+from llm import (
+    align,
+    decontaminate,
+    licenses,
+    lines,
+    mixing,
+    personal,
+    quality,
+    secrets,
+    simhash,
+    sketches,
+    sqltext,
+    substrings,
+    treeweight,
+    tries,
+)
 from llm.frames import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +86,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing_weights")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op11_language_model")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treeweight.report(load(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_trie", sqltext.TRIES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.report(load(spark, sf_dir, "conversations"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.report(load(spark, sf_dir, "documents"))

@@ -41,6 +41,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM d LEFT JOIN kept USING (rid)
 """
 
+TRIES = """
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, turn, md5(length(r) || ':' || r || t) AS id, CAST(strlen(t) AS BIGINT) AS size FROM c),
+own AS (SELECT conv_id, list({'id': id, 'size': size} ORDER BY turn NULLS FIRST, id) AS t FROM o GROUP BY conv_id),
+hashed AS (  -- CRC-32 of the decimal id, bit by bit
+  SELECT conv_id, t, CAST(xor(list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))
+  ), 4294967295) % 9 AS BIGINT) AS h FROM own),
+conv AS (
+  SELECT a.conv_id, list_concat(CASE WHEN b.t IS NULL THEN a.t[1:0] ELSE b.t[1:a.h] END, a.t[a.h + 1 : len(a.t)]) AS t
+  FROM hashed AS a LEFT JOIN own AS b ON b.conv_id = a.conv_id - a.conv_id % 5),
+pre AS (
+  SELECT conv_id, d, d = len(t) AS last, array_to_string(list_transform(t[1:d], lambda x: x.id), '') AS node,
+    CASE WHEN d > 0 THEN array_to_string(list_transform(t[1 : d - 1], lambda x: x.id), '') END AS above,
+    CASE WHEN d > 0 THEN t[d].size ELSE 0 END AS size
+  FROM conv, unnest(range(0, len(t) + 1)) AS u(d)),
+nodes AS (
+  SELECT node, any_value(above) AS above, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM pre GROUP BY node),
+kids AS (SELECT above, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+own_part AS (SELECT node, depth, (kids.n IS NULL)::BIGINT AS leaf, (n_convs - 1) * size AS saved FROM nodes LEFT JOIN kids ON kids.above = node),
+sums AS (
+  SELECT node[1 : 32 * k] AS top, sum(leaf) AS n_leaves, sum(saved) AS saved FROM own_part, unnest(range(0, depth + 1)) AS u(k) GROUP BY top)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes AS n JOIN sums ON sums.top = n.node LEFT JOIN nodes AS p ON p.node = n.above LEFT JOIN kids ON kids.above = n.node
+"""
+
 LINES = rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT rid, doc_id, i, lines[i] AS line, regexp_extract_all({LOWER.replace("text", "lines[i]")}, '{WHITE}') AS w

@@ -34,14 +34,14 @@ def sha(x):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(m[1]) for k in entry.queries() if (m := re.match(r"op(\d+)_", k)))
-    assert numbers == list(range(1, 11)) and entry.queries()["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 14)) and entry.queries()["pipeline"] is corpus_pipeline.run
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in "documents benchmark labels".split():
+    for t in "documents benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cur = con.execute(SQL[name])
