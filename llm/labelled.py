@@ -26,7 +26,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, encode:
     """What encode makes of at most `rows` labelled documents per label value, and the values.
 
     label: the class, a small integer expression over the columns of labels (null: the row is left out); an id that is
-    labelled more than once takes the smallest. encode: texts to one bytes value each, run on the executors. learn: which
+    labelled more than once takes the smallest, and rows that share an id give one, that with the smallest encoding. encode: texts to one bytes value each, run on the executors. learn: which
     ids may be learnt from. The rows taken are those whose ids have the smallest hashes, the same on each run.
     """
     known = (
@@ -47,5 +47,6 @@ def sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, encode:
     # at most 64 x rows ids, so the broadcast is bounded
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(taken), "doc_id")
     out = map_texts(found, lambda batch, texts: [encode(texts)], [T.StructField("f", T.BinaryType())], ["doc_id", "y"])
-    got = sorted({(r["doc_id"], r["y"], bytes(r["f"])) for r in out.collect()})
+    one = out.groupBy("doc_id", "y").agg(F.min("f").alias("f"))  # so that no id brings more than a row to the driver
+    got = sorted((r["doc_id"], r["y"], bytes(r["f"])) for r in one.collect())
     return [(f, y) for _, y, f in got]

@@ -5,8 +5,8 @@ words are left alone, lines with fewer than `min_words` words go only if an earl
 smaller (doc_id, line number); lines are judged on the input, not on what is left. One edit is one word put in, taken out
 or replaced, between two lines of `min_words` words or more.
 
-clean() judges every line with a word for exact repeats, and for edits from NEAR_WORDS words on: one word of a shorter
-line is half of it or more. report() gives what the SQL of op3 says: MIN_WORDS words for both.
+Every line with a word is judged for exact repeats, and for edits from NEAR_WORDS words on: one word of a shorter line is
+half of it or more.
 
 A line's variants are itself and itself without one word, as hashes. Two lines are at most one edit apart exactly if they
 share a variant that is (a) both lines themselves, (b) one line itself and the other without a word, or (c) both without
@@ -37,7 +37,6 @@ from llm.frames import apart, map_batches, map_texts, saved
 from llm.packed import column, known, member, packed
 from llm.words import Piece, lower_white_table, mix, pieces, raw, split, word_hashes
 
-MIN_WORDS = 8
 NEAR_WORDS = 3
 BATCH = 1 << 19  # rows that a task holds before it settles them and sends them on
 LAST = (1 << 63) - 1
@@ -405,10 +404,10 @@ def _cut(docs: DataFrame, keep: list[str], min_words: int, exact: int | None) ->
     return map_texts(marked, fn, fields, keep, ("gone", "gone_packs", "more"))
 
 
-def report(docs: DataFrame, min_words: int = MIN_WORDS, exact: int | None = None) -> DataFrame:
+def report(docs: DataFrame, min_words: int = NEAR_WORDS, exact: int | None = 1) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256 (of the lines left, joined by line feeds) for each row of docs.
 
-    exact: words from which on exact repeats go; as many as min_words unless given."""
+    exact: words from which on exact repeats go; None: as many as min_words."""
     out = _cut(docs.select("doc_id", "text"), ["doc_id", "text"], min_words, exact)
     left = F.coalesce("kept", "text", F.lit("")).cast("binary")
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(left, 256).alias("kept_sha256"))

@@ -12,11 +12,13 @@ moments (a symmetric K x K matrix, one aggregation), the step size is 1 and, wit
 Domains are the classes of the labelled table: "clean" (quality 1, not toxic), "toxic" (toxic), "low" (quality 0, not
 toxic). Null or empty texts have no words, and the classifier's membership for an empty text; their rate follows the same
 rule and weighs nothing. Domains that no labelled row has are left out and the other weights keep their proportions.
-Without labelled rows all rates are 1. Repeated rows get equal rates; extra columns pass through; an empty table stays so.
+Without labelled rows all rates are 1. Targets that no rates >= 0 can meet are met as nearly as can be, with a warning that
+names the shares reached. Very long texts are counted piece by piece. Repeated rows get equal rates; extra columns pass through; an empty table stays so.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -192,7 +194,7 @@ def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "
     moment = np.array(first[1:], float).reshape(k, k) / total
     scale = np.linalg.pinv(moment, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
-    last, speed, before = np.inf, 1.0, np.full(k, np.inf)
+    off, last, speed, before = np.inf, np.inf, 1.0, np.full(k, np.inf)
     for _ in range(p.steps):
         held = _rate(member, steps)
         sums = state.select(n.alias("n"), member.alias("m"), held.alias("s")).agg(
@@ -201,12 +203,16 @@ def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "
         both = np.array(sums.first(), float).reshape(2, k) / total - target
         miss, ahead = both
         error = float(miss @ scale @ miss)
-        if np.abs(miss).max() <= p.tolerance or np.abs(miss - before).max() <= p.tolerance / 10:
+        off = float(np.abs(miss).max())
+        if off <= p.tolerance or np.abs(miss - before).max() <= p.tolerance / 10:
             break  # met, or as near as rates >= 0 come
         speed = 1.0 if error > last else speed
         faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
         steps.append(np.append(scale @ ahead, (speed - 1) / faster))
         last, speed, before = error, faster, miss
+    if off > 100 * p.tolerance:
+        shares = ", ".join(f"{d} {t + m:.4f} for {t:.4f}" for d, t, m in zip(domains, target, miss))
+        logging.getLogger(__name__).warning("no rates meet the target shares of tokens; nearest: %s", shares)
     return steps
 
 

@@ -3,13 +3,13 @@
 The tagger learns from labelled spans (the patterns' own) in windows of a bounded sample of documents, with numpy on the
 driver. Texts are cut into windows of WINDOW code points, half of which overlap. Every span of the four kinds holds a digit
 or an at sign and the tagger's spans must too, so windows without either cannot give one and are not scored. The scores of
-overlapping windows are averaged, nearer the middle weighing more, and each run of neighbouring windows is decoded as one
-sequence, so spans are whole across window borders. A tagged span is added if its kind's parts are there (see `plausible`)
+overlapping windows are averaged, nearer the middle weighing more, and runs of neighbouring windows are decoded in long
+overlapping sequences, so spans are whole across window borders. A tagged span is added if its kind's parts are there (see `plausible`)
 and no pattern's span overlaps it.
 
-A null or empty text has no spans. Repeated rows are judged alike. Without sampled spans nothing is added. Long texts are
-decoded in runs of bounded size where they hold few digits, and as one run where they are full of them. Extra columns are
-ignored; an empty table gives an empty result.
+A null or empty text has no spans. Repeated rows are judged alike. Without sampled spans nothing is added. Very long texts,
+also such as are full of digits, are scored and decoded in parts of bounded size. Extra columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,11 +77,17 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def _part(digits: str) -> int:
+    """The value of a part of an address; leading zeros count for nothing and 256 stands for all longer ones."""
+    rest = digits.lstrip("0")
+    return 256 if len(rest) > 3 else int(rest or "0")
+
+
 def base_spans(text: str) -> list[Span]:
     """The patterns' spans, by start and kind."""
     out = [(a, 0, b) for a, b in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(_part(p) <= 255 for p in m[0].split(".")):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         d = _digits(m[0])
@@ -102,7 +108,9 @@ def plausible(kind: int, text: str) -> bool:
         return re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s.]+", text) is not None
     if kind == 1:
         return n >= 4 and text.count(".") == 3
-    return 12 <= n <= 19 if kind == 2 else 7 <= n <= 15 and text[0] in "+(0123456789"
+    if kind == 2:
+        return 12 <= n <= 19 and luhn(_digits(text))
+    return 7 <= n <= 15 and text[0] in "+(0123456789"
 
 
 def _marked(points: np.ndarray) -> np.ndarray:
@@ -159,48 +167,74 @@ def fit(docs: DataFrame, p: Training = Training()) -> Tagger | None:
     return model
 
 
-_WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+_WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
+#: Neighbouring windows that are decoded as one sequence, and how many of them the next sequence starts with again.
+BLOCK, AGAIN = 32, 6
+SCORED = 8192
+
+
+def _merged(e: np.ndarray) -> np.ndarray:
+    """Scores of the code points under neighbouring windows: the mean of the two windows on each, by nearness to their middle."""
+    n, _, tags = e.shape
+    total = np.zeros((n + 1, STRIDE, tags), np.float32)
+    weight = np.zeros((n + 1, STRIDE, 1), np.float32)
+    for part, half in ((slice(0, n), slice(0, STRIDE)), (slice(1, n + 1), slice(STRIDE, WINDOW))):
+        total[part] += e[:, half] * _WEIGHT[half]
+        weight[part] += _WEIGHT[half]
+    return (total / weight).reshape(-1, tags)
+
+
+def _decoded(model: Tagger, runs: list[tuple[int, int, np.ndarray]]) -> list[np.ndarray]:
+    """Tags of each run's code points. Runs are decoded in sequences of BLOCK windows that share AGAIN of them with the next;
+    up to the middle of what they share the former's tags hold, from there the latter's, which saw as much on both sides."""
+    step, parts = (BLOCK - AGAIN) * STRIDE, []  # parts: run, first code point, scores
+    for r, (_, _, scores) in enumerate(runs):
+        for at in range(0, max(1, len(scores) - (AGAIN + 1) * STRIDE), step):
+            parts.append((r, at, scores[at : at + (BLOCK + 1) * STRIDE]))
+    out = [np.zeros(len(s), np.int8) for _, _, s in runs]
+    parts.sort(key=lambda x: (len(x[2]), x[0], x[1]))
+    for k in range(0, len(parts), 256):
+        group = parts[k : k + 256]
+        lengths = np.array([len(s) for _, _, s in group])
+        padded = np.zeros((len(group), lengths.max(), group[0][2].shape[1]), np.float32)
+        for j, (_, _, s) in enumerate(group):
+            padded[j, : len(s)] = s
+        for (r, at, s), tags in zip(group, model.decode(padded, lengths)):
+            whole, half = out[r], (AGAIN + 1) * STRIDE // 2
+            low = at + half if at else 0
+            high = at + len(s) if at + len(s) >= len(whole) else at + step + half
+            whole[low:high] = tags[low - at : high - at]
+    return out
 
 
 def tagged_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
-    """The tagger's plausible spans of each text, all texts' windows scored together."""
-    windows, runs = [], []  # runs: text, first code point, windows, length
+    """The tagger's plausible spans of each text; at most SCORED windows are held at once."""
+    out: list[list[Span]] = [[] for _ in texts]
+    held: list[tuple[int, int, int, np.ndarray]] = []  # text, first code point, length, windows
+
+    def settle():
+        c = np.concatenate([w for *_, w in held])
+        e = np.concatenate([model.emissions(c[a : a + 1024]) for a in range(0, len(c), 1024)])
+        cuts = np.cumsum([len(w) for *_, w in held])[:-1]
+        runs = [(i, start, _merged(x)[:length]) for (i, start, length, _), x in zip(held, np.split(e, cuts))]
+        for (i, start, _), tags in zip(runs, _decoded(model, runs)):
+            out[i] += [s for s in _read(tags, start) if plausible(s[1], texts[i][s[0] : s[2]])]
+        held.clear()
+
+    size = 0
     for i, text in enumerate(texts):
         points = classes(text)
         numbers = _marked(points)
         if len(numbers):
-            windows.append(_cut(points, numbers))
             for part in np.split(numbers, np.flatnonzero(np.diff(numbers) > 1) + 1):
                 start = int(part[0]) * STRIDE
-                runs.append((i, start, len(part), min(len(points), int(part[-1]) * STRIDE + WINDOW) - start))
-    out: list[list[Span]] = [[] for _ in texts]
-    if not runs:
-        return out
-    c = np.concatenate(windows)
-    e = np.concatenate([model.emissions(c[a : a + 1024]) for a in range(0, len(c), 1024)])
-    merged, at = [], 0
-    for _, _, n, length in runs:
-        total = np.zeros((STRIDE * (n - 1) + WINDOW, e.shape[2]), np.float32)
-        weight = np.zeros(len(total), np.float32)
-        for k in range(n):
-            total[k * STRIDE : k * STRIDE + WINDOW] += e[at + k] * _WEIGHT[:, None]
-            weight[k * STRIDE : k * STRIDE + WINDOW] += _WEIGHT
-        merged.append((total / weight[:, None])[:length])
-        at += n
-    order = sorted(range(len(runs)), key=lambda r: runs[r][3])
-    group: list[int] = []
-    for r in [*order, None]:
-        if group and (r is None or len(group) == 256 or runs[r][3] > 2 * runs[group[0]][3]):
-            lengths = np.array([runs[g][3] for g in group])
-            padded = np.zeros((len(group), lengths.max(), e.shape[2]), np.float32)
-            for j, g in enumerate(group):
-                padded[j, : lengths[j]] = merged[g]
-            for g, tags in zip(group, model.decode(padded, lengths)):
-                i, start, _, _ = runs[g]
-                out[i] += [s for s in _read(tags, start) if plausible(s[1], texts[i][s[0] : s[2]])]
-            group = []
-        if r is not None:
-            group.append(r)
+                held.append((i, start, min(len(points), int(part[-1]) * STRIDE + WINDOW) - start, _cut(points, part)))
+                size += len(part)
+                if size >= SCORED:
+                    settle()
+                    size = 0
+    if held:
+        settle()
     return [sorted(s) for s in out]
 
 

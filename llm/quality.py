@@ -4,9 +4,10 @@ Hashed counts of words and word shapes of a bounded sample of labelled documents
 singular value decomposition. Each document's vector is multiplied with all labelled vectors in blocks (exact cosines),
 and its nearest neighbours vote with their similarity as weight.
 
-Nulls, empty texts and texts without words have the zero vector: no neighbour has similarity, and the score is the share
-of good documents among the labelled words-free texts' neighbours, i.e. the prior. Repeated rows get equal scores. Without
-labelled rows every score is the prior given. Extra columns pass through or are ignored; an empty table gives no rows.
+Nulls, empty texts and texts without words have the zero vector, to which no neighbour is similar: their score is the share
+of good documents among the sampled ones with a zero vector, each class weighing as it does among all labels that may be
+learnt from, and that share of all labels if there is none. Repeated rows get equal scores; very long texts are counted
+whole, piece by piece. Without labelled rows every score is the prior given. Extra columns pass through or are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,11 +44,12 @@ class Model:
     basis: np.ndarray
     vectors: np.ndarray
     good: np.ndarray
+    none: float = 0.5  # score of the zero vector
 
     def vote(self, x: np.ndarray, p: Neighbours) -> np.ndarray:
         """Scores of rows of counts; all cosines of a block of rows with all labelled vectors are computed."""
         if not len(self.good):
-            return np.full(len(x), p.prior)
+            return np.full(len(x), self.none)
         v = _unit((x * self.idf) @ self.basis)
         cosine = v @ self.vectors.T
         k = min(p.nearest, cosine.shape[1])
@@ -55,7 +57,7 @@ class Model:
         weight = np.clip(np.take_along_axis(cosine, top, 1), 0, 1).astype(np.float64) ** p.sharpness
         total = weight.sum(1)
         score = (weight * self.good[top]).sum(1) / np.where(total > 0, total, 1)
-        return np.clip(np.where(total > 1e-12, score, p.prior), 0, 1)
+        return np.clip(np.where(total > 1e-12, score, self.none), 0, 1)
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -77,11 +79,22 @@ def fit(docs: DataFrame, labels: DataFrame, p: Neighbours = Neighbours()) -> Mod
         x[i] = np.frombuffer(f, np.float16)
     y = np.array([y for _, y in got], np.int64)
     if not len(y):
-        return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), y)
+        return Model(np.ones(wide, np.float32), np.zeros((wide, 1), np.float32), np.zeros((0, 1), np.float32), y, p.prior)
     idf = np.log((1 + len(y)) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.1
     x *= idf
+    learnt = labels.where(quality.isNotNull() & ~held_out(F.col("doc_id"))).groupBy(quality.cast("int").alias("y")).count()
+    known = dict(learnt.collect())  # two rows at most
     basis = _leading(x, min(p.dims, len(y)))
-    return Model(idf, basis, _unit(x @ basis), y.astype(np.float64))
+    empty = ~(x != 0).any(1)
+    return Model(idf, basis, _unit(x @ basis), y.astype(np.float64), _share(y[empty], y, known))
+
+
+def _share(some: np.ndarray, sampled: np.ndarray, labels: dict[int, int]) -> float:
+    """Share of 1 in `some` of the sampled classes, each sampled row standing for as many labels of its class."""
+    stands = {c: n / max(1, int((sampled == c).sum())) for c, n in labels.items()}
+    weight = {c: stands[c] * (int((some == c).sum()) if len(some) else int((sampled == c).sum())) for c in labels}
+    total = sum(weight.values())
+    return weight.get(1, 0.0) / total if total else 0.5
 
 
 def _leading(x: np.ndarray, dims: int, more: int = 16, rounds: int = 8) -> np.ndarray:

@@ -75,18 +75,25 @@ LINES = rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT rid, doc_id, i, lines[i] AS line, regexp_extract_all({LOWER.replace("text", "lines[i]")}, '{WHITE}') AS w
   FROM t, unnest(range(1, len(lines) + 1)) AS u(i)),
-judged AS (SELECT rid, doc_id, i, w, array_to_string(w, ' ') AS whole FROM l WHERE len(w) >= 8),
-distinct_lines AS (SELECT whole, any_value(w) AS w, min((doc_id, i)) AS rank FROM judged GROUP BY whole),
-v AS (
-  SELECT whole, rank, 0 AS p, md5(whole) AS k FROM distinct_lines
-  UNION ALL
-  SELECT whole, rank, p, md5(array_to_string(w[1 : p - 1] || w[p + 1 : len(w)], ' '))
-  FROM distinct_lines, unnest(range(1, len(w) + 1)) AS u(p)),
-places AS (SELECT k, p, min(rank) AS least FROM v GROUP BY k, p),
-keys AS (SELECT k, min(least) AS least, min(least) FILTER (p = 0) AS itself FROM places GROUP BY k),
-near AS (
-  SELECT whole, min(CASE WHEN p = 0 THEN keys.least ELSE least(places.least, coalesce(itself, places.least)) END) AS first
-  FROM v JOIN places USING (k, p) JOIN keys USING (k) GROUP BY whole),
+judged AS (SELECT rid, doc_id, i, w, array_to_string(w, ' ') AS whole FROM l WHERE len(w) >= 1),
+each AS (SELECT whole, any_value(w) AS w, len(any_value(w)) AS n, min((doc_id, i)) AS rank FROM judged GROUP BY whole),
+-- an edit leaves the first or the last half of the shorter line as it is
+half AS (
+  SELECT whole, w, n, rank, k, 1 AS side, array_to_string(w[1 : k], ' ') AS part
+  FROM each, unnest(list_distinct([n // 2, (n - 1) // 2])) AS u(k) WHERE n >= 3
+  UNION ALL SELECT whole, w, n, rank, k, 2, array_to_string(w[n - k + 1 : n], ' ')
+  FROM each, unnest(list_distinct([n // 2, (n - 1) // 2])) AS u(k) WHERE n >= 3),
+pairs AS (
+  SELECT DISTINCT a.whole, a.w, b.whole AS other, b.w AS v, b.rank FROM half AS a
+  JOIN half AS b USING (k, side, part) WHERE abs(a.n - b.n) <= 1 AND a.whole <> b.whole AND k = least(a.n, b.n) // 2),
+apart AS (
+  SELECT *, list_position(list_transform(range(1, least(len(w), len(v)) + 2), lambda x: w[x] IS NOT DISTINCT FROM v[x]), false) AS p FROM pairs),
+close AS (
+  SELECT whole, rank FROM apart WHERE CASE
+    WHEN len(w) = len(v) THEN w[p + 1 : len(w)] = v[p + 1 : len(v)]
+    WHEN len(w) < len(v) THEN w[p : len(w)] = v[p + 1 : len(v)]
+    ELSE w[p + 1 : len(w)] = v[p : len(v)] END),
+near AS (SELECT whole, min(rank) AS first FROM (SELECT whole, rank FROM each UNION ALL SELECT whole, rank FROM close) GROUP BY whole),
 gone AS (SELECT rid, i FROM judged JOIN near USING (whole) WHERE first < (doc_id, i)),
 kept AS (
   SELECT l.rid, count(*) AS n, string_agg(line, chr(10) ORDER BY l.i) AS body
