@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from catalog.common import day, load, query, ts
+from catalog.common import SQL, day, load, query, ts
 from lakepipe.operators import dedupe, joins
+from lakepipe.session import materialize
 
 
 @query(
@@ -196,3 +197,11 @@ def fk_remap(spark, sf):
 )
 def first_touch(spark, sf):
     return joins.first_per_key(load(spark, sf, "events"), "user_id", "ts", F.lit("2024-01-20").cast("date"))
+
+
+@query("key_coverage_states", SQL["key_coverage"])
+def key_coverage_states(spark, sf):
+    keys = joins.key_states(load(spark, sf, "customer"), "c_custkey", ["c_nationkey"])
+    big = load(spark, sf, "orders").filter("o_totalprice > 400000")
+    buyers = joins.key_states(big, "o_custkey", [F.year("o_orderdate").alias("year")])
+    return joins.coverage_of_states(materialize(keys, "keys"), materialize(buyers, "keys"))

@@ -1,12 +1,16 @@
 """Business metrics, windows, top-k, states and user metrics."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from catalog.common import day, load, money, query, rounded, settled, ts
+from lakepipe.functions.times import monday
 from lakepipe.operators import metrics, quantiles, states
 from lakepipe.operators.dedupe import keep_latest
+from lakepipe.plans import first_touch
 from lakepipe.plans.metric import Metric
-from lakepipe.session import materialize
+from lakepipe.session import materialize, shared_dir
 
 DS = "2024-01-15"
 
@@ -266,7 +270,7 @@ def customer_summary(spark, sf):
       CASE WHEN rs + fs + ms >= 13 THEN 'Champions' WHEN rs + fs + ms >= 10 THEN 'Loyal Customers'
            WHEN rs + fs + ms >= 7 THEN 'Potential Loyalists' WHEN rs + fs + ms >= 5 THEN 'At Risk' ELSE 'Lost' END AS customer_segment,
       CASE WHEN life = 0 THEN 1 ELSE life END AS customer_lifespan_days,
-      CAST(floor({rounded('rev / n * (n / (CASE WHEN life = 0 THEN 1 ELSE life END / 365.0)) * 3 * 0.2', 2)}) AS BIGINT) AS predicted_clv,
+      {rounded('rev / n * (n / (CASE WHEN life = 0 THEN 1 ELSE life END / 365.0)) * 3 * 0.2', 2)} AS predicted_clv,
       {rounded('n / (CASE WHEN life = 0 THEN 1 ELSE life END / 365.0)', 6)} AS purchase_rate, {rounded('rev / n', 4)} AS avg_order_value
     FROM q""",
 )
@@ -281,7 +285,7 @@ def rfm_segments(spark, sf):
         "rfm_score",
         "customer_segment",
         "customer_lifespan_days",
-        F.floor("predicted_clv").alias("predicted_clv"),  # exact ties of cents round either way in the two engines
+        "predicted_clv",
         settled("purchase_rate", 6).alias("purchase_rate"),
         settled("avg_order_value", 4).alias("avg_order_value"),
     )
@@ -387,3 +391,53 @@ def metric_hybrid(spark, sf):
              WHERE toDate(ts) <= toDate('{{ ds }}') GROUP BY user_id, event_type"""
     metric = Metric("favourites", sql=sql, fn=favourite, required=("user_id", "spent", "favourite"), numeric=("spent",))
     return metric.run(spark, {"shop_events": load(spark, sf, "events")}, DS)
+
+
+@query(
+    "first_touch_daily",
+    f"WITH {_HITS} " + _ATTRIBUTION.format(where="CAST(date_hit AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-15'"),
+)
+def first_touch_daily(spark, sf):
+    hits, table = page_hits(spark, sf), first_touch.first_touch_table(spark, shared_dir(spark, "touches"))
+    first_touch.load_history(hits, table, "2024-01-10")
+    days = [f"2024-01-{d}" for d in range(10, 16)]
+    out = [first_touch.attribution_day(hits, table, d) for d in days]
+    return functools.reduce(lambda a, b: a.unionByName(b), out)
+
+
+_WEEKLY = """w AS (SELECT date_trunc('week', l_shipdate) AS week_start, l_extendedprice AS x FROM lineitem)"""
+
+
+@query(
+    "weekly_quantile_states",
+    f"""WITH {_WEEKLY} SELECT {day('week_start')} AS week_start, count(*) AS n,
+      {rounded('quantile_cont(x, 0.5)', 4)} AS median, {rounded('quantile_cont(x, 0.95)', 4)} AS p95 FROM w GROUP BY 1""",
+)
+def weekly_quantile_states(spark, sf):
+    """Daily sketches are stored, merged to weeks, and each week's median and p95 held against the exact ranks."""
+    lines = load(spark, sf, "lineitem").select("l_shipdate", F.col("l_extendedprice").alias("x"))
+    spec = [states.State("n", "count"), states.State("q", "quantiles", "x")]
+    daily = materialize(states.partial_states(lines, ["l_shipdate"], spec), "daily")
+    weeks = daily.withColumn("week_start", monday("l_shipdate")).drop("l_shipdate")
+    weekly = materialize(states.finalize_states(states.merge_states(weeks, ["week_start"]), spec), "weekly")
+    dated = lines.withColumn("week_start", monday("l_shipdate"))
+    exact = quantiles.exact_quantiles(dated, "x", (0.5, 0.95), ["week_start"])
+    below = dated.join(weekly.select("week_start", "q"), "week_start").groupBy("week_start").agg(
+        *[F.sum((F.col("x") < F.col("q")[i]).cast("long")).alias(f"less{i}") for i in range(2)],
+        *[F.sum((F.col("x") <= F.col("q")[i]).cast("long")).alias(f"upto{i}") for i in range(2)],
+    )
+    checked = weekly.join(exact, "week_start").join(below, "week_start")
+    for i, p in enumerate((0.5, 0.95)):
+        slack = states.KLL_ERROR * F.col("n") + 1
+        near = (F.col(f"less{i}") <= p * F.col("n") + slack) & (F.col(f"upto{i}") >= p * F.col("n") - slack)
+        wrong = F.raise_error(F.lit("a sketch is off by more than its error")).cast("double")
+        checked = checked.withColumn(f"e{i}", F.when(near, F.round(F.col("quantiles")[i] * (1 + 1e-12), 4)).otherwise(wrong))
+    return checked.select("week_start", "n", F.col("e0").alias("median"), F.col("e1").alias("p95"))
+
+
+@query(
+    "frequent_values",
+    "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 0.011 * (SELECT count(*) FROM lineitem)",
+)
+def frequent_values(spark, sf):
+    return metrics.frequent_values(load(spark, sf, "lineitem"), "l_suppkey", 0.011)

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from catalog.common import day, load, money, query, rounded, settled
+from catalog.common import SQL, day, load, money, query, rounded, settled
 from catalog.timelines import AS_OF, ORDERS, _EVENTS, order_rows
 from lakepipe.operators import metrics, states
 from lakepipe.plans.backfill import backfill
 from lakepipe.session import shared_dir
 from lakepipe.sources import readers, writers
+from lakepipe.sources.deltas import DeltaTable
 from lakepipe.streaming import incremental as inc
 
 
@@ -263,3 +264,34 @@ def stream_messages(spark, sf):
     parsed = inc.parse_messages(raw, StructType.fromDDL(shape)).withColumn("bucket", F.col("k") % 4)
     inc.append_stream(parsed, f"{base}/out", f"{base}/progress", ["bucket"]).awaitTermination()
     return spark.read.parquet(f"{base}/out").groupBy("user_id", "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_metric_upsert", SQL["stream_metric"])
+def stream_metric_upsert(spark, sf):
+    base = shared_dir(spark, "metric")
+    prepare = lambda df: df.withColumns({"day": F.to_date("ts"), "value": F.col("value").cast("decimal(18,2)")})
+    events, progress = load(spark, sf, "events"), f"{base}/progress"
+    for n, part in enumerate(("event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2")):  # each touches all days
+        events.where(part).write.mode("append").parquet(f"{base}/source")
+        arrived = inc.stream_folder(spark, f"{base}/source", events.schema)
+        inc.upsert_metric(arrived, ["event_type"], ["day"], _STREAM_STATES, f"{base}/table", progress, prepare).awaitTermination()
+    inc.upsert_batch(prepare(events.where("event_id % 3 = 2")), 2, ["event_type"], ["day"], _STREAM_STATES, f"{base}/table")  # again
+    return inc.read_upserted(spark, f"{base}/table", _STREAM_STATES).withColumn("avg_value", settled("avg_value", 4))
+
+
+@query(
+    "merge_on_read",
+    """SELECT event_id, CAST(CASE WHEN event_id % 6 = 0 THEN 3 WHEN event_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS version,
+      CASE WHEN event_id % 6 = 0 THEN 'third' WHEN event_id % 2 = 0 THEN 'second' ELSE event_type END AS event_type FROM events""",
+)
+def merge_on_read(spark, sf):
+    rows = load(spark, sf, "events").select("event_id", F.lit(1).alias("version"), "event_type")
+    table = DeltaTable(spark, shared_dir(spark, "merged"), ["event_id"], ["version DESC"], rows.schema)
+    newer = lambda part, n, name: rows.where(part).withColumns({"version": F.lit(n), "event_type": F.lit(name)})
+    table.merge(rows, 0)
+    table.merge(newer("event_id % 2 = 0", 2, "second"), 1)
+    table.merge(newer("event_id % 6 = 0", 3, "third"), 2)
+    table.merge(newer("event_id % 12 = 0", 1, "late and old"), 3)
+    table.merge(rows.withColumn("version", F.lit(9)), 3)  # that change is there already
+    table.compact(most=2)
+    return table.read()

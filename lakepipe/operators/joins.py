@@ -3,7 +3,7 @@
 The many side of these joins is a fact table whose keys can be very uneven (a
 third of all rows may carry one key).  Counts therefore aggregate per key
 before any join.  Row-returning joins let Spark broadcast a lookup that its
-size statistics prove small; hot keys are salted by their counts.
+size statistics prove small; hot keys, found by a frequency sketch, are salted.
 """
 
 from __future__ import annotations
@@ -15,18 +15,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakepipe.operators.dedupe import row_hash
+from lakepipe.operators.states import State, merge_states, partial_states
 
 HOT_ROWS = 1_000_000  # a key with more rows than this is dealt over several tasks
+MOST_HOT = 1_000  # hot keys that are dealt at most; a key outside them has less than one part in so many of all rows
+_TRACKED = 1 << 14  # items that the frequency sketch holds
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and in how many parts of that size each is dealt.
+def _no_match(keys: Sequence[str]) -> Column:
+    """Whether a row's key holds a NULL, so that it equals no other."""
+    return functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
-    Counted exactly, since both sides of a salted join must agree on the keys
-    even when a task is run again.  Keys with a NULL match nothing and are left out.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[dict[int, int], int]:
+    """Hash of each key with more than ``hot_rows`` rows and in how many parts it is dealt; and the rows with a NULL key.
+
+    One scan of the key columns: a frequency sketch per task, merged, of bounded size.  Both sides of a join are dealt by
+    this one answer, so they agree when a task is run again; an estimate that is off costs balance, never rows.
     """
-    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > hot_rows).select(*keys, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
+    null = _no_match(keys)
+    top = F.call_function("approx_top_k", F.when(~null, F.xxhash64(*keys)), F.lit(MOST_HOT), F.lit(_TRACKED))
+    found, missing = df.agg(top, F.count_if(null)).first()
+    parts = {r["item"]: -(-r["count"] // hot_rows) for r in found or () if r["item"] is not None}
+    return {k: n for k, n in parts.items() if n > 1}, missing
 
 
 def skew_join(
@@ -36,26 +47,41 @@ def skew_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Equi-join of an uneven ``left`` with ``right`` (inner, left, left_semi, left_anti).
+    """Equi-join of an uneven ``left`` with ``right`` (inner, left, left_semi, left_anti), by one exchange of each side.
 
-    Rows of a left key with more than ``hot_rows`` rows are dealt over as many shuffle keys as that many rows fit in,
-    and the matching right rows are repeated for each; rows with a NULL key, which match nothing, are dealt by their
-    hash; every other row keeps salt 0.  Nothing depends on size estimates, and no side is forced into a broadcast:
-    Spark broadcasts what turns out small.  Finding hot keys reads the left keys once more: pass a stored table, not a
-    long derivation.
+    Hot keys are known before any row moves: rows of a key with more than ``hot_rows`` rows are dealt over as many shuffle
+    keys as that many rows fit in, and the matching right rows are repeated for each; every other row goes by its key.
+    A NULL key matches nothing: such rows are left out where the join drops them, go around the join where there are many,
+    and else are dealt by their hash.  No side is forced into a broadcast: Spark broadcasts what turns out small.  Finding
+    hot keys runs when the join is declared and reads the left keys once more: pass a stored table, not a long derivation.
     """
     keys = list(keys)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = hot_keys(left, keys, hot_rows)
-    unmatched = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    deal = F.when(unmatched, F.pmod(row_hash(left), F.lit(1 << 30))).when(
-        F.col("_parts").isNotNull(), F.pmod(row_hash(left), F.col("_parts"))
-    )
-    salted_left = left.join(hot, keys, "left").withColumn("_salt", F.coalesce(deal, F.lit(0)).cast("long")).drop("_parts")
-    copies = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_parts"), F.lit(1)).cast("long") - 1)
-    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_parts")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    hot, missing = hot_keys(left, keys, hot_rows)
+    null, around = _no_match(keys), None
+    if how in ("inner", "left_semi"):
+        left = left.where(~null)
+    elif missing > hot_rows:
+        left, around = left.where(~null), left.where(null)
+    elif missing:
+        null_salt = F.when(null, F.pmod(row_hash(left), F.lit(1 << 30)))
+    if not hot and (around is not None or not missing or how in ("inner", "left_semi")):
+        joined = left.join(right, keys, how)
+    else:
+        h = F.xxhash64(*keys)
+        is_hot = h.isin(list(hot)) if hot else F.lit(False)
+        parts = F.element_at(F.create_map(*[F.lit(x) for kv in hot.items() for x in kv]), h) if hot else F.lit(1)
+        salt = F.when(is_hot, F.pmod(row_hash(left), parts)).otherwise(0)
+        if around is None and missing and how in ("left", "left_anti"):
+            salt = F.coalesce(null_salt, salt)
+        none = F.lit(0).cast("long")
+        copies = F.when(is_hot, F.sequence(none, parts.cast("long") - 1)).otherwise(F.array(none))
+        dealt = right.where(~_no_match(keys)).withColumn("_salt", F.explode(copies))
+        joined = left.withColumn("_salt", salt.cast("long")).join(dealt, [*keys, "_salt"], how).drop("_salt")
+    if around is None:
+        return joined
+    return joined.unionByName(around, allowMissingColumns=True)
 
 
 def _keyed(parent: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
@@ -117,6 +143,21 @@ def coverage(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     return joined.agg(total.alias("keys"), hits.alias("covered"), percent.alias("coverage_pct"))
 
 
+def key_states(df: DataFrame, key: str, by: Sequence[Column | str] = ()) -> DataFrame:
+    """A mergeable sketch of the distinct keys per part of a table (such as a day), to be stored; no key is shuffled."""
+    return partial_states(df, by, [State("k", "keys", key)])
+
+
+def coverage_of_states(left: DataFrame, right: DataFrame) -> DataFrame:
+    """As ``coverage``, from stored sketches of both sides: exact up to 2 ** THETA_LG_K keys, estimated beyond."""
+    a, b = (merge_states(x, []).select(F.col("k__theta").alias(n)) for x, n in ((left, "a"), (right, "b")))
+    one = a.select("a", b.select("b").scalar().alias("b"))
+    both = F.theta_sketch_estimate(F.theta_intersection("a", "b"))
+    total = F.theta_sketch_estimate("a")
+    found = one.select(F.coalesce(total, F.lit(0)).alias("keys"), F.coalesce(both, F.lit(0)).alias("covered"))
+    return found.withColumn("coverage_pct", F.round(F.col("covered") * 100.0 / F.nullif(F.col("keys"), F.lit(0)), 2))
+
+
 def keep_children(child: DataFrame, parent: DataFrame, on: Sequence, **skew) -> DataFrame:
     """Child rows whose parent exists."""
     on = _pairs(on)

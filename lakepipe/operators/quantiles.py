@@ -7,80 +7,117 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 4096  # parts of a bracket that are counted before any value is ranked
+from lakepipe.session import materialize
+
+CUTS = 64  # equal-depth parts of a bracket per round
+RANKED = 10_000  # distinct values of a bracket that are put in order at last
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 4_000
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 1_000, ranked: int = RANKED
 ) -> DataFrame:
     """Linear-interpolated quantiles per group: ``by`` columns + ``quantiles`` array.
 
-    A sketch brackets each wanted rank within a few parts in ``accuracy``, and a
-    bracket is cut into ``SLICES`` slices; only the distinct values of the one or
-    two slices that hold the rank are ranked, everything else is just counted.  Equal values are counted together before any shuffle.  A
-    bracket that misses its rank raises (raise ``accuracy`` then), so a result
-    is always exact.
+    Equal values are counted together first, in one pass over ``df`` that is stored.  Each wanted rank then has a bracket
+    of values that holds it, at first all of its group.  While a bracket holds more than ``ranked`` distinct values, a
+    sketch of the bracket itself cuts it into parts of about as many distinct values each, the parts are counted, and the
+    one with the rank is the next bracket: whatever the values, it holds about a ``CUTS``-th of the last one's.  Ranks are
+    counted, not estimated, so the result is exact; ``accuracy`` of the sketch only sets how even the parts are.
+    The rounds run when the quantiles are declared; groups of few values need none.
     """
-    by, value_col, k = list(by), F.col(value).cast("double"), len(probs)
+    by, value_col = list(by), F.col(value).cast("double")
     rows = df.select(*by, value_col.alias("_v")).filter("_v IS NOT NULL")
-    margin = 4.0 / accuracy
-    lows = [max(0.0, p - margin) for p in probs]
-    highs = [min(1.0, p + margin) for p in probs]
-    sketch = rows.groupBy(*by).agg(
-        F.percentile_approx("_v", lows + highs, accuracy).alias("_b"), F.count(F.lit(1)).alias("_total")
-    )
-    counted = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    if by:
-        counted = counted.join(sketch, by)
-    else:
-        one = sketch.select(F.struct("_b", "_total")).scalar()
-        counted = counted.withColumn("_s", one).select("_v", "_n", "_s._b", "_s._total")
-    # value at or below the bracket's top: in one of its slices when inside it, else only counted (slice -1)
-    def placed(i: int) -> Column:
-        low, high, v = F.col("_b")[i], F.col("_b")[k + i], F.col("_v")
-        share = (v - low) / F.nullif(high - low, F.lit(0.0))
-        inside = F.when(F.isnan(share) | share.isNull(), 0).otherwise(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)))
-        piece = F.when(v >= low, inside).otherwise(-1).cast("int")
-        value = F.when(v >= low, v)
-        return F.when(v <= high, F.struct(F.lit(i).alias("i"), piece.alias("s"), value.alias("v")))
-
-    hits = F.filter(F.array(*[placed(i) for i in range(k)]), lambda x: x.isNotNull())
-    cand = (
-        counted.select(*by, "_n", "_total", F.explode(hits).alias("_h"))
-        .select(*by, F.col("_h.i").alias("_i"), F.col("_h.s").alias("_s"), F.col("_h.v").alias("_v"), "_n", "_total")
-        .groupBy(*by, "_i", "_s", "_v", "_total")
-        .agg(F.sum("_n").alias("_n"))
+    counted = materialize(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")), "counted")
+    groups = counted.groupBy(*by).agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_held")).where("_total > 0")
+    state = groups.select(*by, "_total", _first_brackets(probs).alias("_brackets"))
+    while True:
+        state = materialize(state, "brackets")
+        most = state.agg(F.max(F.array_max(F.transform("_brackets", lambda b: b["held"])))).first()[0]
+        if most is None or most <= ranked:
+            break
+        state = _narrowed(counted, state, by, accuracy, ranked)
+    inside = _inside(counted, state, by, lambda b: F.lit(True))
+    upto = Window.partitionBy(*by, "_b.i", "_b.up").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = inside.withColumn("_upto", F.col("_b.before") + F.sum("_n").over(upto))
+    at = F.col("_upto") > F.col("_b.rank")
+    found = placed.groupBy(*by, F.col("_b.i").alias("i"), F.col("_b.up").alias("up"), F.col("_b.share").alias("share")).agg(
+        F.min(F.when(at, F.col("_v"))).alias("v")
     )
-    p = F.element_at(F.array(*[F.lit(float(x)) for x in probs]), F.col("_i") + 1)
-    pos = p * (F.col("_total") - 1)
-    # which slices hold the two ranks: at most SLICES + 1 rows per group and bracket are put in order
-    slices = cand.groupBy(*by, "_i", "_s", "_total").agg(F.sum("_n").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*by, "_i").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0))
-    slices = slices.withColumn("_cum", upto).withColumn("_before", F.col("_cum") - F.col("_n"))
-    holds = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_cum"))
-    wanted = slices.where(holds(F.floor(pos)) | holds(F.ceil(pos))).select(*by, "_i", "_s", "_before")
-    # only the values of those slices are ranked
-    within = Window.partitionBy(*by, "_i", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cand.join(wanted, [*by, "_i", "_s"]).withColumn("_cum", F.col("_before") + F.sum("_n").over(within))
-    picked = (
-        ranked.groupBy(*by, "_i")
-        .agg(
-            F.max(pos).alias("_pos"),
-            F.coalesce(F.max(F.when(F.col("_s") < 0, F.col("_cum"))), F.lit(0)).alias("_below"),
-            F.min(F.when(F.col("_cum") > F.floor(pos), F.col("_v"))).alias("_lo"),
-            F.min(F.when(F.col("_cum") > F.ceil(pos), F.col("_v"))).alias("_hi"),
-        )
-        .withColumn("_q", _interpolated())
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("_i", "_q")))
-    return picked.groupBy(*by).agg(F.transform(ordered, lambda x: x["_q"]).alias("quantiles"))
+    pick = lambda up: F.max(F.when(F.col("up") == up, F.col("v")))
+    pairs = found.groupBy(*by, "i", "share").agg(pick(False).alias("lo"), pick(True).alias("hi"))
+    q = F.col("lo") + F.when(F.col("share") > 0, (F.col("hi") - F.col("lo")) * F.col("share")).otherwise(0.0)
+    ordered = F.sort_array(F.collect_list(F.struct("i", q.alias("q"))))
+    return pairs.groupBy(*by).agg(F.transform(ordered, lambda x: x["q"]).alias("quantiles"))
+
+
+def _first_brackets(probs: Sequence[float]) -> Column:
+    """Per probability the ranks below and above its place, each in a bracket of all values.
+
+    A bracket holds the values v with low < v <= high; NULL is no bound.  ``before`` rows lie below it, ``held`` distinct
+    values in it.
+    """
+    out = []
+    for i, p in enumerate(probs):
+        place = F.lit(float(p)) * (F.col("_total") - 1)
+        share = place - F.floor(place)
+        for up in (False, True):
+            rank = F.ceil(place) if up else F.floor(place)
+            out.append(
+                F.struct(
+                    F.lit(i).alias("i"), F.lit(up).alias("up"), share.alias("share"), rank.cast("bigint").alias("rank"),
+                    F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"),
+                    F.lit(0).cast("bigint").alias("before"), F.col("_held").alias("held"),
+                )
+            )
+    return F.array(*out)
 
 
-def _interpolated() -> Column:
-    lo, hi, pos = F.col("_lo"), F.col("_hi"), F.col("_pos")
-    missed = lo.isNull() | hi.isNull() | (F.col("_below") > F.floor(pos))
-    error = F.raise_error(F.lit("quantile bracket missed its rank; use a higher accuracy")).cast("double")
-    return F.when(missed, error).otherwise(lo + (hi - lo) * (pos - F.floor(pos)))
+def _beside(df: DataFrame, one: DataFrame, by: Sequence[str]) -> DataFrame:
+    """df with the columns of ``one``, which has one row per group (NULL is a group), or one row where there are none."""
+    if not by:
+        row = one.select(F.struct("*").alias("s")).scalar()
+        return df.withColumn("_row", row).select("*", "_row.*").drop("_row")
+    other = one.withColumnsRenamed({c: f"_of_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+    return df.join(other, same).drop(*[f"_of_{c}" for c in by])
+
+
+def _inside(counted: DataFrame, state: DataFrame, by: Sequence[str], which) -> DataFrame:
+    """The counted values of each bracket: ``by``, _b, _v, _n; only brackets that ``which`` picks."""
+    picked = state.select(*by, F.filter("_brackets", which).alias("_brackets")).where(F.size("_brackets") > 0)
+    joined = _beside(counted, picked, by)
+    v = F.col("_v")
+    there = lambda b: (b["low"].isNull() | (v > b["low"])) & (b["high"].isNull() | (v <= b["high"]))
+    return joined.select(*by, F.explode(F.filter("_brackets", there)).alias("_b"), "_v", "_n")
+
+
+def _narrowed(counted: DataFrame, state: DataFrame, by: Sequence[str], accuracy: int, ranked: int) -> DataFrame:
+    """The state with every bracket of more than ``ranked`` values replaced by its part that holds the rank."""
+    inside = _inside(counted, state, by, lambda b: b["held"] > ranked)
+    names = [*by, "_i", "_up"]
+    inside = inside.select(*by, F.col("_b.i").alias("_i"), F.col("_b.up").alias("_up"), "_b", "_v", "_n")
+    cuts = inside.groupBy(*names).agg(
+        F.percentile_approx("_v", [k / CUTS for k in range(1, CUTS)], accuracy).alias("_cuts"), F.first("_b").alias("_b")
+    )
+    parted = _beside(inside.drop("_b"), cuts, names)
+    part = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    sums = parted.groupBy(*names, "_b", part.alias("_part")).agg(
+        F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_held"), F.max("_v").alias("_top")
+    )
+    # at most CUTS rows per bracket
+    order = Window.partitionBy(*names).orderBy("_part")
+    upto = F.col("_b.before") + F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    sums = sums.withColumn("_upto", upto).withColumn("_low", F.coalesce(F.lag("_top").over(order), F.col("_b.low")))
+    hit = sums.where((F.col("_b.rank") < F.col("_upto")) & (F.col("_b.rank") >= F.col("_upto") - F.col("_n")))
+    new = F.struct(
+        F.col("_b.i").alias("i"), F.col("_b.up").alias("up"), F.col("_b.share").alias("share"), F.col("_b.rank").alias("rank"),
+        F.col("_low").alias("low"), F.col("_top").alias("high"), (F.col("_upto") - F.col("_n")).alias("before"),
+        F.col("_held").alias("held"),
+    )
+    kept = state.select(*by, "_total", F.explode(F.filter("_brackets", lambda b: b["held"] <= ranked)).alias("_b"))
+    totals = state.select(*by, "_total")
+    moved = _beside(hit.select(*by, new.alias("_b")), totals, by).select(*by, "_total", "_b")
+    return moved.unionByName(kept).groupBy(*by, "_total").agg(F.collect_list("_b").alias("_brackets"))
 
 
 def score(c: Column, edges: Column, n: int, reverse: bool = False) -> Column:

@@ -18,6 +18,10 @@ from lakepipe.functions.times import monday
 
 # how each kind of state column is merged
 MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "uniq": F.hll_union_agg}
+MERGE |= {"kll": F.kll_merge_agg_double, "theta": lambda c: F.theta_union_agg(c, F.lit(THETA_LG_K))}
+THETA_LG_K = 16  # a set of up to 65,536 keys is kept exactly; larger ones within about 0.4 % (one standard error)
+KLL_K = 400  # size of a quantile sketch
+KLL_ERROR = 0.01  # of a rank, as a share of all values; a sketch of size 400 promises 0.7 % with 99 % confidence
 
 
 def aggregate_state(fn: str, c="*") -> dict[str, Column]:
@@ -29,6 +33,10 @@ def aggregate_state(fn: str, c="*") -> dict[str, Column]:
         return {"sum": F.sum(c), "count": F.count(c)}
     if fn == "uniq":
         return {"uniq": F.hll_sketch_agg(c)}
+    if fn == "keys":
+        return {"theta": F.theta_sketch_agg(c, F.lit(THETA_LG_K))}
+    if fn == "quantiles":
+        return {"kll": F.kll_sketch_agg_double(c.cast("double"), F.lit(KLL_K))}
     if fn in ("sum", "min", "max"):
         return {fn: getattr(F, fn)(c)}
     raise ValueError(f"no state for {fn!r}")
@@ -36,11 +44,16 @@ def aggregate_state(fn: str, c="*") -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class State:
-    """One named state, e.g. ``State("points", "avg", "points")``."""
+    """One named state, e.g. ``State("points", "avg", "points")``.
+
+    "keys" keeps a sketch of the distinct values that can be intersected with another one.  "quantiles" keeps a sketch of the values' order; on read it gives ``probs`` as an array, each within ``KLL_ERROR`` of
+    its rank.
+    """
 
     name: str
     fn: str
     column: str = "*"
+    probs: tuple[float, ...] = (0.5, 0.95)
 
 
 def partial_states(df: DataFrame, keys: Sequence[Column | str], states: Sequence[State]) -> DataFrame:
@@ -71,6 +84,11 @@ def finalize_states(merged: DataFrame, states: Sequence[State]) -> DataFrame:
             value = c("sum").cast("double") / F.nullif(c("count"), F.lit(0))
         elif s.fn == "uniq":
             value = F.hll_sketch_estimate(c("uniq"))
+        elif s.fn == "keys":
+            value = F.theta_sketch_estimate(c("theta"))
+        elif s.fn == "quantiles":
+            some = F.when(F.kll_sketch_get_n_double(c("kll")) > 0, c("kll"))
+            value = F.array(*[F.kll_sketch_get_quantile_double(some, F.lit(float(p))) for p in s.probs])
         else:
             value = c(s.fn)
         out.append(value.alias(s.name))

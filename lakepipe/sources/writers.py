@@ -30,6 +30,13 @@ def _laid_out(df: DataFrame, by: Sequence[str], sort: Sequence[str] = ()) -> Dat
     return df.sortWithinPartitions(*by, *sort) if sort else df
 
 
+def holds_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and something was written to it."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(root) and any(not s.getPath().getName().startswith("_") for s in fs.listStatus(root))
+
+
 def write_partitions(
     df: DataFrame,
     path: str,

@@ -7,6 +7,7 @@ twice.  Progress lives in the checkpoint folder.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakepipe.operators.states import State, finalize_states, merge_states, partial_states
 from lakepipe.plans.timeline import TimelineSpec, build_timeline
+from lakepipe.session import materialize
+from lakepipe.sources import writers
 
 
 def stream_folder(
@@ -102,6 +105,60 @@ def read_metric(spark: SparkSession, path: str, keys: Sequence[str], states: Seq
     return finalize_states(merge_states(spark.read.parquet(path).drop("batch"), keys), states)
 
 
+def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], by: Sequence[str], states: Sequence[State], path: str) -> None:
+    """Add a batch's states to the stored rows of the partitions it touches; other partitions are not read or written.
+
+    Storage holds one row per key.  Each stored row carries the number of the last batch that was added to its partition,
+    so a batch that comes again, also after it had reached only some of its partitions, is added to the others alone.
+    """
+    new = partial_states(batch, [*keys, *by], states).withColumn("_batch", F.lit(batch_id).cast("long"))
+    new = materialize(new, "batch")
+    if writers.holds_data(batch.sparkSession, path):
+        stored = batch.sparkSession.read.schema(new.schema).parquet(path)
+        touched = new.select(*by).distinct()
+        old = _semi(stored, touched, by, "left_semi")
+        done = old.groupBy(*by).agg(F.max("_batch").alias("_done")).where(F.col("_done") >= batch_id).select(*by)
+        new = materialize(_semi(new, done, by, "left_anti"), "batch")
+        both = _semi(stored, new.select(*by).distinct(), by, "left_semi").unionByName(new)
+        merged = merge_states(both, [*keys, *by]).withColumn("_batch", F.lit(batch_id).cast("long"))
+        new = merged.select(*[F.col(f.name).cast(f.dataType) for f in new.schema.fields])  # a sum of sums is wider
+    writers.write_partitions(new, path, by)
+
+
+def _semi(df: DataFrame, some: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Rows of df whose partition is (or is not) among some; NULL is a partition like any other."""
+    some = some.toDF(*[f"_in_{c}" for c in by])
+    same = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in by])
+    return df.join(some, same, how)
+
+
+def upsert_metric(
+    source: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    states: Sequence[State],
+    path: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> StreamingQuery:
+    """Keep a stored table of states per ``keys``, in folders by ``by``, up to date with what arrives."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(prepare(batch), batch_id, keys, by, states, path)
+
+    return (
+        source.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_upserted(spark: SparkSession, path: str, states: Sequence[State]) -> DataFrame:
+    """Current values; nothing is left to merge."""
+    return finalize_states(spark.read.parquet(path).drop("_batch"), states)
+
+
 def compact_metric(spark: SparkSession, path: str, out: str, keys: Sequence[str]) -> None:
     """Merge all partials into one folder, as the partials of a new path.
 

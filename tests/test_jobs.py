@@ -2,16 +2,18 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakepipe.operators.dedupe import replacing_merge
 from lakepipe.operators.states import State
 from lakepipe.plans import backfill, related, timeline
 from lakepipe.plans.metric import Metric
 from lakepipe.session import shared_dir
 from lakepipe.sources import readers, writers
+from lakepipe.sources.deltas import DeltaTable
 from lakepipe.streaming import incremental as inc
 
 
 def rows(df, *cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
 ACCOUNT = {
@@ -104,6 +106,70 @@ def test_maintained_metric_replays_once(spark):
     assert got == rows(data.groupBy("k").agg(F.count("*").alias("n"), F.avg("v").alias("avg")), "k", "n", "avg")
 
 
+def test_upsert_adds_each_batch_once_per_partition(spark):
+    path, keys, spec = shared_dir(spark, "upsert"), ["k"], [State("n", "count"), State("top", "max", "v")]
+    batch = lambda lo, hi: spark.range(lo, hi).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("day"), F.col("id").alias("v"))
+    inc.upsert_batch(batch(0, 100), 0, keys, ["day"], spec, path)
+    inc.upsert_batch(batch(100, 200), 1, keys, ["day"], spec, path)
+    inc.upsert_batch(batch(100, 200), 1, keys, ["day"], spec, path)  # again
+    inc.upsert_batch(batch(200, 300).where("day = 1"), 2, keys, ["day"], spec, path)  # reached one partition only,
+    inc.upsert_batch(batch(200, 300), 2, keys, ["day"], spec, path)  # then all of them
+    stored = spark.read.parquet(path)
+    assert stored.count() == stored.select("k", "day").distinct().count() == 12
+    want = batch(0, 300).groupBy("k", "day").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+    assert rows(inc.read_upserted(spark, path, spec), "k", "day", "n", "top") == rows(want, "k", "day", "n", "top")
+
+
+def test_delta_table(spark):
+    frame = lambda xs: spark.createDataFrame(xs, "id long, version int, v string")
+    base = [(i, 1, "base") for i in range(100)]
+    table = DeltaTable(spark, shared_dir(spark, "deltas"), ["id"], ["version DESC"], frame([]).schema)
+    assert table.read().count() == 0
+    table.merge(frame(base), 0)
+    files = sorted(spark.read.parquet(table.parts()[0].path).inputFiles())
+    want = frame(base)
+    for n in range(1, 6):
+        new = frame([(n, 2, f"new{n}"), (50, n, "fifty"), (50, n - 1, "late"), (7, 0, "old"), (200 + n, 1, "more")])
+        assert table.merge(new, n) and not table.merge(frame([(1, 99, "replayed")]), n)
+        want = replacing_merge(want, new, ["id"], "version")
+    assert len(table.parts()) == 6 and sorted(spark.read.parquet(table.parts()[0].path).inputFiles()) == files
+    assert rows(table.read(), "*") == rows(want, "*")
+    before = rows(table.read(before=3), "*")
+    spark.createDataFrame([(1, 5, "x", 9)], "id long, version int, v string, _change long").write.parquet(f"{table.path}/half")
+    half = f"{table.path}/{1:012d}-{5:012d}"  # a compaction that was cut off: files, but no mark
+    spark.createDataFrame([(1, 5, "x", 9)], "id long, version int, v string, _change long").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    assert len(table.parts()) == 6 and rows(table.read(), "*") == rows(want, "*")
+    table.compact(most=3)
+    assert [(p.first, p.last) for p in table.parts()] == [(0, 0), (1, 5)]  # the base is larger and stays
+    assert rows(table.read(), "*") == rows(want, "*") and rows(table.read(before=3), "*") == before
+    table.merge(frame([(i, 9, "all") for i in range(300)]), 6)
+    table.compact(most=2)
+    assert [(p.first, p.last) for p in table.parts()] == [(0, 6)] and table.read().count() == 300
+
+
+def test_first_touch_day_by_day(spark):
+    from lakepipe.operators.metrics import attribution_by_source
+    from lakepipe.plans import first_touch as ft
+
+    path = shared_dir(spark, "hits")
+    hits = spark.range(4000).select(
+        F.when(F.col("id") % 97 > 0, F.col("id") * 7919 % 300).alias("lead_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("id") * 3)).alias("date_hit"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("source"),
+    ).withColumn("day", F.to_date("date_hit"))
+    hits.write.partitionBy("day").parquet(path)
+    hits, table = spark.read.parquet(path), ft.first_touch_table(spark, shared_dir(spark, "touches"))
+    ft.load_history(hits, table, "2024-01-03")
+    names = ("traffic_source", "unique_leads", "total_visits", "first_touch_leads", "visits_per_lead")
+    for day in ("2024-01-03", "2024-01-04", "2024-01-04", "2024-01-05"):
+        got = ft.attribution_day(hits.where(F.col("day") == F.lit(day).cast("date")), table, day)
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert f"PartitionFilters: [isnotnull(day" in text  # that day's folder and the state, nothing else
+        assert rows(got, *names) == rows(attribution_by_source(hits, day), *names)
+    assert len(table.parts()) == 4
+
+
 def test_messages(spark):
     raw = spark.createDataFrame([('{"a":1,"b":"x"}',), ("{bad",)], "value string")
     assert [tuple(r) for r in inc.parse_messages(raw, T.StructType.fromDDL("a INT, b STRING")).collect()] == [(1, "x"), (None, None)]

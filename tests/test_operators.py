@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from lakepipe.operators import checks as q
 from lakepipe.operators import clean, contract, dedupe, filters, joins, metrics, profile, quantiles, states
+from lakepipe.operators.states import State, finalize_states, merge_states, partial_states
+from lakepipe.session import shared_dir
 
 
 def rows(df, *cols):
@@ -86,6 +88,81 @@ def test_skew_join_equals_plain_join(spark, how):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_skew_join_moves_the_left_once(spark):
+    path = shared_dir(spark, "left")
+    k = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id"))  # a third one key, a third none
+    spark.range(30000).select(k.alias("k"), "id").write.parquet(path)
+    left, right = spark.read.parquet(path), spark.range(20000).select(F.col("id").alias("k"), (F.col("id") % 9).alias("w"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plain = {how: rows(left.join(right, ["k"], how), "id") for how in ("inner", "left", "left_semi", "left_anti")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how, want in plain.items():
+            joined = joins.skew_join(left, right, ["k"], how, hot_rows=500)
+            text = joined._jdf.queryExecution().executedPlan().toString()
+            assert text.count("Exchange hashpartitioning") == 2 and "_salt" in text  # one of each side
+            assert rows(joined, "id") == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_quantiles_narrow_whatever_the_values(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=20000), np.full(50, 1e15), rng.exponential(size=5000) * 1e-9, np.repeat(4.0, 3000)])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4)
+    probs = (0.001, 0.25, 0.5, 0.998, 0.9999)
+    held, inside = [], quantiles._inside
+
+    def watched(counted, state, by, which):
+        held.append([b.held for r in state.collect() for b in r._brackets])
+        return inside(counted, state, by, which)
+
+    monkeypatch.setattr(quantiles, "_inside", watched)
+    got = quantiles.exact_quantiles(df, "x", probs, accuracy=500, ranked=100).first().quantiles
+    assert np.allclose(got, np.quantile(x, probs), rtol=1e-12)
+    assert max(held[0]) > 20000 and max(held[-1]) <= 100 and len(held) <= 4  # narrowed at once, outliers or not
+    two = df.select((F.col("x") > 0).alias("g"), "x").unionByName(df.select(F.lit(None).cast("boolean").alias("g"), "x"))
+    parts = {r.g: r.quantiles for r in quantiles.exact_quantiles(two, "x", probs, ["g"], ranked=50).collect()}
+    for g, v in ((True, x[x > 0]), (False, x[x <= 0]), (None, x)):
+        assert np.allclose(parts[g], np.quantile(v, probs), rtol=1e-12)
+
+
+def test_quantile_states_merge(spark):
+    import numpy as np
+
+    spec = [State("q", "quantiles", "x", (0.1, 0.5, 0.99)), State("k", "keys", "id"), State("n", "count")]
+    df = spark.range(40000).select("id", (F.col("id") % 40).alias("day"), (F.rand(3) * 1e6).alias("x")).withColumn("all", F.lit(1))
+    df = df.unionByName(df.where("false")).cache()
+    parts = partial_states(df, ["day", "all"], spec)
+    got = finalize_states(merge_states(parts.drop("day"), ["all"]), spec).first()
+    x = np.array([r.x for r in df.select("x").collect()])
+    for q, p in zip(got.q, (0.1, 0.5, 0.99)):
+        assert abs((x < q).mean() - p) < 0.01
+    assert got.n == got.k == 40000
+    none = finalize_states(partial_states(df.where("false").withColumn("g", F.lit(1)), [], spec), spec).first()
+    assert none.n == 0 and none.k == 0 and none.q == [None, None, None]
+
+
+def test_coverage_of_states(spark):
+    a, b = spark.range(0, 900), spark.range(600, 2000)
+    day = (F.col("id") % 5).alias("day")
+    got = joins.coverage_of_states(joins.key_states(a, "id", [day]), joins.key_states(b, "id", [day])).first()
+    assert tuple(got) == (900, 300, 33.33)
+    big = joins.coverage_of_states(joins.key_states(spark.range(300000), "id"), joins.key_states(spark.range(150000, 500000), "id")).first()
+    assert abs(big.keys / 300000 - 1) < 0.02 and abs(big.covered / 150000 - 1) < 0.03
+
+
+def test_frequent_values_miss_none(spark):
+    df = spark.range(50000).select(F.when(F.col("id") % 10 == 0, F.lit("a")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.concat(F.lit("x"), "id")).alias("v"))
+    got = {r.v: r.n for r in metrics.frequent_values(df, "v", 0.02).collect()}
+    assert got == {"a": 5000, None: 1000}
+    assert metrics.frequent_values(df.limit(0), "v", 0.5).count() == 0
+    with pytest.raises(ValueError, match="share"):
+        metrics.frequent_values(df, "v", 0)
+
+
 def test_exact_quantiles(spark):
     import numpy as np
 
@@ -328,8 +405,8 @@ def test_skewed_and_null_keys_are_dealt(spark):
     right = spark.createDataFrame([(0, "a"), (1, "b")], "k long, w string")
     for how in ("left", "inner", "left_anti", "left_semi"):
         assert rows(joins.skew_join(left, right, ["k"], how, hot_rows=50), "id") == rows(left.join(right, ["k"], how), "id")
-    hot = {r.k: r._parts for r in joins.hot_keys(left, ["k"], 50).collect()}
-    assert set(hot) == {0, 1, 2} and all(5 <= n <= 8 for n in hot.values())
+    hot, missing = joins.hot_keys(left, ["k"], 50)
+    assert len(hot) == 3 and all(5 <= n <= 8 for n in hot.values()) and missing == 1000
     text = joins.skew_join(left, right, ["k"], "left", hot_rows=50)._jdf.queryExecution().toString()
     assert "_salt" in text and "HINT" not in text.upper().split("PHYSICAL")[0]
 
