@@ -1,13 +1,16 @@
 """Data-quality checks.
 
 A suite is a list of checks.  All row-local checks of a table are evaluated by
-one aggregation over one scan; checks on groups, other tables or SQL text are
-separate branches.  The result is a DataFrame with one row per check:
+one aggregation over one scan.  All checks on keys (uniqueness, totals per
+group, references, coverage) share one aggregation by (check, key): each table
+is read once for them, its rows turned into small counts, and no tables are
+joined.  Checks in SQL text are separate branches.  The result is a DataFrame with one row per check:
 ``table, check, severity, ok, observed, details``.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -18,7 +21,6 @@ from pyspark.sql import types as T
 
 from lakepipe.functions.dialect import add_functions, spark_expr, spark_text
 from lakepipe.operators.filters import present
-from lakepipe.operators.joins import _keyed, orphan_counts
 from lakepipe.types import spark_type
 
 SEVERITIES = ("info", "warning", "error", "critical")
@@ -38,11 +40,26 @@ RESULT = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class Keys:
+    """What a check looks at per key: rows of its table (``_n``), rows of another table (``_m``), a total (``_t``).
+
+    ``observe`` is an aggregate over the keys, given which of them are the check's.
+    """
+
+    columns: tuple[str, ...]
+    observe: Callable[[Column], Column]
+    skip_null: bool = False
+    value: str | None = None
+    other: str | None = None
+    other_columns: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class Check:
     """A named check on one table.
 
-    Row-local checks set ``measure`` (DataFrame -> aggregate Column).  Others set
+    Row-local checks set ``measure`` (DataFrame -> aggregate Column), checks on keys set ``keys``.  Others set
     ``branch`` (tables, DataFrame -> one-row DataFrame with an ``observed`` column).
     ``passes`` decides on the observed number; None means informational.
     """
@@ -55,6 +72,7 @@ class Check:
     branch: Callable[[dict, DataFrame], DataFrame] | None = None
     needs: tuple[str, ...] = ()
     label: str = "violations"
+    keys: Keys | None = None
 
 
 def _none(observed: Column) -> Column:
@@ -208,12 +226,8 @@ def measured(table: str, name: str, expression: str) -> Check:
 def unique(table: str, columns: Sequence[str], severity: str = "error", ignore_null: bool = False) -> Check:
     """Number of key groups with more than one row."""
 
-    def branch(tables: dict, df: DataFrame) -> DataFrame:
-        df = df.dropna(subset=list(columns)) if ignore_null else df
-        groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-        return groups.agg(F.count_if(F.col("_n") > 1).alias("observed"))
-
-    return Check(table, "unique:" + "+".join(columns), severity, _none, branch=branch, label="duplicate groups")
+    keys = Keys(tuple(columns), lambda own: F.count_if(own & (F.col("_n") > 1)), ignore_null)
+    return Check(table, "unique:" + "+".join(columns), severity, _none, label="duplicate groups", keys=keys)
 
 
 def group_total(
@@ -221,12 +235,8 @@ def group_total(
 ) -> Check:
     """Totals per group stay near a constant; observed is the number of groups that do not."""
 
-    def branch(tables: dict, df: DataFrame) -> DataFrame:
-        totals = df.groupBy(*keys).agg(F.sum(column).alias("_t"))
-        off = F.abs(F.col("_t") - F.lit(target)) > tolerance
-        return totals.agg(F.count_if(off).alias("observed"))
-
-    return Check(table, name, severity, _none, branch=branch, label="groups off")
+    off = lambda own: F.count_if(own & (F.abs(F.col("_t") - F.lit(target)) > tolerance))
+    return Check(table, name, severity, _none, label="groups off", keys=Keys(tuple(keys), off, value=column))
 
 
 def references(
@@ -236,25 +246,20 @@ def references(
     pairs = [(c, c) if isinstance(c, str) else tuple(c) for c in on]
     label = f"references:{'+'.join(c for c, _ in pairs)}->{parent}"
 
-    def branch(tables: dict, df: DataFrame) -> DataFrame:
-        rows = orphan_counts(df, tables[parent], pairs, nullable)
-        return rows.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("observed"))
-
-    return Check(table, label, severity, _none, branch=branch, needs=(parent,) if optional else ())
+    orphaned = lambda own: F.coalesce(F.sum(F.when(own & (F.col("_m") == 0), F.col("_n"))), F.lit(0))
+    keys = Keys(tuple(c for c, _ in pairs), orphaned, nullable, other=parent, other_columns=tuple(p for _, p in pairs))
+    return Check(table, label, severity, _none, needs=(parent,) if optional else (), keys=keys)
 
 
 def covered(table: str, on: Sequence[str], other: str, percent: float, severity: str = "warning") -> Check:
     """At least ``percent`` of the distinct keys occur in another table."""
 
-    def branch(tables: dict, df: DataFrame) -> DataFrame:
-        found = _keyed(tables[other], [(c, c) for c in on]).withColumn("_found", F.lit(1))
-        keys = df.select(*on).dropna().distinct().join(found, list(on), "left")
-        share = F.count("_found") * 100.0 / F.nullif(F.count(F.lit(1)), F.lit(0))
-        return keys.agg(F.round(share, 4).alias("observed"))
+    def share(own: Column) -> Column:
+        held = own & (F.col("_n") > 0)
+        return F.round(F.count_if(held & (F.col("_m") > 0)) * 100.0 / F.nullif(F.count_if(held), F.lit(0)), 4)
 
-    return Check(
-        table, f"covered:{'+'.join(on)}->{other}", severity, lambda n: n >= percent, branch=branch, label="percent"
-    )
+    keys = Keys(tuple(on), share, True, other=other, other_columns=tuple(on))
+    return Check(table, f"covered:{'+'.join(on)}->{other}", severity, lambda n: n >= percent, label="percent", keys=keys)
 
 
 def column_type(table: str, column: str, expected: str | None = None, severity: str = "error") -> Check:
@@ -423,6 +428,56 @@ def _verdict(check: Check, observed: Column) -> Column:
     )
 
 
+def _shared_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which keys of two columns are compared."""
+    if a == b:
+        return a
+    kinds = (a, b)
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        return T.LongType()
+    if any(isinstance(k, T.NumericType) for k in kinds):
+        return T.DoubleType()
+    if any(isinstance(k, (T.DateType, T.TimestampType, T.TimestampNTZType)) for k in kinds):
+        return T.TimestampType()
+    return T.StringType()
+
+
+def _entry(df: DataFrame, i: int, columns: Sequence[str], kinds: Sequence[T.DataType], skip_null: bool, own: bool, value: str | None):
+    """A row's part in check ``i``: its key as two 64-bit hashes, and what it adds; NULL where it has none."""
+    cols = [F.col(f"`{c}`").cast(k) for c, k in zip(columns, kinds)]
+    cols = [c + F.lit(0.0) if isinstance(k, (T.DoubleType, T.FloatType)) else c for c, k in zip(cols, kinds)]  # -0.0 is 0.0
+    parts = [x for c in cols for x in (c.isNull(), c)]
+    total = F.col(f"`{value}`").cast("double") if value else F.lit(None).cast("double")
+    made = F.struct(
+        F.lit(i).alias("_i"), F.xxhash64(F.lit(1), *parts).alias("_h"), F.xxhash64(F.lit(2), *parts).alias("_g"),
+        F.lit(int(own)).alias("_n"), F.lit(int(not own)).alias("_m"), total.alias("_t"),
+    )
+    if not skip_null:
+        return made
+    return F.when(~functools.reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in columns]), made)
+
+
+def _key_row(tables: dict[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
+    """One row, a column k<i> with what each check on keys observes; a table is read once, for all of them."""
+    entries: dict[str, list[Column]] = {}
+    for i, c in enumerate(suite):
+        k, df = c.keys, tables[c.table]
+        kinds = [df.schema[x].dataType for x in k.columns]
+        if k.other:
+            far = tables[k.other]
+            kinds = [_shared_type(a, far.schema[x].dataType) for a, x in zip(kinds, k.other_columns)]
+            entries.setdefault(k.other, []).append(_entry(far, i, k.other_columns, kinds, True, False, None))
+        entries.setdefault(c.table, []).append(_entry(df, i, k.columns, kinds, k.skip_null, True, k.value))
+    rows = None
+    for table, made in entries.items():
+        some = F.filter(F.array(*made), lambda x: x.isNotNull())
+        part = tables[table].select(F.inline(some))
+        rows = part if rows is None else rows.unionByName(part)
+    sums = [F.sum(x).alias(x) for x in ("_n", "_m", "_t")]
+    per_key = rows.groupBy("_i", "_h", "_g").agg(*sums)
+    return per_key.agg(*[c.keys.observe(F.col("_i") == i).cast("double").alias(f"k{i}") for i, c in enumerate(suite)])
+
+
 def run_checks(tables: dict[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
     """Evaluate a suite; checks whose optional tables are missing are left out."""
     suite = [c for c in suite if c.table in tables and all(n in tables for n in c.needs)]
@@ -434,6 +489,10 @@ def run_checks(tables: dict[str, DataFrame], suite: Sequence[Check]) -> DataFram
             row = df.agg(*[c.measure(df).cast("double").alias(f"m{i}") for i, c in enumerate(local)])
             verdicts = F.array(*[_verdict(c, F.col(f"m{i}")) for i, c in enumerate(local)])
             parts.append(row.select(F.inline(verdicts)))
+    keyed = [c for c in suite if c.keys]
+    if keyed:
+        verdicts = F.array(*[_verdict(c, F.col(f"k{i}")) for i, c in enumerate(keyed)])
+        parts.append(_key_row(tables, keyed).select(F.inline(verdicts)))
     for c in suite:
         if c.branch:
             row = c.branch(tables, tables[c.table]).select(F.col("observed").cast("double").alias("m"))

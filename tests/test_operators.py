@@ -315,6 +315,21 @@ def test_checks(spark):
     q.raise_on_failure(res.filter("severity = 'warning'"))
 
 
+def test_key_checks_against_plain_ones(spark):
+    child = spark.createDataFrame([(1, None, 2.0), (1, None, 3.0), (None, 1, 1.0), (None, 1, 1.0), (2, 2, -0.0), (2, 2, 0.0), (9, 9, 5.0)], "a int, b int, x double")
+    parent = spark.createDataFrame([(1, "p"), (2, "p"), (2, "q"), (None, "n"), (5, None)], "k long, s string")
+    tables = {"c": child, "p": parent, "k": parent.select(F.col("k").alias("a"))}
+    suite = [
+        q.unique("c", ["a", "b"]), q.unique("c", ["a", "b"], ignore_null=True), q.unique("c", ["x"]), q.unique("p", ["s"]),
+        q.references("c", [("a", "k")], "p"), q.references("c", [("a", "k")], "p", nullable=True),
+        q.references("c", [("x", "k")], "p"), q.references("p", [("k", "k")], "p"), q.references("c", [("a", "z")], "absent", optional=True),
+        q.covered("c", ["a"], "k", 50), q.group_total("c", "totals", ["a"], "x", 5.0, 0.5),
+    ]
+    got = [r.observed for r in q.run_checks(tables, suite).collect()]
+    # groups: (1, -) (-, 1) (2, 2) (9, 9); x: 2 3 1 0 5; a without parent: two NULL and 9
+    assert got == [3, 1, 2, 1, 3, 1, 3, 1, 66.6667, 2]
+
+
 def test_checks_on_empty_table(spark):
     empty = spark.createDataFrame([], "id int, d date")
     suite = [q.row_count("t"), q.fresh("t", "d", "2024-01-01", 3), q.complete("t", "id", 50), q.not_null("t", "id")]

@@ -73,6 +73,14 @@ def test_suite_reads_each_table_once_for_row_checks(spark):
     assert text.count("FileScan") == 1 and "o_orderpriority" not in text
 
 
+def test_key_checks_share_one_pass(spark):
+    text = plan(entry.queries()["dq_suite"](spark, SF))
+    # orders: rows, then keys; its filtered copy and customer: keys
+    assert text.count("FileScan") == 4 and "Join" not in text
+    text = plan(entry.queries()["related_validation"](spark, SF))
+    assert "Join" not in text and text.count("FileScan") <= 2 * len(set(__import__("re").findall(r"InMemoryFileIndex\(1 paths\)\[([^\]]*)\]", text)))
+
+
 def test_attribution_has_no_join_and_pushes_the_date(spark):
     text = plan(entry.queries()["flagship_attribution"](spark, SF))
     assert "Join" not in text and "Expand" not in text
