@@ -1,7 +1,8 @@
 """Personal data: patterns, and a character-level BiLSTM-CRF that adds what they miss.
 
-The tagger learns from labelled spans (the patterns' own) in windows of a bounded sample of documents, with numpy on the
-driver. Texts are cut into windows of WINDOW code points, half of which overlap. Every span of the four kinds holds a digit
+The tagger learns from labelled spans in windows of a bounded sample of documents, with numpy on the driver: the patterns'
+spans where they stand, and the same spans respelled by rule in ways that no pattern knows (spaces around an address's
+marks, bracketed dots, other marks between a card's digits, numbers without their plus; see `respelled`). Texts are cut into windows of WINDOW code points, half of which overlap. Every span of the four kinds holds a digit
 or an at sign and the tagger's spans must too, so windows without either cannot give one and are not scored. The scores of
 overlapping windows are averaged, nearer the middle weighing more, and runs of neighbouring windows are decoded in long
 overlapping sequences, so spans are whole across window borders. A tagged span is added if its kind's parts are there (see `plausible`)
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,9 +48,9 @@ class Training:
     without a span."""
 
     docs: int = 20000
-    windows: int = 1500
+    windows: int = 2400
     hidden: int = 16
-    steps: int = 300
+    steps: int = 450
     batch: int = 96
 
 
@@ -99,18 +101,58 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+_MAIL = re.compile(r"[^@\s]+\s?@\s?[^@\s.]+(?:\s?\.\s?[^@\s.]+)+")
+_DOTTED = re.compile(r"([0-9]+)\s?\[?\.\]?\s?([0-9]+)\s?\[?\.\]?\s?([0-9]+)\s?\[?\.\]?\s?([0-9]+)")
+_NUMBER = re.compile(r"[0-9](?:[\x20./-]{0,3}[0-9])+")
+_DIAL = re.compile(r"(?:\+\s?)?[0-9(][\x20().0-9/-]+[0-9]")
+
+
 def plausible(kind: int, text: str) -> bool:
     """What a tagged span must hold to be added."""
-    n = len(_digits(text))
     if text != text.strip():
         return False
     if kind == 0:
-        return re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s.]+", text) is not None
+        return _MAIL.fullmatch(text) is not None
     if kind == 1:
-        return n >= 4 and text.count(".") == 3
+        m = _DOTTED.fullmatch(text)
+        return m is not None and all(_part(p) <= 255 for p in m.groups())
+    digits = _digits(text)
     if kind == 2:
-        return 12 <= n <= 19 and luhn(_digits(text))
-    return 7 <= n <= 15 and text[0] in "+(0123456789"
+        return 12 <= len(digits) <= 19 and _NUMBER.fullmatch(text) is not None and luhn(digits)
+    return 9 <= len(digits) <= 15 and _DIAL.fullmatch(text) is not None
+
+
+def _respell(kind: int, text: str, way: int) -> str:
+    if kind == 0:
+        at, way = text.index("@"), way % 4
+        mark, dot = ((" @ ", "."), ("@", " . "), (" @ ", " . "), (" @", "."))[way]
+        return text[:at] + mark + text[at + 1 :].replace(".", dot)
+    if kind == 1:
+        return text.replace(".", ("[.]", " . ", ". ", " .")[way % 4])
+    digits = _digits(text)
+    if kind == 2:
+        return (".", " - ", "/", "  ")[way % 4].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    rest = text[1:]
+    return ("00" + rest, rest.replace(" ", "/").replace("-", "/"), "+ " + rest, "00" + re.sub("[ -]", ".", rest))[way % 4]
+
+
+def respelled(text: str) -> tuple[str, list[Span]]:
+    """The text with its patterns' spans respelled, in a way that each span's own characters choose, and where they are now.
+
+    Spans that overlap an earlier one, and kinds that would be the same in the new spelling, stay as they are and count for
+    nothing."""
+    out, spans, at, size = [], [], 0, 0
+    for start, kind, end in base_spans(text):
+        old = text[start:end]
+        new = _respell(kind, old, zlib.crc32(old.encode()))
+        if start < at or new == old:
+            continue
+        out += [text[at:start], new]
+        size += start - at
+        spans.append((size, kind, size + len(new)))
+        size, at = size + len(new), end
+    out.append(text[at:])
+    return "".join(out), spans
 
 
 def _marked(points: np.ndarray) -> np.ndarray:
@@ -128,9 +170,9 @@ def _cut(points: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return padded[numbers[:, None] * STRIDE + np.arange(WINDOW)]
 
 
-def _tags(text: str, n: int) -> np.ndarray:
+def _tags(spans: list[Span], n: int) -> np.ndarray:
     out = np.zeros(n, np.uint8)
-    for start, kind, end in reversed(base_spans(text)):  # where spans overlap the first in order wins
+    for start, kind, end in reversed(spans):  # where spans overlap the first in order wins
         out[start:end] = 2 * kind + 2
         out[start] = 2 * kind + 1
     return out
@@ -145,10 +187,14 @@ def fit(docs: DataFrame, p: Training = Training()) -> Tagger | None:
     def fn(rows, texts):
         held = []
         for text in texts.to_pylist():
-            points = classes(text or "")
-            numbers = _marked(points)
-            both = np.hstack([_cut(points, numbers), _cut(_tags(text, len(points)), numbers)]) if len(numbers) else points[:0]
-            held.append([x.tobytes() for x in both])
+            own = base_spans(text or "")
+            made = []
+            for form, spans in [(text or "", own), *([respelled(text)] if own else [])]:
+                points = classes(form)
+                numbers = _marked(points)
+                both = np.hstack([_cut(points, numbers), _cut(_tags(spans, len(points)), numbers)]) if len(numbers) else points[:0]
+                made += [x.tobytes() for x in both]
+            held.append(made)
         return [held]
 
     made = map_texts(taken, fn, [T.StructField("w", T.ArrayType(T.BinaryType()))], ["doc_id"])
