@@ -6,8 +6,8 @@ outside the marked regions stands exactly as given. Texts are searched for each
 of words, by hash, a whole batch at once); the automaton runs only around anchors, at a bounded distance.
 
 Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with A-Z lowered. A null or empty text has no words, no labels and score 0.
-Repeated rows are judged alike; a label is given once however often it is found; extra columns are ignored; an empty table
-gives an empty result.
+Repeated rows are judged alike; a label is given once however often it is found; a match within a longer one counts for
+nothing; very long texts are scanned whole; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,33 +27,59 @@ from llm.words import Piece, gram_hashes, lower_word_table, split, word_hashes
 # fixed values: phrases and their labels
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# fixed values: wording of well-known notices, with the parts that vary marked
+# fixed values: paragraphs that two of the notices below share
+BSD_START = """redistribution and use in source and binary forms with or without modification are permitted provided
+        that the following conditions are met [[1]] redistributions of source code must retain the above copyright notice
+        this list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above
+        copyright notice this list of conditions and the following disclaimer in the documentation and or other materials
+        provided with the distribution """
+BSD_NAMES = """[[3]] neither the name of {{1-12}} nor the names of its contributors may be used to endorse or promote products
+        derived from this software without specific prior written permission """
+BSD_END = """this software is provided by {{1-12}} as is and any express or implied warranties including but not limited to
+        the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall
+        {{1-12}} be liable for any direct indirect incidental special exemplary or consequential damages including but not
+        limited to procurement of substitute goods or services loss of use data or profits or business interruption however
+        caused and on any theory of liability whether in contract strict liability or tort including negligence or
+        otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"""
+
+# fixed values: wording of well-known notices to their last mandatory paragraph, with the parts that vary marked; what is
+# only a part of one has a label of its own
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license [[,]] version 2.0 [[the license you may not use this file except in compliance with the license]]",
     "mit-notice": "[[this {{work|software|project}} is]] {{released|licensed|distributed}} under the [[terms of the]] mit license",
     "gpl-notice": "{{licensed|released|distributed}} under the [[terms of the]] gnu general public license [[as published by the free software foundation]] [[either]] version {{2|3}} [[of the license]] [[or at your option any later version]]",
     "lgpl-notice": "under the [[terms of the]] gnu {{lesser|library}} general public license [[as published by the free software foundation]] [[either]] version {{2 1|2|3}}",
     "cc-by-4.0": "licensed under [[a]] {{cc by|creative commons attribution}} {{4 0|4 0 international license}}",
-    "cc-by-nc": "licensed under [[a]] {{cc by nc|creative commons attribution noncommercial}} [[{{sa|nd}}]] {{1-1}} {{1-1}}",
-    "cc-by-sa": "licensed under [[a]] {{cc by sa|creative commons attribution sharealike}} {{1-1}} {{1-1}}",
+    "cc-by-nc": "licensed under [[a]] {{cc by nc|creative commons attribution noncommercial}} [[{{sa|nd|sharealike|noderivatives|noderivs}}]] [[{{1 0|2 0|2 5|3 0|4 0}} [[international]] [[license]]]]",
+    "cc-by-sa": "licensed under [[a]] {{cc by sa|creative commons attribution sharealike}} [[{{1 0|2 0|2 5|3 0|4 0}} [[international]] [[license]]]]",
     "cc0-1.0": "{{dedicated|released|placed}} {{to|into}} the public domain [[under]] [[cc0 [[1 0 universal]]]]",
     "reserved-notice": "copyright [[c]] {{1-8}} all rights reserved",
     "mit": """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
         documentation files the software to deal in the software without restriction including without limitation the
         rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
-        persons to whom the software is furnished to do so subject to the following conditions [[the above copyright
+        persons to whom the software is furnished to do so subject to the following conditions the above copyright
         notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial
-        portions of the software]]""",
-    "isc": """permission to use copy modify and {{and|or}} distribute this software for any purpose with or without fee is
+        portions of the software the software is provided as is without warranty of any kind express or implied including
+        but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no
+        event shall the {{authors or copyright holders|copyright holders or authors|authors}} be liable for any claim
+        damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection
+        with the software or the use or other dealings in the software""",
+    "mit-grant": """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the
+        rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
+        persons to whom the software is furnished to do so""",
+    "isc": """permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is
+        hereby granted provided that the above copyright notice and this permission notice appear in all copies the
+        software is provided as is and {{1-8}} {{disclaims|disclaim}} all warranties with regard to this software
+        including all implied warranties of merchantability and fitness in no event shall {{1-8}} be liable for any special
+        direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits
+        whether in an action of contract negligence or other tortious action arising out of or in connection with the use
+        or performance of this software""",
+    "isc-grant": """permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is
         hereby granted provided that the above copyright notice and this permission notice appear in all copies""",
-    "bsd-2-clause": """redistribution and use in source and binary forms with or without modification are permitted provided
-        that the following conditions are met [[1]] redistributions of source code must retain the above copyright notice
-        this list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above
-        copyright notice this list of conditions and the following disclaimer in the documentation and or other materials
-        provided with the distribution""",
-    "bsd-3-clause": """the following disclaimer in the documentation and or other materials provided with the distribution
-        [[3]] neither the name of {{1-12}} nor the names of its contributors may be used to endorse or promote products
-        derived from this software without specific prior written permission""",
+    "bsd-2-clause": BSD_START + BSD_END,
+    "bsd-3-clause": BSD_START + BSD_NAMES + BSD_END,
+    "bsd-conditions": BSD_START,
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
 
@@ -158,6 +184,11 @@ def compile_template(label: str, markup: str) -> Automaton:
     return Automaton(label, steps, frozenset([0]), done, anchor, before)
 
 
+def _outermost(matches: set[tuple[int, int, str]]) -> set[tuple[int, int, str]]:
+    """Matches but those within a longer one: the longest template that stands in a place names it."""
+    return {m for m in matches if not any(o[0] <= m[0] and m[1] <= o[1] and o[1] - o[0] > m[1] - m[0] for o in matches)}
+
+
 def _hash(words: list[bytes]) -> np.uint64:
     text = pa.array([b" ".join(words).decode()], pa.large_string())
     piece = split(text, lower_word_table())
@@ -196,7 +227,7 @@ class Scanner:
                         base.setdefault(i, []).append((start, start + length, what[1]))
         out: list[list] = [[] for _ in range(7)]
         for i, n in enumerate(np.diff(piece.first).tolist()):
-            places, more = base.get(i, []), found.get(i, set())
+            places, more = base.get(i, []), _outermost(found.get(i, set()))
             starts = [a for a, _, _ in places]
             own = sorted({x for _, _, x in places})
             covered = {k for a, b, _ in [*places, *more] for k in range(a, b)}

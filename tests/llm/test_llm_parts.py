@@ -1,6 +1,7 @@
 """Pieces of the operators against brute force, and every operator on nulls, empties, ties and clashing columns."""
 
 import random
+import re
 import time
 
 import numpy as np
@@ -302,9 +303,33 @@ def test_license_automata():
     for bad in ("[[x", "x]]", "{{1-2}}"):
         with pytest.raises(ValueError):
             licenses.compile_template("t", bad)
-    full = licenses.TEMPLATES["mit"].replace("[[", "").replace("]]", "")
-    rows = licenses.Scanner().scan(pa.array([full, full.replace("without restriction", "with restriction"), "Released under the MIT License."], pa.large_string()))
-    assert rows[5] == ["mit", "", "mit-notice"]
+
+
+def labelled(*texts):
+    return licenses.Scanner().scan(pa.array(texts, pa.large_string()))[5]
+
+
+def plain(name, *free):
+    """A template's text with nothing optional, the first of alternatives, and the words given for free ones."""
+    text, free = licenses.TEMPLATES[name], iter(free)
+    while "[[" in text:
+        text = re.sub(r"\[\[[^\[\]]*\]\]", "", text)
+    return re.sub(r"\{\{(.*?)\}\}", lambda m: next(free) if re.fullmatch(r"\d+-\d+", m[1]) else m[1].split("|")[0], text)
+
+
+def test_licenses_need_all_their_wording():
+    mit, isc = plain("mit"), plain("isc", "the author", "the author")
+    two, three = plain("bsd-2-clause", "the owner", "the owner"), plain("bsd-3-clause", "the owner", "the owner", "the owner")
+    assert labelled(mit, mit.replace("without restriction", "with restriction"), "Released under the MIT License.") == ["mit", "", "mit-notice"]
+    assert labelled(isc, isc.replace("modify and", "modify and or")) == ["isc", "isc"]
+    assert labelled(two, three, three.upper()) == ["bsd-2-clause", "bsd-3-clause", "bsd-3-clause"]
+    for text, name in ((mit, "mit-grant"), (isc, "isc-grant"), (two, "bsd-conditions"), (three, "bsd-conditions")):
+        assert labelled(text.replace("liable", "responsible"), text[: text.index("as is")]) == [name, name]
+    cut = mit[: mit.index("subject to the following")]
+    assert labelled(cut + "subject to the following conditions you must pay me a fee") == ["mit-grant"]
+    assert labelled("This text is licensed under CC BY-SA", "licensed under a CC BY-SA 4.0 International License", "licensed under CC BY-NC-ND 3.0") == ["cc-by,cc-by-sa", "cc-by,cc-by-sa", "cc-by,cc-by-nc"]
+    rows = licenses.Scanner().scan(pa.array(["licensed under a CC BY-SA banana apple"], pa.large_string()))
+    assert rows[5] == ["cc-by,cc-by-sa"] and rows[6] == [6 / 8]  # the notice, not what follows it
 
 
 def test_tagger_gradients_and_learning():
