@@ -5,12 +5,12 @@ the documents, so no shuffle is needed at any size of the corpus. A hash that is
 
 A null or empty text has no words and is never hit; an item without words has no windows; repeated items and repeated
 documents are each judged alone; a window at two places hits both. An empty benchmark hits nothing. Item ids are compared
-as strings; a null item id is left out of the list of items, but its words count.
+as strings; a null item id is left out of the list of items, but its words count. Very long texts are scanned whole.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,49 +19,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.frames import fresh, map_texts
-from llm.words import gram_hashes, lower_word_table, raw, split, word_hashes
-
-BLOCK_BYTES = 32 << 20
-
-
-def _windows(items: list[tuple[str | None, str]], size: int) -> dict[int, dict[int, list[tuple[bytes, set]]]]:
-    """By length and hash: the windows (words joined by a space) with the items they occur in."""
-    out: dict = defaultdict(lambda: defaultdict(list))
-    table = lower_word_table()
-    for item, text in items:
-        piece = split(pa.array([text], pa.large_string()), table)
-        n = len(piece.start)
-        if not n:
-            continue
-        length = min(n, size)
-        g, ok = gram_hashes(word_hashes(piece), piece.first, length)
-        for i in np.flatnonzero(ok):
-            words, same = piece.span(i, i + length), out[length][int(g[i])]
-            for known, ids in same:
-                if known == words:
-                    ids.add(item)
-                    break
-            else:
-                same.append((words, {item}))
-    return {k: dict(v) for k, v in out.items()}
-
-
-def _scan(texts: pa.Array, lookup: list) -> tuple[np.ndarray, list[np.ndarray], list[set]]:
+from llm.words import Piece, gram_hashes, lower_word_table, raw, split, word_hashes
+
+BLOCK_BYTES = 8 << 20  # of benchmark text in a broadcast; its arrays take about six times as much memory
+
+
+@dataclass
+class Block:
+    """Windows of some items as arrays, without an object per window: by length the sorted hashes of the windows and the word
+    of `piece` that each begins at; ids: of the items, one per text of the piece."""
+
+    ids: list[str | None]
+    piece: Piece
+    lookup: list[tuple[int, np.ndarray, np.ndarray]]
+
+
+def block_of(items: list[tuple[str | None, str]], size: int) -> Block:
+    piece = split(pa.array([t for _, t in items], pa.large_string()), lower_word_table())
+    h, counts = word_hashes(piece), np.minimum(np.diff(piece.first), size)
+    lookup = []
+    for length in np.unique(counts[counts > 0]).tolist():
+        g, ok = gram_hashes(h, piece.first, length)
+        at = np.flatnonzero(ok & (counts[piece.owner] == length))
+        order = np.argsort(g[at], kind="stable")
+        lookup.append((length, g[at][order], at[order]))
+    return Block([i for i, _ in items], piece, lookup)
+
+
+def _scan(texts: pa.Array, block: Block) -> tuple[np.ndarray, list[np.ndarray], list[set]]:
     """Words per text, hit word positions per text, items per text."""
     piece = split(texts, lower_word_table())
     h = word_hashes(piece)
     hit = np.zeros(len(h) + 1, dtype=np.int32)
     items: list[set] = [set() for _ in range(piece.texts)]
-    for length, keys, by_hash in lookup:
+    for length, keys, at in block.lookup:
         g, ok = gram_hashes(h, piece.first, length)
-        at = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-        for i in np.flatnonzero(ok & (keys[at] == g)):
+        low = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
+        for i in np.flatnonzero(ok & (keys[low] == g)):
             words = piece.span(i, i + length)
-            for known, ids in by_hash[int(g[i])]:
-                if known == words:
-                    hit[i] += 1
-                    hit[i + length] -= 1
-                    items[piece.owner[i]] |= ids
+            same = at[low[i] : np.searchsorted(keys, g[i], side="right")]
+            same = [w for w in same.tolist() if block.piece.span(w, w + length) == words]
+            if same:
+                hit[i] += 1
+                hit[i + length] -= 1
+                items[piece.owner[i]].update(block.ids[block.piece.owner[w]] for w in same)
     inside = np.cumsum(hit)[:-1] > 0
     places = [np.flatnonzero(inside[a:b]).astype(np.int32) for a, b in zip(piece.first[:-1], piece.first[1:])]
     return np.diff(piece.first), places, items
@@ -88,14 +89,10 @@ def mark(
     out = docs
     for b in range(blocks):
         part = tests.where(block == b) if blocks > 1 else tests
-        found = _windows([tuple(r) for r in part.collect()], size)
-        sent = spark.sparkContext.broadcast(found)
-        held: list = []
-
-        def fn(batch, texts, sent=sent, held=held, more=b > 0):
-            if not held:
-                held.append([(k, np.sort(np.array(list(v), np.uint64)), v) for k, v in sent.value.items()])
-            words, place, item = _scan(texts, held[0])
+        sent = spark.sparkContext.broadcast(block_of([tuple(r) for r in part.collect()], size))
+
+        def fn(batch, texts, sent=sent, more=b > 0):
+            words, place, item = _scan(texts, sent.value)
             if more:
                 old_p = batch.column(batch.schema.get_field_index(places)).to_pylist()
                 old_i = batch.column(batch.schema.get_field_index(items)).to_pylist()

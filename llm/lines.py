@@ -18,7 +18,7 @@ joins whole-line and half-line hashes, drops exact repeats, and passes on lines
 settles what its batch can settle and sends the earliest line per hash, so a line that a third of all documents hold
 sends one row per batch. Texts are shuffled once, by document, and that exchange serves all later joins.
 
-A null or empty text is one empty line. A null id is larger than any other. Rows with one id rank as one document; lines
+Very long texts and lines are read whole, by the task that holds them. A null or empty text is one empty line. A null id is larger than any other. Rows with one id rank as one document; lines
 that tie in id and line number do not remove each other, so repeated rows fare alike. Extra columns pass through; an empty
 table gives an empty result.
 """

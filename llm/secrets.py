@@ -9,7 +9,7 @@ that role reaches into the scope, so no pairs are made.
 A pattern's matches and the gaps between them (the text split by the pattern) give the positions, in code points. Texts
 that hold no trigger are not searched further; a trigger matches wherever its pattern does. Only small rows (lengths, not texts) are shuffled, by row.
 
-A null or empty text has no spans. Repeated rows are judged alike, each on its own; a null id is kept. Extra columns are
+Texts are searched whole, whatever their length. A null or empty text has no spans. Repeated rows are judged alike, each on its own; a null id is kept. Extra columns are
 ignored; an empty table gives an empty result.
 """
 

@@ -6,7 +6,7 @@ the first two by at most 1, the first three by at most 2. Equal fingerprints are
 listed under (segment, its value, the next value) and looked up under the same with no or one flipped bit in the next
 value, which is an equality join on 32 bits; longer prefixes and then the full distance are checked on what the join meets.
 
-Texts without words (null and empty ones too) have fingerprint zero and are linked like any other. Repeated rows and ties
+Very long texts are hashed whole, in parts. Texts without words (null and empty ones too) have fingerprint zero and are linked like any other. Repeated rows and ties
 share a fingerprint, so they share a component. Rows with a null id take part; a component's id is its smallest id that is
 not null. Extra columns are ignored or pass through; an empty table gives an empty result.
 """
@@ -93,7 +93,9 @@ def classes(docs: DataFrame, keep: list[str], size: int = 3, distance: int = 3)
     fp = fresh(docs, "fp")
     marked = saved(fingerprints(docs, keep, size, fp))
     nodes = marked.groupBy(F.col(fp).alias("fp")).agg(F.min("doc_id").alias("least"))
-    linked = components(links(nodes.select("fp"), distance))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = nodes.select("fp").repartition(tasks, "fp")  # small now, 68 rows for one in the join
+    linked = components(links(spread, distance))
     rooted = nodes.join(linked, nodes.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select(F.col("fp").alias("fp__"), "root", "component_id")

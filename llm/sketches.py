@@ -13,7 +13,7 @@ ones. All aggregations of a try group by the pair's row, by which the digests we
 Neighbours come by range: ids are cut into as many ranges as there are shuffle partitions, and the first document of a
 range is also sent to the range above it, so each range knows its last document's next one and no task sees all rows.
 
-A null text is empty and has one empty paragraph. A null id comes last in descending order. Rows that share an id follow
+Very long texts have as many paragraphs as they have, all in the sketch. A null text is empty and has one empty paragraph. A null id comes last in descending order. Rows that share an id follow
 each other by their text's hash; equal rows are interchangeable. A single document is its own next one. Texts of one code
 point or two stay as they are (nothing to replace). Extra columns are ignored; an empty table gives an empty result.
 """

@@ -10,7 +10,7 @@ packed under their own document, so a hash that a third of all documents hold se
 once, by document, and that exchange serves both joins. Anchors are 64-bit hashes (a chance match costs only work), runs
 96-bit ones.
 
-A null or empty text has no words. A null id counts as larger than any other. Rows with one id are one document for the
+Very long texts are read whole. A null or empty text has no words. A null id counts as larger than any other. Rows with one id are one document for the
 comparison of ids, so equal rows never remove each other's words. Texts under 13 words lose nothing. Extra columns are
 ignored; an empty table gives an empty result.
 """
