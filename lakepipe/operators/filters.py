@@ -67,7 +67,11 @@ def non_empty_json(df: DataFrame, c: str) -> DataFrame:
     return df.filter(F.col(c).isNotNull() & ~F.col(c).isin("", "[]"))
 
 
-def skip_done(df: DataFrame, status: str, done: Sequence[str] = ("completed", "done")) -> DataFrame:
+# Status words of processed rows.
+DONE = ("completed", "done")
+
+
+def skip_done(df: DataFrame, status: str, done: Sequence[str] = DONE) -> DataFrame:
     """Drop processed rows; NULL status is kept."""
     word = F.lower(F.trim(F.col(status)))
     return df.filter(word.isNull() | ~word.isin(list(done)))
