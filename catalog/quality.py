@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog.common import load, query, rounded, ts
 from lakepipe.operators import checks as q
 from lakepipe.operators import contract as ct
+from lakepipe.operators import inventory as iv
 from lakepipe.operators import profile as pf
 from lakepipe.operators.dedupe import distinct_rows
 from lakepipe.operators.filters import drop_missing
@@ -358,11 +359,38 @@ def inventory_summary(spark, sf):
     return readers.read_raw(spark, path, partitions={"date": "Date"})
 
 
+def _inventory_sql(period: str, where: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{period}' AS period, 'events' AS table_name, '{c}' AS column_name, {i + 1} AS ordinal, '{kind}' AS data_type,
+        count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values,
+        CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM events WHERE {where}"""
+        for i, (c, kind) in enumerate(_FIELDS["events"])
+    )
+
+
+@query(
+    "inventory_by_day",
+    _inventory_sql("all", "true") + " UNION ALL " + _inventory_sql("late", "CAST(ts AS DATE) >= DATE '2024-01-20'"),
+    integers=("ordinal",),
+)
+def inventory_by_day(spark, sf):
+    events, path, day = load(spark, sf, "events"), shared_dir(spark, "inventory_days"), F.col("ts")
+    iv.store_days(events, day, path, end="2024-01-15", distinct="keys")
+    iv.store_days(events, day, path, start="2024-01-15", distinct="keys")  # the 15th again: it counts once
+    some = lambda period, start=None: iv.inventory(
+        iv.read_days(spark, path, start), "events", events.schema, "keys"
+    ).select(F.lit(period).alias("period"), "*")
+    return some("all").unionByName(some("late", "2024-01-20"))
+
+
 @query(
     "catalog_drift",
-    """SELECT * FROM (VALUES ('orders', 'o_custkey', 2, 0, 'removed'), ('orders', 'o_buyer', 0, 2, 'added'),
-      ('orders', 'o_orderstatus', 3, 4, 'moved'), ('orders', 'o_totalprice', 4, 3, 'moved'))
-      t(table_name, column_name, recorded_at, live_at, change)""",
+    """WITH recorded AS (SELECT column_name, row_number() OVER () AS at FROM (DESCRIBE orders)),
+    live AS (SELECT column_name, row_number() OVER () AS at FROM (DESCRIBE
+      SELECT o_orderkey, o_custkey AS o_buyer, o_totalprice, o_orderstatus, o_orderdate, o_orderpriority FROM orders))
+    SELECT 'orders' AS table_name, column_name, coalesce(r.at, 0) AS recorded_at, coalesce(l.at, 0) AS live_at,
+      CASE WHEN l.at IS NULL THEN 'removed' WHEN r.at IS NULL THEN 'added' ELSE 'moved' END AS change
+    FROM recorded r FULL JOIN live l USING (column_name) WHERE r.at IS DISTINCT FROM l.at""",
     integers=("recorded_at", "live_at"),
 )
 def catalog_drift(spark, sf):

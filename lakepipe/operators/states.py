@@ -27,7 +27,7 @@ KLL_ERROR = 0.01  # of a rank, as a share of all values; a sketch of size 400 pr
 def aggregate_state(fn: str, c="*") -> dict[str, Column]:
     """State aggregates for ``fn``: suffix -> aggregate column."""
     if fn == "count":
-        return {"count": F.count(F.lit(1) if c == "*" else as_col(c))}
+        return {"count": F.count(F.lit(1) if isinstance(c, str) and c == "*" else as_col(c))}
     c = as_col(c)
     if fn == "avg":
         return {"sum": F.sum(c), "count": F.count(c)}
@@ -44,7 +44,7 @@ def aggregate_state(fn: str, c="*") -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class State:
-    """One named state, e.g. ``State("points", "avg", "points")``.
+    """One named state, e.g. ``State("points", "avg", "points")``; ``column`` may be an expression.
 
     "keys" keeps a sketch of the distinct values that can be intersected with another one.  "quantiles" keeps a sketch of the values' order; on read it gives ``probs`` as an array, each within ``KLL_ERROR`` of
     its rank.
@@ -52,7 +52,7 @@ class State:
 
     name: str
     fn: str
-    column: str = "*"
+    column: Column | str = "*"
     probs: tuple[float, ...] = (0.5, 0.95)
 
 
@@ -68,9 +68,13 @@ def _kind(column: str) -> str | None:
     return kind if kind in MERGE else None
 
 
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def merge_states(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add up partial states per key."""
-    aggs = [MERGE[_kind(c)](c).alias(c) for c in partials.columns if _kind(c)]
+    aggs = [MERGE[_kind(c)](_quoted(c)).alias(c) for c in partials.columns if _kind(c)]
     return partials.groupBy(*keys).agg(*aggs)
 
 
@@ -79,7 +83,7 @@ def finalize_states(merged: DataFrame, states: Sequence[State]) -> DataFrame:
     keys = [c for c in merged.columns if not _kind(c)]
     out = []
     for s in states:
-        c = lambda suffix: F.col(f"{s.name}__{suffix}")  # noqa: E731, B023
+        c = lambda suffix: _quoted(f"{s.name}__{suffix}")  # noqa: E731, B023
         if s.fn == "avg":
             value = c("sum").cast("double") / F.nullif(c("count"), F.lit(0))
         elif s.fn == "uniq":

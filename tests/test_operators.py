@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakepipe.operators import checks as q
-from lakepipe.operators import clean, contract, dedupe, filters, joins, metrics, profile, quantiles, states
+from lakepipe.operators import clean, contract, dedupe, filters, inventory, joins, metrics, profile, quantiles, states
 from lakepipe.operators.states import State, finalize_states, merge_states, partial_states
 from lakepipe.session import shared_dir
 
@@ -396,6 +396,38 @@ def test_profile(spark):
     assert "Expand" not in profile.profile(df, "t", exact=True)._jdf.queryExecution().toString()
 
 
+def test_inventory_by_day(spark, tmp_path):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int"))
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 100 != 0, day).alias("d"), "id", F.col("id").cast("string").alias("a.b`c"),
+        F.when(F.col("id") % 5 == 0, F.lit("")).alias("s"), F.array("id").alias("list"), F.create_map("id", "id").alias("map"),
+    )
+    path = str(tmp_path / "days")
+    inventory.store_days(df, F.col("d"), path)
+    one_day = inventory.day_states(df.where("id = 1"), F.col("d"))
+    text = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and "Expand" not in text
+    # a day that is run again counts once, a later column is unknown to earlier days
+    wider = df.withColumn("late", F.lit(1.5))
+    inventory.store_days(wider, F.col("d"), path, "2024-01-03", "2024-01-03")
+    got = {r.column_name: r for r in inventory.inventory(inventory.read_days(spark, path), "t", wider.schema).collect()}
+    assert list(got) == wider.columns and [r.ordinal for r in got.values()] == list(range(1, 8))
+    assert {r.rows for r in got.values()} == {40000}
+    assert got["d"].nulls == 400 and (got["d"].min_value, got["d"].max_value) == ("2024-01-01", "2024-01-04")
+    assert got["s"].nulls == 32000 and got["s"].distinct_values == 1 and got["s"].min_value == ""
+    assert (got["late"].nulls, got["late"].distinct_values, got["late"].min_value) == (0, 1, "1.5")
+    assert (got["id"].min_value, got["id"].max_value, got["list"].min_value, got["map"].max_value) == ("0", "39999", None, None)
+    for name in ("id", "a.b`c", "list", "map"):  # within four standard errors
+        assert abs(got[name].distinct_values / 40000 - 1) < 0.08
+    part = inventory.read_days(spark, path, "2024-01-02", "2024-01-03")
+    assert inventory.inventory(part, "t", df.schema).first().rows == 20000
+    assert "PartitionFilters: [isnotnull(inventory_day" in part._jdf.queryExecution().executedPlan().toString()
+    none = inventory.read_days(spark, path, "2030-01-01")
+    assert [tuple(r)[4:] for r in inventory.inventory(none, "t", df.select("id").schema).collect()] == [(0, 0, 0, None, None)]
+    with pytest.raises(ValueError, match="sketch"):
+        inventory.day_states(df, F.col("d"), "exact")
+
+
 def test_lifecycle_is_the_same_from_any_source(spark, tmp_path):
     cols = "entity_type string, entity_id string, timestamp timestamp, event_type string, event_timestamp_source string, event_id string"
     days = [("order", "a", f"2024-01-0{i + 1} 00:00:00", f"t{i}", "s", f"e{i}") for i in range(6)]
