@@ -260,8 +260,28 @@ def test_sketches_recover_differences(spark):
         b = a[: len(a) // 2] + [rng.getrandbits(62) for _ in range(rng.choice([0, 1, 20, 300]))]
         rows.append((i, 0, a, b))
     df = spark.createDataFrame(rows, "row long, pair int, a array<long>, b array<long>")
-    got = {r.row: r.differing for r in sketches.differences(df).collect()}
+    found = sketches.differences(df).collect()
+    got = {r.row: r.differing for r in found}
     assert {i: len(set(a) ^ set(b)) for i, _, a, b in rows if set(a) != set(b)} == {k: v for k, v in got.items() if v}
+    sides = {r.row: (r.only_a, r.only_b) for r in found}
+    assert sides == {i: (sorted(set(a) - set(b)), sorted(set(b) - set(a))) for i, _, a, b in rows if set(a) != set(b)}
+
+
+def test_neighbours_under_ids_that_many_rows_share(spark):
+    rng = random.Random(8)
+    rows = [(None, f"n{i % 300}") for i in range(400)] + [(5, f"five{i}") for i in range(400)] + [(i, f"t{rng.random()}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    low = -(1 << 63)
+    keyed = docs.select(F.coalesce("doc_id", F.lit(low)).alias("id"), "text", F.xxhash64("text").alias("h")).collect()
+    order = [(r.id, r.text) for r in sorted(keyed, key=lambda r: (-r.id, r.h))]
+    want = sorted((i, t, order[(n + 1) % len(order)][1]) for n, (i, t) in enumerate(order))
+    got = [(low if r.doc_id is None else r.doc_id, r.text, r.next_text) for r in sketches.with_next(docs).collect()]
+    assert sorted(got) == want
+    # four of seven bounds on one id: its rows are dealt over four ranges, in the order of their hashes
+    turns = docs.where("doc_id = 5 and text like 'five%'").select(F.col("doc_id").alias("id"), F.bitwise_not(F.xxhash64("text")).alias("turn"))
+    parts = turns.select("turn", sketches._part([1, 2, 5, 5, 5, 5, 9]).alias("part")).orderBy("turn").collect()
+    assert [r.part for r in parts] == sorted(r.part for r in parts) and {r.part for r in parts} == {2, 3, 4, 5}
+    assert max(sum(r.part == p for r in parts) for p in range(8)) < 140
 
 
 def test_native_operators_use_no_python(spark):

@@ -117,6 +117,8 @@ def test_fingerprints(spark, texts):
         r = got[d]
         assert (r.n_chars, r.edited_sha256) == (len(text), sha(edited))
         assert r.near_edited == pytest.approx(len(a & b) / len(a | b)) and r.near_next == pytest.approx(len(a & c) / len(a | c))
+        digest = lambda x: (lambda h: h - (h >> 63 << 64))(xxhash.xxh64_intdigest(x.encode(), seed=42))
+        assert (r.lost, r.gained) == (sorted(map(digest, a - b)), sorted(map(digest, b - a)))
         assert by_text.setdefault(text, r.fingerprint) == r.fingerprint
         assert by_text.setdefault(edited, r.edited_fingerprint) == r.edited_fingerprint
 
