@@ -172,25 +172,52 @@ def timeline_assembled(spark, sf):
     return assembled(spark, sf).groupBy("source_system", "event_type").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _validation_sql(run: str, events: str, days: int, seconds: int) -> str:
+    gap = lambda unit, t: f"date_diff('{unit}', {t}, TIMESTAMP '{AS_OF}')"
+    rows = [("row_count", "warning", "n >= 1", "count(*)")]
+    rows += [(f"not_null:{c}", "error", "n = 0", f"count(*) - count({c})") for c in ("event_id", "org_id", "event_type", "timestamp")]
+    rows += [("min_events:shop_silver.orders", "warning", "n >= 1", "count(*) FILTER (src = 'shop')")]
+    rows += [("min_events:book_silver.holdings", "warning", "n >= 10", "count(*) FILTER (src = 'book')")]
+    rows += [("fresh:timestamp", "warning", f"n <= {days}", gap("day", "CAST(max(timestamp) AS DATE)"))]
+    rows += [("lag:timestamp", "warning", f"n <= {seconds}", gap("second", "max(timestamp)"))]
+    return "\nUNION ALL ".join(
+        f"""SELECT '{run}' AS run, '{c}' AS "check", '{severity}' AS severity, {ok} AS ok, CAST(n AS DOUBLE) AS observed
+        FROM (SELECT {n} AS n FROM {events})"""
+        for c, severity, ok, n in rows
+    )
+
+
 @query(
     "timeline_validation",
-    _ALL_COUNTS
-    + """, n AS (SELECT (SELECT count(*) FROM timeline) AS orders,
-      (SELECT sum((NOT lost AND v != 0)::INT + (NOT lost AND v > 0 AND NOT cash)::INT + (NOT lost AND v < 0)::INT + (cash AND v != 0)::INT
-        + (NOT lost AND v = 0)::INT) FROM v) AS positions)
-    SELECT "check", severity, ok, CAST(observed AS DOUBLE) AS observed FROM (
-      SELECT 'row_count' AS "check", 'warning' AS severity, true AS ok, orders + positions AS observed FROM n
-      UNION ALL SELECT 'not_null:' || c, 'error', true, 0 FROM (VALUES ('event_id'), ('org_id'), ('event_type'), ('timestamp')) t(c)
-      UNION ALL SELECT 'min_events:shop_silver.orders', 'warning', true, orders FROM n
-      UNION ALL SELECT 'min_events:book_silver.holdings', 'warning', true, positions FROM n
-      UNION ALL SELECT 'fresh:timestamp', 'warning', false, date_diff('day', CAST((SELECT greatest(max(l_shipdate),
-        (SELECT max(t) FROM timeline)) FROM lineitem) AS DATE), DATE '2024-06-01')
-      UNION ALL SELECT 'lag:timestamp', 'warning', lag <= 300, lag FROM (SELECT date_diff('second', greatest(max(l_shipdate),
-        (SELECT max(t) FROM timeline)), TIMESTAMP '2024-06-01') AS lag FROM lineitem) AS g)""",
+    f"""WITH {_EVENTS}, v AS (SELECT l_orderkey % 10 = 0 AS cash, l_shipdate AS t, l_orderkey % 11 = 0 AS lost,
+      CASE WHEN l_orderkey % 3 = 0 THEN -l_quantity WHEN l_orderkey % 7 = 0 THEN 0 ELSE l_quantity END AS v FROM lineitem),
+    book AS (SELECT * FROM (SELECT unnest([CASE WHEN NOT lost AND v != 0 THEN 'holding_established' END, CASE WHEN NOT lost AND v > 0 AND NOT cash
+      THEN 'transaction_buy' END, CASE WHEN NOT lost AND v < 0 THEN 'transaction_sell' END, CASE WHEN cash AND v > 0 THEN 'transaction_deposit' END,
+      CASE WHEN cash AND v < 0 THEN 'transaction_withdrawal' END, CASE WHEN NOT lost AND v = 0 THEN 'holding_closed' END])
+      AS event_type, t FROM v) WHERE event_type IS NOT NULL),
+    whole AS (SELECT 'shop' AS src, md5(org || entity_id || event_type || t) AS event_id, org AS org_id, event_type, t AS timestamp FROM timeline
+      UNION ALL SELECT 'book', md5(event_type || t), 't0', event_type, t FROM book),
+    damaged AS (SELECT src, CASE WHEN org_id != 't1' THEN event_id END AS event_id, CASE WHEN org_id != 't2' THEN org_id END AS org_id,
+      CASE WHEN event_type != 'order_shipped' THEN event_type END AS event_type, CASE WHEN event_type != 'order_updated' THEN timestamp END AS timestamp
+      FROM whole WHERE src = 'shop')
+    {_validation_sql("whole", "whole", 1, 300)} UNION ALL {_validation_sql("damaged", "damaged", 20000, 10**10)}""",
 )
 def timeline_validation(spark, sf):
-    suite = tl.timeline_checks("timeline", [e for e in ENTRIES if e.enabled], AS_OF, 1)
-    return checks.run_checks({"timeline": assembled(spark, sf)}, suite).select("check", "severity", "ok", "observed")
+    entries, whole = [e for e in ENTRIES if e.enabled], assembled(spark, sf)
+    lost = lambda c, when: F.when(~when, F.col(c)).alias(c)
+    damaged = whole.filter("source_system = 'shop'").select(
+        "source_table",
+        lost("event_id", F.col("org_id") == "t1"),
+        lost("org_id", F.col("org_id") == "t2"),
+        lost("event_type", F.col("event_type") == "order_shipped"),
+        lost("timestamp", F.col("event_type") == "order_updated"),
+    )
+    out = None
+    for run, df, lag in (("whole", whole, ()), ("damaged", damaged, (20000, 10**10))):
+        found = checks.run_checks({"timeline": df}, tl.timeline_checks("timeline", entries, AS_OF, *lag))
+        part = found.select(F.lit(run).alias("run"), "check", "severity", "ok", "observed")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
