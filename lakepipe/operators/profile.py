@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lakepipe.operators.filters import exclude_names
 
+MERGERS = 64
+
 
 def _described(df: DataFrame, table: str, nulls, distinct) -> Column:
     """One struct per column: position, type, nullability and what the two functions say of column i."""
@@ -31,23 +34,57 @@ def _described(df: DataFrame, table: str, nulls, distinct) -> Column:
 def profile(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
     """One row per column: position, type, nullability, NULLs and distinct values.
 
-    Distinct counts are sketches from one aggregation.  ``exact=True`` counts them: each value's hashes (96 bits) are
-    counted per column, repeats within a task before anything is shuffled.
+    Distinct counts are sketches from one aggregation.  ``exact=True`` counts them, when called: see ``distinct_counts``.
     """
-    columns = [F.col(f"`{f.name}`") for f in df.schema.fields]
     if not exact:
         aggs = []
-        for i, c in enumerate(columns):
+        for i, c in enumerate(_columns(df)):
             aggs += [F.count_if(c.isNull()).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
         return df.agg(*aggs).select(F.inline(_described(df, table, lambda i: F.col(f"n{i}"), lambda i: F.col(f"d{i}"))))
-    marks = [F.struct(F.lit(i).alias("i"), c.isNull().alias("n"), F.xxhash64(c).alias("h"), F.hash(c).alias("g")) for i, c in enumerate(columns)]
-    values = df.select(F.inline(F.array(*marks))).groupBy("i", "n", "h", "g").agg(F.count(F.lit(1)).alias("rows"))
-    per = values.groupBy("i").agg(
-        F.coalesce(F.sum(F.when(F.col("n"), F.col("rows"))), F.lit(0)).alias("nulls"), F.count_if(~F.col("n")).alias("distinct_values")
-    )
-    one = per.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("nulls", "distinct_values")))).alias("m"))
-    said = lambda name: lambda i: F.coalesce(F.try_element_at("m", F.lit(i))[name], F.lit(0))
-    return one.select(F.inline(_described(df, table, said("nulls"), said("distinct_values"))))
+    return _counted(df, table, distinct_counts({table: df})[table])
+
+
+def _counted(df: DataFrame, table: str, found: list[tuple[int, int]]) -> DataFrame:
+    count = lambda at: lambda i: F.lit(found[i][at]).cast("bigint")
+    return df.sparkSession.range(1).select(F.inline(_described(df, table, count(0), count(1))))
+
+
+def distinct_counts(tables: dict[str, DataFrame], sketch: int = 12) -> dict[str, list[tuple[int, int]]]:
+    """NULLs and exact distinct values of each table's columns, in order.
+
+    One aggregation per table, without copies of rows, gives every column a sketch that holds up to 2^sketch values exactly;
+    the sketches of many tasks meet in up to ``MERGERS`` tasks before they meet in one.
+    Columns with more are counted by one aggregation each, which reads that column alone: its values' hashes (96 bits) are
+    collapsed within a task before anything is shuffled.  All tables share these two jobs; a row per column reaches the
+    driver.
+    """
+    first = []
+    for name, df in tables.items():
+        parts, cells = [], []
+        for i, c in enumerate(_columns(df)):
+            value = F.when(c.isNotNull(), F.xxhash64(c))  # sketches skip empty texts and know no nested types
+            parts += [F.count_if(c.isNull()).alias(f"n{i}"), F.theta_sketch_agg(value, F.lit(sketch)).alias(f"d{i}")]
+            united = F.theta_sketch_estimate(F.theta_union_agg(f"d{i}", F.lit(sketch)))
+            cells.append(F.struct(F.coalesce(F.sum(f"n{i}"), F.lit(0)), united))
+        merged = df.groupBy((F.spark_partition_id() % MERGERS).alias("part")).agg(*parts)
+        first.append(merged.agg(F.lit(name).alias("t"), F.array(*cells).alias("cells")))
+    found = {r.t: [tuple(c) for c in r.cells] for r in _together(first).collect()}
+    large = []
+    for name, df in tables.items():
+        for i, c in enumerate(_columns(df)):
+            if found[name][i][1] >= 1 << sketch:  # below that the sketch is no estimate
+                hashes = df.where(c.isNotNull()).select(F.xxhash64(c).alias("h"), F.hash(c).alias("g")).distinct()
+                large.append(hashes.agg(F.lit(name).alias("t"), F.lit(i).alias("i"), F.count(F.lit(1)).alias("n")))
+    counts = {(r.t, r.i): r.n for r in _together(large).collect()} if large else {}
+    return {t: [(nulls, counts.get((t, i), n)) for i, (nulls, n) in enumerate(cells)] for t, cells in found.items()}
+
+
+def _columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{f.name}`") for f in df.schema.fields]
+
+
+def _together(frames: Sequence[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
 
 
 def listed(tables: dict[str, DataFrame]) -> DataFrame:
@@ -58,11 +95,10 @@ def listed(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile_tables(tables: dict[str, DataFrame], exact: bool = False) -> DataFrame:
-    out = None
-    for name, df in tables.items():
-        part = profile(df, name, exact)
-        out = part if out is None else out.unionByName(part)
-    return out
+    if not exact:
+        return _together([profile(df, name) for name, df in tables.items()])
+    found = distinct_counts(tables)
+    return _together([_counted(df, name, found[name]) for name, df in tables.items()])
 
 
 def widest(columns: DataFrame, n: int = 3, exclude: Sequence[str] = ()) -> DataFrame:

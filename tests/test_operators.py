@@ -396,6 +396,25 @@ def test_profile(spark):
     assert "Expand" not in profile.profile(df, "t", exact=True)._jdf.queryExecution().toString()
 
 
+def test_distinct_counts_and_sketches(spark):
+    rng = F.rand(4)
+    df = spark.range(60000).select(
+        "id", (F.col("id") % 4095).alias("under"), (F.col("id") % 4096).alias("at"), F.when(F.col("id") % 3 == 0, F.lit("")).alias("s"),
+        F.array(F.col("id") % 7).alias("list"), F.round(rng * 9000).alias("x"), F.lit(None).cast("int").alias("none"),
+    )
+    x = df.select("x").distinct().count()
+    want = [(0, 60000), (0, 4095), (0, 4096), (40000, 1), (0, 7), (0, x), (60000, 0)]
+    few = df.select("at")
+    for sketch in (12, 18):  # large columns are counted apart, then none is large
+        assert profile.distinct_counts({"t": df, "few": few}, sketch) == {"t": want, "few": [(0, 4096)]}
+    assert profile.distinct_counts({"t": df.where("false")}, 12) == {"t": [(0, 0)] * 7}
+    sketched = profile.profile(df.drop("list"), "t").collect()
+    exact = profile.profile(df.drop("list"), "t", exact=True).collect()
+    for a, b in zip(sketched, exact):  # the sketch form promises 5 % (one standard error)
+        assert (a.column_name, a.nulls) == (b.column_name, b.nulls)
+        assert abs(a.distinct_values - b.distinct_values) <= 0.2 * b.distinct_values
+
+
 def test_inventory_by_day(spark, tmp_path):
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int"))
     df = spark.range(40000).select(
