@@ -17,9 +17,10 @@ task sees all rows. An id that many rows share spans several ranges; only rows t
 Likeness and the recovered digests come from the sketch size that could be peeled, which grows with the difference; the
 fingerprint shown always has the smallest size.
 
-Very long texts have as many paragraphs as they have, all in the sketch. A null text is empty and has one empty paragraph. A null id comes last in descending order. Rows that share an id follow
-each other by their text's hash; equal rows are interchangeable. A single document is its own next one. Texts of one code
-point or two stay as they are (nothing to replace). Extra columns are ignored; an empty table gives an empty result.
+Very long texts have as many paragraphs as they have, all in the sketch. A null text is empty and has one empty paragraph. A
+null id comes last in descending order. Rows that share an id follow each other by their text's hash; equal rows are
+interchangeable. A single document is its own next one. Texts of one code point or two stay as they are (nothing to
+replace). Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
