@@ -19,7 +19,8 @@ def best_effort_sql(t: str, day_first: bool = True) -> str:
 
     The shape of the text picks one format: ISO with -, / or . (with or without zone), yyyyMMddHHmmss, yyyyMMdd, epoch
     seconds or milliseconds, day.month.year, and day and month name in either order, each with an optional time and
-    AM / PM.  Ambiguous numbers are day first or month first; unambiguous ones are read either way.
+    AM / PM, which shifts an hour that the text names.  Ambiguous numbers are day first or month first; unambiguous ones
+    are read either way.
     """
     text = rf"regexp_replace(trim({t}), r'(?i)(\d)\s*[ap]m$', '$1')"
     slashed = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
@@ -47,10 +48,15 @@ def best_effort_sql(t: str, day_first: bool = True) -> str:
       WHEN {text} RLIKE r'{slashed}' THEN {usual}
       {named(day_month, 1, 2)}
       {named(month_day, 2, 1)} END"""
-    return rf"""CASE
-      WHEN trim({t}) RLIKE r'(?i)\d\s*pm$' AND hour({found}) < 12 THEN {found} + INTERVAL 12 HOURS
-      WHEN trim({t}) RLIKE r'(?i)\d\s*am$' AND hour({found}) = 12 THEN {found} - INTERVAL 12 HOURS
-      ELSE {found} END"""
+    # the shift is read off the text's own hour, so the parse itself stands in the expression once
+    hour = rf"""coalesce(try_cast(regexp_extract({text}, r'^(?:.*?\D)?(\d{{1,2}}):\d', 1) AS INT),
+      try_cast(regexp_extract({text}, r'^\d{{8}}(\d{{2}})\d{{4}}$', 1) AS INT))"""
+    shift = rf"""CASE
+      WHEN NOT trim({t}) RLIKE r'(?i)\d\s*[ap]m$' THEN 0
+      WHEN lower(left(right(trim({t}), 2), 1)) = 'p' AND {hour} < 12 THEN 12
+      WHEN lower(left(right(trim({t}), 2), 1)) = 'a' AND {hour} = 12 THEN -12
+      ELSE 0 END"""
+    return f"({found}) + make_dt_interval(0, {shift}, 0, 0)"
 
 
 @functools.lru_cache(maxsize=64)

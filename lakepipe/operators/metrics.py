@@ -59,18 +59,6 @@ def top_values(df: DataFrame, keys: Sequence[str], value: str, k: int = 5, out:
     return best.groupBy(*keys).agg(F.transform(ordered, lambda x: x[value]).alias(out))
 
 
-def _age_stats(df: DataFrame, keys: Sequence[str], age: str, probs: dict[str, float]) -> DataFrame:
-    # whole-day ages have a small domain, so the exact percentile runs over one row per (group, age)
-    dist = df.filter(F.col(age).isNotNull()).groupBy(*keys, age).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n")
-    return dist.groupBy(*keys).agg(
-        (F.sum(F.col(age) * F.col("_n")) / total).alias(f"avg_{age}"),
-        F.min(age).alias(f"min_{age}"),
-        F.max(age).alias(f"max_{age}"),
-        *[F.percentile(age, p, F.col("_n")).alias(f"{name}_{age}") for name, p in probs.items()],
-    )
-
-
 _USER_KEYS = ("metric_date", "organization_id")
 
 
@@ -79,8 +67,36 @@ def _user_rows(df: DataFrame, ds: str | None, tenant: str) -> DataFrame:
     return df if ds is None else df.filter(F.col("metric_date") == F.lit(ds).cast("date"))
 
 
+def _cells(rows: DataFrame, values: Sequence[str], **sums: Column) -> DataFrame:
+    """Per group, one row for each distinct value of each listed column: ``_kind`` names the column, ``_n`` counts rows.
+
+    One scan and one shuffle serve all columns.  Tasks combine rows first, so a hot group sends its distinct values.
+    """
+    copied = rows.withColumn("_kind", F.explode(F.lit(list(values))))
+    own = [F.when(F.col("_kind") == v, F.col(v)).alias(v) for v in values]
+    counted = copied.select(*_USER_KEYS, "_kind", *own, *[c.alias(n) for n, c in sums.items()])
+    # bits are ored, numbers summed
+    merged = [(F.bit_or if n == "_bits" else F.sum)(n).alias(n) for n in sums]
+    return counted.groupBy(*_USER_KEYS, "_kind", *values).agg(F.count(F.lit(1)).alias("_n"), *merged)
+
+
+def _age_columns(age: str, probs: dict[str, float]) -> list[Column]:
+    # whole-day ages have a small domain, so the exact percentile runs over one cell per (group, age)
+    n = F.when(F.col(age).isNotNull(), F.col("_n"))
+    return [
+        (F.sum(F.col(age) * n) / F.sum(n)).alias(f"avg_{age}"),
+        F.min(age).alias(f"min_{age}"),
+        F.max(age).alias(f"max_{age}"),
+        *[F.percentile(age, p, F.coalesce(n, F.lit(0))).alias(f"{name}_{age}") for name, p in probs.items()],
+    ]
+
+
 def user_daily(df: DataFrame, ds: str | None = None, tenant: str = "organization_id") -> DataFrame:
-    """Distinct users per day and tenant: totals, states, age statistics, cohorts, top domains."""
+    """Distinct users per day and tenant: totals, states, age statistics, cohorts, top domains.
+
+    The input is read once: users, ages and domains become cells of one aggregation; those of users and ages fold into
+    one row each, so only distinct domains are ranked.
+    """
     rows, age = _user_rows(df, ds, tenant), F.col("user_age_days")
     flags = {
         "active_users": F.col("is_active") == 1,
@@ -93,27 +109,40 @@ def user_daily(df: DataFrame, ds: str | None = None, tenant: str = "organization
         "users_91_365_days": (age > 90) & (age <= 365),
         "users_over_1_year": age > 365,
     }
-    per_user = rows.groupBy(*_USER_KEYS, "user_id").agg(*[F.max(c).alias(n) for n, c in flags.items()])
-    counts = per_user.groupBy(*_USER_KEYS).agg(
-        F.count("user_id").alias("total_users"),
-        *[F.count_if(F.col(n) & F.col("user_id").isNotNull()).alias(n) for n in flags],
+    bits = F.lit(0)
+    for i, c in enumerate(flags.values()):
+        bits = bits.bitwiseOR(F.when(c, 1 << i).otherwise(0))
+    cells = _cells(rows, ["user_id", "user_age_days", "email_domain"], _bits=F.when(F.col("_kind") == "user_id", bits))
+    counts = [F.count("user_id").alias("total_users")] + [
+        F.count_if(F.col("user_id").isNotNull() & (F.col("_bits").bitwiseAND(F.lit(1 << i)) != 0)).alias(n)
+        for i, n in enumerate(flags)
+    ]
+    ages = _age_columns("user_age_days", {"median": 0.5})
+    folded = cells.groupBy(*_USER_KEYS, "_kind", "email_domain").agg(*counts, *ages, F.sum("_n").alias("_n"))
+    # the two folded rows and the five best domains; rows without a domain rank last
+    w = Window.partitionBy(*_USER_KEYS).orderBy(
+        F.col("_kind") == "email_domain", F.col("email_domain").isNull(), F.desc("_n"), F.asc("email_domain")
     )
-    ages = _age_stats(rows, _USER_KEYS, "user_age_days", {"median": 0.5})
-    domains = top_values(rows, _USER_KEYS, "email_domain", 5, "top_email_domains")
-    return counts.join(ages, list(_USER_KEYS), "left").join(domains, list(_USER_KEYS), "left")
+    few = folded.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= 2 + 5)
+    named = (F.col("_kind") == "email_domain") & F.col("email_domain").isNotNull()
+    best = F.sort_array(F.collect_list(F.when(named, F.struct("_rank", "email_domain"))))
+    domains = F.when(F.count_if(named) > 0, F.transform(best, lambda x: x["email_domain"])).alias("top_email_domains")
+    sums = [F.sum(n).alias(n) for n in ("total_users", *flags)]
+    stats = [F.max(f"{x}_user_age_days").alias(f"{x}_user_age_days") for x in ("avg", "min", "max", "median")]
+    return few.groupBy(*_USER_KEYS).agg(*sums, *stats, domains)
 
 
 def user_daily_counts(df: DataFrame, ds: str | None = None, tenant: str = "organization_id") -> DataFrame:
     """Users per day and tenant with row counts for active / inactive, median and p95 age, newest first."""
     rows = _user_rows(df, ds, tenant).filter(F.col("user_id").isNotNull())
-    counts = rows.groupBy(*_USER_KEYS).agg(
-        F.count_distinct("user_id").alias("total_users"),
-        F.count_if(F.col("is_active") == 1).alias("active_users"),
-        F.count_if(F.col("is_active") == 0).alias("inactive_users"),
+    state = {f"_{n}": F.when((F.col("_kind") == "user_id") & (F.col("is_active") == v), 1).otherwise(0) for v, n in ((1, "on"), (0, "off"))}
+    out = _cells(rows, ["user_id", "user_age_days"], **state).groupBy(*_USER_KEYS).agg(
+        F.count("user_id").alias("total_users"),
+        F.sum("_on").alias("active_users"),
+        F.sum("_off").alias("inactive_users"),
+        *_age_columns("user_age_days", {"median": 0.5, "p95": 0.95}),
     )
-    ages = _age_stats(rows, _USER_KEYS, "user_age_days", {"median": 0.5, "p95": 0.95})
-    joined = counts.join(ages, list(_USER_KEYS), "left")
-    return joined.orderBy(F.desc("metric_date"), F.asc("organization_id"))
+    return out.orderBy(F.desc("metric_date"), F.asc("organization_id"))
 
 
 def lead_daily_stats(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

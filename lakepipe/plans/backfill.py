@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakepipe.sources.writers import write_partitions
 
@@ -26,13 +27,16 @@ def in_range(df: DataFrame, partition: str, start: str, end: str) -> DataFrame:
     return df.filter(F.col(partition).between(low, high))
 
 
-def each_day(build: Callable[[str], DataFrame], start: str, end: str) -> DataFrame:
-    """Union of single-day builds, for builds that cannot take a range."""
-    out = None
+def each_day(build: Callable[[str], DataFrame], start: str, end: str, path: str, by: str = "run_date") -> DataFrame:
+    """The range's days, for builds that cannot take a range: each day is a job of its own that replaces its folder.
+
+    No plan grows with the range, a day that fails leaves the finished ones, and a day without rows loses its old ones.
+    """
     for ds in days(start, end):
-        part = build(ds)
-        out = part if out is None else out.unionByName(part)
-    return out
+        out = build(ds)
+        out.write.mode("overwrite").parquet(f"{path}/{by}={ds}")
+    stored = out.sparkSession.read.schema(T.StructType([*out.schema, T.StructField(by, T.DateType())])).parquet(path)
+    return in_range(stored, by, start, end)
 
 
 def backfill(

@@ -12,6 +12,7 @@ from lakepipe.operators import checks as q
 from lakepipe.operators.checks import fill_sql
 from lakepipe.operators.contract import validate_frame
 from lakepipe.plans import backfill
+from lakepipe.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -57,8 +58,9 @@ class Metric:
             parts = extra if parts is None else parts.unionByName(extra)
         return parts
 
-    def backfill(self, spark, tables, start: str, end: str, **context) -> DataFrame:
-        """The metric for each day of a range: one plan if it takes ranges, else one per day."""
+    def backfill(self, spark, tables, start: str, end: str, path: str | None = None, **context) -> DataFrame:
+        """The metric for each day of a range: one plan if it takes ranges, else one job per day, kept under ``path``."""
         if self.ranged:
             return self.run(spark, tables, end, start=start, end=end, **context)
-        return backfill.each_day(lambda ds: self.run(spark, tables, ds, **context), start, end)
+        path = path or shared_dir(spark, f"metric-{self.name}")
+        return backfill.each_day(lambda ds: self.run(spark, tables, ds, **context), start, end, path).drop("run_date")

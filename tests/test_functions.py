@@ -87,6 +87,9 @@ def test_parse_timestamp(spark):
         "Dec 31, 2024 23:59": dt.datetime(2024, 12, 31, 23, 59),
         "2024-01-02 03:04:05 PM": dt.datetime(2024, 1, 2, 15, 4, 5),
         "02/01/2024 12:30 am": dt.datetime(2024, 1, 2, 0, 30),
+        "Jan 5 2024 12:05 PM": dt.datetime(2024, 1, 5, 12, 5),
+        "20240102153000 pm": dt.datetime(2024, 1, 2, 15, 30),
+        "20240102033000 PM": dt.datetime(2024, 1, 2, 15, 30),
         "05 Foo 2024": None,
         "2024-13-01": None,
         "junk": None,

@@ -270,6 +270,10 @@ def test_metric_modes(spark):
     py = Metric("m", fn=lambda tables, ds: tables["facts"].filter(F.col("d") == ds).agg(F.sum("i").alias("s")))
     assert py.run(spark, {"facts": df}, "2024-01-02").first().s == 25
     assert sql.backfill(spark, {"facts": df}, "2024-01-01", "2024-01-03").count() == 2
+    path = shared_dir(spark, "days")
+    assert sql.backfill(spark, {"facts": df}, "2024-01-01", "2024-01-02", path=path).count() == 2
+    assert sql.backfill(spark, {"facts": df.where("i % 2 = 0")}, "2024-01-02", "2024-01-02", path=path).count() == 0  # that day only
+    assert spark.read.parquet(path).select(F.col("run_date").cast("string"), "n").collect() == [("2024-01-01", 5)]
     ranged = Metric("n", sql="SELECT d, count(*) AS n FROM facts WHERE d BETWEEN '{{ start }}' AND '{{ end }}' GROUP BY d", ranged=True)
     out = ranged.backfill(spark, {"facts": df}, "2024-01-01", "2024-01-03")
     assert out._jdf.queryExecution().toString().count("Union") == 0 and out.count() == 2

@@ -495,3 +495,22 @@ def test_derived_columns_see_cleaned_values(spark):
     assert rows(clean.build_clean(raw, s), "id", "full") == [("1", "Ann"), ("2", "Lee"), ("3", "Unknown")]
     by_derived = spec(dedupe={"partition_by": ["n"], "order_by": ["id DESC"]}, transforms={}, derived={"n": "length(first)"})
     assert rows(clean.build_clean(raw, by_derived), "id") == [("1",), ("3",)]
+
+
+def test_user_daily_with_missing_values(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", 10, "x", 1), (1, "a", 20, "x", 0), (2, "a", None, None, 1), (None, "a", 400, "y", 1), (3, "b", None, None, None)]
+        + [(9, "c", 1, d, 1) for d in ("p", "q", "q", "r", "s", "t", "u", None, None, None)],
+        "user_id long, organization_id string, user_age_days int, email_domain string, is_active int",
+    ).selectExpr("*", "date'2024-01-01' AS processing_date", "date'2024-01-01' AS created_date", "'active' AS status")
+    got = {r.organization_id: r for r in metrics.user_daily(rows).collect()}
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a.total_users, a.active_users, a.inactive_users, a.users_0_30_days, a.users_over_1_year, a.new_users) == (2, 2, 1, 1, 0, 2)
+    assert (a.avg_user_age_days, a.min_user_age_days, a.max_user_age_days, a.median_user_age_days) == (430 / 3, 10, 400, 20.0)
+    assert a.top_email_domains == ["x", "y"]
+    assert (b.total_users, b.active_users, b.avg_user_age_days, b.median_user_age_days, b.top_email_domains) == (1, 0, None, None, None)
+    assert c.top_email_domains == ["q", "p", "r", "s", "t"] and c.total_users == 1
+    counts = {r.organization_id: r for r in metrics.user_daily_counts(rows).collect()}
+    assert (counts["a"].total_users, counts["a"].active_users, counts["a"].inactive_users) == (2, 2, 1)
+    assert (counts["a"].median_user_age_days, counts["b"].avg_user_age_days, counts["c"].active_users) == (15.0, None, 10)
+    assert metrics.user_daily(rows.limit(0)).count() == 0

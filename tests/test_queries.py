@@ -81,6 +81,11 @@ def test_key_checks_share_one_pass(spark):
     assert "Join" not in text and text.count("FileScan") <= 2 * len(set(__import__("re").findall(r"InMemoryFileIndex\(1 paths\)\[([^\]]*)\]", text)))
 
 
+def test_user_metrics_read_their_input_once(spark):
+    for name in ("user_daily_metrics", "user_daily_counts"):
+        assert plan(entry.queries()[name](spark, SF)).count("FileScan") == 2, name  # customer and orders
+
+
 def test_attribution_has_no_join_and_pushes_the_date(spark):
     text = plan(entry.queries()["flagship_attribution"](spark, SF))
     assert "Join" not in text and "Expand" not in text
