@@ -7,7 +7,8 @@ domain (rate x words x membership, summed over all documents) come to the target
 The rates solve a nonnegative least squares problem by projected gradient descent, from rates of 1. Its state per document
 is the document's words and memberships, its gradient per step one vector with a number per domain: a step is one
 aggregation over all documents, and only that vector reaches the driver. Scaled by the inverse of the domains' second
-moments (a symmetric K x K matrix, one aggregation), the step size is 1 and, with momentum, some twenty steps suffice.
+moments (a symmetric K x K matrix, one aggregation), the step size is 1 and, with momentum, some twenty steps suffice. Steps
+read a narrow copy without texts, in which every eighth step stores each document's rate and momentum.
 
 Domains are the classes of the labelled table: "clean" (quality 1, not toxic), "toxic" (toxic), "low" (quality 0, not
 toxic). Null or empty texts have no words, and the classifier's membership for an empty text; their rate follows the same
@@ -32,6 +33,8 @@ from llm.labelled import sample, within
 from llm.words import lower_word_table, split, white_table, word_hashes
 
 DOMAINS = ("clean", "toxic", "low")
+#: Steps that a pass replays at most before rate and momentum are stored.
+EVERY = 8
 TARGETS = {"clean": 0.96, "toxic": 0.01, "low": 0.03}
 
 
@@ -158,11 +161,12 @@ def memberships(docs: DataFrame, model: Classifier, p: Mixing, keep: list[str],
     return map_texts(docs, fn, fields, keep)
 
 
-def _rate(member: Column, steps: list[np.ndarray]) -> Column:
-    """(rate, ahead) of a document after the given steps, from 1: rate = max(0, ahead - membership . step), and ahead runs
-    on from there by the step's momentum, its last number."""
+def _rate(member: Column, steps: list[np.ndarray], start: tuple[Column, Column] | None = None) -> Column:
+    """(rate, ahead) of a document after the given steps, from 1 or from start: rate = max(0, ahead - membership . step),
+    and ahead runs on from there by the step's momentum, its last number."""
     kind = "struct<rate:double,ahead:double>"
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")).cast(kind)
+    rate, ahead = start or (F.lit(1.0), F.lit(1.0))
+    start = F.struct(rate.alias("rate"), ahead.alias("ahead")).cast(kind)
     if not steps:
         return start
     k = len(steps[0]) - 1
@@ -177,15 +181,20 @@ def _rate(member: Column, steps: list[np.ndarray]) -> Column:
     return F.aggregate(F.lit([[float(v) for v in s] for s in steps]), start, move)
 
 
-def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "") -> list[np.ndarray]:
+def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "", every: int = EVERY) -> list[np.ndarray]:
     """The steps that lead from rates of 1 to the solution: accelerated projected gradient, restarted when it overshoots.
 
-    state: tokens and membership of every document."""
+    state: tokens and membership of every document. Rate and momentum become columns of a narrow copy every `every` steps,
+    so a pass reads no texts and replays fewer steps than that.
+    """
     k = len(domains)
     n, member = F.col(f"{prefix}tokens").cast("double"), F.col(f"{prefix}membership")
+    one = F.lit(1.0)
+    held = saved(state.select(n.alias("n"), member.alias("m"), one.alias("rate"), one.alias("ahead")))
+    n, member = F.col("n"), F.col("m")
     part = [F.get(member, F.lit(j)) for j in range(k)]
     cells = [F.sum(n * part[i] * part[j]) for i in range(k) for j in range(k)]
-    first = state.agg(F.sum(n), *cells).first()
+    first = held.agg(F.sum(n), *cells).first()
     total = first[0] or 0.0
     wanted = np.array([max(p.targets.get(d, 0.0), 0.0) for d in domains])
     if k < 2 or total == 0 or wanted.sum() == 0:
@@ -194,10 +203,14 @@ def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "
     moment = np.array(first[1:], float).reshape(k, k) / total
     scale = np.linalg.pinv(moment, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
+    fresh_steps: list[np.ndarray] = []  # not yet in held's columns
     off, last, speed, before = np.inf, np.inf, 1.0, np.full(k, np.inf)
     for _ in range(p.steps):
-        held = _rate(member, steps)
-        sums = state.select(n.alias("n"), member.alias("m"), held.alias("s")).agg(
+        moved = held.select("n", "m", _rate(member, fresh_steps, (F.col("rate"), F.col("ahead"))).alias("s"))
+        if len(fresh_steps) >= every:
+            held = saved(moved.select("n", "m", "s.rate", "s.ahead"))
+            moved, fresh_steps = held.select("n", "m", F.struct("rate", "ahead").alias("s")), []
+        sums = moved.agg(
             *[F.sum(F.col("n") * F.col(f"s.{x}") * F.get(F.col("m"), F.lit(j))) for x in ("rate", "ahead") for j in range(k)]
         )
         both = np.array(sums.first(), float).reshape(2, k) / total - target
@@ -209,6 +222,7 @@ def solve(state: DataFrame, domains: tuple[str, ...], p: Mixing, prefix: str = "
         speed = 1.0 if error > last else speed
         faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
         steps.append(np.append(scale @ ahead, (speed - 1) / faster))
+        fresh_steps.append(steps[-1])
         last, speed, before = error, faster, miss
     if off > 100 * p.tolerance:
         shares = ", ".join(f"{d} {t + m:.4f} for {t:.4f}" for d, t, m in zip(domains, target, miss))

@@ -468,6 +468,8 @@ def test_mixing_solution_is_the_constrained_least_squares_one(spark):
     df = spark.createDataFrame([(int(n), [float(x) for x in m]) for n, m in zip(tokens, member)], "tokens long, membership array<double>")
     p = mixing.Mixing(targets={"clean": 0.7, "toxic": 0.05, "low": 0.25})
     steps = mixing.solve(df, mixing.DOMAINS, p)
+    for every in (1, 3, 100):  # stored or replayed, the steps are the same
+        assert np.allclose(mixing.solve(df, mixing.DOMAINS, p, every=every), steps, rtol=1e-9, atol=1e-12)
     rate = ahead = np.ones(300)
     for s in steps:
         old, rate = rate, np.maximum(0, ahead - member @ s[:3])
