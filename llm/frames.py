@@ -105,6 +105,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package wrote, in whatever file system it lies."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder; its lineage ends there."""
     shared_folder(df.sparkSession)

@@ -1,12 +1,13 @@
 """The pipeline's stages on the small documents, each against a plain version of what it keeps."""
 
 import re
+from pathlib import Path
 
 import pytest
 import xxhash
 
 import corpus_pipeline
-from llm.frames import load
+from llm.frames import load, shared_folder
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -108,5 +109,9 @@ def test_run_is_the_stages_in_order(spark, docs):
             full = stage(spark, step, SF)
             step = spark.createDataFrame(full.collect(), full.schema)
             assert {r.doc_id for r in step.collect()} == left  # a stage gives the same rows each time
+    shared = Path(shared_folder(spark))
+    before = set(shared.glob("pipeline-*"))
     got = sorted((r.doc_id, r.text) for r in corpus_pipeline.run(spark, SF).collect())
+    (own,) = set(shared.glob("pipeline-*")) - before
+    assert [f.name for f in own.iterdir()] == [str(len(corpus_pipeline.STAGES) - 2)]  # the last stage's input
     assert got == sorted((r.doc_id, r.text) for r in rows) and got
