@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import decontaminate, lines, mixing, quality, simhash
-from llm.frames import load, shared_folder
+from llm.frames import discard, load, shared_folder
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to documents; what each keeps is written to the shared folder and read again."""
+    """All stages, applied to documents; what each keeps is written to the shared folder and read again.
+
+    A stage's folder goes as soon as the next one is written; the last one's input stays, since its result reads it.
+    """
     docs = load(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
@@ -60,4 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return out
         out.write.parquet(f"{folder}/{i}")
         docs = spark.read.schema(out.schema).parquet(f"{folder}/{i}")
+        if i:
+            discard(spark, f"{folder}/{i - 1}")
     return docs
