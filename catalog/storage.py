@@ -119,7 +119,7 @@ def publish_table(spark, sf):
 @query("chunked_extract", "SELECT l_returnflag, count(*) AS n, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS files_needed FROM lineitem GROUP BY 1")
 def chunked_extract(spark, sf):
     path = shared_dir(spark, "chunks")
-    lines = load(spark, sf, "lineitem").repartition(3, "l_returnflag").sortWithinPartitions("l_returnflag")
+    lines = load(spark, sf, "lineitem").hint("rebalance", "l_returnflag").sortWithinPartitions("l_returnflag")
     writers.extract_table(lines, path, chunk_rows=5000)
     per_file = spark.read.orc(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
     small = F.assert_true(F.col("n") <= 5000, "a file holds more rows than its chunk")

@@ -324,3 +324,24 @@ def test_merge_partitions_rewrites_only_touched_ones(spark):
     spark.catalog.refreshByPath(path)
     assert rows(spark.read.parquet(path), "k", "v") == [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
     assert [f for f in spark.read.parquet(path).inputFiles() if "p=p2" in f] == kept
+
+
+def test_a_large_flag_is_extracted_by_several_tasks(spark, tmp_path):
+    import glob
+    import re
+
+    import __spark_entry__ as entry
+
+    rows_ = spark.range(0, 60000, 1, 8).select(F.col("id").alias("l_orderkey"), F.lit("N").alias("l_returnflag"), F.rand(1).alias("x"))
+    rows_.write.parquet(f"{tmp_path}/lineitem.parquet")
+    base, size = spark.conf.get("spark.checkpoint.dir"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = set(glob.glob(f"{base}/chunks-*"))
+    spark.conf.set(size, "64k")
+    try:
+        got = [tuple(r) for r in entry.queries()["chunked_extract"](spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset(size)
+    assert got == [("N", 60000, 12)]
+    (made,) = set(glob.glob(f"{base}/chunks-*")) - before
+    tasks = {re.search(r"part-(\d+)", f).group(1) for f in glob.glob(f"{made}/*.orc")}
+    assert len(tasks) > 3  # it was one task, for one flag
