@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import functools
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,24 @@ def _laid_out(df: DataFrame, by: Sequence[str], sort: Sequence[str] = ()) -> Dat
     return df.sortWithinPartitions(*by, *sort) if sort else df
 
 
+OPEN_FILES = 8  # partition files that a task keeps open before it sorts the rest of its rows
+
+
+@contextlib.contextmanager
+def _unsorted(spark: SparkSession, sort: Sequence[str] = ()) -> Iterator[None]:
+    """Within it, writers of partition folders keep a few files open instead of sorting all rows of a task first.
+
+    A task that ``_laid_out`` gives one large partition then holds no rows at all.  A wanted ``sort`` stays as it is.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, str(0 if sort else OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def holds_data(spark: SparkSession, path: str) -> bool:
     """Whether a folder exists and something was written to it."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,7 +77,8 @@ def write_partitions(
         writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     else:
         writer = writer.option("partitionOverwriteMode", "static").mode(mode)
-    (writer.partitionBy(*by) if by else writer).save(path)
+    with _unsorted(df.sparkSession, sort):
+        (writer.partitionBy(*by) if by else writer).save(path)
 
 
 def merge_partitions(
@@ -89,7 +109,8 @@ def extract_table(
         return
     dated = _laid_out(source.withColumn("partition", F.to_date(partition_col)), ["partition"])
     writer = dated.write.format(fmt).option("compression", "snappy").mode("overwrite").partitionBy("partition")
-    (writer.option("maxRecordsPerFile", chunk_rows) if chunk_rows else writer).save(out)
+    with _unsorted(source.sparkSession):
+        (writer.option("maxRecordsPerFile", chunk_rows) if chunk_rows else writer).save(out)
 
 
 def publish(
@@ -102,11 +123,13 @@ def publish(
     if not spark.catalog.tableExists(name):
         writer = _laid_out(df, partitions).write.format("parquet")
         writer = writer.option("path", path) if path else writer
-        (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
+        with _unsorted(spark):
+            (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(name)
         return
     # insertInto goes by position
     rows = _laid_out(df, partitions).select(*spark.table(name).columns)
-    rows.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=mode == "overwrite")
+    with _unsorted(spark):
+        rows.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=mode == "overwrite")
 
 
 def new_rows(df: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence = ()) -> DataFrame:

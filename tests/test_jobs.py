@@ -345,3 +345,19 @@ def test_a_large_flag_is_extracted_by_several_tasks(spark, tmp_path):
     (made,) = set(glob.glob(f"{base}/chunks-*")) - before
     tasks = {re.search(r"part-(\d+)", f).group(1) for f in glob.glob(f"{made}/*.orc")}
     assert len(tasks) > 3  # it was one task, for one flag
+
+
+def test_partition_writers_do_not_sort_a_task(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    seen, save = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: (seen.append(spark.conf.get(name)), save(self, *a, **k))[1])
+    df = spark.range(1000).select("id", (F.col("id") % 30).alias("p"), F.lit("2024-01-01").alias("d"))  # more folders than open files
+    writers.write_partitions(df, f"{tmp_path}/a", ["p"], mode="overwrite")
+    writers.write_partitions(df, f"{tmp_path}/b", ["p"], mode="overwrite", sort=["id"])
+    writers.extract_table(df, f"{tmp_path}/c", "d")
+    assert seen == [str(writers.OPEN_FILES), "0", str(writers.OPEN_FILES)] and spark.conf.get(name) == "0"
+    for path in "ab":
+        assert rows(spark.read.parquet(f"{tmp_path}/{path}"), "id", "p") == rows(df, "id", "p")
+    assert spark.read.orc(f"{tmp_path}/c").count() == 1000
