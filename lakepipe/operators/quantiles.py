@@ -36,13 +36,13 @@ def exact_quantiles(
         if most is None or most <= ranked:
             break
         state = _narrowed(counted, state, by, accuracy, ranked)
-    inside = _inside(counted, state, by, lambda b: F.lit(True))
-    upto = Window.partitionBy(*by, "_b.i", "_b.up").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = inside.withColumn("_upto", F.col("_b.before") + F.sum("_n").over(upto))
-    at = F.col("_upto") > F.col("_b.rank")
-    found = placed.groupBy(*by, F.col("_b.i").alias("i"), F.col("_b.up").alias("up"), F.col("_b.share").alias("share")).agg(
-        F.min(F.when(at, F.col("_v"))).alias("v")
-    )
+    placed, span = _inside(counted, state, by, lambda b: F.lit(True)), [*by, "_low", "_high"]
+    upto = Window.partitionBy(*span).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("_upto", F.col("_before") + F.sum("_n").over(upto))
+    wanted = _brackets(state, by, lambda b: F.lit(True)).groupBy(*span).agg(F.collect_list("_b").alias("_wanted"))
+    here = lambda b: (b["rank"] < F.col("_upto")) & (b["rank"] >= F.col("_upto") - F.col("_n"))
+    found = _beside(placed, wanted, span).select(*by, F.explode(F.filter("_wanted", here)).alias("_b"), F.col("_v").alias("v"))
+    found = found.select(*by, "_b.i", "_b.up", "_b.share", "v")
     pick = lambda up: F.max(F.when(F.col("up") == up, F.col("v")))
     pairs = found.groupBy(*by, "i", "share").agg(pick(False).alias("lo"), pick(True).alias("hi"))
     q = F.col("lo") + F.when(F.col("share") > 0, (F.col("hi") - F.col("lo")) * F.col("share")).otherwise(0.0)
@@ -82,41 +82,62 @@ def _beside(df: DataFrame, one: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.join(other, same).drop(*[f"_of_{c}" for c in by])
 
 
+def _brackets(state: DataFrame, by: Sequence[str], which) -> DataFrame:
+    """The brackets that ``which`` picks, a row each: ``by``, _total, _b and its range as _low, _high."""
+    rows = state.select(*by, "_total", F.explode(F.filter("_brackets", which)).alias("_b"))
+    return rows.select("*", F.col("_b.low").alias("_low"), F.col("_b.high").alias("_high"))
+
+
 def _inside(counted: DataFrame, state: DataFrame, by: Sequence[str], which) -> DataFrame:
-    """The counted values of each bracket: ``by``, _b, _v, _n; only brackets that ``which`` picks."""
-    picked = state.select(*by, F.filter("_brackets", which).alias("_brackets")).where(F.size("_brackets") > 0)
+    """The counted values in the ranges of the brackets that ``which`` picks: ``by``, _low, _high, _before, _v, _n.
+
+    The ranges of a group's brackets are equal or disjoint, so that a value comes once however many ranks are wanted.
+    """
+    ranges = F.transform(
+        F.filter("_brackets", which),
+        lambda b: F.struct(b["low"].alias("low"), b["high"].alias("high"), b["before"].alias("before")),
+    )
+    picked = state.select(*by, F.array_distinct(ranges).alias("_ranges")).where(F.size("_ranges") > 0)
     joined = _beside(counted, picked, by)
     v = F.col("_v")
     there = lambda b: (b["low"].isNull() | (v > b["low"])) & (b["high"].isNull() | (v <= b["high"]))
-    return joined.select(*by, F.explode(F.filter("_brackets", there)).alias("_b"), "_v", "_n")
+    rows = joined.select(*by, F.explode(F.filter("_ranges", there)).alias("_r"), "_v", "_n")
+    return rows.select(*by, *[F.col(f"_r.{c}").alias(f"_{c}") for c in ("low", "high", "before")], "_v", "_n")
+
+
+def _parted(df: DataFrame) -> DataFrame:
+    """df with ``_part``: how many of the ordered ``_cuts`` lie below _v, found by halving (CUTS is a power of two)."""
+    df, step = df.withColumn("_part", F.lit(0)), CUTS // 2
+    while step:
+        below = F.get("_cuts", F.col("_part") + (step - 1)) < F.col("_v")
+        df = df.withColumn("_part", F.col("_part") + F.when(below, step).otherwise(0))
+        step //= 2
+    return df
 
 
 def _narrowed(counted: DataFrame, state: DataFrame, by: Sequence[str], accuracy: int, ranked: int) -> DataFrame:
     """The state with every bracket of more than ``ranked`` values replaced by its part that holds the rank."""
-    inside = _inside(counted, state, by, lambda b: b["held"] > ranked)
-    names = [*by, "_i", "_up"]
-    inside = inside.select(*by, F.col("_b.i").alias("_i"), F.col("_b.up").alias("_up"), "_b", "_v", "_n")
-    cuts = inside.groupBy(*names).agg(
-        F.percentile_approx("_v", [k / CUTS for k in range(1, CUTS)], accuracy).alias("_cuts"), F.first("_b").alias("_b")
-    )
-    parted = _beside(inside.drop("_b"), cuts, names)
-    part = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    sums = parted.groupBy(*names, "_b", part.alias("_part")).agg(
+    wide = lambda b: b["held"] > ranked
+    inside, span = _inside(counted, state, by, wide), [*by, "_low", "_high"]
+    cuts = inside.groupBy(*span).agg(F.percentile_approx("_v", [k / CUTS for k in range(1, CUTS)], accuracy).alias("_cuts"))
+    # stored, so that their size is known before the values would be shuffled to meet them
+    parted = _parted(_beside(inside, materialize(cuts, "cuts"), span))
+    sums = parted.groupBy(*span, "_before", "_part").agg(
         F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_held"), F.max("_v").alias("_top")
     )
-    # at most CUTS rows per bracket
-    order = Window.partitionBy(*names).orderBy("_part")
-    upto = F.col("_b.before") + F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    sums = sums.withColumn("_upto", upto).withColumn("_low", F.coalesce(F.lag("_top").over(order), F.col("_b.low")))
-    hit = sums.where((F.col("_b.rank") < F.col("_upto")) & (F.col("_b.rank") >= F.col("_upto") - F.col("_n")))
+    # at most CUTS rows per range
+    order = Window.partitionBy(*span).orderBy("_part")
+    upto = F.col("_before") + F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    sums = sums.withColumn("_upto", upto).withColumn("_from", F.coalesce(F.lag("_top").over(order), F.col("_low")))
+    both = _beside(sums, _brackets(state, by, wide), span)
+    hit = both.where((F.col("_b.rank") < F.col("_upto")) & (F.col("_b.rank") >= F.col("_upto") - F.col("_n")))
     new = F.struct(
         F.col("_b.i").alias("i"), F.col("_b.up").alias("up"), F.col("_b.share").alias("share"), F.col("_b.rank").alias("rank"),
-        F.col("_low").alias("low"), F.col("_top").alias("high"), (F.col("_upto") - F.col("_n")).alias("before"),
+        F.col("_from").alias("low"), F.col("_top").alias("high"), (F.col("_upto") - F.col("_n")).alias("before"),
         F.col("_held").alias("held"),
     )
-    kept = state.select(*by, "_total", F.explode(F.filter("_brackets", lambda b: b["held"] <= ranked)).alias("_b"))
-    totals = state.select(*by, "_total")
-    moved = _beside(hit.select(*by, new.alias("_b")), totals, by).select(*by, "_total", "_b")
+    kept = _brackets(state, by, lambda b: b["held"] <= ranked).select(*by, "_total", "_b")
+    moved = hit.select(*by, "_total", new.alias("_b"))
     return moved.unionByName(kept).groupBy(*by, "_total").agg(F.collect_list("_b").alias("_brackets"))
 
 

@@ -129,6 +129,20 @@ def test_quantiles_narrow_whatever_the_values(spark, monkeypatch):
         assert np.allclose(parts[g], np.quantile(v, probs), rtol=1e-12)
 
 
+def test_quantile_values_come_once_however_many_ranks(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.rand(1).alias("x"))
+    held, inside = [], quantiles._inside
+
+    def watched(*args):
+        out = inside(*args)
+        held.append(out.count())
+        return out
+
+    monkeypatch.setattr(quantiles, "_inside", watched)
+    quantiles.exact_quantiles(df, "x", (0.1, 0.5, 0.9), ["g"], ranked=100).collect()
+    assert held[0] == 5000  # not six times as many
+
+
 def test_quantile_states_merge(spark):
     import numpy as np
 
