@@ -17,7 +17,7 @@ from lakepipe.operators import checks as q
 from lakepipe.operators.clean import coerced, fill_nulls, trim_strings
 from lakepipe.operators.dedupe import distinct_rows, keep_latest
 from lakepipe.operators.filters import apply_rules, drop_missing
-from lakepipe.operators.joins import keep_children, null_bad_fk, remap_key
+from lakepipe.operators.joins import keep_children, null_bad_fk, remap_key, skew_join
 from lakepipe.session import materialize
 
 
@@ -86,12 +86,21 @@ def clean_related(
     several times, and its stored size lets Spark choose the join.
     """
     out = {name: stage(clean_one(raw[name], rule), name) for name, rule in rules.items()}
+    by_key: dict[ForeignKey, Remap] = {}
     for m in remaps:
         lookup = raw[m.lookup]
-        if m.old in lookup.columns and m.new in lookup.columns:
+        if m.old not in lookup.columns or m.new not in lookup.columns:
+            continue
+        k = _followed_by_drop(m, remaps, foreign_keys)
+        if k is not None:
+            by_key[k] = m
+        else:
             out[m.child] = remap_key(out[m.child], m.column, lookup, m.old, m.new)
     for i, k in enumerate(foreign_keys):
-        if k.on_missing == "null":
+        if k in by_key:
+            m = by_key[k]
+            out[k.child] = _remapped_children(out[k.child], out[k.parent], k, raw[m.lookup], m, stage)
+        elif k.on_missing == "null":
             out[k.child] = null_bad_fk(out[k.child], k.column, out[k.parent], k.parent_key)
         elif k.on_missing == "drop":
             out[k.child] = keep_children(out[k.child], out[k.parent], [(k.column, k.parent_key)])
@@ -102,6 +111,26 @@ def clean_related(
     return out
 
 
+def _followed_by_drop(m: Remap, remaps: Sequence[Remap], foreign_keys: Sequence[ForeignKey]) -> ForeignKey | None:
+    """The foreign key that drops rows by a column right after its only remap, if nothing reads the column in between."""
+    if sum((x.child, x.column) == (m.child, m.column) for x in remaps) > 1 or any(k.parent == m.child for k in foreign_keys):
+        return None
+    own = [k for k in foreign_keys if (k.child, k.column) == (m.child, m.column)]
+    return own[0] if own and own[0].on_missing == "drop" and own.count(own[0]) == 1 else None
+
+
+def _remapped_children(
+    child: DataFrame, parent: DataFrame, k: ForeignKey, lookup: DataFrame, m: Remap, stage: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """``remap_key``, then ``keep_children``, on the distinct keys; whole rows move once, to meet what became of their key."""
+    c = k.column
+    keys = stage(child.select(c).where(F.col(c).isNotNull()).distinct().withColumn("_from", F.col(c)), "keys")
+    kept = keep_children(remap_key(keys, c, lookup, m.old, m.new), parent, [(c, k.parent_key)])
+    kept = kept.select(F.col("_from").alias(c), F.col(c).alias("_to"))
+    joined = skew_join(child, kept, [c], "inner")
+    return joined.select(*[F.col("_to").alias(x) if x == c else F.col(x) for x in child.columns])
+
+
 def drop_duplicates_to_utc(df: DataFrame, required: Sequence[str], times: Sequence[str]) -> DataFrame:
     """The short form: required values, exact duplicates, times as UTC."""
     df = distinct_rows(drop_missing(df, required))

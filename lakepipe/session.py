@@ -57,5 +57,5 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     survives the loss of executors.
     """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -361,3 +361,28 @@ def test_partition_writers_do_not_sort_a_task(spark, tmp_path, monkeypatch):
     for path in "ab":
         assert rows(spark.read.parquet(f"{tmp_path}/{path}"), "id", "p") == rows(df, "id", "p")
     assert spark.read.orc(f"{tmp_path}/c").count() == 1000
+
+
+def test_related_rows_move_once_for_remap_and_reference(spark):
+    import re
+
+    moved = {}
+
+    def stage(df, name):
+        text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        moved[name] = len(re.findall(r"\) Exchange\nInput \[[^\n]*\bnote#", text))
+        return df.localCheckpoint()
+
+    parents = spark.createDataFrame([("O1", "1"), ("O2", "2"), ("O2", "2"), ("", "4")], "id string, number string")
+    rows_ = [("a", "1", "x"), ("b", "O2", "y"), ("c", "3", "z"), ("d", None, "w"), ("e", "1", None), ("f", "4", "v"), ("g", "2", "u")]
+    lines = spark.createDataFrame(rows_, "id string, ref string, note string")
+    rules = {"p": related.RelatedTable({"id": "string"}, ["id"], ["id"]), "l": related.RelatedTable({"ref": "string"})}
+    keys, remap = [related.ForeignKey("l", "ref", "p", "id", False, "drop")], [related.Remap("l", "ref", "p", "number", "id")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = related.clean_related({"p": parents, "l": lines}, rules, keys, remap, stage)["l"]
+        assert out.columns == ["id", "ref", "note"]
+        assert rows(out, *out.columns) == [("a", "O1", "x"), ("b", "O2", "y"), ("e", "O1", None), ("g", "O2", "u")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moved["l"] == 1  # it was twice
