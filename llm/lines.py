@@ -348,7 +348,7 @@ def _wanted_lines(min_words: int):
 
 def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
     """Per document: identities of lines one edit from an earlier line, each verified on the words of both."""
-    pairs = _pairs(texts, first, min_words)
+    pairs = saved(_pairs(texts, first, min_words))  # read twice: for what is asked and for the verdict
     pair = F.struct("doc", "id", "pdoc", "pid").alias("pair")
     side = lambda n, doc, id_: F.struct(F.lit(n).alias("side"), F.col(doc).alias("wdoc"), F.col(id_).alias("wid"))
     sides = pairs.select(pair, F.explode(F.array(side(0, "doc", "id"), side(1, "pdoc", "pid"))).alias("s")).select("pair", "s.*")

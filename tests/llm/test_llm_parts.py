@@ -493,3 +493,11 @@ def test_mixing_learns_from_the_labels_of_its_documents(spark):
 def test_features_of_empty_texts_are_zero():
     x = counts(pa.array(["", None, "a a a b"], pa.large_string()), 16, 16)
     assert not x[:2].any() and x[2].any()
+
+
+def test_pairs_of_lines_are_made_once(spark):
+    texts = [(1, "a b c d\ne f g"), (2, "a b c x\nh"), (3, None)]
+    out = lines.report(spark.createDataFrame(texts, "doc_id long, text string"))
+    text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "Window" not in text  # both readers of the pairs made them before
+    assert sorted((r.doc_id, r.n_removed) for r in out.collect()) == [(1, 0), (2, 1), (3, 0)]
