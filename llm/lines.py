@@ -44,6 +44,7 @@ _POWER = 0xD6E8FEB86659FD93
 
 HALVES = "key long, whole boolean, h long, doc long, line int, many boolean, gone binary, near binary"
 VARIANTS = "key long, chk int, part int, doc long, line int, id long, pdoc long, pid long"
+PAIRS = "doc long, id long, pdoc long, pid long"
 
 
 @dataclass
@@ -209,6 +210,16 @@ def _halves(min_words: int, exact: int):
     return lambda batches: _gather(batches, emit, settle)
 
 
+def _met(rows, owner: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which lines met another line's half and are not exact repeats; owner: the row of each."""
+    bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
+    hit = np.zeros(len(own), bool)
+    for i, (near, gone) in enumerate(zip(known(rows, "near", "near_packs"), known(rows, "gone", "gone_packs"))):
+        part = own[bounds[i] : bounds[i + 1]]
+        hit[bounds[i] : bounds[i + 1]] = member(part, near) & ~member(part, gone)
+    return hit
+
+
 def _variants(min_words: int):
     """The deletion neighbourhoods of lines that met another line's half and are not exact repeats.
 
@@ -220,11 +231,7 @@ def _variants(min_words: int):
         words = word_hashes(x.piece)
         s, t = _Sums(words), _Sums(mix(words ^ np.uint64(0xA5A5A5A5)))
         own = _identity(_tag(s.run(a, b), b - a, 0), x.number[pick])
-        bounds = np.searchsorted(x.owner[pick], np.arange(len(texts) + 1))
-        hit = np.zeros(len(pick), bool)
-        for i, (near, gone) in enumerate(zip(known(rows, "near", "near_packs"), known(rows, "gone", "gone_packs"))):
-            part = own[bounds[i] : bounds[i + 1]]
-            hit[bounds[i] : bounds[i + 1]] = member(part, near) & ~member(part, gone)
+        hit = _met(rows, x.owner[pick], own)
         pick, a, b, own = pick[hit], a[hit], b[hit], own[hit]
         n = b - a
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -287,29 +294,48 @@ def _first_pass(texts: DataFrame, min_words: int, exact: int) -> DataFrame:
     )
 
 
-def _pairs(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
-    """Lines (doc, id) and the earlier lines (pdoc, pid) that share a variant with them, one or a few per line.
+def _partners(batches):
+    """Variants, ordered by key, check and rank, to pairs: a whole line with the earliest one that shares its key, others
+    with the earliest that lacks a word at their place, or else with the earliest whole one.
 
-    The join takes all of texts' columns, so that its exchange is the later joins' too."""
-    key, place = Window.partitionBy("key", "chk"), Window.partitionBy("key", "chk", "part")
-    whole, open_ = F.col("part") < 0, F.col("pid").isNull()
-    rank = F.struct("doc", "line", "id")
-    earlier = lambda c: F.struct(F.col(f"{c}.doc"), F.col(f"{c}.line")) < F.struct("doc", "line")
-    meets = first.where("size(near) > 0 or size(near_packs) > 0")
-    rows = map_batches(texts.join(meets, "doc"), _variants(min_words), VARIANTS)
-    rows = (
-        rows.withColumn("any", F.min(F.when(open_, rank)).over(key))
-        .withColumn("itself", F.min(F.when(open_ & whole, rank)).over(key))
-        .withColumn("same", F.min(F.when(open_, rank)).over(place))
-    )
-    partner = (
-        F.when(~open_, F.struct(F.col("pdoc").alias("doc"), F.col("pid").alias("id")))
-        .when(whole & earlier("any"), F.struct("any.doc", "any.id"))
-        .when(~whole & earlier("same"), F.struct("same.doc", "same.id"))
-        .when(~whole & earlier("itself"), F.struct("itself.doc", "itself.id"))
-    )
-    named = rows.withColumn("p", partner).where("p is not null")
-    return named.select("doc", "id", F.col("p.doc").alias("pdoc"), F.col("p.id").alias("pid"))
+    Of the last key of a batch the earliest line per place is carried on, all that later rows can meet."""
+    names = ["key", "chk", "part", "doc", "line", "id"]
+    carried = None
+    for batch in batches:
+        made = column(batch, "pid").is_valid().to_numpy(zero_copy_only=False)
+        rows = [column(batch, c).to_numpy()[~made] for c in names]
+        settled = [column(batch, c).filter(pa.array(made)).to_numpy() for c in ("doc", "id", "pdoc", "pid")]
+        old = 0 if carried is None else len(carried[0])
+        rows = [np.concatenate(x) for x in zip(carried, rows)] if old else rows
+        key, check, part, doc, line, own = rows
+        at = np.arange(len(key))
+        start = np.ones(len(key), bool)
+        start[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
+        group = np.cumsum(start) - 1
+        first = np.maximum.accumulate(np.where(start, at, 0))
+        order = np.lexsort((part, group))  # stable, so by rank within a place
+        head = np.ones(len(key), bool)
+        head[1:] = (group[order][1:] != group[order][:-1]) | (part[order][1:] != part[order][:-1])
+        same = np.empty(len(key), np.int64)
+        same[order] = order[np.maximum.accumulate(np.where(head, at, 0))]
+        itself = np.full(start.sum(), len(key))
+        lead = np.flatnonzero((part < 0) & (same == at))
+        itself[group[lead]] = lead
+        itself = np.minimum(itself[group], at)  # a later one is none
+        later = lambda p: (doc[p] != doc) | (line[p] != line)
+        partner = np.where(part < 0, first, np.where(later(same), same, itself))
+        hit = np.flatnonzero(later(partner) & (at >= old))
+        if len(key):
+            carry = (group == group[-1]) & (same == at)
+            carried = [x[carry] for x in rows]
+        pairs = zip(settled, [doc[hit], own[hit], doc[partner[hit]], own[partner[hit]]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in pairs], names=["doc", "id", "pdoc", "pid"])
+
+
+def _pairs(met: DataFrame, min_words: int) -> DataFrame:
+    """Lines (doc, id) and the earlier lines (pdoc, pid) that share a variant with them, one or a few per line."""
+    rows = map_batches(met, _variants(min_words), VARIANTS).repartition("key", "chk")
+    return map_batches(rows.sortWithinPartitions("key", "chk", "doc", "line", "id"), _partners, PAIRS).distinct()
 
 
 def one_edit(a: list[str], b: list[str]) -> bool:
@@ -322,8 +348,8 @@ def one_edit(a: list[str], b: list[str]) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
 
 
-def _wanted_lines(min_words: int):
-    """(doc, id, words) of the lines that a document is asked for."""
+def _met_lines(min_words: int):
+    """(wdoc, wid, words) of the lines that variants are made of."""
 
     def run(batches):
         for batch in batches:
@@ -332,11 +358,7 @@ def _wanted_lines(min_words: int):
                 x = lines_of(texts)
                 pick, a, b = _judged(x, min_words)
                 own = _identity(_tag(_Sums(word_hashes(x.piece)).run(a, b), b - a, 0), x.number[pick])
-                bounds = np.searchsorted(x.owner[pick], np.arange(len(texts) + 1))
-                hit = np.zeros(len(pick), bool)
-                for i, asked in enumerate(column(rows, "asked")):
-                    part = slice(bounds[i], bounds[i + 1])
-                    hit[part] = member(own[part], np.sort(asked.values.to_numpy().view(np.uint64)))
+                hit = _met(rows, x.owner[pick], own)
                 words = [x.piece.span(i, j).decode() for i, j in zip(a[hit], b[hit])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(_ids(rows)[x.owner[pick[hit]]]), pa.array(own[hit].view(np.int64)), pa.array(words, pa.string())],
@@ -347,16 +369,18 @@ def _wanted_lines(min_words: int):
 
 
 def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFrame:
-    """Per document: identities of lines one edit from an earlier line, each verified on the words of both."""
-    pairs = saved(_pairs(texts, first, min_words))  # read twice: for what is asked and for the verdict
+    """Per document: identities of lines one edit from an earlier line, each verified on the words of both.
+
+    The words of every line with variants are sent, one row a line where variants are one a word. So pairs have one reader
+    and need no job of their own, which would shuffle the texts once more. All joins of texts take all their columns: one
+    exchange serves them."""
+    met = texts.join(first.where("size(near) > 0 or size(near_packs) > 0"), "doc")
     pair = F.struct("doc", "id", "pdoc", "pid").alias("pair")
     side = lambda n, doc, id_: F.struct(F.lit(n).alias("side"), F.col(doc).alias("wdoc"), F.col(id_).alias("wid"))
-    sides = pairs.select(pair, F.explode(F.array(side(0, "doc", "id"), side(1, "pdoc", "pid"))).alias("s")).select("pair", "s.*")
-    # a line that many others meet is asked for once; the list is bounded by the document's own lines
-    asked = sides.groupBy(F.col("wdoc").alias("doc")).agg(F.collect_set("wid").alias("asked"))
-    words = map_batches(texts.join(asked, "doc"), _wanted_lines(min_words), "wdoc long, wid long, words string")
+    sides = _pairs(met, min_words).select(pair, F.explode(F.array(side(0, "doc", "id"), side(1, "pdoc", "pid"))).alias("s"))
+    words = map_batches(met, _met_lines(min_words), "wdoc long, wid long, words string")
     words = words.groupBy("wdoc", "wid").agg(F.min("words").alias("words"))  # rows that share an id
-    both = sides.join(words, ["wdoc", "wid"]).groupBy("pair").agg(
+    both = sides.select("pair", "s.*").join(words, ["wdoc", "wid"]).groupBy("pair").agg(
         F.min(F.when(F.col("side") == 0, F.col("words"))).alias("a"), F.min(F.when(F.col("side") == 1, F.col("words"))).alias("b")
     )
 

@@ -501,3 +501,48 @@ def test_pairs_of_lines_are_made_once(spark):
     text = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
     assert "Window" not in text  # both readers of the pairs made them before
     assert sorted((r.doc_id, r.n_removed) for r in out.collect()) == [(1, 0), (2, 1), (3, 0)]
+
+
+def test_lines_shuffle_texts_once_and_make_pairs_once(spark, monkeypatch):
+    jobs, saved, conf = [], lines.saved, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    monkeypatch.setattr(lines, "saved", lambda df: jobs.append(df) or saved(df))
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        texts = [(1, "a b c d\ne f g"), (2, "a b c x\nh"), (3, None)]
+        jobs.append(lines.report(spark.createDataFrame(texts, "doc_id long, text string")))
+        plans = [spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple").splitlines() for df in jobs]
+        dealt = [x for p in plans for x, y in zip(p, p[1:]) if " Exchange hashpartitioning(doc#" in x and "text#" in y]
+        assert len(dealt) == 1  # pairs in a job of their own dealt the texts again
+        variants = [x for p in plans for x in p if "MapInArrow" in x and "near_packs#" in x and "chk#" in x]
+        assert len(variants) == 1
+        assert sorted((r.doc_id, r.n_removed) for r in jobs[-1].collect()) == [(1, 0), (2, 1), (3, 0)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+def test_partners_of_lines_do_not_depend_on_batches(step):
+    rng = random.Random(11)
+    rows = set()
+    while len(rows) < 400:
+        chk = rng.randint(0, 2)
+        rows.add((rng.randint(0, 9), chk, rng.randint(0, 9), rng.randint(0, 2), rng.randint(-9, 9), rng.randint(-1, 2)))
+    rows = [(*x, *((x[2] - 1, 5) if rng.random() < 0.2 else (None, None))) for x in sorted(rows)]
+    fields = [("key", pa.int64()), ("chk", pa.int32()), ("doc", pa.int64()), ("line", pa.int32()), ("id", pa.int64()), ("part", pa.int32())]
+    fields += [("pdoc", pa.int64()), ("pid", pa.int64())]
+    table = pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+    got = [x for b in lines._partners(table.to_batches(max_chunksize=step)) for x in zip(*b.to_pydict().values())]
+    want = []
+    for key, chk, doc, line, own, part, pdoc, pid in rows:
+        open_ = [x for x in rows if x[:2] == (key, chk) and x[7] is None]
+        whole, place = [x for x in open_ if x[5] < 0], [x for x in open_ if x[5] == part]
+        meets = [p[0][2:5] for p in ([open_] if part < 0 else [place, whole]) if p]
+        early = [p for p in meets if p[:2] < (doc, line)]
+        if pid is not None:
+            want.append((doc, own, pdoc, pid))
+        elif early:
+            want.append((doc, own, early[0][0], early[0][2]))
+    assert len(want) > 100 and sorted(got) == sorted(want)
