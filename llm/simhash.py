@@ -65,6 +65,7 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     """Pairs (a, b) of different fingerprints, a < b, that differ by at most `distance` bits (3 or fewer).
 
     fps: one column fp without repeats. Rows that meet under several chains give one pair each; repeats are removed.
+    Spark sizes exploded rows as what they are made of (4 and 68 for one), so the join is told not to broadcast them.
     """
     if not 0 <= distance < SEGMENTS:
         raise ValueError("the chains are built for at most 3 differing bits")
@@ -85,7 +86,7 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
         rest = F.bit_count(turned) - F.bit_count(_segment(diff, i + SEGMENTS - 1))
         third = third | ((first == i) & (rest <= 2))
     near = (F.col("a") < F.col("b")) & third & (F.bit_count(diff) <= distance)
-    return listed.join(asked, (F.col("k") == F.col("k2")) & near).select("a", "b").distinct()
+    return listed.hint("merge").join(asked, (F.col("k") == F.col("k2")) & near).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, keep: list[str], size: int = 3, distance: int = 3) -> DataFrame:

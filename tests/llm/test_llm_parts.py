@@ -252,6 +252,13 @@ def test_hamming_links_are_complete(spark):
     assert got == want and len(want) > 100
 
 
+def test_links_broadcast_no_exploded_rows(spark):
+    out = simhash.links(spark.range(100).select((F.col("id") * 4097).alias("fp")))
+    assert len(out.collect()) > 100
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan  # 68 rows for one, sized as one
+
+
 def test_sketches_recover_differences(spark):
     rng = random.Random(6)
     rows = []
