@@ -373,14 +373,16 @@ def _second_pass(texts: DataFrame, first: DataFrame, min_words: int) -> DataFram
 
     The words of every line with variants are sent, one row a line where variants are one a word. So pairs have one reader
     and need no job of their own, which would shuffle the texts once more. All joins of texts take all their columns: one
-    exchange serves them."""
+    exchange serves them. Pairs are exploded to their sides, which Spark sizes too low, so that join is told not to
+    broadcast them; words are dealt for it anew, as only then a line that many pairs name can be split over tasks."""
     met = texts.join(first.where("size(near) > 0 or size(near_packs) > 0"), "doc")
     pair = F.struct("doc", "id", "pdoc", "pid").alias("pair")
     side = lambda n, doc, id_: F.struct(F.lit(n).alias("side"), F.col(doc).alias("wdoc"), F.col(id_).alias("wid"))
     sides = _pairs(met, min_words).select(pair, F.explode(F.array(side(0, "doc", "id"), side(1, "pdoc", "pid"))).alias("s"))
     words = map_batches(met, _met_lines(min_words), "wdoc long, wid long, words string")
-    words = words.groupBy("wdoc", "wid").agg(F.min("words").alias("words"))  # rows that share an id
-    both = sides.select("pair", "s.*").join(words, ["wdoc", "wid"]).groupBy("pair").agg(
+    line = F.struct("wdoc", "wid").alias("line")
+    words = words.groupBy(line).agg(F.min("words").alias("words")).select("line.*", "words")  # rows that share an id
+    both = sides.select("pair", "s.*").hint("merge").join(words, ["wdoc", "wid"]).groupBy("pair").agg(
         F.min(F.when(F.col("side") == 0, F.col("words"))).alias("a"), F.min(F.when(F.col("side") == 1, F.col("words"))).alias("b")
     )
 

@@ -530,6 +530,21 @@ def test_lines_shuffle_texts_once_and_make_pairs_once(spark, monkeypatch):
             spark.conf.set(k, v)
 
 
+def test_sides_of_pairs_are_not_broadcast(spark):
+    out = lines.report(spark.createDataFrame([(d, f"a b c d e f{d}") for d in range(40)], "doc_id long, text string"))
+    assert sum(r.n_removed for r in out.collect()) == 39
+    plan = out._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0].splitlines()
+    deep = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    found = [i for i, x in enumerate(plan) if "Generate explode(array(struct(side" in x]
+    assert found
+    for i in found:
+        above, depth = [], deep[i]
+        for j in range(i - 1, -1, -1):
+            if deep[j] < depth:
+                above, depth = [*above, plan[j]], deep[j]
+        assert " Exchange hashpartitioning(wdoc" in next(x for x in above if "Exchange" in x)  # two sides a pair, sized as one
+
+
 @pytest.mark.parametrize("step", [1, 3, 1000])
 def test_partners_of_lines_do_not_depend_on_batches(step):
     rng = random.Random(11)
